@@ -78,7 +78,7 @@ def sparse_columns(df: DataFrame, max_missing_share: float = 0.5,
     wide = df.agg(F.count(F.lit(1)).alias("__n"),
                   *[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)])
     return wide.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), (F.col(f"m{i}") / F.col("__n")).alias("missing_share"))
+        F.struct(F.lit(c).alias("column"), F.try_divide(F.col(f"m{i}"), F.col("__n")).alias("missing_share"))
         for i, c in enumerate(cols)])).alias("r")).select(
         "r.column", "r.missing_share", (F.col("r.missing_share") > max_missing_share).alias("dropped"))
 
@@ -224,7 +224,7 @@ def outlier_report(df: DataFrame, columns: Sequence[str], multiplier: float = 1.
     wide = df.agg(*aggs)
     rows = wide.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"o{i}").cast("long").alias("count"),
-                 (F.col(f"o{i}") / F.col("__n") * 100).alias("pct"),
+                 (F.try_divide(F.col(f"o{i}"), F.col("__n")) * 100).alias("pct"),
                  F.lit(b[c][2]).cast("double").alias("lower_bound"),
                  F.lit(b[c][3]).cast("double").alias("upper_bound"),
                  F.col(f"mn{i}").alias("min"), F.col(f"mx{i}").alias("max"))

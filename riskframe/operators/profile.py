@@ -63,9 +63,9 @@ def quality_report(df: DataFrame, columns: Sequence[str] | None = None,
         dtypes[F.col("column")].alias("dtype"),
         F.col("non_null").cast("long").alias("non_null"),
         (F.col("n") - F.col("non_null")).cast("long").alias("null_count"),
-        F.round((F.col("n") - F.col("non_null")) / F.col("n") * 100, 2).alias("null_pct"),
+        F.round(F.try_divide(F.col("n") - F.col("non_null"), F.col("n")) * 100, 2).alias("null_pct"),
         F.col("unique").cast("long").alias("unique"),
-        F.round(F.col("unique") / F.col("n") * 100, 2).alias("unique_pct"),
+        F.round(F.try_divide(F.col("unique"), F.col("n")) * 100, 2).alias("unique_pct"),
         "min", "max", "mean", "std")
 
 
@@ -79,7 +79,7 @@ def missing_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     dtypes = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c]))])
     return (long.filter(F.col("missing_count") > 0)
             .select("column", F.col("missing_count").cast("long").alias("missing_count"),
-                    F.round(F.col("missing_count") / F.col("n") * 100, 2).alias("missing_pct"),
+                    F.round(F.try_divide(F.col("missing_count"), F.col("n")) * 100, 2).alias("missing_pct"),
                     dtypes[F.col("column")].alias("dtype")))
 
 
@@ -91,7 +91,7 @@ def blank_string_report(df: DataFrame, columns: Sequence[str] | None = None) ->
     long = _rows_from_wide(wide, cols, {"n_blank": "{}__b", "n": "__n"})
     return (long.filter(F.col("n_blank") > 0)
             .select("column", F.col("n_blank").cast("long").alias("n_blank"),
-                    F.round(F.col("n_blank") / F.col("n") * 100, 2).alias("blank_pct")))
+                    F.round(F.try_divide(F.col("n_blank"), F.col("n")) * 100, 2).alias("blank_pct")))
 
 
 def duplicate_report(df: DataFrame, key: str) -> DataFrame:
@@ -135,7 +135,7 @@ def dataset_overview(df: DataFrame, target: str = "TARGET") -> DataFrame:
     m = [("n_rows", F.col("n")), ("n_columns", F.lit(len(df.columns))),
          ("n_numeric", F.lit(n_num)), ("n_categorical", F.lit(n_str)),
          ("non_default", F.col("n0")), ("default", F.col("n1")),
-         ("default_rate", F.col("n1") / (F.col("n0") + F.col("n1")) * 100),
+         ("default_rate", F.try_divide(F.col("n1"), F.col("n0") + F.col("n1")) * 100),
          ("imbalance_ratio", F.try_divide(F.col("n0").cast("double"), F.col("n1")))]
     return agg.select(F.explode(F.array(*[
         F.struct(F.lit(k).alias("metric"), v.cast("double").alias("value")) for k, v in m
