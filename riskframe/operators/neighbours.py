@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.operators.ranks import cumulative
+from riskframe.session import ensure_checkpoint_dir
 
 CAND_SCHEMA = "qid long, nid long, dist double"
 
@@ -31,6 +32,15 @@ def _blocks(donors: DataFrame, id_col: str, block_rows: int) -> tuple[DataFrame,
     return donors.withColumn("_blk", F.pmod(F.xxhash64(F.col(id_col)), F.lit(nb))), nb
 
 
+def _spread(qs: DataFrame) -> DataFrame:
+    """Queries carry quadratic work per row: give every core a share even
+    when the input arrived in a few large partitions (AQE coalesces small
+    tables), by hash-partitioning on the query id."""
+    sc = qs.sparkSession.sparkContext
+    n = max(qs.rdd.getNumPartitions(), 4 * sc.defaultParallelism)
+    return qs.repartition(n, "_id")
+
+
 def _topk(cands: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("qid").orderBy("dist", "nid")  # <= k x blocks rows per query
     return cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
@@ -49,8 +59,11 @@ def knn(queries: DataFrame, donors: DataFrame, id_col: str, vec_col: str, k: int
     if grp:
         d_sel.append(F.col(grp).cast("string").alias("_g"))
         q_sel.append(F.col(grp).cast("string").alias("_g"))
-    dons, nb = _blocks(donors.select(*d_sel), "_id", block_rows)
-    qs = queries.select(*q_sel)
+    ensure_checkpoint_dir(spark)
+    # Both inputs are scanned once per donor block: cut their lineage first.
+    dsel = donors.select(*d_sel).checkpoint(eager=True)
+    qs = _spread(dsel if queries is donors else queries.select(*q_sel).checkpoint(eager=True))
+    dons, nb = _blocks(dsel, "_id", block_rows)
     parts = []
     for b in range(nb):
         blk = dons.filter(F.col("_blk") == b).drop("_blk").toPandas()  # <= block_rows rows
@@ -138,20 +151,25 @@ def smote(train: DataFrame, id_col: str, vec_col: str, target: str, k: int = 5,
 
 
 def knn_impute(df: DataFrame, id_col: str, columns: Sequence[str], k: int = 5,
-               block_rows: int = 20000, query_batch: int = 256) -> DataFrame:
+               block_bytes: int = 64 << 20, batch_elems: int = 8 << 20) -> DataFrame:
     """Fill each missing cell with the mean of that column over the k
     nearest rows that have it, under the missing-aware Euclidean distance
     sqrt(n_cols / n_shared * sum over shared columns (a - b)^2). No usable
     donor -> the column mean. Only rows with a missing cell are queries.
+
+    Donor blocks are sized in bytes (``block_bytes`` of doubles is the
+    broadcast bound); each query batch holds about ``batch_elems`` distances.
+    Candidates are ranked on squared distance; ties break on the donor id.
     """
     spark = df.sparkSession
     cols = list(columns)
     m = len(cols)
     arr = F.array(*[F.col(c).cast("double") for c in cols])
-    base = df.select(F.col(id_col).alias("_id"), arr.alias("_v"))
-    has_null = F.exists("_v", lambda x: x.isNull())
-    qs = base.filter(has_null)
-    dons, nb = _blocks(base, "_id", block_rows)
+    ensure_checkpoint_dir(spark)
+    # Scanned once per donor block: cut the lineage first.
+    base = df.select(F.col(id_col).alias("_id"), arr.alias("_v")).checkpoint(eager=True)
+    qs = _spread(base.filter(F.exists("_v", lambda x: x.isNull())))
+    dons, nb = _blocks(base, "_id", max(1000, block_bytes // (8 * (m + 1))))
     parts = []
     for b in range(nb):
         blk = dons.filter(F.col("_blk") == b).toPandas()
@@ -164,45 +182,56 @@ def knn_impute(df: DataFrame, id_col: str, columns: Sequence[str], k: int = 5,
         def scan(it, bc=bc):
             ids, mat = bc.value
             present = ~np.isnan(mat)
+            pf = present.astype(np.float64)
             filled = np.where(present, mat, 0.0)
+            rhs = np.hstack([pf, filled * filled, filled]).T.copy()
+            # donors holding column j, ordered by id so ties resolve like the merge
+            by_col = []
+            for j in range(m):
+                sel = np.flatnonzero(present[:, j])
+                sel = sel[np.argsort(ids[sel], kind="stable")]
+                by_col.append(sel)
+            batch = max(1, batch_elems // max(1, len(ids)))
             for pdf in it:
                 if pdf.empty:
                     continue
                 q_ids = pdf["_id"].to_numpy(np.int64)
                 q_mat = np.array([[np.nan if x is None else x for x in v] for v in pdf["_v"]], dtype=np.float64)
                 out = {"qid": [], "col": [], "nid": [], "dist": [], "val": []}
-                for s in range(0, len(q_ids), query_batch):
-                    qm = q_mat[s:s + query_batch]
+                for s0 in range(0, len(q_ids), batch):
+                    qm = q_mat[s0:s0 + batch]
                     qp = ~np.isnan(qm)
                     qf = np.where(qp, qm, 0.0)
-                    shared = qp.astype(np.float64) @ present.T.astype(np.float64)
-                    sq = (qf * qf) @ present.T + qp @ (filled * filled).T - 2.0 * qf @ filled.T
-                    np.maximum(sq, 0.0, out=sq)
+                    qpf = qp.astype(np.float64)
+                    shared = qpf @ pf.T
+                    # one product for the whole sum of squares over shared columns
+                    d2 = np.hstack([qf * qf, qpf, -2.0 * qf]) @ rhs
                     with np.errstate(divide="ignore", invalid="ignore"):
-                        dist = np.sqrt(m / shared * sq)
-                    dist[shared == 0] = np.inf
-                    qi = q_ids[s:s + query_batch]
-                    dist[qi[:, None] == ids[None, :]] = np.inf
+                        np.divide(m, shared, out=shared)
+                        d2 *= shared  # no shared column -> nan, never selected
+                    qi = q_ids[s0:s0 + batch]
                     for j in range(m):
-                        need = ~qp[:, j]
-                        if not need.any():
+                        need = np.flatnonzero(~qp[:, j])
+                        dj_cols = by_col[j]
+                        if need.size == 0 or dj_cols.size == 0:
                             continue
-                        dj = dist[need].copy()
-                        dj[:, ~present[:, j]] = np.inf
+                        dj = d2[np.ix_(need, dj_cols)]
                         kk = min(k, dj.shape[1])
                         idx = np.argpartition(dj, kk - 1, axis=1)[:, :kk]
-                        best = dj[np.arange(dj.shape[0])[:, None], idx]
+                        best = np.take_along_axis(dj, idx, axis=1)
                         ok = np.isfinite(best).ravel()
+                        donor = dj_cols[idx]
                         out["qid"].append(np.repeat(qi[need], kk)[ok])
-                        out["col"].append(np.full(ok.sum(), j, dtype=np.int32))
-                        out["nid"].append(ids[idx].ravel()[ok])
-                        out["dist"].append(best.ravel()[ok])
-                        out["val"].append(mat[idx, j].ravel()[ok])
+                        out["col"].append(np.full(int(ok.sum()), j, dtype=np.int32))
+                        out["nid"].append(ids[donor].ravel()[ok])
+                        out["dist"].append(np.sqrt(np.maximum(best.ravel()[ok], 0.0)))
+                        out["val"].append(mat[donor, j].ravel()[ok])
                 if out["qid"]:
                     yield pd.DataFrame({k2: np.concatenate(v) for k2, v in out.items()})
 
         parts.append(qs.mapInPandas(scan, "qid long, col int, nid long, dist double, val double"))
     means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
+    fill_cols = [str(j) for j in range(m)]
     if parts:
         cands = parts[0]
         for p in parts[1:]:
@@ -212,9 +241,7 @@ def knn_impute(df: DataFrame, id_col: str, columns: Sequence[str], k: int = 5,
                 .groupBy("qid").pivot("col", list(range(m))).agg(F.avg("val")))
         out = df.join(fill.withColumnRenamed("qid", id_col), id_col, "left")
     else:
-        out = df
-        for j in range(m):
-            out = out.withColumn(str(j), F.lit(None).cast("double"))
+        out = df.withColumns({c: F.lit(None).cast("double") for c in fill_cols})
     return out.select(*[
-        (F.coalesce(F.col(c).cast("double"), F.col(f"`{j}`"), F.lit(means[c])).alias(c)
-         if c in cols else F.col(c)) for c in df.columns for j in [cols.index(c) if c in cols else -1]])
+        F.coalesce(F.col(c).cast("double"), F.col(f"`{cols.index(c)}`"), F.lit(means[c])).alias(c)
+        if c in cols else F.col(c) for c in df.columns])

@@ -45,8 +45,8 @@ def quality_report(df: DataFrame, columns: Sequence[str] | None = None,
     for c in cols:
         x = F.col(c)
         aggs.append(F.count(x).alias(f"{c}__nn"))
-        aggs.append((F.approx_count_distinct(x) if approx_distinct else F.count_distinct(x))
-                    .alias(f"{c}__u"))
+        if approx_distinct:
+            aggs.append(F.approx_count_distinct(x).alias(f"{c}__u"))
         if c in num:
             d = x.cast("double")
             aggs += [F.min(d).alias(f"{c}__min"), F.max(d).alias(f"{c}__max"),
@@ -54,9 +54,13 @@ def quality_report(df: DataFrame, columns: Sequence[str] | None = None,
         else:
             aggs += [F.lit(None).cast("double").alias(f"{c}__{s}") for s in ("min", "max", "mean", "std")]
     wide = df.select(*cols).agg(*aggs)
-    long = _rows_from_wide(wide, cols, {
-        "non_null": "{}__nn", "unique": "{}__u", "min": "{}__min", "max": "{}__max",
-        "mean": "{}__mean", "std": "{}__std", "n": "__n"})
+    fields = {"non_null": "{}__nn", "min": "{}__min", "max": "{}__max",
+              "mean": "{}__mean", "std": "{}__std", "n": "__n"}
+    if approx_distinct:
+        fields["unique"] = "{}__u"
+    long = _rows_from_wide(wide, cols, fields)
+    if not approx_distinct:
+        long = long.join(distinct_counts(df, cols), "column", "left").fillna({"unique": 0})
     dtypes = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c].simpleString()))])
     return long.select(
         "column",
@@ -69,6 +73,25 @@ def quality_report(df: DataFrame, columns: Sequence[str] | None = None,
         "min", "max", "mean", "std")
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Exact distinct non-null values per column: (column, unique).
+
+    One explode to (column, value) and two aggregates. The first dedups on
+    the map side, so low-cardinality columns shrink before the shuffle --
+    instead of one Expand copy of every row per distinct aggregate.
+    Floats: -0.0 folds into 0.0 and NaN is not a value, as in pandas.
+    """
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    items = []
+    for c in columns:
+        x = F.col(c)
+        if types[c].simpleString() in ("double", "float"):
+            x = F.when(F.isnan(x), None).otherwise(x + F.lit(0.0))
+        items.append(F.struct(F.lit(c).alias("column"), x.cast("string").alias("value")))
+    long = df.select(F.explode(F.array(*items)).alias("kv")).select("kv.*").filter(F.col("value").isNotNull())
+    return long.distinct().groupBy("column").agg(F.count(F.lit(1)).alias("unique"))
+
+
 def missing_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Columns with missing values: column, missing_count, missing_pct, dtype."""
     cols = list(columns or df.columns)

@@ -119,13 +119,13 @@ def d1_remove_duplicates_none(spark, sf):
 
 
 @register("d3_iqr_outliers", with_fixture("""
-q AS (SELECT quantile_cont(LOAN_AMOUNT, 0.25) AS q1, quantile_cont(LOAN_AMOUNT, 0.75) AS q3 FROM applications)
-SELECT CLIENT_ID, LOAN_AMOUNT FROM applications, q
-WHERE LOAN_AMOUNT < q1 - 1.5 * (q3 - q1) OR LOAN_AMOUNT > q3 + 1.5 * (q3 - q1)"""),
-    ["LOAN_AMOUNT"], "D3")
+q AS (SELECT quantile_cont(PRICE_TOTAL, 0.25) AS q1, quantile_cont(PRICE_TOTAL, 0.75) AS q3 FROM applications)
+SELECT CLIENT_ID, PRICE_TOTAL FROM applications, q
+WHERE PRICE_TOTAL < q1 - 1.5 * (q3 - q1) OR PRICE_TOTAL > q3 + 1.5 * (q3 - q1)"""),
+    ["PRICE_TOTAL"], "D3")
 def d3_iqr_outliers(spark, sf):
-    df = clean.detect_outliers_iqr(applications(spark, sf).select("CLIENT_ID", "LOAN_AMOUNT"), "LOAN_AMOUNT")
-    return df.filter("LOAN_AMOUNT_outlier").select("CLIENT_ID", "LOAN_AMOUNT")
+    df = clean.detect_outliers_iqr(applications(spark, sf).select("CLIENT_ID", "PRICE_TOTAL"), "PRICE_TOTAL")
+    return df.filter("PRICE_TOTAL_outlier").select("CLIENT_ID", "PRICE_TOTAL")
 
 
 _OUT = ["LOAN_AMOUNT", "INCOME_MONTHLY", "N_ITEMS", "QTY_TOTAL", "PRICE_TOTAL", "AVG_DISCOUNT",

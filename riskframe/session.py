@@ -23,7 +23,11 @@ def get_spark(master: str | None = None, app: str = "riskframe",
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
-          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+          # one BLAS thread per Python worker: Spark already runs a worker per core
+          .config("spark.executorEnv.OMP_NUM_THREADS", "1")
+          .config("spark.executorEnv.OPENBLAS_NUM_THREADS", "1")
+          .config("spark.executorEnv.MKL_NUM_THREADS", "1"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
