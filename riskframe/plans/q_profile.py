@@ -22,6 +22,19 @@ def d18_monthly_volume(spark, sf):
     return series.monthly_volume(applications(spark, sf))
 
 
+@register("s1_streaming_monthly_volume", with_fixture("""
+SELECT CAST(DATE_MONTH AS DATE) AS month, count(*) AS nb_clients,
+       CAST(sum(TARGET) AS BIGINT) AS nb_defauts, avg(TARGET) * 100 AS taux_defaut
+FROM applications GROUP BY 1"""), ["taux_defaut"], "D18 J1 (incremental)")
+def s1_streaming_monthly_volume(spark, sf):
+    """D18 maintained by Structured Streaming over the application files."""
+    from riskframe.sources.fixtures import materialized_path
+    from riskframe.streaming import monthly_volume_stream, run_available
+    path, schema = materialized_path(spark, sf)
+    _, name = run_available(monthly_volume_stream(spark, path, schema))
+    return spark.table(name)
+
+
 @register("d19_default_rate_by_category", with_fixture("""
 long AS (
   SELECT 'STATUS' AS variable, STATUS AS value, TARGET FROM applications

@@ -62,6 +62,12 @@ def applications(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
     ``materialize=False`` returns the lazy join plan itself."""
     if not materialize:
         return applications_view(spark, sf_dir)
+    path, schema = materialized_path(spark, sf_dir)
+    return spark.read.schema(schema).parquet(path)
+
+
+def materialized_path(spark: SparkSession, sf_dir: str) -> tuple[str, object]:
+    """(folder, schema) of this session's materialized applications table."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MATERIALIZED:
         root = ensure_checkpoint_dir(spark).rstrip("/")
@@ -69,8 +75,7 @@ def applications(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
         view = applications_view(spark, sf_dir)
         view.write.mode("overwrite").parquet(path)
         _MATERIALIZED[key] = (path, view.schema)
-    path, schema = _MATERIALIZED[key]
-    return spark.read.schema(schema).parquet(path)
+    return _MATERIALIZED[key]
 
 
 def applications_view(spark: SparkSession, sf_dir: str) -> DataFrame:
