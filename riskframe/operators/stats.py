@@ -32,15 +32,25 @@ def mann_whitney(df: DataFrame, cols: Sequence[str], target: str = "TARGET",
     """H7: two-sided Mann-Whitney U per variable (tie- and continuity-
     corrected normal approximation).
 
-    variable, n0, n1, U (of class 0), z, [p_value, effect_r], median_0,
-    median_1. Variables with fewer than ``min_size`` rows in a class are
-    skipped. Effect r = |z| / sqrt(N) (8 / sqrt(N) when p underflows to 0).
+    variable, n0, n1, U (of class 0), z, median_0, median_1, [p_value,
+    effect_r, significant]. Variables with fewer than ``min_size`` rows in a
+    class are skipped. Effect r = |z| / sqrt(N) (8 / sqrt(N) when p
+    underflows to 0, as the original).
+
+    One cumulative pass carries t, n0 and n1: mid-ranks come from t, the
+    class medians from the per-class cumulative counts of the same table.
     """
-    rs = rank_sums(df, cols, F.col(target).cast("int"))
-    p = rs.groupBy("variable", "N", "T").agg(
-        F.sum(F.when(F.col("grp") == "0", F.col("n_g"))).alias("n0"),
-        F.sum(F.when(F.col("grp") == "1", F.col("n_g"))).alias("n1"),
-        F.sum(F.when(F.col("grp") == "0", F.col("R_g"))).alias("R0"))
+    y = F.col(target).cast("int")
+    long = ranks.to_long(df, cols, [y.alias("_y")]).filter(F.col("_y").isin(0, 1))
+    counts = long.groupBy("variable", "value").agg(
+        F.count(F.lit(1)).alias("t"), F.count_if(F.col("_y") == 0).alias("n0"),
+        F.count_if(F.col("_y") == 1).alias("n1"))
+    cum = ranks.cumulative(counts, ("variable",), "value", ("t", "n0", "n1"))
+    cum = cum.withColumn("avg_rank", F.col("t_before") + (F.col("t") + 1) / 2.0)
+    p = cum.groupBy("variable").agg(
+        F.sum("t").alias("N"), F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("T"),
+        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"),
+        F.sum(F.col("n0") * F.col("avg_rank")).alias("R0"))
     p = p.filter((F.col("n0") >= min_size) & (F.col("n1") >= min_size))
     n0, n1, N = F.col("n0").cast("double"), F.col("n1").cast("double"), F.col("N").cast("double")
     u0 = F.col("R0") - n0 * (n0 + 1) / 2
@@ -49,8 +59,13 @@ def mann_whitney(df: DataFrame, cols: Sequence[str], target: str = "TARGET",
     z = F.try_divide(F.abs(u0 - mu) - 0.5, sigma)
     out = p.select("variable", F.col("n0").cast("long").alias("n0"), F.col("n1").cast("long").alias("n1"),
                    u0.alias("U"), z.alias("z"), F.col("N"))
-    med = class_medians(df, cols, target)
-    out = out.join(med, "variable", "left")
+    med = None
+    for k in ("0", "1"):
+        part = cum.select("variable", "value", F.col(f"n{k}").alias("t"), F.col(f"n{k}_before").alias("t_before"))
+        q = ranks.quantiles_from_ranks(part, [0.5]).select("variable", F.col("value").alias(f"median_{k}"))
+        med = q if med is None else med.join(q, "variable", "full")
+    # med: one row per variable.
+    out = out.join(F.broadcast(med), "variable", "left")
     if with_p:
         out = out.withColumn("p_value", normal_p_udf(F.col("z")))
         out = out.withColumn("effect_r", F.when(F.col("p_value") == 0, F.lit(8.0))
@@ -59,22 +74,6 @@ def mann_whitney(df: DataFrame, cols: Sequence[str], target: str = "TARGET",
     return out.drop("N")
 
 
-def class_medians(df: DataFrame, cols: Sequence[str], target: str = "TARGET") -> DataFrame:
-    """Exact median of each column within class 0 and class 1."""
-    items = [F.struct(F.concat(F.lit(c + "\u0001"), F.col(target).cast("string")).alias("variable"),
-                      F.col(c).cast("double").alias("value")) for c in cols]
-    long = (df.select(F.explode(F.array(*items)).alias("kv")).select("kv.*")
-            .filter(F.col("value").isNotNull() & ~F.isnan("value"))
-            .withColumn("value", F.col("value") + F.lit(0.0)))
-    counts = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("t"))
-    cum = ranks.cumulative(counts, ("variable",), "value", ("t",))
-    q = ranks.quantiles_from_ranks(cum, [0.5])
-    q = q.withColumn("_v", F.split("variable", "\u0001"))
-    return q.groupBy(F.col("_v")[0].alias("variable")).agg(
-        F.max(F.when(F.col("_v")[1] == "0", F.col("value"))).alias("median_0"),
-        F.max(F.when(F.col("_v")[1] == "1", F.col("value"))).alias("median_1"))
-
-
 def auc(scored: DataFrame, score: str = "probability", label: str = "label") -> DataFrame:
     """I3 AUC (exact, mid-ranks for ties) and Gini = 2 AUC - 1.
     One class only -> null."""
@@ -92,37 +91,39 @@ def kruskal_wallis(df: DataFrame, quant: Sequence[str], qual: Sequence[str], min
                    with_p: bool = True) -> DataFrame:
     """H9: Kruskal-Wallis H for every (quantitative, qualitative) pair.
 
-    Per qualitative column: groups with fewer than ``min_group`` non-null
-    rows are dropped before ranking (as the reference), then one rank-sum
-    pass covers all quantitative columns. Pairs with < 2 groups or with all
-    values tied are skipped. var_quant, var_qual, H, dof, n, [p_value].
+    All pairs go through one long frame keyed by the pair: groups with fewer
+    than ``min_group`` non-null rows are dropped before ranking (as the
+    original), then a single rank-sum pass covers every pair. Pairs with
+    < 2 groups or with all values tied are skipped.
+    var_quant, var_qual, H, dof, n, [p_value].
     """
-    outs = []
-    for c in qual:
-        sizes = (ranks.to_long(df, quant, [F.col(c).alias("_g")]).filter(F.col("_g").isNotNull())
-                 .groupBy("variable", "_g").agg(F.count(F.lit(1)).alias("_s")))
-        keep = sizes.filter(F.col("_s") >= min_group).select("variable", "_g")
-        long_ok = (ranks.to_long(df, quant, [F.col(c).alias("_g")]).filter(F.col("_g").isNotNull())
-                   .join(keep, ["variable", "_g"], "left_semi"))
-        rs = _rank_sums_long(long_ok)
-        h = rs.groupBy("variable", "N", "T").agg(
-            F.sum(F.col("R_g") * F.col("R_g") / F.col("n_g")).alias("S"), F.count(F.lit(1)).alias("k"))
-        N = F.col("N").cast("double")
-        num = 12.0 / (N * (N + 1)) * F.col("S") - 3 * (N + 1)
-        den = 1 - F.col("T") / (F.pow(N, 3) - N)
-        outs.append(h.filter((F.col("k") >= 2) & (den > 0)).select(
-            F.col("variable").alias("var_quant"), F.lit(c).alias("var_qual"), (num / den).alias("H"),
-            (F.col("k") - 1).cast("long").alias("dof"), F.col("N").cast("long").alias("n")))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
+    items = [F.struct(F.lit(f"{q}\u0001{c}").alias("variable"), F.col(q).cast("double").alias("value"),
+                      F.col(c).cast("string").alias("_g"))
+             for q in quant for c in qual]
+    long = (df.select(F.explode(F.array(*items)).alias("kv")).select("kv.*")
+            .filter(F.col("value").isNotNull() & ~F.isnan("value") & F.col("_g").isNotNull())
+            .withColumn("value", F.col("value") + F.lit(0.0)))
+    counts = long.groupBy("variable", "value", "_g").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.groupBy("variable", "_g").agg(F.sum("n").alias("_s"))
+    keep = sizes.filter(F.col("_s") >= min_group).select("variable", "_g")
+    rs = _rank_sums_counts(counts.join(keep, ["variable", "_g"], "left_semi"))
+    h = rs.groupBy("variable", "N", "T").agg(
+        F.sum(F.col("R_g") * F.col("R_g") / F.col("n_g")).alias("S"), F.count(F.lit(1)).alias("k"))
+    N = F.col("N").cast("double")
+    num = 12.0 / (N * (N + 1)) * F.col("S") - 3 * (N + 1)
+    den = 1 - F.col("T") / (F.pow(N, 3) - N)
+    parts = F.split("variable", "\u0001")
+    out = h.filter((F.col("k") >= 2) & (den > 0)).select(
+        parts[0].alias("var_quant"), parts[1].alias("var_qual"), (num / den).alias("H"),
+        (F.col("k") - 1).cast("long").alias("dof"), F.col("N").cast("long").alias("n"))
     if with_p:
         out = out.withColumn("p_value", chi2_p_udf(F.col("H"), F.col("dof").cast("double")))
     return out
 
 
-def _rank_sums_long(long: DataFrame) -> DataFrame:
-    counts = long.groupBy("variable", "value", F.col("_g").alias("grp")).agg(F.count(F.lit(1)).alias("n"))
+def _rank_sums_counts(counts: DataFrame) -> DataFrame:
+    """(variable, value, _g, n) counts -> (variable, grp, n_g, R_g, N, T)."""
+    counts = counts.withColumnRenamed("_g", "grp")
     tot = counts.groupBy("variable", "value").agg(F.sum("n").alias("t"))
     cum = ranks.cumulative(tot, ("variable",), "value", ("t",))
     cum = cum.withColumn("avg_rank", F.col("t_before") + (F.col("t") + 1) / 2.0)
@@ -131,9 +132,14 @@ def _rank_sums_long(long: DataFrame) -> DataFrame:
                                             F.sum(F.col("n") * F.col("avg_rank")).alias("R_g"))
     ties = cum.groupBy("variable").agg(
         F.sum("t").alias("N"), F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("T"))
+    # ties: one row per variable.
     return sums.join(F.broadcast(ties), "variable")
 
 
+def _rank_sums_long(long: DataFrame) -> DataFrame:
+    return _rank_sums_counts(long.groupBy("variable", "value", "_g").agg(F.count(F.lit(1)).alias("n")))
+
+
 # ---------------------------------------------------------- chi-square / V
 
 def contingency(df: DataFrame, a: str, b: str) -> DataFrame:

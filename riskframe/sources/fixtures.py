@@ -73,7 +73,8 @@ def materialized_path(spark: SparkSession, sf_dir: str) -> tuple[str, object]:
         root = ensure_checkpoint_dir(spark).rstrip("/")
         path = f"{root}/riskframe-applications-{uuid.uuid4().hex}"
         view = applications_view(spark, sf_dir)
-        view.write.mode("overwrite").parquet(path)
+        # clustered by month: row-group min/max let month filters skip data
+        view.sortWithinPartitions("DATE_MONTH").write.mode("overwrite").parquet(path)
         _MATERIALIZED[key] = (path, view.schema)
     return _MATERIALIZED[key]
 
