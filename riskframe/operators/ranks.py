@@ -20,6 +20,7 @@ Plan (no task ever holds a whole variable):
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -96,16 +97,72 @@ def rank_table(df: DataFrame, cols: Sequence[str], label: str | None = None,
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None, accuracy: int = 2000) -> DataFrame:
     """(variable, q, value): linear interpolation between order statistics,
     as pandas ``quantile`` / SQL ``percentile_cont``. Nulls and NaN skipped.
 
-    The order statistics are located with a broadcast join of the
-    (variable, q) targets -- V x Q rows, bounded by the arguments -- against
-    the cumulative table, so no per-variable value list is ever gathered.
+    Fast exact path, two scans and no sort of the full column:
+      1. ``percentile_approx`` brackets each target rank (sketch memory is
+         bounded by ``accuracy``, whatever the row count);
+      2. one aggregate counts the rows below each bracket, and only the
+         values inside the brackets (a ~1/accuracy slice) are ranked.
+    Each bracket is verified to contain both order statistics it must
+    interpolate; a column failing that check (or an exotic distribution)
+    falls back to the full distributed rank table. Results are exact either way.
     """
-    ranks = rank_table(df, cols, partitions=partitions)
-    return quantiles_from_ranks(ranks, probs)
+    cols = list(cols)
+    probs = [float(q) for q in probs]
+    spark = df.sparkSession
+    if not cols:
+        return spark.createDataFrame([], "variable string, q double, value double")
+    delta = 4.0 / accuracy
+    clean = {c: F.when(F.isnan(F.col(c).cast("double")), None).otherwise(F.col(c).cast("double") + F.lit(0.0))
+             for c in cols}
+    lo_p = [max(0.0, q - delta) for q in probs]
+    hi_p = [min(1.0, q + delta) for q in probs]
+    row = df.agg(*[x for i, c in enumerate(cols) for x in (
+        F.count(clean[c]).alias(f"n{i}"),
+        F.percentile_approx(clean[c], lo_p + hi_p, accuracy).alias(f"b{i}"))]).first()
+    brackets = []  # (variable, q, lo, hi, n)
+    for i, c in enumerate(cols):
+        n, b = row[f"n{i}"], row[f"b{i}"]
+        if not n:
+            continue
+        for j, q in enumerate(probs):
+            brackets.append((c, q, float(b[j]), float(b[len(probs) + j]), int(n)))
+    if not brackets:
+        return spark.createDataFrame([], "variable string, q double, value double")
+    # rows strictly below each bracket, and the bracketed values themselves
+    below = df.agg(*[F.count_if(clean[c] < lo).alias(f"c{k}") for k, (c, _, lo, _, _) in enumerate(brackets)]).first()
+    items = [F.struct(F.lit(k).alias("_k"), clean[c].alias("value"))
+             for k, (c, _, _, _, _) in enumerate(brackets)]
+    bounds = F.array(*[F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for (_, _, lo, hi, _) in brackets])
+    inside = (df.select(F.explode(F.array(*items)).alias("kv")).select("kv.*")
+              .filter(F.col("value").isNotNull())
+              .filter((F.col("value") >= bounds[F.col("_k")]["lo"]) & (F.col("value") <= bounds[F.col("_k")]["hi"])))
+    counts = inside.groupBy("_k", "value").agg(F.count(F.lit(1)).alias("t"))
+    tab = []
+    for k, (c, q, lo, hi, n) in enumerate(brackets):
+        h = q * (n - 1)
+        tab.append((k, c, q, float(h), int(math.floor(h)), int(math.ceil(h)), int(below[f"c{k}"])))
+    meta = spark.createDataFrame(tab, "_k int, variable string, q double, h double, i_lo long, i_hi long, c_lo long")
+    # meta: one row per (column, probability) -- bounded by the arguments.
+    cum = cumulative(counts, ("_k",), "value", ("t",), partitions=partitions).join(F.broadcast(meta), "_k")
+    pos = F.col("c_lo") + F.col("t_before")
+    picked = cum.groupBy("_k", "variable", "q", "h", "i_lo", "i_hi", "c_lo").agg(
+        F.sum("t").alias("n_in"),
+        F.max(F.when((F.col("i_lo") >= pos) & (F.col("i_lo") < pos + F.col("t")), F.col("value"))).alias("v_lo"),
+        F.max(F.when((F.col("i_hi") >= pos) & (F.col("i_hi") < pos + F.col("t")), F.col("value"))).alias("v_hi"))
+    res = picked.select("variable", "q", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo"))
+                                          * (F.col("h") - F.col("i_lo"))).alias("value"),
+                        (F.col("v_lo").isNotNull() & F.col("v_hi").isNotNull()).alias("_ok")).collect()
+    good = {(r["variable"], r["q"]): r["value"] for r in res if r["_ok"]}
+    missing = sorted({c for (c, q, *_r) in brackets if (c, q) not in good})
+    rows = [(c, q, v) for (c, q), v in good.items() if c not in missing]
+    out = spark.createDataFrame(rows, "variable string, q double, value double")
+    if missing:
+        out = out.unionByName(quantiles_from_ranks(rank_table(df, missing, partitions=partitions), probs))
+    return out
 
 
 def quantiles_from_ranks(ranks: DataFrame, probs: Sequence[float]) -> DataFrame:
