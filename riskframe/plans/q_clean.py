@@ -258,23 +258,20 @@ SELECT CLIENT_ID, coalesce(PRICE_M3, mean_p) AS PRICE_M3_mean, coalesce(PRICE_M3
 FROM applications, s, m"""),
     ["PRICE_M3_mean", "PRICE_M3_median", "AVG_DAYS_TO_SHIP_median", "N_ITEMS_mode", "PRICE_M3_constant"], "E1")
 def e1_impute_numeric(spark, sf):
+    """The four E1 strategies on the same frame, fitted once each and
+    applied in one projection."""
     df = applications(spark, sf).select("CLIENT_ID", *_IMP)
-    mean = impute.impute_numeric(df, ["PRICE_M3"], "mean")
-    med = impute.impute_numeric(df, ["PRICE_M3", "AVG_DAYS_TO_SHIP"], "median")
-    mode = impute.impute_numeric(df, ["N_ITEMS"], "most_frequent")
-    const = impute.impute_numeric(df, ["PRICE_M3"], "constant")
-    # All four are projections of the same frame: one stitched projection.
-    vals = {"mean": impute.fit_numeric(df, ["PRICE_M3"], "mean"),
-            "median": impute.fit_numeric(df, ["PRICE_M3", "AVG_DAYS_TO_SHIP"], "median"),
-            "mode": impute.fit_numeric(df, ["N_ITEMS"], "most_frequent")}
-    del mean, med, mode, const
+    mean = impute.fit_numeric(df, ["PRICE_M3"], "mean")
+    median = impute.fit_numeric(df, ["PRICE_M3", "AVG_DAYS_TO_SHIP"], "median")
+    mode = impute.fit_numeric(df, ["N_ITEMS"], "most_frequent")
+    const = impute.fit_numeric(df, ["PRICE_M3"], "constant")
     return df.select(
         "CLIENT_ID",
-        F.coalesce("PRICE_M3", F.lit(vals["mean"]["PRICE_M3"])).alias("PRICE_M3_mean"),
-        F.coalesce("PRICE_M3", F.lit(vals["median"]["PRICE_M3"])).alias("PRICE_M3_median"),
-        F.coalesce("AVG_DAYS_TO_SHIP", F.lit(vals["median"]["AVG_DAYS_TO_SHIP"])).alias("AVG_DAYS_TO_SHIP_median"),
-        F.coalesce(F.col("N_ITEMS").cast("double"), F.lit(vals["mode"]["N_ITEMS"])).alias("N_ITEMS_mode"),
-        F.coalesce("PRICE_M3", F.lit(0.0)).alias("PRICE_M3_constant"))
+        F.coalesce("PRICE_M3", F.lit(mean["PRICE_M3"])).alias("PRICE_M3_mean"),
+        F.coalesce("PRICE_M3", F.lit(median["PRICE_M3"])).alias("PRICE_M3_median"),
+        F.coalesce("AVG_DAYS_TO_SHIP", F.lit(median["AVG_DAYS_TO_SHIP"])).alias("AVG_DAYS_TO_SHIP_median"),
+        F.coalesce(F.col("N_ITEMS").cast("double"), F.lit(mode["N_ITEMS"])).alias("N_ITEMS_mode"),
+        F.coalesce("PRICE_M3", F.lit(const["PRICE_M3"])).alias("PRICE_M3_constant"))
 
 
 @register("e2_impute_categorical", with_fixture("""
