@@ -150,16 +150,102 @@ def smote(train: DataFrame, id_col: str, vec_col: str, target: str, k: int = 5,
                     "synthetic"))
 
 
+def _impute_kernel(q_ids, q_mat, ids, mat, k, m, window, batch_elems):
+    """Exact candidates (qid, col, nid, dist, val) of one query chunk against
+    one donor block, for every missing cell of every query.
+
+    Donors are sorted on the pruning column x (the least-missing one). For a
+    query and a donor that both have x, dist >= |dx| because the missing-aware
+    weight m / shared is >= 1 and dx^2 is one of the summed terms. So the
+    k best inside a window of donors around the query's x are final when the
+    k-th distance is below the gap to the nearest donor outside the window;
+    every (query, column) that fails this check -- or lacks x -- is searched
+    over the whole block. Ties break on the donor id, as in the final merge.
+    """
+    present = ~np.isnan(mat)
+    x = int(np.argmax(present.sum(0)))
+    has_x = present[:, x]
+    order = np.flatnonzero(has_x)
+    order = order[np.lexsort((ids[order], mat[order, x]))]
+    xs = mat[order, x]
+    s_ids, s_mat, s_pres = ids[order], mat[order], present[order]
+    nox = np.flatnonzero(~has_x)  # donors without x: always checked
+    n_s = len(order)
+    w = min(window, n_s)
+    out = {"qid": [], "col": [], "nid": [], "dist": [], "val": []}
+
+    def emit(qid, j, d_ids, d2, vals):
+        ok = np.isfinite(d2)
+        if not ok.any():
+            return
+        d_ids, d2, vals = d_ids[ok], d2[ok], vals[ok]
+        sel = np.lexsort((d_ids, d2))[:k]
+        out["qid"].append(np.full(len(sel), qid, dtype=np.int64))
+        out["col"].append(np.full(len(sel), j, dtype=np.int32))
+        out["nid"].append(d_ids[sel])
+        out["dist"].append(np.sqrt(np.maximum(d2[sel], 0.0)))
+        out["val"].append(vals[sel])
+
+    def dist2(qrow, qpres, dm, dp):
+        both = dp & qpres[None, :]
+        diff = np.where(both, dm - qrow[None, :], 0.0)
+        shared = both.sum(1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return (diff * diff).sum(1) * (m / shared)
+
+    full_todo = []  # (query row index, column)
+    b = max(1, batch_elems // max(1, w * m))
+    for s0 in range(0, len(q_ids), b):
+        qm = q_mat[s0:s0 + b]
+        qp = ~np.isnan(qm)
+        for r in range(len(qm)):
+            gi = s0 + r
+            need = np.flatnonzero(~qp[r])
+            if need.size == 0:
+                continue
+            if not qp[r, x] or w == 0:
+                full_todo.extend((gi, j) for j in need)
+                continue
+            pos = int(np.searchsorted(xs, qm[r, x]))
+            st = min(max(pos - w // 2, 0), n_s - w)
+            sl = slice(st, st + w)
+            gap = min(qm[r, x] - xs[st - 1] if st > 0 else np.inf,
+                      xs[st + w] - qm[r, x] if st + w < n_s else np.inf)
+            d_w = dist2(qm[r], qp[r], s_mat[sl], s_pres[sl])
+            d_n = dist2(qm[r], qp[r], mat[nox], present[nox]) if nox.size else np.empty(0)
+            for j in need:
+                hw = s_pres[sl, j]
+                hn = present[nox, j] if nox.size else np.zeros(0, dtype=bool)
+                cand_d = np.concatenate([d_w[hw], d_n[hn]])
+                finite = np.isfinite(cand_d)
+                if finite.sum() >= k and np.sort(cand_d[finite])[k - 1] < gap * gap:
+                    emit(q_ids[gi], j, np.concatenate([s_ids[sl][hw], ids[nox][hn]]), cand_d,
+                         np.concatenate([s_mat[sl][hw, j], mat[nox][hn, j]]))
+                elif gap == np.inf:  # the window already holds every donor with x
+                    emit(q_ids[gi], j, np.concatenate([s_ids[sl][hw], ids[nox][hn]]), cand_d,
+                         np.concatenate([s_mat[sl][hw, j], mat[nox][hn, j]]))
+                else:
+                    full_todo.append((gi, j))
+    for gi, j in full_todo:
+        hj = present[:, j]
+        d = dist2(q_mat[gi], ~np.isnan(q_mat[gi]), mat[hj], present[hj])
+        emit(q_ids[gi], j, ids[hj], d, mat[hj, j])
+    if out["qid"]:
+        return pd.DataFrame({k2: np.concatenate(v) for k2, v in out.items()})
+    return None
+
+
 def knn_impute(df: DataFrame, id_col: str, columns: Sequence[str], k: int = 5,
-               block_bytes: int = 64 << 20, batch_elems: int = 8 << 20) -> DataFrame:
+               block_bytes: int = 64 << 20, window: int = 2048, batch_elems: int = 4 << 20) -> DataFrame:
     """Fill each missing cell with the mean of that column over the k
     nearest rows that have it, under the missing-aware Euclidean distance
     sqrt(n_cols / n_shared * sum over shared columns (a - b)^2). No usable
     donor -> the column mean. Only rows with a missing cell are queries.
 
     Donor blocks are sized in bytes (``block_bytes`` of doubles is the
-    broadcast bound); each query batch holds about ``batch_elems`` distances.
-    Candidates are ranked on squared distance; ties break on the donor id.
+    broadcast bound). Inside a block the search is windowed on a sorted
+    coordinate with an exactness check and a full-block fallback
+    (``_impute_kernel``), so the result equals brute force.
     """
     spark = df.sparkSession
     cols = list(columns)
@@ -181,53 +267,15 @@ def knn_impute(df: DataFrame, id_col: str, columns: Sequence[str], k: int = 5,
 
         def scan(it, bc=bc):
             ids, mat = bc.value
-            present = ~np.isnan(mat)
-            pf = present.astype(np.float64)
-            filled = np.where(present, mat, 0.0)
-            rhs = np.hstack([pf, filled * filled, filled]).T.copy()
-            # donors holding column j, ordered by id so ties resolve like the merge
-            by_col = []
-            for j in range(m):
-                sel = np.flatnonzero(present[:, j])
-                sel = sel[np.argsort(ids[sel], kind="stable")]
-                by_col.append(sel)
-            batch = max(1, batch_elems // max(1, len(ids)))
             for pdf in it:
                 if pdf.empty:
                     continue
                 q_ids = pdf["_id"].to_numpy(np.int64)
-                q_mat = np.array([[np.nan if x is None else x for x in v] for v in pdf["_v"]], dtype=np.float64)
-                out = {"qid": [], "col": [], "nid": [], "dist": [], "val": []}
-                for s0 in range(0, len(q_ids), batch):
-                    qm = q_mat[s0:s0 + batch]
-                    qp = ~np.isnan(qm)
-                    qf = np.where(qp, qm, 0.0)
-                    qpf = qp.astype(np.float64)
-                    shared = qpf @ pf.T
-                    # one product for the whole sum of squares over shared columns
-                    d2 = np.hstack([qf * qf, qpf, -2.0 * qf]) @ rhs
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        np.divide(m, shared, out=shared)
-                        d2 *= shared  # no shared column -> nan, never selected
-                    qi = q_ids[s0:s0 + batch]
-                    for j in range(m):
-                        need = np.flatnonzero(~qp[:, j])
-                        dj_cols = by_col[j]
-                        if need.size == 0 or dj_cols.size == 0:
-                            continue
-                        dj = d2[np.ix_(need, dj_cols)]
-                        kk = min(k, dj.shape[1])
-                        idx = np.argpartition(dj, kk - 1, axis=1)[:, :kk]
-                        best = np.take_along_axis(dj, idx, axis=1)
-                        ok = np.isfinite(best).ravel()
-                        donor = dj_cols[idx]
-                        out["qid"].append(np.repeat(qi[need], kk)[ok])
-                        out["col"].append(np.full(int(ok.sum()), j, dtype=np.int32))
-                        out["nid"].append(ids[donor].ravel()[ok])
-                        out["dist"].append(np.sqrt(np.maximum(best.ravel()[ok], 0.0)))
-                        out["val"].append(mat[donor, j].ravel()[ok])
-                if out["qid"]:
-                    yield pd.DataFrame({k2: np.concatenate(v) for k2, v in out.items()})
+                q_mat = np.array([[np.nan if x is None else x for x in v] for v in pdf["_v"]],
+                                 dtype=np.float64)
+                res = _impute_kernel(q_ids, q_mat, ids, mat, k, m, window, batch_elems)
+                if res is not None:
+                    yield res
 
         parts.append(qs.mapInPandas(scan, "qid long, col int, nid long, dist double, val double"))
     means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
