@@ -83,22 +83,42 @@ def knn(queries: DataFrame, donors: DataFrame, id_col: str, vec_col: str, k: int
                 q_mat = np.vstack(pdf["_v"].to_numpy()).astype(np.float64)
                 q_grp = pdf["_g"].to_numpy() if d_grp is not None else None
                 out_q, out_n, out_d = [], [], []
+                dmax = float(d_sq.max()) if len(d_sq) else 0.0
                 for s in range(0, len(q_ids), query_batch):
                     qm = q_mat[s:s + query_batch]
-                    d2 = (qm * qm).sum(1)[:, None] + d_sq[None, :] - 2.0 * qm @ d_mat.T
-                    np.maximum(d2, 0.0, out=d2)
                     qi = q_ids[s:s + query_batch]
+                    q_sq = (qm * qm).sum(1)
+                    # fast pre-selection with one matrix product ...
+                    d2 = q_sq[:, None] + d_sq[None, :] - 2.0 * qm @ d_mat.T
+                    bad = np.zeros(d2.shape, dtype=bool)
                     if exclude_self:
-                        d2[qi[:, None] == d_ids[None, :]] = np.inf
+                        bad |= qi[:, None] == d_ids[None, :]
                     if d_grp is not None:
-                        d2[q_grp[s:s + query_batch][:, None] != d_grp[None, :]] = np.inf
-                    kk = min(k, d2.shape[1])
-                    idx = np.argpartition(d2, kk - 1, axis=1)[:, :kk]
+                        bad |= q_grp[s:s + query_batch][:, None] != d_grp[None, :]
+                    d2[bad] = np.inf
+                    cc = min(k + 8, d2.shape[1])
+                    idx = np.argpartition(d2, cc - 1, axis=1)[:, :cc]
                     rows = np.arange(d2.shape[0])[:, None]
-                    best = d2[rows, idx]
+                    # ... then exact distances (direct differences) for the candidates
+                    ex = ((qm[:, None, :] - d_mat[idx]) ** 2).sum(-1)
+                    ex[bad[rows, idx]] = np.inf
+                    cand_ids = d_ids[idx]
+                    order = np.lexsort((cand_ids, ex), axis=1)[:, :min(k, cc)]
+                    best = np.take_along_axis(ex, order, 1)
+                    best_ids = np.take_along_axis(cand_ids, order, 1)
+                    # exact unless an unselected donor could tie or beat the k-th
+                    tol = 1e-9 * (q_sq + dmax) + 1e-300
+                    floor_unsel = np.take_along_axis(d2, idx, 1).max(1) - tol
+                    kth = best[:, -1]
+                    redo = (cc < d2.shape[1]) & ~(kth < floor_unsel)
+                    for r in np.flatnonzero(redo):
+                        e = ((d_mat - qm[r]) ** 2).sum(1)
+                        e[bad[r]] = np.inf
+                        o = np.lexsort((d_ids, e))[:best.shape[1]]
+                        best[r], best_ids[r] = e[o], d_ids[o]
                     ok = np.isfinite(best)
-                    out_q.append(np.repeat(qi, kk)[ok.ravel()])
-                    out_n.append(d_ids[idx].ravel()[ok.ravel()])
+                    out_q.append(np.repeat(qi, best.shape[1])[ok.ravel()])
+                    out_n.append(best_ids.ravel()[ok.ravel()])
                     out_d.append(np.sqrt(best.ravel()[ok.ravel()]))
                 yield pd.DataFrame({"qid": np.concatenate(out_q), "nid": np.concatenate(out_n),
                                     "dist": np.concatenate(out_d)})
