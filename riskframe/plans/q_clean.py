@@ -52,6 +52,36 @@ def b1_standardize_names(spark, sf):
     ).select("r.*")
 
 
+def _schema_sql():
+    cols = [("CLIENT_ID", "bigint"), ("LOAN_AMOUNT", "double"), ("INCOME_MONTHLY", "double"),
+            ("N_ITEMS", "bigint"), ("QTY_TOTAL", "double"), ("PRICE_TOTAL", "double"),
+            ("AVG_DISCOUNT", "double"), ("AVG_TAX", "double"), ("PRICE_M1", "double"), ("PRICE_M2", "double"),
+            ("PRICE_M3", "double"), ("QTY_M1", "double"), ("QTY_M2", "double"), ("QTY_M3", "double"),
+            ("N_RETURNED", "bigint"), ("N_OPEN_LINES", "bigint"), ("AVG_DAYS_TO_SHIP", "double"),
+            ("DEFAULTS_ORIGINATION", "bigint")]
+    renamed = {"LOAN_AMOUNT": "loan", "INCOME_MONTHLY": "income"}
+    parts = [f"SELECT {i} AS position, '{renamed.get(c, c)}' AS \"column\", '{t}' AS type, "
+             f"count({c}) AS non_null FROM applications WHERE TARGET = 1" for i, (c, t) in enumerate(cols)]
+    return with_fixture(" UNION ALL ".join(parts))
+
+
+@register("b11_schema_defaulters", _schema_sql(), [], "B6 B8 B9 B11 C2")
+def b11_schema_defaulters(spark, sf):
+    """Numeric columns (ids kept, target/customer excluded), two renamed,
+    defaulters only: schema table with each column's non-null count."""
+    df = clean.class_filter(applications(spark, sf), "TARGET", 1)
+    num = clean.select_by_type(df, "numeric", exclude=["CLIENT_ID", "CUSTOMER_ID", "TARGET"])
+    df = clean.feature_projection(df, ["CLIENT_ID"], num.columns)
+    df = clean.rename(df, {"LOAN_AMOUNT": "loan", "INCOME_MONTHLY": "income"})
+    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
+    cnt = counts.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("non_null")) for c in df.columns])).alias("r")
+    ).select("r.*")
+    # both sides have one row per column
+    return clean.schema_table(df).drop("nullable").join(cnt, "column").select(
+        F.col("position").cast("int").alias("position"), "column", "type", "non_null")
+
+
 _SPARSE = ["N_ITEMS", "PRICE_M1", "PRICE_M2", "PRICE_M3", "QTY_M3", "REGION"]
 
 
