@@ -161,15 +161,15 @@ def cramers_v_long(cells: DataFrame, key: Sequence[str] = ("pair",), with_p: boo
     col = cells.groupBy(*key, "b").agg(F.sum("n").alias("_col"))
     shape = cells.groupBy(*key).agg(F.sum("n").alias("_n"), F.countDistinct("a").alias("r"),
                                     F.countDistinct("b").alias("k"))
-    # Complete the grid only for 2 x 2 tables (4 cells per key).
-    sets = cells.groupBy(*key).agg(F.collect_set("a").alias("_as"), F.collect_set("b").alias("_bs"),
-                                   F.countDistinct("a").alias("_r"), F.countDistinct("b").alias("_k"))
-    grid = (sets.filter((F.col("_r") == 2) & (F.col("_k") == 2))
-            .select(*key, F.explode("_as").alias("a"), "_bs")
+    # Complete the grid only for 2 x 2 tables (4 cells per key): the value
+    # sets are collected only for keys already known to have 2 x 2 values.
+    two = shape.filter((F.col("r") == 2) & (F.col("k") == 2)).select(*key)
+    cells2 = cells.join(two, key, "left_semi")
+    sets = cells2.groupBy(*key).agg(F.collect_set("a").alias("_as"), F.collect_set("b").alias("_bs"))
+    grid = (sets.select(*key, F.explode("_as").alias("a"), "_bs")
             .select(*key, "a", F.explode("_bs").alias("b")))
-    full = (grid.join(cells, key + ["a", "b"], "left").fillna({"n": 0}).withColumn("_yates", F.lit(True))
-            .unionByName(cells.join(sets.filter((F.col("_r") != 2) | (F.col("_k") != 2)).select(*key),
-                                    key, "left_semi").withColumn("_yates", F.lit(False))))
+    full = (grid.join(cells2, key + ["a", "b"], "left").fillna({"n": 0}).withColumn("_yates", F.lit(True))
+            .unionByName(cells.join(two, key, "left_anti").withColumn("_yates", F.lit(False))))
     e = (full.join(row, key + ["a"]).join(col, key + ["b"]).join(shape, key)
          .withColumn("E", F.col("_row") * F.col("_col") / F.col("_n")))
     diff = F.abs(F.col("n") - F.col("E"))
