@@ -56,9 +56,11 @@ def cumulative(counts: DataFrame, key: Sequence[str] = ("variable",), order: str
     spark = counts.sparkSession
     ensure_checkpoint_dir(spark)
     key = list(key)
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ord_col = F.col(order).asc() if ascending else F.col(order).desc()
-    ranged = (counts.repartitionByRange(p, *[F.col(k) for k in key], ord_col)
+    # Without an explicit count AQE sizes the range shuffle (coalescing
+    # adjacent ranges keeps them contiguous); ids are frozen by the checkpoint.
+    by = [F.col(k) for k in key] + [ord_col]
+    ranged = ((counts.repartitionByRange(partitions, *by) if partitions else counts.repartitionByRange(*by))
               .withColumn("_pid", F.spark_partition_id())
               .checkpoint(eager=True))
     part_tot = ranged.groupBy("_pid", *key).agg(*[F.sum(s).alias(f"_pt_{s}") for s in sums])

@@ -21,7 +21,7 @@ from riskframe.session import ensure_checkpoint_dir
 
 def monthly_volume_stream(spark: SparkSession, folder: str, schema: StructType,
                           date_col: str = "DATE_MONTH", target: str = "TARGET",
-                          max_files_per_trigger: int = 64) -> DataFrame:
+                          max_files_per_trigger: int = 1000) -> DataFrame:
     """Streaming DataFrame: month, nb_clients, nb_defauts, taux_defaut."""
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
            .parquet(folder))
@@ -31,13 +31,25 @@ def monthly_volume_stream(spark: SparkSession, folder: str, schema: StructType,
         (F.avg(F.col(target).cast("double")) * 100).alias("taux_defaut"))
 
 
-def run_available(stream: DataFrame, name: str | None = None) -> tuple[StreamingQuery, str]:
+def run_available(stream: DataFrame, name: str | None = None,
+                  state_partitions: int = 16) -> tuple[StreamingQuery, str]:
     """Process every file present now (``availableNow``) into a memory table
-    and stop; returns the query and the table name."""
+    and stop; returns the query and the table name.
+
+    ``state_partitions`` fixes the state-store partition count, which a
+    streaming query takes from the session when it first starts and keeps in
+    its checkpoint: the state here is one row per month, so a handful of
+    partitions is enough whatever the session's batch setting is.
+    """
     spark = stream.sparkSession
     name = name or f"riskframe_stream_{uuid.uuid4().hex[:8]}"
     ckpt = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream-{name}"
-    q = (stream.writeStream.outputMode("complete").format("memory").queryName(name)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        q = (stream.writeStream.outputMode("complete").format("memory").queryName(name)
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
     q.awaitTermination()
     return q, name
