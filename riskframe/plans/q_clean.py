@@ -129,11 +129,12 @@ def c7_min_group_size(spark, sf):
 r AS (SELECT CUSTOMER_ID, SEGMENT, CLIENT_ID, DATE_MONTH,
              row_number() OVER (PARTITION BY CUSTOMER_ID, SEGMENT ORDER BY DATE_MONTH, CLIENT_ID) AS k
       FROM applications)
-SELECT CUSTOMER_ID, SEGMENT, CLIENT_ID, DATE_MONTH FROM r WHERE k = 1"""), [], "D1")
+SELECT CUSTOMER_ID, SEGMENT, CLIENT_ID, CAST(DATE_MONTH AS DATE) AS DATE_MONTH FROM r WHERE k = 1"""), [], "D1")
 def d1_remove_duplicates_first(spark, sf):
     """First order of each customer (keep='first' in date order)."""
     df = applications(spark, sf).select("CUSTOMER_ID", "SEGMENT", "CLIENT_ID", "DATE_MONTH")
-    return clean.remove_duplicates(df, ["CUSTOMER_ID", "SEGMENT"], "first", ["DATE_MONTH", "CLIENT_ID"])
+    out = clean.remove_duplicates(df, ["CUSTOMER_ID", "SEGMENT"], "first", ["DATE_MONTH", "CLIENT_ID"])
+    return out.withColumn("DATE_MONTH", F.to_date("DATE_MONTH"))
 
 
 @register("d1_remove_duplicates_none", with_fixture("""
@@ -262,13 +263,14 @@ def d11_d22_range_rules(spark, sf):
 
 
 @register("d12_leakage_check", with_fixture("""
-SELECT min(DATE_MONTH) AS min_date, max(DATE_MONTH) AS max_date,
+SELECT CAST(min(DATE_MONTH) AS DATE) AS min_date, CAST(max(DATE_MONTH) AS DATE) AS max_date,
        count_if(DATE_MONTH > TIMESTAMP '2000-06-30') AS n_after_cut,
        count_if(DATE_MONTH > TIMESTAMP '2000-06-30') = 0 AS valid
 FROM applications WHERE DATE_MONTH < TIMESTAMP '2000-07-01'"""), [], "D12")
 def d12_leakage_check(spark, sf):
     tr, _ = clean.temporal_split(applications(spark, sf), "DATE_MONTH", TRAIN_CUTOFF)
-    return validate.validate_no_leakage(tr, "DATE_MONTH", "2000-06-30")
+    out = validate.validate_no_leakage(tr, "DATE_MONTH", "2000-06-30")
+    return out.withColumns({"min_date": F.to_date("min_date"), "max_date": F.to_date("max_date")})
 
 
 # -------------------------------------------------------------- imputation

@@ -301,7 +301,33 @@ def k13_acf_by_segment(spark, sf):
     return series.acf(m, ["SEGMENT"], "month", "y", max_lag=12)
 
 
-@register("k14_forecast_by_segment", None, [], "K14")
+@register("k14_forecast_by_segment", with_fixture("""
+m AS (SELECT SEGMENT, CAST(DATE_MONTH AS DATE) AS mo, CAST(sum(TARGET) AS DOUBLE) AS y
+      FROM applications GROUP BY ALL),
+b AS (SELECT SEGMENT, mo, y, CAST(row_number() OVER (PARTITION BY SEGMENT ORDER BY mo) - 1 AS DOUBLE) AS t,
+             count(*) OVER (PARTITION BY SEGMENT) AS n FROM m),
+tr AS (SELECT * FROM b WHERE t < n - 3),
+te AS (SELECT * FROM b WHERE t >= n - 3),
+c1 AS (SELECT SEGMENT, regr_slope(y, t) AS sb, regr_intercept(y, t) AS sa FROM tr GROUP BY SEGMENT),
+s1 AS (SELECT tr.SEGMENT, month(mo) AS moy,
+              avg(CASE WHEN sa + sb * t = 0 THEN NULL ELSE y / (sa + sb * t) END) AS si
+       FROM tr JOIN c1 USING (SEGMENT) GROUP BY ALL),
+pr AS (SELECT te.SEGMENT, y, (sa + sb * t) * coalesce(si, 1.0) AS p
+       FROM te JOIN c1 USING (SEGMENT) LEFT JOIN s1 ON s1.SEGMENT = te.SEGMENT AND s1.moy = month(te.mo)),
+ev AS (SELECT SEGMENT, sqrt(avg(pow(y - p, 2))) AS rmse, avg(abs(y - p)) AS mae,
+              avg(abs(CASE WHEN y = 0 THEN NULL ELSE (y - p) / y END)) * 100 AS mape FROM pr GROUP BY SEGMENT),
+c2 AS (SELECT SEGMENT, regr_slope(y, t) AS sb, regr_intercept(y, t) AS sa, max(t) AS tmax, max(mo) AS mmax
+       FROM b GROUP BY SEGMENT),
+s2 AS (SELECT b.SEGMENT, month(mo) AS moy,
+              avg(CASE WHEN sa + sb * t = 0 THEN NULL ELSE y / (sa + sb * t) END) AS si
+       FROM b JOIN c2 USING (SEGMENT) GROUP BY ALL),
+st AS (SELECT SEGMENT, h, tmax + h AS t, CAST(mmax + to_months(CAST(h AS INTEGER)) AS DATE) AS mo, sa, sb
+       FROM c2, (SELECT unnest(range(1, 4)) AS h)),
+fc AS (SELECT st.SEGMENT, CAST(h AS INTEGER) AS step, st.mo AS "month",
+              (sa + sb * t) * coalesce(si, 1.0) AS forecast
+       FROM st LEFT JOIN s2 ON s2.SEGMENT = st.SEGMENT AND s2.moy = month(st.mo))
+SELECT fc.SEGMENT, step, "month", forecast, rmse, mae, mape FROM fc LEFT JOIN ev USING (SEGMENT)"""),
+    ["forecast", "rmse", "mae", "mape"], "K14")
 def k14_forecast_by_segment(spark, sf):
     """3-month seasonal x trend forecast of monthly defaults per segment."""
     m = applications(spark, sf).groupBy("SEGMENT", F.to_date("DATE_MONTH").alias("month")) \
