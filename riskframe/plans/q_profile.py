@@ -31,8 +31,8 @@ def s1_streaming_monthly_volume(spark, sf):
     from riskframe.sources.fixtures import materialized_path
     from riskframe.streaming import monthly_volume_stream, run_available
     path, schema = materialized_path(spark, sf)
-    _, name = run_available(monthly_volume_stream(spark, path, schema))
-    return spark.table(name)
+    _, table = run_available(monthly_volume_stream(spark, path, schema))
+    return spark.read.parquet(table)
 
 
 @register("d19_default_rate_by_category", with_fixture("""

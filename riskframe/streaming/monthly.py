@@ -33,8 +33,12 @@ def monthly_volume_stream(spark: SparkSession, folder: str, schema: StructType,
 
 def run_available(stream: DataFrame, name: str | None = None,
                   state_partitions: int = 16) -> tuple[StreamingQuery, str]:
-    """Process every file present now (``availableNow``) into a memory table
-    and stop; returns the query and the table name.
+    """Process every file present now (``availableNow``) and stop.
+
+    Each micro-batch carries the complete aggregate; ``foreachBatch``
+    overwrites a Parquet table in the shared checkpoint folder with it, so
+    the result never passes through the driver. Returns the query and the
+    table's folder.
 
     ``state_partitions`` fixes the state-store partition count, which a
     streaming query takes from the session when it first starts and keeps in
@@ -43,13 +47,18 @@ def run_available(stream: DataFrame, name: str | None = None,
     """
     spark = stream.sparkSession
     name = name or f"riskframe_stream_{uuid.uuid4().hex[:8]}"
-    ckpt = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream-{name}"
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    ckpt, out = f"{root}/stream-{name}", f"{root}/stream-{name}-table"
+
+    def write(batch: DataFrame, _epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+
     prev = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     try:
-        q = (stream.writeStream.outputMode("complete").format("memory").queryName(name)
+        q = (stream.writeStream.outputMode("complete").foreachBatch(write)
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", prev)
     q.awaitTermination()
-    return q, name
+    return q, out
