@@ -3,8 +3,7 @@ items (G-, I-, K-, E3, A-families)."""
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Window
@@ -217,8 +216,7 @@ def a6_model_roundtrip(spark, sf):
     """Save the whole pipeline, load it back, score again: identical."""
     tr, te = _model_frames(spark, sf)
     m = model.fit_logistic(tr, MODEL_FEATURES + MODEL_CATS, "TARGET", MODEL_CATS)
-    root = ensure_checkpoint_dir(spark).replace("file:", "")
-    path = os.path.join(os.path.dirname(root), f"riskframe-model-{os.getpid()}")
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/riskframe-model-{uuid.uuid4().hex}"
     model.save_model(m, path)
     m2 = model.load_model(path)
     a = model.score(m, te).select("CLIENT_ID", F.col("p1").alias("p_saved"))
