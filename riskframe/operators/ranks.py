@@ -201,18 +201,22 @@ def quantile_map(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) ->
 
 def attach_ranks(df: DataFrame, cols: Sequence[str], suffix: str = "_rank",
                  broadcast_max_rows: int = 2_000_000) -> DataFrame:
-    """Row-level average ranks (W1) for ``cols``: one join per column.
+    """Row-level average ranks (W1) for ``cols``: one equi-join per column on
+    its value.
 
-    A variable's rank table is broadcast only after its distinct-value count
-    is checked; otherwise the planner shuffles (AQE splits a hot value).
+    The distinct-value count of every column comes from one grouped count of
+    the rank table; a column's rank table is broadcast only when that count
+    is within ``broadcast_max_rows``, otherwise the planner shuffles (AQE's
+    skew handling splits a hot value on the row side).
     """
     ranks = rank_table(df, cols).select("variable", "value", "avg_rank")
+    sizes = {r["variable"]: r["n"] for r in ranks.groupBy("variable").agg(F.count(F.lit(1)).alias("n")).collect()}
     out = df
     for c in cols:
         r = ranks.filter(F.col("variable") == c).select(
             F.col("value").alias(f"_v_{c}"), F.col("avg_rank").alias(f"{c}{suffix}"))
-        n = r.limit(broadcast_max_rows + 1).count()
-        r = F.broadcast(r) if n <= broadcast_max_rows else r
+        if sizes.get(c, 0) <= broadcast_max_rows:
+            r = F.broadcast(r)
         key = F.col(c).cast("double") + F.lit(0.0)
         out = out.join(r, key == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
     return out
