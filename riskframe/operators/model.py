@@ -271,3 +271,37 @@ def importance_selection(model: PipelineModel, features: Sequence[str], threshol
     imp = model.stages[-1].featureImportances.toArray()
     rows = [(f, float(v), bool(v > threshold)) for f, v in zip(features, imp)]
     return SparkSession.getActiveSession().createDataFrame(rows, "feature string, importance double, kept boolean")
+
+
+def fit_logistic_smote(train: DataFrame, features: Sequence[str], target: str, key: str,
+                       k: int = 5, seed: int = 42, C: float = 1.0, max_iter: int = 1000):
+    """I1 after G4 and G5, as the original trains: scaler fitted on train,
+    SMOTE on the scaled training vectors, then L2 logistic regression whose
+    balanced weights are all 1 once the classes are equal (regParam uses the
+    resampled weight sum). Returns (scaler stats, fitted LogisticRegressionModel)."""
+    from pyspark.ml.functions import array_to_vector
+
+    from riskframe.operators.neighbours import smote
+    st = prepare.fit_standard_scaler(train, features)
+    scaled = prepare.apply_standard_scaler(train, st).select(
+        key, F.col(target).cast("int").alias(target), F.array(*[F.col(f) for f in features]).alias("_x"))
+    bal = smote(scaled, key, "_x", target, k=k, seed=seed)
+    fit_df = prepare.class_weights(bal, target, "_w").select(
+        array_to_vector("_x").alias("features"), F.col(target).cast("double").alias("_label"), "_w")
+    sum_w = fit_df.agg(F.sum("_w")).first()[0]
+    lr = LogisticRegression(featuresCol="features", labelCol="_label", weightCol="_w",
+                            regParam=1.0 / (C * sum_w), elasticNetParam=0.0, standardization=False,
+                            maxIter=max_iter, tol=1e-10, family="binomial")
+    return st, lr.fit(fit_df)
+
+
+def score_scaled(lr_model, stats_: dict, df: DataFrame, features: Sequence[str], target: str,
+                 threshold: float = 0.5) -> DataFrame:
+    """I2 for ``fit_logistic_smote``: same scaler, p1, pred, label."""
+    from pyspark.ml.functions import array_to_vector
+    x = prepare.apply_standard_scaler(df, stats_).select(
+        F.col(target).cast("int").alias("label"),
+        array_to_vector(F.array(*[F.col(f) for f in features])).alias("features"))
+    out = lr_model.transform(x)
+    p = vector_to_array(F.col("probability"))[1]
+    return out.withColumn("p1", p).withColumn("pred", (F.col("p1") >= threshold).cast("int"))

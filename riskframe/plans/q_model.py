@@ -205,6 +205,17 @@ def i2_i6_model_evaluation(spark, sf):
     return rec.withColumn("note", F.lit(f"overfit={g['overfit']} quality={g['quality']}")).drop("recorded_at")
 
 
+@register("i1_g5_smote_logistic", None, [], "G4 G5 G7 I1 I2 I3")
+def i1_g5_smote_logistic(spark, sf):
+    """The original's training flow: scale (fit on train) -> SMOTE the
+    training vectors -> L2 logistic regression -> metrics on the test months,
+    plus the class sizes seen by the fit."""
+    tr, te = _model_frames(spark, sf)
+    st, lr = model.fit_logistic_smote(tr, MODEL_FEATURES, "TARGET", "CLIENT_ID")
+    scored = model.score_scaled(lr, st, te, MODEL_FEATURES, "TARGET")
+    return model.classification_metrics(scored)
+
+
 @register("i5_cross_validated_auc", None, [], "I5")
 def i5_cross_validated_auc(spark, sf):
     tr, _ = _model_frames(spark, sf)
