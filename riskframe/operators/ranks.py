@@ -49,14 +49,26 @@ def to_long(df: DataFrame, cols: Sequence[str], extra: Sequence[str | Column] =
 
 def cumulative(counts: DataFrame, key: Sequence[str] = ("variable",), order: str = "value",
                sums: Sequence[str] = ("t",), ascending: bool = True,
-               partitions: int | None = None) -> DataFrame:
+               partitions: int | None = None, small_rows: int = 200_000) -> DataFrame:
     """Add ``<s>_before`` = sum of ``s`` over rows of the same key strictly
     before this row in ``order``. ``counts`` must have one row per (key, order).
+
+    Size-gated: the table is checkpointed once; when its row count is at most
+    ``small_rows``, a keyed window does it directly (no key can hold more
+    than the checked total). Beyond that bound, the range-partitioned plan
+    below runs, so no task ever holds a whole key.
     """
     spark = counts.sparkSession
-    ensure_checkpoint_dir(spark)
     key = list(key)
     ord_col = F.col(order).asc() if ascending else F.col(order).desc()
+    ensure_checkpoint_dir(spark)
+    # Computed once: the size check, the range sampling and the final plan
+    # all read this checkpoint instead of re-running the aggregate.
+    counts = counts.checkpoint(eager=True)
+    if not partitions and counts.count() <= small_rows:
+        w = Window.partitionBy(*key).orderBy(ord_col).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.select(*counts.columns, *[F.coalesce(F.sum(s).over(w), F.lit(0)).alias(f"{s}_before")
+                                                for s in sums])
     # Without an explicit count AQE sizes the range shuffle (coalescing
     # adjacent ranges keeps them contiguous); ids are frozen by the checkpoint.
     by = [F.col(k) for k in key] + [ord_col]
@@ -136,12 +148,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         return spark.createDataFrame([], "variable string, q double, value double")
     # rows strictly below each bracket, and the bracketed values themselves
     below = df.agg(*[F.count_if(clean[c] < lo).alias(f"c{k}") for k, (c, _, lo, _, _) in enumerate(brackets)]).first()
-    items = [F.struct(F.lit(k).alias("_k"), clean[c].alias("value"))
-             for k, (c, _, _, _, _) in enumerate(brackets)]
-    bounds = F.array(*[F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for (_, _, lo, hi, _) in brackets])
-    inside = (df.select(F.explode(F.array(*items)).alias("kv")).select("kv.*")
-              .filter(F.col("value").isNotNull())
-              .filter((F.col("value") >= bounds[F.col("_k")]["lo"]) & (F.col("value") <= bounds[F.col("_k")]["hi"])))
+    # only in-bracket values are emitted: ~1/accuracy of the rows per target
+    items = [F.when((clean[c] >= F.lit(lo)) & (clean[c] <= F.lit(hi)),
+                    F.struct(F.lit(k).alias("_k"), clean[c].alias("value")))
+             for k, (c, _, lo, hi, _) in enumerate(brackets)]
+    inside = (df.select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("kv"))
+              .select("kv.*"))
     counts = inside.groupBy("_k", "value").agg(F.count(F.lit(1)).alias("t"))
     tab = []
     for k, (c, q, lo, hi, n) in enumerate(brackets):
