@@ -68,14 +68,3 @@ def string_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     ex = set(exclude)
     return [f.name for f in df.schema.fields
             if isinstance(f.dataType, T.StringType) and f.name not in ex]
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only after the side is proven small.
-
-    ``limit(max_rows + 1).count()`` stops reading as soon as the bound is
-    passed, so the check itself is cheap. Beyond the bound the frame is
-    returned unhinted and the planner picks a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
