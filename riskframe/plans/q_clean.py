@@ -173,7 +173,7 @@ def _outlier_sql():
   FROM (SELECT q1, q3, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM
        (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM applications))""")
     return with_fixture("o AS (" + " UNION ALL ".join(parts) + """)
-SELECT "column", cnt AS "count", round(cnt * 100.0 / n, 2) AS pct, round(lo, 2) AS lower_bound,
+SELECT "column", CAST(cnt AS BIGINT) AS "count", round(cnt * 100.0 / n, 2) AS pct, round(lo, 2) AS lower_bound,
        round(hi, 2) AS upper_bound, round(CAST(mn AS DOUBLE), 2) AS "min", round(CAST(mx AS DOUBLE), 2) AS "max"
 FROM o WHERE cnt * 100.0 / n > 1""")
 
@@ -196,8 +196,8 @@ _WIN = ["LOAN_AMOUNT", "INCOME_MONTHLY", "PRICE_TOTAL", "AVG_DAYS_TO_SHIP"]
 
 @register("d6_winsorize_report", with_fixture(" UNION ALL ".join(f"""
 SELECT '{c}' AS "column", lo AS p_low, hi AS p_high,
-  (SELECT count_if({c} < lo) FROM applications) AS n_low,
-  (SELECT count_if({c} > hi) FROM applications) AS n_high
+  (SELECT CAST(count_if({c} < lo) AS BIGINT) FROM applications) AS n_low,
+  (SELECT CAST(count_if({c} > hi) AS BIGINT) FROM applications) AS n_high
 FROM (SELECT quantile_cont({c}, 0.01) AS lo, quantile_cont({c}, 0.99) AS hi FROM applications)"""
     for c in _WIN)), ["p_low", "p_high"], "D6")
 def d6_winsorize_report(spark, sf):
@@ -264,7 +264,7 @@ def d11_d22_range_rules(spark, sf):
 
 @register("d12_leakage_check", with_fixture("""
 SELECT CAST(min(DATE_MONTH) AS DATE) AS min_date, CAST(max(DATE_MONTH) AS DATE) AS max_date,
-       count_if(DATE_MONTH > TIMESTAMP '2000-06-30') AS n_after_cut,
+       CAST(count_if(DATE_MONTH > TIMESTAMP '2000-06-30') AS BIGINT) AS n_after_cut,
        count_if(DATE_MONTH > TIMESTAMP '2000-06-30') = 0 AS valid
 FROM applications WHERE DATE_MONTH < TIMESTAMP '2000-07-01'"""), [], "D12")
 def d12_leakage_check(spark, sf):
@@ -352,10 +352,11 @@ def p1_preprocess(spark, sf):
 
 
 @register("d24_before_after", with_fixture("""
-SELECT 'before' AS stage, count(*) AS "rows", 3 AS "columns",
-       count_if(REGION IS NULL) + count_if(PRICE_M3 IS NULL) AS nulls, 2 AS columns_treated
+SELECT 'before' AS stage, count(*) AS "rows", CAST(3 AS BIGINT) AS "columns",
+       CAST(count_if(REGION IS NULL) + count_if(PRICE_M3 IS NULL) AS BIGINT) AS nulls,
+       CAST(2 AS BIGINT) AS columns_treated
 FROM applications
-UNION ALL SELECT 'after', count(*), 3, 0, 2 FROM applications"""), [], "D24")
+UNION ALL SELECT 'after', count(*), CAST(3 AS BIGINT), CAST(0 AS BIGINT), CAST(2 AS BIGINT) FROM applications"""), [], "D24")
 def d24_before_after(spark, sf):
     df = applications(spark, sf).select("CLIENT_ID", "REGION", "PRICE_M3")
     after = impute.impute_numeric(impute.fill_constant(df, "REGION", "INCONNU"), ["PRICE_M3"], "median")
@@ -380,7 +381,7 @@ FIN_SQL = {
     "FINANCIAL_STRESS": sflag("DTI_RATIO > 0.4 OR " + sdiv("EXPENSES_MONTHLY", "INCOME_MONTHLY + 1") + " > 0.7"),
 }
 BEH_SQL = {
-    "TOTAL_TXN_30D": "POS_TXN_COUNT_30D + ATM_TXN_COUNT_30D + ONLINE_TXN_COUNT_30D",
+    "TOTAL_TXN_30D": "CAST(POS_TXN_COUNT_30D + ATM_TXN_COUNT_30D + ONLINE_TXN_COUNT_30D AS DOUBLE)",
     "ONLINE_TXN_RATIO": sdiv("ONLINE_TXN_COUNT_30D",
                              "POS_TXN_COUNT_30D + ATM_TXN_COUNT_30D + ONLINE_TXN_COUNT_30D + 1"),
     "TOTAL_DIGITAL_LOGINS": "MOBILE_LOGINS_30D + WEB_LOGINS_30D",
@@ -401,9 +402,9 @@ STAB_SQL = {
     "RESIDENCE_STABILITY": sflag("RESIDENCE_SINCE_YEARS >= 2"),
 }
 RISK_SQL = {
-    "RISK_SCORE_CUSTOM": "NUM_LATE_PAYMENTS_12M * 10 + HAS_PREVIOUS_DEFAULT * 20 + INQUIRIES_6M * 5 + "
+    "RISK_SCORE_CUSTOM": "CAST(NUM_LATE_PAYMENTS_12M * 10 + HAS_PREVIOUS_DEFAULT * 20 + INQUIRIES_6M * 5 + "
                          "CAST(coalesce(UTILIZATION_RATE > 0.7, false) AS INTEGER) * 15 + "
-                         "CAST(coalesce(DTI_RATIO > 0.5, false) AS INTEGER) * 10",
+                         "CAST(coalesce(DTI_RATIO > 0.5, false) AS INTEGER) * 10 AS BIGINT)",
     "CREDIT_SCORE_NORM": sdiv("CREDIT_SCORE - (SELECT min(CREDIT_SCORE) FROM credit)",
                               "(SELECT max(CREDIT_SCORE) - min(CREDIT_SCORE) FROM credit)"),
     "CREDIT_SCORE_CAT": "CASE WHEN CREDIT_SCORE > 0 AND CREDIT_SCORE <= 500 THEN 'very_poor' "

@@ -98,10 +98,10 @@ def d8_missing_report(spark, sf):
 
 @register("d9_blank_strings", """
 WITH t AS (
-  SELECT 'text' AS "column", count_if(regexp_matches(text, '^\\s*$')) AS n_blank,
+  SELECT 'text' AS "column", CAST(count_if(regexp_matches(text, '^\\s*$')) AS BIGINT) AS n_blank,
          count(*) AS n FROM documents
-  UNION ALL SELECT 'lang', count_if(regexp_matches(lang, '^\\s*$')), count(*) FROM documents
-  UNION ALL SELECT 'source', count_if(regexp_matches(source, '^\\s*$')), count(*) FROM documents)
+  UNION ALL SELECT 'lang', CAST(count_if(regexp_matches(lang, '^\\s*$')) AS BIGINT), count(*) FROM documents
+  UNION ALL SELECT 'source', CAST(count_if(regexp_matches(source, '^\\s*$')) AS BIGINT), count(*) FROM documents)
 SELECT "column", n_blank, round(n_blank * 100.0 / n, 2) AS blank_pct FROM t WHERE n_blank > 0""",
           ["blank_pct"], "D9 C5")
 def d9_blank_strings(spark, sf):
@@ -116,7 +116,7 @@ u AS (SELECT CUSTOMER_ID, count(*) AS c FROM applications GROUP BY CUSTOMER_ID)
 SELECT 'n_rows' AS "check", CAST(sum(c) AS BIGINT) AS value FROM k
 UNION ALL SELECT 'n_dup_full', CAST(sum(c - 1) AS BIGINT) FROM k
 UNION ALL SELECT 'n_dup_key', CAST(sum(c - 1) AS BIGINT) FROM u
-UNION ALL SELECT 'n_repeated_keys', count_if(c > 1) FROM u"""), [], "D2")
+UNION ALL SELECT 'n_repeated_keys', CAST(count_if(c > 1) AS BIGINT) FROM u"""), [], "D2")
 def d2_duplicate_report(spark, sf):
     """Duplicates over (customer, month, segment) rows and over the customer key."""
     df = applications(spark, sf).select("CUSTOMER_ID", "DATE_MONTH", "SEGMENT")
@@ -187,10 +187,10 @@ def d25_class_shares(spark, sf):
 
 
 @register("d23_negative_audit", with_fixture("""
-SELECT 'INCOME_MONTHLY' AS "column", count_if(INCOME_MONTHLY < 0) AS n_negative,
+SELECT 'INCOME_MONTHLY' AS "column", CAST(count_if(INCOME_MONTHLY < 0) AS BIGINT) AS n_negative,
        min(INCOME_MONTHLY) AS "min" FROM applications
-UNION ALL SELECT 'LOAN_AMOUNT', count_if(LOAN_AMOUNT < 0), min(LOAN_AMOUNT) FROM applications
-UNION ALL SELECT 'AVG_DISCOUNT', count_if(AVG_DISCOUNT < 0), min(AVG_DISCOUNT) FROM applications"""),
+UNION ALL SELECT 'LOAN_AMOUNT', CAST(count_if(LOAN_AMOUNT < 0) AS BIGINT), min(LOAN_AMOUNT) FROM applications
+UNION ALL SELECT 'AVG_DISCOUNT', CAST(count_if(AVG_DISCOUNT < 0) AS BIGINT), min(AVG_DISCOUNT) FROM applications"""),
           ["min"], "D23")
 def d23_negative_audit(spark, sf):
     return profile.negative_audit(applications(spark, sf),
@@ -260,7 +260,7 @@ def j3_trend(spark, sf):
 
 
 @register("j4_seasonality", with_fixture(_MONTHLY_SQL + """,
-s AS (SELECT month(month) AS month_of_year, avg(d) AS mean_value FROM m GROUP BY 1)
+s AS (SELECT CAST(month(month) AS INTEGER) AS month_of_year, avg(d) AS mean_value FROM m GROUP BY 1)
 SELECT month_of_year, mean_value, avg(mean_value) OVER () AS overall_mean,
        CAST(CASE WHEN mean_value > avg(mean_value) OVER () THEN 1 ELSE 0 END AS TINYINT) AS above_mean
 FROM s"""), ["mean_value", "overall_mean"], "J4")
@@ -269,7 +269,7 @@ def j4_seasonality(spark, sf):
 
 
 @register("j5_top_months", with_fixture(_MONTHLY_SQL + """,
-s AS (SELECT month(month) AS month_of_year, avg(d) AS mean_value FROM m GROUP BY 1)
+s AS (SELECT CAST(month(month) AS INTEGER) AS month_of_year, avg(d) AS mean_value FROM m GROUP BY 1)
 SELECT month_of_year, mean_value, avg(mean_value) OVER () AS overall_mean,
        CAST(CASE WHEN mean_value > avg(mean_value) OVER () THEN 1 ELSE 0 END AS TINYINT) AS above_mean
 FROM s ORDER BY mean_value DESC, month_of_year LIMIT 3"""), ["mean_value", "overall_mean"], "J5 W4")

@@ -119,7 +119,7 @@ a AS (SELECT variable, count_if(y = 0) AS n0, count_if(y = 1) AS n1, CAST(count(
              sum(CASE WHEN y = 0 THEN ar END) AS r0,
              quantile_cont(value, 0.5) FILTER (WHERE y = 0) AS median_0,
              quantile_cont(value, 0.5) FILTER (WHERE y = 1) AS median_1 FROM r GROUP BY variable)
-SELECT variable, n0, n1, r0 - n0 * (n0 + 1) / 2.0 AS U,
+SELECT variable, CAST(n0 AS BIGINT) AS n0, CAST(n1 AS BIGINT) AS n1, r0 - n0 * (n0 + 1) / 2.0 AS U,
        (abs(r0 - n0 * (n0 + 1) / 2.0 - n0 * n1 / 2.0) - 0.5)
          / sqrt(n0 * n1 / 12.0 * ((nn + 1) - tt / (nn * (nn - 1)))) AS z,
        median_0, median_1

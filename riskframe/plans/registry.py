@@ -30,8 +30,9 @@ REGISTRY: dict[str, Query] = {}
 
 
 def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+    # "+ 0.0" folds -0.0 into 0.0 (IEEE), identically in the oracle
     return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name)
+        (F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
         for f in df.schema.fields])
 
@@ -54,5 +55,5 @@ def oracle_text(q: Query) -> str | None:
         return None
     if not q.round_cols:
         return q.sql
-    rep = ", ".join(f"round(\"{c}\", {DIGITS}) AS \"{c}\"" for c in q.round_cols)
+    rep = ", ".join(f"round(\"{c}\", {DIGITS}) + 0.0 AS \"{c}\"" for c in q.round_cols)
     return f"SELECT * REPLACE ({rep}) FROM ({q.sql}) AS _q"

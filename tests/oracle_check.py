@@ -1,6 +1,6 @@
 """Run every registered query in Spark and its oracle in DuckDB; compare.
 
-Mirrors the driver's gate: row count, column names, and an
+Mirrors the driver's gate: row count, column names and types, and an
 order-insensitive comparison of the values.
 
     python tests/oracle_check.py [sf_dir] [name ...]
@@ -14,6 +14,11 @@ import time
 
 import duckdb
 
+# Spark simpleString -> DuckDB type name
+TYPES = {"double": "DOUBLE", "bigint": "BIGINT", "int": "INTEGER", "tinyint": "TINYINT",
+         "smallint": "SMALLINT", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
+         "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -62,10 +67,11 @@ def check(spark, sf_dir: str, names=None, verbose=True):
             if verbose:
                 print(f"{name:40s} rows-only n={len(srows)} {t1 - t0:.1f}s", flush=True)
             continue
-        cur = con.execute(sqls[name])
-        dcols = [d[0] for d in cur.description]
-        drows = cur.fetchall()
-        ok_cols = sorted(scols) == sorted(dcols)
+        rel = con.sql(sqls[name])
+        dcols, dtypes = rel.columns, [str(t) for t in rel.types]
+        drows = rel.fetchall()
+        stypes = {f.name: TYPES.get(f.dataType.simpleString()) for f in sdf.schema.fields}
+        ok_cols = sorted(scols) == sorted(dcols) and stypes == dict(zip(dcols, dtypes))
         ok_n = len(srows) == len(drows)
         ok_v = ok_cols and ok_n and rows_of(scols, srows) == rows_of(dcols, drows)
         status = "OK" if ok_v else "MISMATCH"

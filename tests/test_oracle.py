@@ -10,6 +10,10 @@ from tests.oracle_check import duck, rows_of
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 SQL = entry.oracle_sql()
+# Spark simpleString -> DuckDB type name
+TYPES = {"double": "DOUBLE", "bigint": "BIGINT", "int": "INTEGER", "tinyint": "TINYINT",
+         "smallint": "SMALLINT", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
+         "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
 
 
 @pytest.fixture(scope="module")
@@ -21,10 +25,12 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     sdf = entry.queries()[name](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
-    cur = con.execute(SQL[name])
-    dcols = [d[0] for d in cur.description]
-    drows = cur.fetchall()
+    rel = con.sql(SQL[name])
+    dcols, dtypes = rel.columns, [str(t) for t in rel.types]
+    drows = rel.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
+    stypes = {f.name: TYPES.get(f.dataType.simpleString()) for f in sdf.schema.fields}
+    assert stypes == dict(zip(dcols, dtypes))
     assert rows_of(sdf.columns, srows) == rows_of(dcols, drows)
 
 
