@@ -158,6 +158,23 @@ def h9_kruskal_wallis(spark, sf):
     return stats.kruskal_wallis(applications(spark, sf), _KQ, _KC, with_p=False)
 
 
+# The engineered features the original always keeps.
+FORCED_ENGINEERED = ["REPAYMENT_CAPACITY", "LOAN_TO_ANNUAL_INCOME", "TOTAL_TXN_30D",
+                     "SAVINGS_TREND", "HIGH_RISK_FLAG", "DTI_UTILIZATION"]
+
+
+@register("h10_h11_funnel_engineered", None, [], "F40 H3 H4-H11")
+def h10_h11_funnel_engineered(spark, sf):
+    """The original's selection run: the five steps over the engineered
+    frame (F40 + E7), then the forced engineered features."""
+    from riskframe.operators import features
+    from riskframe.sources.fixtures import credit_view
+    df = features.engineer_features(credit_view(spark, sf).drop("QTY_TOTAL"))
+    quant = [c for c in features.ENGINEERED if c != "CREDIT_SCORE_CAT"]
+    qual = ["STATUS", "PRIORITY", "SEGMENT", "NATION", "REGION", "CREDIT_SCORE_CAT"]
+    return select.select_variables(df, quant, qual, "TARGET", FORCED_ENGINEERED).funnel
+
+
 @register("h10_h11_selection_funnel", None, [], "H3 H6 H7 H8 H9 H10 H11")
 def h10_h11_selection_funnel(spark, sf):
     """The five-step selection on the fixture; one row per (step, variable)."""

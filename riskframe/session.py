@@ -30,6 +30,9 @@ def get_spark(master: str | None = None, app: str = "riskframe",
           .config("spark.executorEnv.MKL_NUM_THREADS", "1"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        b = b.config("spark.driver.memory", os.environ.get("RISKFRAME_DRIVER_MEMORY", "8g"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -130,3 +130,16 @@ def test_spearman_equals_pearson_of_ranks(spark):
     df = spark.createDataFrame(pd.DataFrame({"a": a, "b": b, "t": (a > 0).astype(int)}))
     sp = {(r["var1"], r["var2"]): r["r"] for r in stats.spearman_pairs(df, ["a", "b"], "t").collect()}
     assert sp[("a", "b")] == pytest.approx(np.corrcoef(_rank(a), _rank(b))[0, 1])
+
+
+def test_spearman_matrix_path_equals_pairwise(spark):
+    rng = np.random.default_rng(11)
+    data = {f"c{i}": np.round(rng.normal(size=200), 1) for i in range(5)}
+    data["t"] = (rng.random(200) < 0.3).astype(int)
+    df = spark.createDataFrame(pd.DataFrame(data))
+    cols = [f"c{i}" for i in range(5)]
+    a = {(r["var1"], r["var2"]): r["r"] for r in stats.spearman_pairs(df, cols, "t").collect()}
+    b = {(r["var1"], r["var2"]): r["r"] for r in stats.spearman_pairs(df, cols, "t", many_pairs=0).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k] == pytest.approx(b[k], abs=1e-12)
