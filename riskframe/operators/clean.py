@@ -12,7 +12,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskframe.functions.core import numeric_columns, string_columns
 from riskframe.operators import ranks

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.core import numeric_columns, string_columns
-from riskframe.operators import clean, features, impute, model, profile, series, validate
+from riskframe.operators import clean, impute, model, profile, series, validate
 from riskframe.sources import io
 
 

@@ -6,7 +6,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskframe.operators import clean, features, model, neighbours, prepare, profile
