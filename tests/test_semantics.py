@@ -105,3 +105,11 @@ def test_logistic_matches_newton_solve(spark):
         beta -= np.linalg.solve(H, g)
     assert coefs["a"] == pytest.approx(beta[0], abs=1e-4)
     assert coefs["b"] == pytest.approx(beta[1], abs=1e-4)
+
+
+def test_quality_report_exact_and_approx_distinct(spark):
+    df = spark.range(20000).select((F.col("id") % 5000).alias("k"), (F.col("id") % 7).cast("string").alias("s"))
+    exact = {r["column"]: r["unique"] for r in profile.quality_report(df).collect()}
+    assert exact == {"k": 5000, "s": 7}
+    approx = {r["column"]: r["unique"] for r in profile.quality_report(df, approx_distinct=True).collect()}
+    assert abs(approx["k"] - 5000) / 5000 < 0.05 and approx["s"] == 7
