@@ -35,8 +35,9 @@ def quality_report(df: DataFrame, columns: Sequence[str] | None = None,
     """Column, dtype, non_null, null_count, null_pct, unique, unique_pct,
     min, max, mean, std (numeric only; std is ddof 1). One aggregate job.
 
-    ``approx_distinct`` swaps the exact distinct count (an Expand per column)
-    for HyperLogLog++ sketches: one pass, no blow-up, ~1% error.
+    ``approx_distinct`` swaps the exact distinct count (explode + map-side distinct)
+    for HyperLogLog++ sketches: one pass, no blow-up, 5% relative standard
+    deviation (Spark's default).
     """
     cols = list(columns or df.columns)
     types = dict((f.name, f.dataType) for f in df.schema.fields)

@@ -112,4 +112,5 @@ def test_quality_report_exact_and_approx_distinct(spark):
     exact = {r["column"]: r["unique"] for r in profile.quality_report(df).collect()}
     assert exact == {"k": 5000, "s": 7}
     approx = {r["column"]: r["unique"] for r in profile.quality_report(df, approx_distinct=True).collect()}
-    assert abs(approx["k"] - 5000) / 5000 < 0.05 and approx["s"] == 7
+    # HLL++ with Spark's default relative standard deviation of 5%: allow 3 sigma
+    assert abs(approx["k"] - 5000) / 5000 < 0.15 and approx["s"] == 7
