@@ -18,3 +18,12 @@ def test_flows_end_to_end(spark):
     m = {r["metric"]: r["value"] for r in res["metrics"].collect()}
     assert 0.5 < m["auc"] <= 1.0
     assert spark.read.parquet(f"{out}/cleaned").count() == df.count()
+
+
+def test_engineered_selection_funnel(spark):
+    import __spark_entry__ as entry
+    from riskframe.plans.q_stats import FORCED_ENGINEERED
+    rows = entry.queries()["h10_h11_funnel_engineered"](spark, SF).collect()
+    final = {r["variable"] for r in rows if r["decision"] == "final"}
+    assert set(FORCED_ENGINEERED) <= final
+    assert {r["step"] for r in rows} >= {1, 2, 3, 7}
