@@ -15,60 +15,158 @@ the odd length first.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A blank after white space: the one place where cutting before a blank could change the ids.
-AFTER_SPACE = re.compile(r"\s ")
-INNER = re.compile(r"(?<=\S)(?= )")
+#: White space as Python sees it (a superset of any tokenizer's), for RE2.
+SPACE = r"\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+CUT = "\x00"
+SLICE_BYTES = 32_000_000
 
 
 class WordEncoder:
-    """Ids of a text as little-endian 32-bit bytes, by words met before.
+    """Ids of many texts, each distinct part of them encoded once.
 
-    The tokenizer splits a text before every blank that follows a character
-    other than white space, so the ids of a text are those of its parts cut
-    there. Parts are encoded once and kept, up to ``max_kept`` of them.
+    For byte-level BPE with the usual pattern (runs of letters, digits or
+    signs with at most one blank before, runs of white space). Such a
+    tokenizer splits a text before every blank that follows a character other
+    than white space, at a lone line feed between two words, and between
+    letters and the signs after them, so the ids of a text are those of its
+    parts cut there. Parts are numbered by Arrow, the distinct ones encoded
+    many in one call, and the ids of the texts gathered from them.
     """
 
-    def __init__(self, tokenizer, max_kept: int = 400_000) -> None:
-        self.tokenizer, self.max_kept = tokenizer, max_kept
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def _learn(self, parts: set[str], lead: str, into: dict[str, bytes]) -> None:
-        new = list(parts)
-        for k in range(0, len(new), 20_000):
-            some = new[k:k + 20_000]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast([lead + p for p in some], add_special_tokens=False), strict=True):
-                into[p] = b"".join(i.to_bytes(4, "little") for i in e.ids)
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        split = []
-        for t in texts:
-            if AFTER_SPACE.search(t) is None:
-                head, *tail = t.split(" ")
+    SIGNS = r"[.,!?;:%$&*#|)(\"\[\]]"
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer = tokenizer
+        vocab = tokenizer.get_vocab()
+        self.starts = np.zeros(max(vocab.values()) + 1, bool)
+        self.starts[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
+        self.feed = np.array(self.ids(["\n"], "")[0], "<u4")
+
+    def ids(self, parts: list[str], lead: str) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast([lead + p for p in parts], add_special_tokens=False)]
+
+    def units(self, parts: list[str], lead: str) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids and lengths of parts without white space: one call for many, cut
+        at leading blanks or at the line feeds between."""
+        flat, sizes = [], []
+        for k in range(0, len(parts), 20_000):
+            some = parts[k:k + 20_000]
+            ids = np.array(self.ids([lead + lead.join(some) if lead else "\n".join(some)], "")[0], "<u4")
+            if lead:
+                at = np.flatnonzero(self.starts[ids])
+                size = np.diff(np.r_[at, len(ids)])
             else:
-                head, *tail = INNER.split(t)
-                tail = [p[1:] for p in tail]
-            split.append((head, tail))
-        for kept in (self.first, self.later):
-            if len(kept) > self.max_kept:
-                kept.clear()
-        self._learn({h for h, _ in split if h not in self.first}, "", self.first)
-        new: set[str] = set()
-        for _, tail in split:
-            new.update(tail)
-        self._learn({p for p in new if p not in self.later}, " ", self.later)
-        get = self.later.__getitem__
-        for head, tail in split:
-            yield self.first[head] + b"".join(map(get, tail))
+                feeds = np.flatnonzero(ids == self.feed[0]) if len(self.feed) == 1 else np.zeros(0, int)
+                at = np.r_[0, feeds + 1]
+                size = np.diff(np.r_[at, len(ids) + 1]) - 1
+                ids = np.delete(ids, feeds)
+            if len(at) != len(some):
+                alone = self.ids(some, lead)
+                ids, size = np.array([i for e in alone for i in e], "<u4"), np.array([len(e) for e in alone])
+            flat.append(ids)
+            sizes.append(size)
+        return flat, sizes
+
+    def segments(self, words: pa.Array, first: np.ndarray, later: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(table, ids, lengths): up to four numbered units for each distinct word.
+
+        ``table`` has a row per word as the first of a text, then one per word
+        after a blank; -1 stands for no unit.
+        """
+        n = len(words)
+        plain = f"[^{SPACE}]+"
+        pair = pc.match_substring_regex(words, f"^{plain}\n{plain}$").to_numpy(zero_copy_only=False)
+        single = ~(pair | pc.match_substring_regex(words, f"^{plain}$").to_numpy(zero_copy_only=False))
+        fields = pc.extract_regex(words, f"^(?P<a>{plain})(?:\n(?P<b>{plain}))?$")
+        a, b = pc.fill_null(fields.field("a"), ""), pc.fill_null(fields.field("b"), "")
+        cut = pc.extract_regex(a, rf"^(?P<w>\p{{L}}+)(?P<s>{self.SIGNS}*)$")
+        alpha = pc.is_valid(cut)
+        base = pc.if_else(alpha, cut.field("w"), a)
+        signs = pc.if_else(alpha, cut.field("s"), "")
+        table = np.full((2 * n, 4), -1, np.int64)
+        flat, sizes, count = [], [], 0
+
+        def add(parts: pa.Array, lead: str, at: np.ndarray, column: int) -> None:
+            nonlocal count
+            if len(parts):
+                coded = parts.dictionary_encode()
+                f, s = self.units(coded.dictionary.to_pylist(), lead)
+                table[at, column] = coded.indices.to_numpy(zero_copy_only=False) + count
+                flat.extend(f)
+                sizes.extend(s)
+                count += len(coded.dictionary)
+
+        for use, lead, shift in ((first, "", 0), (later, " ", n)):
+            own = np.flatnonzero(use & ~single)
+            add(base.take(pa.array(own)), lead, own + shift, 0)
+            alone = np.flatnonzero(use & single)
+            for i, e in zip(alone, self.ids(words.take(pa.array(alone)).to_pylist(), lead)):
+                table[i + shift, 0] = count
+                flat.append(np.array(e, "<u4"))
+                sizes.append(np.array([len(e)]))
+                count += 1
+        rows = np.flatnonzero(pc.and_(alpha, pc.not_equal(signs, "")).to_numpy(zero_copy_only=False))
+        add(signs.take(pa.array(rows)), "", rows, 1)
+        table[rows + n, 1] = table[rows, 1]
+        rows = np.flatnonzero(pair)
+        add(b.take(pa.array(rows)), "", rows, 3)
+        table[rows, 2] = count
+        table[rows + n, 2:] = table[rows, 2:]
+        return table, np.concatenate([*flat, self.feed]), np.concatenate([*sizes, [len(self.feed)]])
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each text (null: none), in order."""
+        texts = pc.fill_null(texts, "")
+        spaced = pc.match_substring_regex(texts, f"[{SPACE}] ")
+        whole = pc.and_(spaced, pc.match_substring(texts, CUT))
+        cut = pc.replace_substring_regex(texts.filter(spaced), f"([^{SPACE}]) ", f"\\1{CUT}")
+        spaced, whole = spaced.to_numpy(zero_copy_only=False), whole.to_numpy(zero_copy_only=False)
+        parts = [pc.split_pattern(texts.filter(pa.array(~spaced)), " "), pc.split_pattern(cut, CUT)]
+        order = np.argsort(np.r_[np.flatnonzero(~spaced), np.flatnonzero(spaced)])
+        lists = pa.concat_arrays(parts).take(pa.array(order))
+        coded = lists.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        n = len(coded.dictionary)
+        offsets = np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]
+        codes += n
+        codes[offsets[:-1]] -= n  # 0..n-1: first in a text; n..2n-1: after a blank
+        used = np.zeros(2 * n, bool)
+        used[codes] = True
+        table, flat, sizes = self.segments(coded.dictionary, used[:n], used[n:])
+        begins = np.cumsum(sizes) - sizes
+        total = np.where(table >= 0, sizes[table], 0).sum(1)
+        for a in range(0, len(lists), 500):
+            b = min(a + 500, len(lists))
+            own = codes[offsets[a]:offsets[b]]
+            at = np.r_[0, np.cumsum(total[own])]
+            units = table[own].ravel()
+            units = units[units >= 0]
+            size = sizes[units]
+            ends = np.cumsum(size)
+            data = flat[np.repeat(begins[units] - ends + size, size) + np.arange(at[-1])].tobytes()
+            cuts = (at[offsets[a:b + 1] - offsets[a]] * 4).tolist()
+            for i, (x, y) in enumerate(zip(cuts[:-1], cuts[1:]), a):
+                yield np.array(self.ids([texts[i].as_py()], "")[0], "<u4").tobytes() if whole[i] else data[x:y]
+
+
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Parts of ``batch`` with about SLICE_BYTES of text each."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    number = np.cumsum(size.astype(np.int64)) // SLICE_BYTES
+    starts = [0, *(np.flatnonzero(np.diff(number)) + 1), batch.num_rows]
+    for a, b in zip(starts[:-1], starts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
 
 
 class OpenBins:
@@ -136,12 +234,9 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         bins = OpenBins(capacity, n_open, TaskContext.get().partitionId() << 33)
         end = end_id.to_bytes(4, "little")
         for batch in batches:
-            step = 1000
-            for k in range(0, batch.num_rows, step):
-                part = batch.slice(k, step)
+            for part in slices(batch, 1):
                 rows: dict[str, list] = {c: [] for c in ("row", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids")}
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for row, ids in enumerate(encoder.encode(texts)):
+                for row, ids in enumerate(encoder.encode(part.column(1))):
                     ids += end
                     for piece, (start, length) in enumerate(pieces_of(len(ids) // 4, capacity)):
                         own = ids[start * 4:(start + length) * 4]
