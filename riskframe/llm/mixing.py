@@ -26,7 +26,7 @@ from riskframe.llm.common import fresh, stored, swap_or_not
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 WORD_AND_GAP = "[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*"
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 
 
 def words_of(text: Column) -> Column:
@@ -105,6 +105,8 @@ def mix_sources(docs: DataFrame, text_col: str = "text", source_col: str = "sour
 
     ``taken``: id, size, source_size, target, taken (and source).
     ``drawn``: shard, rank, j, block and its pieces (bucket, begin, at, words).
+    Slots are exploded from a few rows, which the size estimate does not see;
+    the merge hint keeps them from being broadcast.
     """
     sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words_of(F.col(text_col)).alias("size"),
                         F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("tie"))
@@ -112,7 +114,7 @@ def mix_sources(docs: DataFrame, text_col: str = "text", source_col: str = "sour
     targets = stored(source_targets(sized, weights, share, most))
     places = stored(lay_out(sized, targets, seed))
     first, slots = block_plan(places, targets, block_words)
-    drawn = draw_slots(slots, n_shards, seed).join(pieces_of(places, first, block_words), ["rank", "block"])
+    drawn = draw_slots(slots, n_shards, seed).hint("merge").join(pieces_of(places, first, block_words), ["rank", "block"])
     per = drawn.groupBy("rank", "bucket", "begin").agg(F.sum("words").alias("taken"))
     with_words = places.join(per, ["rank", "bucket", "begin"], "left").select("id", "rank", "size", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
     without = sized.where("size = 0").join(F.broadcast(targets.select(F.col("source").alias("s"), "rank")), F.col("source").eqNullSafe(F.col("s")))
@@ -137,7 +139,7 @@ def mixed_documents(docs: DataFrame, text_col: str = "text", source_col: str = "
     targets = stored(source_targets(sized, weights, share, most))
     places = stored(lay_out(sized, targets, seed))
     first, slots = block_plan(places, targets, block_words)
-    drawn = draw_slots(slots, n_shards, seed).join(pieces_of(places, first, block_words), ["rank", "block"])
+    drawn = draw_slots(slots, n_shards, seed).hint("merge").join(pieces_of(places, first, block_words), ["rank", "block"])
     uses = drawn.groupBy("rank", "bucket", "begin", "at", "words").agg(F.count(F.lit(1)).alias("n"))
     uses = uses.withColumn("use", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))))
     uses = uses.groupBy("rank", "bucket", "begin", "use").agg(F.sort_array(F.collect_list(F.struct("at", "words"))).alias("parts"), F.sum("words").alias("words"))
