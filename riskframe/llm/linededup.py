@@ -42,7 +42,8 @@ def boilerplate_lines(docs: DataFrame, text_col: str = "text", site_col: str = "
              .select("site", trimmed(F.col("line")).alias("line")).where(counts_as_line(F.col("line"), min_words))
              .select("site", F.xxhash64("line").alias("line_hash")))
     spread = lines.groupBy("line_hash").agg(F.min("site").alias("a"), F.max("site").alias("b")).where("a <> b").select("line_hash")
-    pairs = stored(lines.join(spread, "line_hash", "left_semi").groupBy("line_hash", "site").agg(F.count(F.lit(1)).alias("n")))
+    once = lines.groupBy("line_hash", "site").agg(F.count(F.lit(1)).alias("n"))  # a very common line shrinks to a row per site
+    pairs = stored(once.join(spread, "line_hash", "left_semi"))
     sketched = pairs.groupBy("line_hash").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("sites"))
     sketched = stored(sketched.where(F.col("sites") >= F.lit(min_sites * (1 - band) - 1)))
     near = F.abs(F.col("sites") - min_sites) <= F.lit(min_sites * band + 1)
