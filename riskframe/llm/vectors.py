@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,9 +36,9 @@ def packed(rows: DataFrame, vec: str) -> tuple[DataFrame, type]:
                 part = batch.slice(k, 4000)
                 cols = list(part.columns)
                 flat = cols[at].flatten().to_numpy(zero_copy_only=False).astype(kind)
-                width = len(flat) // max(part.num_rows, 1) * flat.itemsize
+                ends = np.cumsum(pc.fill_null(pc.list_value_length(cols[at]), 0).to_numpy(zero_copy_only=False).astype(np.int64)) * flat.itemsize
                 data = flat.tobytes()
-                cols[at] = pa.array([data[i * width:(i + 1) * width] for i in range(part.num_rows)], pa.binary())
+                cols[at] = pa.array([data[a:b] for a, b in zip([0, *ends[:-1]], ends)], pa.binary())
                 yield pa.RecordBatch.from_arrays(cols, names=part.schema.names)
 
     schema = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == vec else f for f in rows.schema.fields])
