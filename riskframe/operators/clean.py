@@ -20,11 +20,8 @@ from riskframe.operators import ranks
 
 
 def standard_name(name: str) -> str:
-    """lower, strip, non-word -> '_', squeeze '_', trim '_' (unicode aware)."""
-    s = name.lower().strip()
-    s = re.sub(r"[^\w]", "_", s)
-    s = re.sub(r"_+", "_", s)
-    return s.strip("_")
+    """Lower-case words (letters and digits of any script) joined by one '_'."""
+    return "_".join(re.findall(r"[^\W_]+", name.lower()))
 
 
 def standardize_column_names(df: DataFrame) -> DataFrame:
@@ -142,7 +139,7 @@ def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def is_blank(col: str):
     """Whitespace-only string predicate."""
-    return F.col(col).rlike(r"^\s*$")
+    return F.col(col).rlike(r"(?U)^\s*$")
 
 
 def min_group_size(df: DataFrame, group: Sequence[str], min_size: int = 5) -> DataFrame:
@@ -170,6 +167,8 @@ def remove_duplicates(df: DataFrame, subset: Sequence[str] | None = None, keep="
                                     *[F.first(c).alias(c) for c in others])
         return agg.filter(F.col("_n") == 1).select(*df.columns)
     if not order_by:
+        if keep == "last":
+            raise ValueError("keep='last' needs order_by: rows of a distributed table have no order of their own")
         return df.dropDuplicates(keys)
     others = [c for c in df.columns if c not in keys]
     row = F.struct(*[F.col(c) for c in others])

@@ -135,12 +135,18 @@ def interaction_features(df: DataFrame, age="AGE", seniority="SENIORITY_YEARS",
 
 def engineer_features(df: DataFrame, fill_exclude=("CLIENT_ID", "TARGET"),
                       fit_df: DataFrame | None = None) -> DataFrame:
-    """every family in order, then E7 (inf/NaN -> null -> median)."""
-    out = (df.transform(financial_features).transform(behavioural_features)
-           .transform(stability_features)
-           .transform(lambda d: risk_features(d, fit_df=fit_df))
-           .transform(interaction_features))
-    return inf_to_null_median_fill(out, exclude=fill_exclude, fit_df=None)
+    """every family in order, then E7 (inf/NaN -> null -> median).
+
+    With ``fit_df`` every fitted value, the fill medians included, comes from
+    its rows after the same derivation.
+    """
+    def derive(d: DataFrame) -> DataFrame:
+        return (d.transform(financial_features).transform(behavioural_features)
+                .transform(stability_features)
+                .transform(lambda x: risk_features(x, fit_df=fit_df))
+                .transform(interaction_features))
+
+    return inf_to_null_median_fill(derive(df), exclude=fill_exclude, fit_df=None if fit_df is None else derive(fit_df))
 
 
 ENGINEERED = ["SAVINGS_TO_INCOME", "CHECKING_TO_INCOME", "TOTAL_BALANCE_M1", "TOTAL_BALANCE_M2",

@@ -98,7 +98,7 @@ def missing_indicators(df: DataFrame, columns: Sequence[str] | None = None,
 def blank_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """E5: whitespace-only strings become null (all string columns)."""
     cols = list(columns or string_columns(df))
-    return df.withColumns({c: F.when(F.col(c).rlike(r"^\s*$"), None).otherwise(F.col(c)) for c in cols})
+    return df.withColumns({c: F.when(F.col(c).rlike(r"(?U)^\s*$"), None).otherwise(F.col(c)) for c in cols})
 
 
 def fill_constant(df: DataFrame, column: str, value) -> DataFrame:
@@ -112,5 +112,7 @@ def inf_to_null_median_fill(df: DataFrame, columns: Sequence[str] | None = None,
     missing values gets its exact median."""
     cols = list(columns or numeric_columns(df, exclude))
     dbl = [f.name for f in df.schema.fields if f.name in cols and f.dataType.simpleString() in ("double", "float")]
-    df = df.withColumns({c: nan_to_null(c) for c in dbl}) if dbl else df
+    if dbl:
+        df = df.withColumns({c: nan_to_null(c) for c in dbl})
+        fit_df = fit_df.withColumns({c: nan_to_null(c) for c in dbl}) if fit_df is not None else None
     return impute_numeric(df, cols, "median", fit_df=fit_df)

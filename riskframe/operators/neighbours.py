@@ -150,14 +150,17 @@ def smote(train: DataFrame, id_col: str, vec_col: str, target: str, k: int = 5,
     if deficit <= 0:
         return base.withColumn("synthetic", F.lit(False))
     mino = base.filter(F.col("_y") == minor)
+    if n_min < 2:
+        raise ValueError("SMOTE needs two minority rows at least")
+    near = min(k, n_min - 1)  # neighbours that exist
     q, r = divmod(deficit, n_min)
     pos = cumulative(mino.withColumn("_h", F.xxhash64("_id", F.lit(seed))).withColumn("variable", F.lit(1))
                      .withColumn("_one", F.lit(1)), ("variable",), "_h", ("_one",))
     copies = pos.withColumn("_c", F.lit(q) + (F.col("_one_before") < r).cast("int")).filter(F.col("_c") > 0)
-    nn = knn(mino, mino, "_id", "_v", k=k, block_rows=block_rows).select(
+    nn = knn(mino, mino, "_id", "_v", k=near, block_rows=block_rows).select(
         F.col("qid").alias("_id"), F.col("rank").alias("_nr"), F.col("nid"))
     draws = copies.select("_id", "_v", F.explode(F.sequence(F.lit(1), F.col("_c"))).alias("_j")) \
-        .withColumn("_nr", (F.pmod(F.xxhash64("_id", "_j", F.lit(seed)), F.lit(k)) + 1).cast("int")) \
+        .withColumn("_nr", (F.pmod(F.xxhash64("_id", "_j", F.lit(seed)), F.lit(near)) + 1).cast("int")) \
         .withColumn("_u", F.pmod(F.xxhash64("_id", "_j", F.lit(seed + 1)), F.lit(1 << 30)) / float(1 << 30))
     nbr_v = mino.select(F.col("_id").alias("nid"), F.col("_v").alias("_nv"))
     syn = (draws.join(nn, ["_id", "_nr"]).join(nbr_v, "nid")

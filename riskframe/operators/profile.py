@@ -111,7 +111,7 @@ def blank_string_report(df: DataFrame, columns: Sequence[str] | None = None) ->
     """Whitespace-only strings per string column (only columns with any)."""
     cols = list(columns or string_columns(df))
     wide = df.agg(F.count(F.lit(1)).alias("__n"),
-                  *[F.count_if(F.col(c).rlike(r"^\s*$")).alias(f"{c}__b") for c in cols])
+                  *[F.count_if(F.col(c).rlike(r"(?U)^\s*$")).alias(f"{c}__b") for c in cols])
     long = _rows_from_wide(wide, cols, {"n_blank": "{}__b", "n": "__n"})
     return (long.filter(F.col("n_blank") > 0)
             .select("column", F.col("n_blank").cast("long").alias("n_blank"),

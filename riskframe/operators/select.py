@@ -29,6 +29,12 @@ class Selection:
     funnel: DataFrame
 
 
+def _p(row) -> float:
+    """The p-value of a test row; a constant column has none and is not significant."""
+    p = row["p_value"]
+    return 1.0 if p is None or p != p else p
+
+
 def select_variables(df: DataFrame, quant: Sequence[str], qual: Sequence[str], target: str = "TARGET",
                      forced: Sequence[str] = (), p_max: float = 0.05, v_min: float = 0.05,
                      r_max: float = 0.80, v_inter_max: float = 0.70) -> Selection:
@@ -54,10 +60,10 @@ def select_variables(df: DataFrame, quant: Sequence[str], qual: Sequence[str], t
     # 3. Mann-Whitney on the survivors
     remain = [c for c in quant if c not in dropped2]
     s3 = stats.mann_whitney(df, remain, target).persist() if remain else None
-    r3 = s3.select("variable", "p_value").collect() if s3 is not None else []
-    quant_ok = [c for c in remain if any(r["variable"] == c and r["p_value"] < p_max for r in r3)]
-    for r in r3:
-        rows.append((3, r["variable"], "keep" if r["p_value"] < p_max else "drop", f"p={r['p_value']:.3g}"))
+    p3 = {r["variable"]: _p(r) for r in s3.select("variable", "p_value").collect()} if s3 is not None else {}
+    quant_ok = [c for c in remain if p3.get(c, 1.0) < p_max]
+    for c, p in p3.items():
+        rows.append((3, c, "keep" if p < p_max else "drop", f"p={p:.3g}"))
     # 4. V between the kept qualitative variables
     s4, dropped4 = None, []
     if len(qual_ok) >= 2:
@@ -72,8 +78,7 @@ def select_variables(df: DataFrame, quant: Sequence[str], qual: Sequence[str], t
     s5 = stats.kruskal_wallis(df, quant_ok, qual_final) if quant_ok and qual_final else None
     if s5 is not None:
         for r in s5.select("var_quant", "var_qual", "p_value").collect():
-            rows.append((5, f"{r['var_quant']}x{r['var_qual']}", "link" if r["p_value"] < p_max else "none",
-                         f"p={r['p_value']:.3g}"))
+            rows.append((5, f"{r['var_quant']}x{r['var_qual']}", "link" if _p(r) < p_max else "none", f"p={_p(r):.3g}"))
     final = quant_ok + qual_final
     for f in forced:
         if f not in final and f in df.columns:

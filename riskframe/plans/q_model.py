@@ -260,7 +260,7 @@ def k6_importance_selection(spark, sf):
 @register("k7_recursive_elimination", None, [], "K7")
 def k7_recursive_elimination(spark, sf):
     tr, _ = _model_frames(spark, sf)
-    kept = model.recursive_elimination(tr, MODEL_FEATURES[:6], "TARGET", keep=3)
+    kept = model.recursive_elimination(tr, MODEL_FEATURES, "TARGET", keep=3)
     return spark.createDataFrame([(f,) for f in kept], "feature string")
 
 

@@ -18,12 +18,18 @@ DEFAULT_NA_TOKENS = (
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One provided table: ``{sf_dir}/{name}.parquet``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return nan_free(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def nan_free(df: DataFrame) -> DataFrame:
+    """NaN is a missing value from here on."""
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({c: F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in floats}) if floats else df
 
 
 def load_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A2: typed columnar read; ``columns`` prunes the scan."""
-    df = spark.read.parquet(path)
+    df = nan_free(spark.read.parquet(path))
     return df.select(*columns) if columns else df
 
 
@@ -42,7 +48,7 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType,
     out = []
     for f in schema.fields:
         c = F.col(f.name)
-        c = F.when(F.trim(c).isin(tokens) | c.isNull(), None).otherwise(c)
+        c = F.when(c.isin(tokens) | c.isNull(), None).otherwise(c)  # a blank cell is text, not missing
         if not isinstance(f.dataType, T.StringType):
             c = F.trim(c).try_cast(f.dataType)
         out.append(c.alias(f.name))
