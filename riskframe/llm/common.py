@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import random
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,8 +50,22 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def parallelism(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def portions(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches in portions of few rows, so that a task holds few texts as Python
+    strings; at the end unused memory goes back to the system."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on and share an executor's limit."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def mix64(x: np.ndarray, seed: int) -> np.ndarray:

@@ -25,10 +25,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm.common import give_back
+
 #: White space as Python sees it (a superset of any tokenizer's), for RE2.
 SPACE = r"\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 CUT = "\x00"
-SLICE_BYTES = 32_000_000
+SLICE_BYTES = 6_000_000
 
 
 class WordEncoder:
@@ -253,6 +255,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                     cols.append(pa.array(rows["ids"], pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
+        give_back()
 
     schema = f"id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))

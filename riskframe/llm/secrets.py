@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import stored
+from riskframe.llm.common import portions, stored
 
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -152,7 +152,7 @@ def word_table(docs: DataFrame, text_col: str = "text") -> dict[str, float]:
         def flush():
             return pa.RecordBatch.from_pydict({"w": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
 
-        for batch in batches:
+        for batch in portions(batches):
             for text in batch.column(0).to_pylist():
                 if text:
                     seen.update(WORD.findall(CONTEXT.sub(" ", text).lower()))
@@ -186,7 +186,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = held.value
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("bits", pa.float64())]))
-        for batch in batches:
+        for batch in portions(batches):
             rows = []
             for text in batch.column(1).to_pylist():
                 text = text or ""

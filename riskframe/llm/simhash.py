@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import components, stored
+from riskframe.llm.common import components, portions, stored
 
 SEED = 42
 BLOCKS = 3
@@ -40,7 +40,7 @@ LEAF_HOMES = 512  # aimed at per leaf, as far as the sample can tell leaves apar
 LEAF_SAMPLE = 16  # least sample codes in a node that is split
 CHUNK_HOMES = 20_000
 BRUTE = 1 << 16
-CHUNK_SHINGLES = 200_000
+CHUNK_SHINGLES = 100_000
 
 
 def shingle_hashes(text: str | None, shingle: int) -> list[int]:
@@ -86,11 +86,9 @@ def fingerprints(texts: list[str | None], shingle: int) -> np.ndarray:
 def with_fingerprint(rows: DataFrame, shingle: int = 4) -> DataFrame:
     """(id, text hash, fp) of an (id, text) table; fp is the fingerprint as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 2000):
-                part = batch.slice(k, 2000)
-                fp = fingerprints(part.column(2).to_pylist(), shingle).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fp)], names=["id", "th", "fp"])
+        for part in portions(batches):
+            fp = fingerprints(part.column(2).to_pylist(), shingle).view(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fp)], names=["id", "th", "fp"])
 
     id_type = rows.schema["id"].dataType.simpleString()
     return rows.select("id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, f"id {id_type}, th bigint, fp bigint")

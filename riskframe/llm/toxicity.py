@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import broadcast_if_small, stored
+from riskframe.llm.common import broadcast_if_small, portions, stored
 
 SLOTS = 1 << 20
 FLOOR = -0.25
@@ -169,7 +169,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((2, SLOTS + 1), np.int32)
         known: dict[str, list[int]] = {}
-        for batch in batches:
+        for batch in portions(batches):
             if len(known) > 200_000:
                 known.clear()
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -199,7 +199,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(held.value)
-        for batch in batches:
+        for batch in portions(batches):
             n, label, segments, positive = [], [], [], []
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 size, found, words = scorer.passages(text)
@@ -264,7 +264,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = ToxicityModel(*held.value)
         scorer = Scorer(m.weights)
-        for batch in batches:
+        for batch in portions(batches):
             score, evidence, size, passages = [], [], [], []
             for text in batch.column(1).to_pylist():
                 n, found, _ = scorer.passages(text)
