@@ -30,7 +30,7 @@ from riskframe.llm.common import give_back
 #: White space as Python sees it (a superset of any tokenizer's), for RE2.
 SPACE = r"\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 CUT = "\x00"
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 12_000_000
 
 
 class WordEncoder:
