@@ -1,44 +1,64 @@
 """Exact k nearest neighbours (G6), SMOTE (G5) and KNN imputation.
 
-Plan: the donor set is cut into hash blocks of at most ``block_rows`` rows
-(the broadcast bound). For each block, every query partition computes the
-distances to the block with numpy inside an Arrow-batched ``mapInPandas``
-(never one row at a time) and keeps only its k best candidates; the
-candidates of all blocks (k per block per query) are merged with a top-k
-per query. The answer is exact and no pair row is ever materialised: the
-shuffle carries k x blocks candidates per query, not all pairs. The work
-is still quadratic in the donor count, which is what an exact search costs.
+Plan: donors are cut into hash blocks and queries into hash blocks, within
+their group if there is one; a cell is a pair of blocks. Both sides are dealt
+to the cells of their group by one shuffle each, and a cell's task keeps the k
+best of its donors for each of its queries (Arrow batches and numpy, never
+one row at a time between processes). The candidates of all cells (k per
+query and donor block) are merged with a top-k per query. A cell holds at most
+about ``cell_rows`` rows of either side, nothing passes through the driver or
+a broadcast, and a lost cell is redone alone. The answer is exact and no pair
+row is ever materialised; the work is still quadratic in a group's donors,
+which is what an exact search costs.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.operators.ranks import cumulative
 from riskframe.session import ensure_checkpoint_dir
 
-CAND_SCHEMA = "qid long, nid long, dist double"
+LEAST_QUERIES = 64  # rows of a query block that is cut smaller to give every core a share
+CELL = ("_g", "_d", "_q")
 
 
-def _blocks(donors: DataFrame, id_col: str, block_rows: int) -> tuple[DataFrame, int]:
-    n = donors.count()
-    nb = max(1, math.ceil(n / block_rows))
-    return donors.withColumn("_blk", F.pmod(F.xxhash64(F.col(id_col)), F.lit(nb))), nb
+def _cells(queries: DataFrame, donors: DataFrame, cell_rows: int):
+    """Both sides (with ``_id`` and the group ``_g``) dealt to cells, cogrouped."""
+    spread = 4 * queries.sparkSession.sparkContext.defaultParallelism
+    total = max(1, queries.count())
+    sizes = (donors.groupBy("_g").agg(F.count(F.lit(1)).alias("_nd"))
+             .join(queries.groupBy("_g").agg(F.count(F.lit(1)).alias("_nq")), "_g"))
+    blocks = sizes.withColumn("_kd", F.ceil(F.col("_nd") / cell_rows)).withColumn("_kq", F.greatest(
+        F.ceil(F.col("_nq") / cell_rows),
+        F.least(F.ceil(F.col("_nq") / LEAST_QUERIES), F.ceil(F.col("_nq") * spread / total / F.col("_kd")))))
+    n_cells = blocks.agg(F.sum(F.col("_kd") * F.col("_kq"))).first()[0] or 1
+    blocks = blocks.select("_g", "_kd", "_kq")
+    tasks = min(n_cells, 100_000)
 
+    def dealt(rows: DataFrame, own: str, k_own: str, other: str, k_other: str):
+        rows = rows.select(*[F.col(c).alias(c) for c in rows.columns])  # the sides may be one table
+        return (rows.join(blocks, "_g")
+                .withColumn(own, F.pmod(F.xxhash64("_id"), F.col(k_own)))
+                .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(k_other) - 1)))
+                .drop("_kd", "_kq").repartition(tasks, *CELL).groupBy(*CELL))
 
-def _spread(qs: DataFrame) -> DataFrame:
-    """Queries carry quadratic work per row: give every core a share even
-    when the input arrived in a few large partitions (AQE coalesces small
-    tables), by hash-partitioning on the query id."""
-    sc = qs.sparkSession.sparkContext
-    n = max(qs.rdd.getNumPartitions(), 4 * sc.defaultParallelism)
-    return qs.repartition(n, "_id")
+    return dealt(queries, "_q", "_kq", "_d", "_kd").cogroup(dealt(donors, "_d", "_kd", "_q", "_kq"))
+
+
+def _numbers(table: pa.Table, name: str) -> np.ndarray:
+    """A column as numpy array; vectors as matrix (null components: NaN)."""
+    col = table.column(name).combine_chunks()
+    if pa.types.is_list(col.type):
+        flat = col.flatten().to_numpy(zero_copy_only=False)
+        return flat.astype(np.float64).reshape(len(col), -1)
+    return col.to_numpy(zero_copy_only=False)
 
 
 def _topk(cands: DataFrame, k: int) -> DataFrame:
@@ -46,92 +66,73 @@ def _topk(cands: DataFrame, k: int) -> DataFrame:
     return cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def _nearest(q_ids, q_mat, d_ids, d_mat, k: int, exclude_self: bool, query_batch: int):
+    """(qid, nid, dist) of the k donors nearest to each query, ties to the smaller id."""
+    d_sq = (d_mat * d_mat).sum(1)
+    d_max = float(d_sq.max())
+    cc = min(k + 8, len(d_ids))
+    keep = min(k, cc)
+    out = []
+    for s in range(0, len(q_ids), query_batch):
+        qm, qi = q_mat[s:s + query_batch], q_ids[s:s + query_batch]
+        q_sq = (qm * qm).sum(1)
+        # fast pre-selection with one matrix product ...
+        d2 = q_sq[:, None] + d_sq[None, :] - 2.0 * qm @ d_mat.T
+        if exclude_self:
+            d2[qi[:, None] == d_ids[None, :]] = np.inf
+        idx = np.argpartition(d2, cc - 1, axis=1)[:, :cc]
+        chosen = np.take_along_axis(d2, idx, 1)
+        # ... then exact distances (direct differences) for the candidates
+        exact = ((qm[:, None, :] - d_mat[idx]) ** 2).sum(-1)
+        exact[np.isinf(chosen)] = np.inf
+        near_ids = d_ids[idx]
+        order = np.lexsort((near_ids, exact), axis=1)[:, :keep]
+        best, best_ids = np.take_along_axis(exact, order, 1), np.take_along_axis(near_ids, order, 1)
+        # exact unless a donor that was not chosen could tie or beat the k-th
+        slack = 1e-9 * (q_sq + d_max) + 1e-300
+        unsure = (cc < len(d_ids)) & ~(best[:, -1] < chosen.max(1) - slack)
+        for r in np.flatnonzero(unsure):
+            e = ((d_mat - qm[r]) ** 2).sum(1)
+            if exclude_self:
+                e[d_ids == qi[r]] = np.inf
+            o = np.lexsort((d_ids, e))[:keep]
+            best[r], best_ids[r] = e[o], d_ids[o]
+        ok = np.isfinite(best).ravel()
+        out.append((np.repeat(qi, keep)[ok], best_ids.ravel()[ok], np.sqrt(best.ravel()[ok])))
+    return [np.concatenate(x) for x in zip(*out)]
+
+
 def knn(queries: DataFrame, donors: DataFrame, id_col: str, vec_col: str, k: int = 5,
-        same: str | None = None, exclude_self: bool = True, block_rows: int = 20000,
+        same: str | None = None, exclude_self: bool = True, cell_rows: int = 20000,
         query_batch: int = 512) -> DataFrame:
     """(qid, nid, dist, rank) -- the k nearest donors of each query by
     Euclidean distance, optionally only donors with the same ``same`` value
-    (SMOTE: same class), excluding the query itself."""
-    spark = queries.sparkSession
-    grp = same or None
-    d_sel = [F.col(id_col).alias("_id"), F.col(vec_col).cast("array<double>").alias("_v")]
-    q_sel = list(d_sel)
-    if grp:
-        d_sel.append(F.col(grp).cast("string").alias("_g"))
-        q_sel.append(F.col(grp).cast("string").alias("_g"))
-    ensure_checkpoint_dir(spark)
-    # Both inputs are scanned once per donor block: cut their lineage first.
-    dsel = donors.select(*d_sel).checkpoint(eager=True)
-    qs = _spread(dsel if queries is donors else queries.select(*q_sel).checkpoint(eager=True))
-    dons, nb = _blocks(dsel, "_id", block_rows)
-    parts = []
-    for b in range(nb):
-        blk = dons.filter(F.col("_blk") == b).drop("_blk").toPandas()  # <= block_rows rows
-        if blk.empty:
-            continue
-        ids = blk["_id"].to_numpy(np.int64)
-        mat = np.vstack(blk["_v"].to_numpy()).astype(np.float64)
-        groups = blk["_g"].to_numpy() if grp else None
-        bc = spark.sparkContext.broadcast((ids, mat, (mat * mat).sum(1), groups))
-
-        def scan(it, bc=bc):
-            d_ids, d_mat, d_sq, d_grp = bc.value
-            for pdf in it:
-                if pdf.empty:
-                    continue
-                q_ids = pdf["_id"].to_numpy(np.int64)
-                q_mat = np.vstack(pdf["_v"].to_numpy()).astype(np.float64)
-                q_grp = pdf["_g"].to_numpy() if d_grp is not None else None
-                out_q, out_n, out_d = [], [], []
-                dmax = float(d_sq.max()) if len(d_sq) else 0.0
-                for s in range(0, len(q_ids), query_batch):
-                    qm = q_mat[s:s + query_batch]
-                    qi = q_ids[s:s + query_batch]
-                    q_sq = (qm * qm).sum(1)
-                    # fast pre-selection with one matrix product ...
-                    d2 = q_sq[:, None] + d_sq[None, :] - 2.0 * qm @ d_mat.T
-                    bad = np.zeros(d2.shape, dtype=bool)
-                    if exclude_self:
-                        bad |= qi[:, None] == d_ids[None, :]
-                    if d_grp is not None:
-                        bad |= q_grp[s:s + query_batch][:, None] != d_grp[None, :]
-                    d2[bad] = np.inf
-                    cc = min(k + 8, d2.shape[1])
-                    idx = np.argpartition(d2, cc - 1, axis=1)[:, :cc]
-                    rows = np.arange(d2.shape[0])[:, None]
-                    # ... then exact distances (direct differences) for the candidates
-                    ex = ((qm[:, None, :] - d_mat[idx]) ** 2).sum(-1)
-                    ex[bad[rows, idx]] = np.inf
-                    cand_ids = d_ids[idx]
-                    order = np.lexsort((cand_ids, ex), axis=1)[:, :min(k, cc)]
-                    best = np.take_along_axis(ex, order, 1)
-                    best_ids = np.take_along_axis(cand_ids, order, 1)
-                    # exact unless an unselected donor could tie or beat the k-th
-                    tol = 1e-9 * (q_sq + dmax) + 1e-300
-                    floor_unsel = np.take_along_axis(d2, idx, 1).max(1) - tol
-                    kth = best[:, -1]
-                    redo = (cc < d2.shape[1]) & ~(kth < floor_unsel)
-                    for r in np.flatnonzero(redo):
-                        e = ((d_mat - qm[r]) ** 2).sum(1)
-                        e[bad[r]] = np.inf
-                        o = np.lexsort((d_ids, e))[:best.shape[1]]
-                        best[r], best_ids[r] = e[o], d_ids[o]
-                    ok = np.isfinite(best)
-                    out_q.append(np.repeat(qi, best.shape[1])[ok.ravel()])
-                    out_n.append(best_ids.ravel()[ok.ravel()])
-                    out_d.append(np.sqrt(best.ravel()[ok.ravel()]))
-                yield pd.DataFrame({"qid": np.concatenate(out_q), "nid": np.concatenate(out_n),
-                                    "dist": np.concatenate(out_d)})
-
-        parts.append(qs.mapInPandas(scan, CAND_SCHEMA))
-    cands = parts[0]
-    for p in parts[1:]:
-        cands = cands.unionByName(p)
+    (SMOTE: same class; null equals null), excluding the query itself. Rows
+    without a vector take no part."""
+    group = F.to_json(F.struct(F.col(same).alias("g"))) if same else F.lit("")
+    ensure_checkpoint_dir(queries.sparkSession)
+
+    def side(df: DataFrame) -> DataFrame:  # read several times: cut the lineage first
+        rows = df.select(F.col(id_col).cast("long").alias("_id"), F.col(vec_col).cast("array<double>").alias("_v"),
+                         group.alias("_g"))
+        return rows.filter(F.col("_v").isNotNull()).checkpoint(eager=True)
+
+    d_rows = side(donors)
+    q_rows = d_rows if queries is donors else side(queries)
+
+    def search(q: pa.Table, d: pa.Table) -> pa.Table:
+        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        if q.num_rows and d.num_rows:
+            found = _nearest(_numbers(q, "_id"), _numbers(q, "_v"), _numbers(d, "_id"), _numbers(d, "_v"),
+                             k, exclude_self, query_batch)
+        return pa.table(dict(zip(("qid", "nid", "dist"), map(pa.array, found))))
+
+    cands = _cells(q_rows, d_rows, cell_rows).applyInArrow(search, "qid long, nid long, dist double")
     return _topk(cands, k)
 
 
 def smote(train: DataFrame, id_col: str, vec_col: str, target: str, k: int = 5, seed: int = 42,
-          block_rows: int = 20000) -> DataFrame:
+          cell_rows: int = 20000) -> DataFrame:
     """Grow the minority class to the majority size.
 
     new = x + u * (neighbour - x), neighbour one of the k nearest minority
@@ -156,15 +157,16 @@ def smote(train: DataFrame, id_col: str, vec_col: str, target: str, k: int = 5,
     q, r = divmod(deficit, n_min)
     pos = cumulative(mino.withColumn("_h", F.xxhash64("_id", F.lit(seed))).withColumn("variable", F.lit(1))
                      .withColumn("_one", F.lit(1)), ("variable",), "_h", ("_one",))
+    # synthetic ids count down from -1 by position and copy
     copies = pos.withColumn("_c", F.lit(q) + (F.col("_one_before") < r).cast("int")).filter(F.col("_c") > 0)
-    nn = knn(mino, mino, "_id", "_v", k=near, block_rows=block_rows).select(
+    nn = knn(mino, mino, "_id", "_v", k=near, cell_rows=cell_rows).select(
         F.col("qid").alias("_id"), F.col("rank").alias("_nr"), F.col("nid"))
-    draws = copies.select("_id", "_v", F.explode(F.sequence(F.lit(1), F.col("_c"))).alias("_j")) \
+    draws = copies.select("_id", "_v", "_one_before", F.explode(F.sequence(F.lit(1), F.col("_c"))).alias("_j")) \
         .withColumn("_nr", (F.pmod(F.xxhash64("_id", "_j", F.lit(seed)), F.lit(near)) + 1).cast("int")) \
         .withColumn("_u", F.pmod(F.xxhash64("_id", "_j", F.lit(seed + 1)), F.lit(1 << 30)) / float(1 << 30))
     nbr_v = mino.select(F.col("_id").alias("nid"), F.col("_v").alias("_nv"))
     syn = (draws.join(nn, ["_id", "_nr"]).join(nbr_v, "nid")
-           .select((-(F.col("_id") * 1_000_003 + F.col("_j"))).alias("_id"),
+           .select((-(F.col("_one_before") * (q + 1) + F.col("_j"))).alias("_id"),
                    F.zip_with("_v", "_nv", lambda a, b: a + F.col("_u") * (b - a)).alias("_v"),
                    F.lit(minor).alias("_y")))
     return (base.withColumn("synthetic", F.lit(False))
@@ -173,146 +175,140 @@ def smote(train: DataFrame, id_col: str, vec_col: str, target: str, k: int = 5,
                     "synthetic"))
 
 
+def _shared_squares(q_mat: np.ndarray, d_mat: np.ndarray) -> np.ndarray:
+    """Squared missing-aware distances (queries x donors); inf where no column is shared."""
+    total = np.zeros((len(q_mat), len(d_mat)))
+    shared = np.zeros(total.shape, np.int16)
+    for c in range(q_mat.shape[1]):
+        diff = q_mat[:, c, None] - d_mat[None, :, c]
+        both = ~np.isnan(diff)
+        shared += both
+        total += np.where(both, diff * diff, 0.0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(shared > 0, total * (q_mat.shape[1] / shared), np.inf)
+
+
+def _smallest(d2: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Column numbers of the ``k`` smallest of each row, ties to the smaller id."""
+    n = d2.shape[1]
+    cc = min(k + 8, n)
+    idx = np.argpartition(d2, cc - 1, axis=1)[:, :cc]
+    near = np.take_along_axis(d2, idx, 1)
+    order = np.lexsort((ids[idx], near), axis=1)[:, :min(k, cc)]
+    out = np.take_along_axis(idx, order, 1)
+    kth = np.take_along_axis(near, order, 1)[:, -1]
+    for r in np.flatnonzero((cc < n) & (kth >= near.max(1)) & np.isfinite(kth)):  # ties may go on outside
+        out[r] = np.lexsort((ids, d2[r]))[:out.shape[1]]
+    return out
+
+
 def _impute_kernel(q_ids, q_mat, ids, mat, k, m, window, batch_elems):
-    """Exact candidates (qid, col, nid, dist, val) of one query chunk against
-    one donor block, for every missing cell of every query.
-
-    Donors are sorted on the pruning column x (the least-missing one). For a
-    query and a donor that both have x, dist >= |dx| because the missing-aware
-    weight m / shared is >= 1 and dx^2 is one of the summed terms. So the
-    k best inside a window of donors around the query's x are final when the
-    k-th distance is below the gap to the nearest donor outside the window;
-    every (query, column) that fails this check -- or lacks x -- is searched
-    over the whole block. Ties break on the donor id, as in the final merge.
+    """Exact candidates (qid, col, nid, dist, val) of the queries among one
+    block of donors, for every missing cell of every query.
+
+    Donors are sorted on the column x that is least often missing, and
+    neighbouring queries in x are searched together in the donors around
+    them. For a query and a donor that both have x, dist >= |dx|, because the
+    weight m / shared is >= 1 and dx^2 is one of the summed terms. So the k
+    best of that window are final when the k-th is below the gap to the
+    nearest donor outside; if not, the k-th bounds the range of x that a
+    second search covers. Donors without x are always searched, queries
+    without x among all donors. Ties break on the donor id.
     """
-    present = ~np.isnan(mat)
-    x = int(np.argmax(present.sum(0)))
-    has_x = present[:, x]
-    order = np.flatnonzero(has_x)
-    order = order[np.lexsort((ids[order], mat[order, x]))]
-    xs = mat[order, x]
-    s_ids, s_mat, s_pres = ids[order], mat[order], present[order]
-    nox = np.flatnonzero(~has_x)  # donors without x: always checked
-    n_s = len(order)
-    w = min(window, n_s)
-    out = {"qid": [], "col": [], "nid": [], "dist": [], "val": []}
-
-    def emit(qid, j, d_ids, d2, vals):
-        ok = np.isfinite(d2)
-        if not ok.any():
-            return
-        d_ids, d2, vals = d_ids[ok], d2[ok], vals[ok]
-        sel = np.lexsort((d_ids, d2))[:k]
-        out["qid"].append(np.full(len(sel), qid, dtype=np.int64))
-        out["col"].append(np.full(len(sel), j, dtype=np.int32))
-        out["nid"].append(d_ids[sel])
-        out["dist"].append(np.sqrt(np.maximum(d2[sel], 0.0)))
-        out["val"].append(vals[sel])
-
-    def dist2(qrow, qpres, dm, dp):
-        both = dp & qpres[None, :]
-        diff = np.where(both, dm - qrow[None, :], 0.0)
-        shared = both.sum(1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            return (diff * diff).sum(1) * (m / shared)
-
-    full_todo = []  # (query row index, column)
-    b = max(1, batch_elems // max(1, w * m))
-    for s0 in range(0, len(q_ids), b):
-        qm = q_mat[s0:s0 + b]
-        qp = ~np.isnan(qm)
-        for r in range(len(qm)):
-            gi = s0 + r
-            need = np.flatnonzero(~qp[r])
-            if need.size == 0:
-                continue
-            if not qp[r, x] or w == 0:
-                full_todo.extend((gi, j) for j in need)
+    x = int(np.argmax((~np.isnan(mat)).sum(0)))
+    order = np.lexsort((ids, mat[:, x]))  # without x last
+    n_s = int((~np.isnan(mat[:, x])).sum())
+    ids, mat = ids[order], mat[order]
+    xs, present = mat[:n_s, x], ~np.isnan(mat)
+    rest = np.arange(n_s, len(ids))
+    q_order = np.argsort(q_mat[:, x], kind="stable")
+    q_ids, q_mat = q_ids[q_order], q_mat[q_order]
+    n_q = int((~np.isnan(q_mat[:, x])).sum())
+    out = []
+
+    def search(rows: np.ndarray, donors: np.ndarray, columns, gap: np.ndarray) -> list[tuple]:
+        """Emit what is final; (row, column, k-th squared distance) of what is not."""
+        open_ = []
+        d2 = _shared_squares(q_mat[rows], mat[donors])
+        for j in columns:
+            need, have = np.flatnonzero(np.isnan(q_mat[rows, j])), donors[present[donors, j]]
+            if not len(need):
                 continue
-            pos = int(np.searchsorted(xs, qm[r, x]))
-            st = min(max(pos - w // 2, 0), n_s - w)
-            sl = slice(st, st + w)
-            gap = min(qm[r, x] - xs[st - 1] if st > 0 else np.inf,
-                      xs[st + w] - qm[r, x] if st + w < n_s else np.inf)
-            d_w = dist2(qm[r], qp[r], s_mat[sl], s_pres[sl])
-            d_n = dist2(qm[r], qp[r], mat[nox], present[nox]) if nox.size else np.empty(0)
-            for j in need:
-                hw = s_pres[sl, j]
-                hn = present[nox, j] if nox.size else np.zeros(0, dtype=bool)
-                cand_d = np.concatenate([d_w[hw], d_n[hn]])
-                finite = np.isfinite(cand_d)
-                if finite.sum() >= k and np.sort(cand_d[finite])[k - 1] < gap * gap:
-                    emit(q_ids[gi], j, np.concatenate([s_ids[sl][hw], ids[nox][hn]]), cand_d,
-                         np.concatenate([s_mat[sl][hw, j], mat[nox][hn, j]]))
-                elif gap == np.inf:  # the window already holds every donor with x
-                    emit(q_ids[gi], j, np.concatenate([s_ids[sl][hw], ids[nox][hn]]), cand_d,
-                         np.concatenate([s_mat[sl][hw, j], mat[nox][hn, j]]))
-                else:
-                    full_todo.append((gi, j))
-    for gi, j in full_todo:
-        hj = present[:, j]
-        d = dist2(q_mat[gi], ~np.isnan(q_mat[gi]), mat[hj], present[hj])
-        emit(q_ids[gi], j, ids[hj], d, mat[hj, j])
-    if out["qid"]:
-        return pd.DataFrame({k2: np.concatenate(v) for k2, v in out.items()})
-    return None
+            if len(have):
+                part = d2[need][:, present[donors, j]]
+                idx = _smallest(part, ids[have], k)
+                best = np.take_along_axis(part, idx, 1)
+                kth = best[:, -1] if best.shape[1] == k else np.full(len(need), np.inf)
+            else:
+                kth = np.full(len(need), np.inf)
+            final = (kth < gap[need] ** 2) | np.isinf(gap[need])
+            open_ += [(rows[r], j, d) for r, d in zip(need[~final], kth[~final])]
+            if len(have) and final.any():
+                best, nid = best[final], have[idx[final]]
+                ok = np.isfinite(best).ravel()
+                out.append((np.repeat(q_ids[rows[need[final]]], best.shape[1])[ok], np.full(ok.sum(), j, np.int32),
+                            ids[nid].ravel()[ok], np.sqrt(best.ravel()[ok]), mat[nid, j].ravel()[ok]))
+        return open_
+
+    pos = np.searchsorted(xs, q_mat[:n_q, x])
+    late, s = [], 0
+    while s < n_q:
+        e = min(int(np.searchsorted(pos, pos[s] + window // 2, "right")), s + max(1, batch_elems // (2 * window * m)))
+        first, last = max(0, pos[s] - window // 2), min(n_s, pos[e - 1] + window // 2 + 1)
+        qx = q_mat[s:e, x]
+        gap = np.minimum(qx - xs[first - 1] if first else np.inf, xs[last] - qx if last < n_s else np.inf)
+        late += search(np.arange(s, e), np.r_[np.arange(first, last), rest], range(m), np.broadcast_to(gap, (e - s,)))
+        s = e
+    whole = np.full(1, np.inf)
+    for r, j, d in late:
+        reach = np.sqrt(d) * (1 + 1e-9)
+        first, last = np.searchsorted(xs, q_mat[r, x] - reach), np.searchsorted(xs, q_mat[r, x] + reach, "right")
+        search(np.array([r]), np.r_[np.arange(first, last), rest], [j], whole)
+    step = max(1, batch_elems // max(1, len(ids)))
+    for s in range(n_q, len(q_ids), step):
+        rows = np.arange(s, min(s + step, len(q_ids)))
+        search(rows, np.arange(len(ids)), range(m), np.full(len(rows), np.inf))
+    if not out:
+        return None
+    return pd.DataFrame(dict(zip(("qid", "col", "nid", "dist", "val"), (np.concatenate(v) for v in zip(*out)))))
 
 
 def knn_impute(df: DataFrame, id_col: str, columns: Sequence[str], k: int = 5,
-               block_bytes: int = 64 << 20, window: int = 2048, batch_elems: int = 4 << 20) -> DataFrame:
+               cell_rows: int = 200_000, window: int = 2048, batch_elems: int = 4 << 20) -> DataFrame:
     """Fill each missing cell with the mean of that column over the k
     nearest rows that have it, under the missing-aware Euclidean distance
     sqrt(n_cols / n_shared * sum over shared columns (a - b)^2). No usable
     donor -> the column mean. Only rows with a missing cell are queries.
 
-    Donor blocks are sized in bytes (``block_bytes`` of doubles is the
-    broadcast bound). Inside a block the search is windowed on a sorted
-    coordinate with an exactness check and a full-block fallback
-    (``_impute_kernel``), so the result equals brute force.
+    Within a cell the search is windowed on a sorted coordinate with an
+    exactness check and a full search where it fails (``_impute_kernel``),
+    so the result equals brute force.
     """
-    spark = df.sparkSession
     cols = list(columns)
     m = len(cols)
-    arr = F.array(*[F.col(c).cast("double") for c in cols])
-    ensure_checkpoint_dir(spark)
-    # Scanned once per donor block: cut the lineage first.
-    base = df.select(F.col(id_col).alias("_id"), arr.alias("_v")).checkpoint(eager=True)
-    qs = _spread(base.filter(F.exists("_v", lambda x: x.isNull())))
-    dons, nb = _blocks(base, "_id", max(1000, block_bytes // (8 * (m + 1))))
-    parts = []
-    for b in range(nb):
-        blk = dons.filter(F.col("_blk") == b).toPandas()
-        if blk.empty:
-            continue
-        d_ids = blk["_id"].to_numpy(np.int64)
-        d_mat = np.array([[np.nan if x is None else x for x in v] for v in blk["_v"]], dtype=np.float64)
-        bc = spark.sparkContext.broadcast((d_ids, d_mat))
-
-        def scan(it, bc=bc):
-            ids, mat = bc.value
-            for pdf in it:
-                if pdf.empty:
-                    continue
-                q_ids = pdf["_id"].to_numpy(np.int64)
-                q_mat = np.array([[np.nan if x is None else x for x in v] for v in pdf["_v"]],
-                                 dtype=np.float64)
-                res = _impute_kernel(q_ids, q_mat, ids, mat, k, m, window, batch_elems)
-                if res is not None:
-                    yield res
-
-        parts.append(qs.mapInPandas(scan, "qid long, col int, nid long, dist double, val double"))
+    names = [f"_c{j}" for j in range(m)]
+    ensure_checkpoint_dir(df.sparkSession)
+    # Read several times: cut the lineage first.
+    base = df.select(F.col(id_col).cast("long").alias("_id"), F.lit("").alias("_g"),
+                     *[F.col(c).cast("double").alias(n) for c, n in zip(cols, names)]).checkpoint(eager=True)
+    lacking = F.greatest(*[F.col(n).isNull().cast("int") for n in names]) if m > 1 else F.col(names[0]).isNull().cast("int")
+    schema = "qid long, col int, nid long, dist double, val double"
+    none = pa.schema([("qid", pa.int64()), ("col", pa.int32()), ("nid", pa.int64()), ("dist", pa.float64()),
+                      ("val", pa.float64())]).empty_table()
+
+    def search(q: pa.Table, d: pa.Table) -> pa.Table:
+        if not q.num_rows or not d.num_rows:
+            return none
+        q_mat, d_mat = (np.column_stack([_numbers(t, n).astype(np.float64) for n in names]) for t in (q, d))
+        found = _impute_kernel(_numbers(q, "_id"), q_mat, _numbers(d, "_id"), d_mat, k, m, window, batch_elems)
+        return none if found is None else pa.Table.from_pandas(found, none.schema, preserve_index=False)
+
+    cands = _cells(base.filter(lacking == 1), base, cell_rows).applyInArrow(search, schema)
     means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
-    fill_cols = [str(j) for j in range(m)]
-    if parts:
-        cands = parts[0]
-        for p in parts[1:]:
-            cands = cands.unionByName(p)
-        w = Window.partitionBy("qid", "col").orderBy("dist", "nid")  # <= k x blocks rows
-        fill = (cands.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-                .groupBy("qid").pivot("col", list(range(m))).agg(F.avg("val")))
-        out = df.join(fill.withColumnRenamed("qid", id_col), id_col, "left")
-    else:
-        out = df.withColumns({c: F.lit(None).cast("double") for c in fill_cols})
+    w = Window.partitionBy("qid", "col").orderBy("dist", "nid")  # <= k x blocks rows
+    fill = (cands.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+            .groupBy("qid").pivot("col", list(range(m))).agg(F.avg("val")))
+    out = df.join(fill.withColumnRenamed("qid", id_col), id_col, "left")
     return out.select(*[
         F.coalesce(F.col(c).cast("double"), F.col(f"`{cols.index(c)}`"), F.lit(means[c])).alias(c)
         if c in cols else F.col(c) for c in df.columns])

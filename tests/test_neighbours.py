@@ -44,7 +44,7 @@ def test_knn_equals_brute_force(spark):
     v = np.round(rng.normal(size=(300, 4)), 1)
     pdf = pd.DataFrame({"id": np.arange(300), "v": list(v), "g": rng.integers(0, 3, 300)})
     df = spark.createDataFrame(pdf, "id long, v array<double>, g long")
-    got = sorted((r["qid"], r["nid"]) for r in knn(df, df, "id", "v", k=3, same="g", block_rows=70).collect())
+    got = sorted((r["qid"], r["nid"]) for r in knn(df, df, "id", "v", k=3, same="g", cell_rows=70).collect())
     exp = []
     for i in range(300):
         d = ((v - v[i]) ** 2).sum(1)
@@ -65,8 +65,8 @@ def test_knn_impute_multi_block_equals_brute_force(spark):
     pdf = pd.DataFrame(mat, columns=cols).astype(object).where(~np.isnan(mat), None)
     pdf.insert(0, "id", ids)
     df = spark.createDataFrame(pdf, "id long, " + ", ".join(f"{c} double" for c in cols))
-    # blocks of 1000 donors (the floor) -> three broadcast blocks merged by the top-k
-    got = knn_impute(df, "id", cols, k=k, block_bytes=8 * (m + 1) * 100, window=16).toPandas().set_index("id")
+    # blocks of 1000 donors -> three blocks merged by the top-k
+    got = knn_impute(df, "id", cols, k=k, cell_rows=1000, window=16).toPandas().set_index("id")
     means = np.nanmean(mat, axis=0)
     qsel = np.flatnonzero(np.isnan(mat).any(1))
     picks = {}
