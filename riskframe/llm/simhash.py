@@ -8,8 +8,9 @@ on a bounded sample of fingerprints (``SAMPLE``) and only deals out work: every
 distinct fingerprint goes home to one leaf and, as a query, to each later leaf
 that the triangle bound cannot exclude. A leaf's task goes on splitting by
 vantage points in the same way and compares all 64 bits of what is left, so
-the pairs are exact whatever the sample is. Leaves with many homes are cut into
-chunks, each of which sees all queries of the leaf.
+the pairs are exact whatever the sample is. Leaves with many codes are cut into
+chunks of homes and portions of queries, and a task gets one chunk with one
+portion, so what it holds is bounded whatever the leaf's size.
 
 Copies are merged before (one row per distinct fingerprint), and a task
 returns a spanning forest of its pairs instead of all of them, so a group of
@@ -207,47 +208,69 @@ def simhash_links(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
     trees = [build_tree(block_codes(sample, b), max(1, total // LEAF_HOMES), reach, rng) for b in range(BLOCKS)]
     held = spark.sparkContext.broadcast(trees)
 
-    def emit(boundary: bool, chunks: dict[tuple[int, int], int]):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                fp = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-                for block, nodes in enumerate(held.value):
-                    codes = block_codes(fp, block)
-                    rows, leaves = visits(nodes, codes, 0)
-                    home = np.empty(len(fp), int)
-                    home[rows] = leaves
-                    if not boundary:
-                        leaf, n = np.unique(home, return_counts=True)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(leaf), block, np.int32)), pa.array(leaf.astype(np.int32)), pa.array(n.astype(np.int64))], names=["tree", "leaf", "n"])
-                        continue
-                    rows, leaves = visits(nodes, codes, reach)
-                    use = leaves >= home[rows]
-                    rows, leaves = rows[use], leaves[use]
-                    n_chunks = np.array([chunks.get((block, int(x)), 1) for x in range(int(leaves.max()) + 1)] if len(leaves) else [1])
-                    reps = n_chunks[leaves]
-                    chunk = np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
-                    rows, leaves = np.repeat(rows, reps), np.repeat(leaves, reps)
-                    own = (home[rows] == leaves) & ((fp[rows] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % n_chunks[leaves].astype(np.uint64) == chunk.astype(np.uint64))
-                    n = len(rows)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block, np.int32)), pa.array(leaves.astype(np.int32)), pa.array(chunk.astype(np.int32)),
-                                                      pa.array(own), pa.array(fp[rows].view(np.int64))], names=["tree", "leaf", "chunk", "home", "fp"])
-        return run
-
-    counts = distinct.select("fp").mapInArrow(emit(False, {}), "tree int, leaf int, n bigint").groupBy("tree", "leaf").agg(F.sum("n").alias("n"))
-    large = {(r["tree"], r["leaf"]): -(-r["n"] // CHUNK_HOMES) for r in counts.where(F.col("n") > CHUNK_HOMES).collect()}
-    dealt = distinct.select("fp").mapInArrow(emit(True, large), "tree int, leaf int, chunk int, home boolean, fp bigint")
+    def arrivals(fp: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(tree, row, leaf, whether home) of all homes and queries."""
+        for block, nodes in enumerate(held.value):
+            codes = block_codes(fp, block)
+            rows, leaves = visits(nodes, codes, 0)
+            home = np.empty(len(fp), int)
+            home[rows] = leaves
+            rows, leaves = visits(nodes, codes, reach)
+            use = leaves >= home[rows]
+            yield block, rows[use], leaves[use], home[rows[use]] == leaves[use]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, _, leaves, own in arrivals(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)):
+                leaf, at = np.unique(leaves, return_inverse=True)
+                n = [pa.array(np.bincount(at, w, len(leaf)).astype(np.int64)) for w in (own, None)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(leaf), block, np.int32)), pa.array(leaf.astype(np.int32)), *n],
+                                                 names=["tree", "leaf", "homes", "queries"])
+
+    counts = distinct.select("fp").mapInArrow(count, "tree int, leaf int, homes bigint, queries bigint").groupBy("tree", "leaf").agg(
+        F.sum("homes").alias("homes"), F.sum("queries").alias("queries"))
+    large = {(r["tree"], r["leaf"]): (max(1, -(-r["homes"] // CHUNK_HOMES)), -(-r["queries"] // CHUNK_HOMES))
+             for r in counts.where(F.col("queries") > CHUNK_HOMES).collect()}  # at most one in CHUNK_HOMES arrivals
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows_of(block, leaves, chunk, portion, home, fp):
+            n = len(fp)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, block, np.int32)), *(pa.array(x.astype(np.int32)) for x in (leaves, chunk, portion)),
+                 pa.array(np.full(n, home)), pa.array(fp.view(np.int64))], names=["tree", "leaf", "chunk", "portion", "home", "fp"])
+
+        def each(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Row numbers repeated ``n`` times, and the numbers 0 .. n - 1 of the repeats."""
+            at = np.repeat(np.arange(len(n)), n)
+            return at, np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+
+        for batch in batches:
+            fp = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            dealt = fp * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
+            for block, rows, leaves, own in arrivals(fp):
+                cuts = np.array([large.get((block, x), (1, 1)) for x in range(int(leaves.max(initial=0)) + 1)])[leaves]
+                mine = (dealt[rows][:, None] % cuts.astype(np.uint64)).astype(int)
+                at, chunk = each(cuts[:, 0])  # a query goes to every chunk of homes ...
+                yield rows_of(block, leaves[at], chunk, mine[at, 1], False, fp[rows[at]])
+                own = np.flatnonzero(own)
+                at, portion = each(cuts[own, 1])  # ... and a home to every portion of queries
+                at = own[at]
+                yield rows_of(block, leaves[at], mine[at, 0], portion, True, fp[rows[at]])
+
+    dealt = distinct.select("fp").mapInArrow(emit, "tree int, leaf int, chunk int, portion int, home boolean, fp bigint")
 
     def compare(group: pa.Table) -> pa.Table:
         block = group.column("tree")[0].as_py()
         fp = group.column("fp").to_numpy().view(np.uint64)
-        at = np.flatnonzero(group.column("home").to_numpy(zero_copy_only=False))
-        pairs = ((at[a], b) for a, b in close_pairs(fp[at], fp, block, reach, max_bits))
-        links = list(forest(len(fp), pairs))
-        signed = fp.view(np.int64)
-        ends = np.array(links, np.int64).reshape(-1, 2)
+        home = group.column("home").to_numpy(zero_copy_only=False)
+        codes, at = np.unique(fp, return_inverse=True)
+        h, q = at[home], at[~home]
+        pairs = ((h[a], q[b]) for a, b in close_pairs(codes[h], codes[q], block, reach, max_bits))
+        ends = np.array(list(forest(len(codes), pairs)), np.int64).reshape(-1, 2)
+        signed = codes.view(np.int64)
         return pa.table({"a": pa.array(signed[ends[:, 0]], pa.int64()), "b": pa.array(signed[ends[:, 1]], pa.int64())})
 
-    return dealt.groupBy("tree", "leaf", "chunk").applyInArrow(compare, "a bigint, b bigint").distinct()
+    return dealt.groupBy("tree", "leaf", "chunk", "portion").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:

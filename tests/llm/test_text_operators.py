@@ -218,6 +218,30 @@ def slow_components(ids, links):
     return {i: top(i) for i in ids}
 
 
+def test_simhash_leaf_cut_into_chunks_and_portions(spark, monkeypatch):
+    """Links connect just what brute force connects when every leaf is cut."""
+    rng = np.random.default_rng(3)
+    fp = rng.integers(0, 2**64, 60, dtype=np.uint64)
+    for _ in range(4):
+        fp = np.unique(np.r_[fp, fp[:60] ^ (np.uint64(1) << rng.integers(0, 64, min(60, len(fp))).astype(np.uint64))])
+    monkeypatch.setattr(simhash, "CHUNK_HOMES", 20)
+    near = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 4
+    at = {int(x): i for i, x in enumerate(fp.view(np.int64))}
+    df = spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp bigint")
+    got = np.eye(len(fp), dtype=bool)
+    for r in simhash.simhash_links(df, 4).collect():
+        a, b = at[r.a], at[r.b]
+        assert a != b and near[a, b]
+        got[a, b] = got[b, a] = True
+
+    def closure(m):
+        for _ in range(8):
+            m = (m.astype(int) @ m.astype(int)) > 0
+        return m
+
+    assert (closure(got) == closure(near)).all()
+
+
 def test_simhash_against_brute_force(spark, docs):
     import xxhash
 
