@@ -49,26 +49,16 @@ def to_long(df: DataFrame, cols: Sequence[str], extra: Sequence[str | Column] =
 
 def cumulative(counts: DataFrame, key: Sequence[str] = ("variable",), order: str = "value",
                sums: Sequence[str] = ("t",), ascending: bool = True,
-               partitions: int | None = None, small_rows: int = 200_000) -> DataFrame:
+               partitions: int | None = None) -> DataFrame:
     """Add ``<s>_before`` = sum of ``s`` over rows of the same key strictly
     before this row in ``order``. ``counts`` must have one row per (key, order).
 
-    Size-gated: the table is checkpointed once; when its row count is at most
-    ``small_rows``, a keyed window does it directly (no key can hold more
-    than the checked total). Beyond that bound, the range-partitioned plan
-    below runs, so no task ever holds a whole key.
+    One plan for every size: rows are range-partitioned on (key, order) and
+    checkpointed once, so no task ever holds a whole key.
     """
-    spark = counts.sparkSession
     key = list(key)
     ord_col = F.col(order).asc() if ascending else F.col(order).desc()
-    ensure_checkpoint_dir(spark)
-    # Computed once: the size check, the range sampling and the final plan
-    # all read this checkpoint instead of re-running the aggregate.
-    counts = counts.checkpoint(eager=True)
-    if not partitions and counts.count() <= small_rows:
-        w = Window.partitionBy(*key).orderBy(ord_col).rowsBetween(Window.unboundedPreceding, -1)
-        return counts.select(*counts.columns, *[F.coalesce(F.sum(s).over(w), F.lit(0)).alias(f"{s}_before")
-                                                for s in sums])
+    ensure_checkpoint_dir(counts.sparkSession)
     # Without an explicit count AQE sizes the range shuffle (coalescing
     # adjacent ranges keeps them contiguous); ids are frozen by the checkpoint.
     by = [F.col(k) for k in key] + [ord_col]
@@ -217,17 +207,22 @@ def attach_ranks(df: DataFrame, cols: Sequence[str], suffix: str = "_rank",
     its value.
 
     The distinct-value count of every column comes from one grouped count of
-    the rank table; a column's rank table is broadcast only when that count
-    is within ``broadcast_max_rows``, otherwise the planner shuffles (AQE's
-    skew handling splits a hot value on the row side).
+    the rank table; the smallest rank tables are broadcast as long as all of
+    them together have at most ``broadcast_max_rows`` rows, for the others the
+    planner shuffles (AQE's skew handling splits a hot value on the row side).
     """
     ranks = rank_table(df, cols).select("variable", "value", "avg_rank")
     sizes = {r["variable"]: r["n"] for r in ranks.groupBy("variable").agg(F.count(F.lit(1)).alias("n")).collect()}
+    small, held = set(), 0
+    for c in sorted(cols, key=lambda c: (sizes.get(c, 0), c)):
+        held += sizes.get(c, 0)
+        if held <= broadcast_max_rows:
+            small.add(c)
     out = df
     for c in cols:
         r = ranks.filter(F.col("variable") == c).select(
             F.col("value").alias(f"_v_{c}"), F.col("avg_rank").alias(f"{c}{suffix}"))
-        if sizes.get(c, 0) <= broadcast_max_rows:
+        if c in small:
             r = F.broadcast(r)
         key = F.col(c).cast("double") + F.lit(0.0)
         out = out.join(r, key == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")

@@ -224,36 +224,72 @@ def cramers_v_pairs(df: DataFrame, cols: Sequence[str], with_p: bool = False) ->
 
 # ------------------------------------------------------------- Spearman
 
-def _spearman_matrix(rk: DataFrame, allc: Sequence[str], pairs) -> DataFrame:
-    """Pearson of the rank columns as one MLlib correlation matrix (a tree
-    aggregate of the Gramian), for complete data with many pairs."""
+def _spearman_matrix(rk: DataFrame, cols: Sequence[str], pairs) -> list[tuple]:
+    """Pearson of complete rank columns as one MLlib correlation matrix (a
+    tree aggregate of the Gramian); a constant column gives null."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.stat import Correlation
-    vec = VectorAssembler(inputCols=[f"{c}_rank" for c in allc], outputCol="_r").transform(rk).select("_r")
-    mat = Correlation.corr(vec, "_r", "pearson").first()[0].toArray()
-    pos = {c: i for i, c in enumerate(allc)}
-    rows = [(a, b, float(mat[pos[a], pos[b]])) for a, b in pairs]
-    return rk.sparkSession.createDataFrame(rows, "var1 string, var2 string, r double")
-
-
-def spearman_pairs(df: DataFrame, cols: Sequence[str], target: str | None = None,
-                   many_pairs: int = 200) -> DataFrame:
-    """H4/H5: Spearman r for every pair (Pearson on mid-ranks), pairwise
-    complete; with ``target`` also each column against it (var2 = target).
-    Ranks are per column over its non-null values."""
+    vec = VectorAssembler(inputCols=[f"{c}_rank" for c in cols], outputCol="_r", handleInvalid="keep").transform(rk)
+    mat = Correlation.corr(vec.select("_r"), "_r", "pearson").first()[0].toArray()
+    pos = {c: i for i, c in enumerate(cols)}
+    found = [(a, b, float(mat[pos[a], pos[b]])) for a, b in pairs]
+    return [(a, b, None if r != r else r) for a, b, r in found]
+
+
+def _spearman_reranked(df: DataFrame, pairs) -> DataFrame:
+    """Pairs with nulls: both columns ranked over the rows that have both,
+    from counts per (pair, value, value); deviations from the mean rank."""
+    items = [F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
+             for i, (a, b) in enumerate(pairs)]
+    ranks.ensure_checkpoint_dir(df.sparkSession)
+    cells = (df.select(F.explode(F.array(*items)).alias("kv")).select("kv.*")
+             .filter(F.col("a").isNotNull() & F.col("b").isNotNull() & ~F.isnan("a") & ~F.isnan("b"))
+             .groupBy("pair", (F.col("a") + F.lit(0.0)).alias("a"), (F.col("b") + F.lit(0.0)).alias("b"))
+             .agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True))
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("value")) for s in ("a", "b")])
+    tot = (cells.select("pair", "n", F.explode(sides).alias("v")).groupBy("pair", "v.side", "v.value")
+           .agg(F.sum("n").alias("t")))
+    cum = ranks.cumulative(tot, ("pair", "side"), "value", ("t",))
+    rank = F.col("t_before") + (F.col("t") + 1) / 2.0
+    out = cells
+    for s in ("a", "b"):
+        out = out.join(cum.filter(F.col("side") == s).select("pair", F.col("value").alias(s), rank.alias(f"r_{s}")),
+                       ["pair", s])
+    # size and the joined totals: one row per pair
+    size = cells.groupBy("pair").agg(F.sum("n").alias("size"))
+    da, db = [F.col(f"r_{s}") - (F.col("size") + 1) / 2.0 for s in ("a", "b")]
+    r = (out.join(F.broadcast(size), "pair").groupBy("pair").agg(
+        F.sum(F.col("n") * da * db).alias("ab"), F.sum(F.col("n") * da * da).alias("aa"),
+        F.sum(F.col("n") * db * db).alias("bb"))
+        .select("pair", F.try_divide(F.col("ab"), F.sqrt(F.col("aa")) * F.sqrt(F.col("bb"))).alias("r")))
+    names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, var1 string, var2 string")
+    return names.join(r, "pair", "left").select("var1", "var2", "r")
+
+
+def spearman_pairs(df: DataFrame, cols: Sequence[str], target: str | None = None) -> DataFrame:
+    """H4/H5: Spearman r for every pair (Pearson on mid-ranks), over the rows
+    that have both values; with ``target`` also each column against it
+    (var2 = target). Columns without nulls are ranked once; pairs with nulls
+    are ranked anew on their complete rows."""
     allc = list(cols) + ([target] if target else [])
-    rk = ranks.attach_ranks(df.select(*allc), allc)
+    data = df.select(*allc)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     if target:
         pairs += [(c, target) for c in cols]
-    if len(pairs) > many_pairs:
-        nulls = rk.agg(*[F.count_if(F.col(f"{c}_rank").isNull()).alias(c) for c in allc]).first()
-        if not any(nulls[c] for c in allc):
-            return _spearman_matrix(rk, allc, pairs)
-    wide = rk.agg(*[F.corr(f"{a}_rank", f"{b}_rank").alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    return wide.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.col(f"p{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)])).alias("x")).select("x.*")
+    x = {c: F.col(c).cast("double") for c in allc}
+    lacking = data.agg(*[F.count_if(x[c].isNull() | F.isnan(x[c])).alias(c) for c in allc]).first()
+    full = [c for c in allc if not lacking[c]]
+    whole = [(a, b) for a, b in pairs if a in full and b in full]
+    rest = [p for p in pairs if p not in whole]
+    out = None
+    if whole:
+        found = _spearman_matrix(ranks.attach_ranks(data, full), full, whole)
+        out = df.sparkSession.createDataFrame(found, "var1 string, var2 string, r double")
+    if rest or out is None:
+        part = _spearman_reranked(data, rest) if rest else df.sparkSession.createDataFrame(
+            [], "var1 string, var2 string, r double")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def prune_redundant(pairs: DataFrame, strength: DataFrame, order: Sequence[str], threshold: float,

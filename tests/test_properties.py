@@ -29,15 +29,14 @@ def test_exact_quantiles_property(spark, seed, probs):
         assert abs(got[("v", round(p, 12))] - s.quantile(p)) < 1e-9
 
 
-@pytest.mark.parametrize("small_rows,partitions", [(200_000, None), (0, None), (0, 5)])
-def test_cumulative_matches_cumsum(spark, small_rows, partitions):
+@pytest.mark.parametrize("partitions", [None, 5])
+def test_cumulative_matches_cumsum(spark, partitions):
     rng = np.random.default_rng(7)
     keys = np.where(rng.random(3000) < 0.34, "hot", rng.choice(list("abcdef"), 3000))
     vals = rng.integers(0, 500, 3000)
     pdf = pd.DataFrame({"k": keys, "value": vals}).groupby(["k", "value"]).size().rename("t").reset_index()
     df = spark.createDataFrame(pdf)
-    got = ranks.cumulative(df, ("k",), "value", ("t",), partitions=partitions,
-                           small_rows=small_rows).toPandas().sort_values(["k", "value"])
+    got = ranks.cumulative(df, ("k",), "value", ("t",), partitions=partitions).toPandas().sort_values(["k", "value"])
     exp = pdf.sort_values(["k", "value"])
     exp = exp.assign(t_before=exp.groupby("k")["t"].cumsum() - exp["t"])
     assert got["t_before"].tolist() == exp["t_before"].tolist()
@@ -78,12 +77,10 @@ def test_stratified_split_exact_sizes(spark):
     assert tr.join(te, "id").count() == 0
 
 
-@pytest.mark.parametrize("small_rows", [200_000, 0])
-def test_cumulative_descending(spark, small_rows):
+def test_cumulative_descending(spark):
     rng = np.random.default_rng(13)
     pdf = pd.DataFrame({"k": rng.choice(["a", "b"], 800), "value": rng.integers(0, 300, 800)})
     pdf = pdf.groupby(["k", "value"]).size().rename("t").reset_index()
-    got = ranks.cumulative(spark.createDataFrame(pdf), ("k",), "value", ("t",), ascending=False,
-                           small_rows=small_rows).toPandas().set_index(["k", "value"])["t_before"]
+    got = ranks.cumulative(spark.createDataFrame(pdf), ("k",), "value", ("t",), ascending=False).toPandas().set_index(["k", "value"])["t_before"]
     for (k, v), before in got.items():
         assert before == pdf[(pdf.k == k) & (pdf.value > v)]["t"].sum()

@@ -132,14 +132,19 @@ def test_spearman_equals_pearson_of_ranks(spark):
     assert sp[("a", "b")] == pytest.approx(np.corrcoef(_rank(a), _rank(b))[0, 1])
 
 
-def test_spearman_matrix_path_equals_pairwise(spark):
+def test_spearman_with_and_without_nulls_equals_pandas(spark):
     rng = np.random.default_rng(11)
-    data = {f"c{i}": np.round(rng.normal(size=200), 1) for i in range(5)}
+    data = pd.DataFrame({f"c{i}": np.round(rng.normal(size=200), 1) for i in range(4)})
+    data.loc[rng.random(200) < 0.3, "c1"] = np.nan
+    data.loc[rng.random(200) < 0.2, "c3"] = np.nan
+    data["k"] = 1.0
     data["t"] = (rng.random(200) < 0.3).astype(int)
-    df = spark.createDataFrame(pd.DataFrame(data))
-    cols = [f"c{i}" for i in range(5)]
-    a = {(r["var1"], r["var2"]): r["r"] for r in stats.spearman_pairs(df, cols, "t").collect()}
-    b = {(r["var1"], r["var2"]): r["r"] for r in stats.spearman_pairs(df, cols, "t", many_pairs=0).collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        assert a[k] == pytest.approx(b[k], abs=1e-12)
+    df = spark.createDataFrame(data)
+    cols = ["c0", "c1", "c2", "c3", "k"]
+    got = {(r["var1"], r["var2"]): r["r"] for r in stats.spearman_pairs(df, cols, "t").collect()}
+    ranked = {(a, b): data[[a, b]].dropna().rank() for a, b in got}
+    assert len(got) == 15
+    for (a, b), x in ranked.items():
+        exp = x[a].corr(x[b])
+        assert got[a, b] is None if np.isnan(exp) else got[a, b] == pytest.approx(exp, abs=1e-12)
+
