@@ -79,10 +79,17 @@ def block_plan(places: DataFrame, targets: DataFrame, block_words: int) -> tuple
     return first.select("rank", "bucket", "first"), slots.select("rank", "n", F.round(F.col("target") * F.col("n") / F.col("source_size")).cast("bigint").alias("k"))
 
 
-def draw_slots(slots: DataFrame, n_shards: int, seed: int, chunk: int = 8192) -> DataFrame:
-    """One row per slot: rank, j, shard, block index."""
+def draw_slots(slots: DataFrame, n_shards: int, seed: int, chunk: int = 65_536, task_chunks: int = 4) -> DataFrame:
+    """One row per slot: rank, j, shard, block index.
+
+    Slots are made from chunks of ``chunk`` numbers. The chunks are dealt to a
+    counted number of tasks, about ``task_chunks`` each: they are few and
+    narrow, and by their size alone adaptive execution would make one task of
+    them. A slot depends on its source and number only, not on its task.
+    """
+    n_chunks = slots.agg(F.sum(F.ceil(F.col("k") / chunk))).first()[0] or 0
     spread = slots.select("rank", "n", "k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("k") - 1) / chunk))).alias("c")).where("k > 0")
-    spread = spread.repartition(F.col("rank"), F.col("c"))
+    spread = spread.repartition(max(1, -(-int(n_chunks) // task_chunks)), F.col("rank"), F.col("c"))
     last = F.least((F.col("c") + 1) * chunk, F.col("k")) - 1
     each = spread.select("rank", "n", F.explode(F.sequence(F.col("c") * chunk, last)).alias("j"))
     block = swap_or_not(F.col("j") % F.col("n"), F.col("n"), F.xxhash64(F.lit(seed), "rank", F.floor(F.col("j") / F.col("n"))), rounds=8)
