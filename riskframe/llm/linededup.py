@@ -65,7 +65,8 @@ def remove_boilerplate(docs: DataFrame, text_col: str = "text", site_col: str =
              .select(key, trimmed(F.col(line)).alias(line)).where(counts_as_line(F.col(line), min_words))
              .select(key, F.xxhash64(line).alias("line_hash")).join(remove, "line_hash", "left_semi")
              .groupBy(key).agg(F.collect_set("line_hash").alias(bad)))
-    out = docs.withColumn(key, F.xxhash64(text)).join(found, key, "left")
+    # stored: the join then reads two exchanges, and a group of equal texts can be split over tasks
+    out = docs.withColumn(key, F.xxhash64(text)).join(stored(found), key, "left")
     out = out.withColumn(parts, F.split(text, "\n", -1))
 
     def is_bad(x: Column) -> Column:
