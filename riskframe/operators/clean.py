@@ -230,7 +230,7 @@ def outlier_report(df: DataFrame, columns: Sequence[str], multiplier: float = 1.
     return rows.filter(F.col("pct") > min_pct).select(
         "column", "count", F.round("pct", 2).alias("pct"), F.round("lower_bound", 2).alias("lower_bound"),
         F.round("upper_bound", 2).alias("upper_bound"), F.round("min", 2).alias("min"),
-        F.round("max", 2).alias("max"))
+        F.round("max", 2).alias("max")).orderBy(F.col("pct").desc(), "column")
 
 
 def fit_caps(df: DataFrame, columns: Sequence[str], lower: float = 0.01,

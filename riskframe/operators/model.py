@@ -22,12 +22,16 @@ from pyspark.sql import functions as F
 from riskframe.operators import prepare, ranks, stats
 
 
-def scaler_stage(stats_: dict) -> SQLTransformer:
-    """G4 as a persistable stage: (x - mean) / std with fitted constants."""
+def scaler_stage(stats_: dict, fill: dict | None = None) -> SQLTransformer:
+    """G4 as a persistable stage: (x - mean) / std with fitted constants, after
+    the fitted ``fill`` value of the column, if it has one."""
     exprs = []
     for c, (mu, sd) in stats_.items():
         sd = sd if sd not in (None, 0.0) else 1.0
-        exprs.append(f"(CAST(`{c}` AS DOUBLE) - ({mu!r})) / ({sd!r}) AS `{c}__z`")
+        x = f"CAST(`{c}` AS DOUBLE)"
+        if fill and fill.get(c) is not None:
+            x = f"coalesce({x}, {float(fill[c])!r}D)"
+        exprs.append(f"({x} - ({mu!r})) / ({sd!r}) AS `{c}__z`")
     return SQLTransformer(statement="SELECT *, " + ", ".join(exprs) + " FROM __THIS__")
 
 
@@ -153,7 +157,7 @@ def curve_table(scored: DataFrame, score_col: str = "p1", label: str = "label")
     g = scored.groupBy(F.lit("s").alias("variable"), F.col(score_col).cast("double").alias("value")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
     cum = ranks.cumulative(g, ("variable",), "value", ("pos", "neg"), ascending=False)
-    tot = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
+    tot = cum.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()  # from the checkpointed counts
     return cum.select(F.col("value").alias("threshold"),
                       (F.col("pos_before") + F.col("pos")).alias("tp"),
                       (F.col("neg_before") + F.col("neg")).alias("fp"),
@@ -161,23 +165,30 @@ def curve_table(scored: DataFrame, score_col: str = "p1", label: str = "label")
 
 
 def roc_points(scored: DataFrame, score_col: str = "p1", label: str = "label") -> DataFrame:
-    """Threshold, fpr, tpr (every distinct score)."""
+    """Threshold, fpr, tpr (every distinct score), from the (0, 0) point at
+    an infinite threshold on. Rates of an absent class are null."""
     t = curve_table(scored, score_col, label)
-    return t.select("threshold", F.try_divide(F.col("fp").cast("double"), F.col("N")).alias("fpr"),
-                    F.try_divide(F.col("tp").cast("double"), F.col("P")).alias("tpr"))
+    pts = t.select("threshold", F.try_divide(F.col("fp").cast("double"), F.col("N")).alias("fpr"),
+                   F.try_divide(F.col("tp").cast("double"), F.col("P")).alias("tpr"))
+    start = scored.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
+    return start.unionByName(pts)
 
 
 def pr_points(scored: DataFrame, score_col: str = "p1", label: str = "label") -> DataFrame:
-    """Threshold, precision, recall."""
+    """Threshold, precision, recall, and the end point (precision 1, recall 0)
+    that has no threshold."""
     t = curve_table(scored, score_col, label)
-    return t.select("threshold", F.try_divide(F.col("tp").cast("double"), F.col("tp") + F.col("fp")).alias("precision"),
-                    F.try_divide(F.col("tp").cast("double"), F.col("P")).alias("recall"))
+    pts = t.select("threshold", F.try_divide(F.col("tp").cast("double"), F.col("tp") + F.col("fp")).alias("precision"),
+                   F.try_divide(F.col("tp").cast("double"), F.col("P")).alias("recall"))
+    end = scored.sparkSession.createDataFrame([(None, 1.0, 0.0)], "threshold double, precision double, recall double")
+    return pts.unionByName(end)
 
 
 def ks_statistic(scored: DataFrame, score_col: str = "p1", label: str = "label") -> DataFrame:
     """Max over thresholds of |TPR - FPR|."""
-    r = roc_points(scored, score_col, label)
-    return r.agg(F.max(F.abs(F.col("tpr") - F.col("fpr"))).alias("ks"))
+    t = curve_table(scored, score_col, label)
+    return t.agg(F.max(F.abs(F.try_divide(F.col("tp").cast("double"), F.col("P"))
+                             - F.try_divide(F.col("fp").cast("double"), F.col("N")))).alias("ks"))
 
 
 def lift_table(scored: DataFrame, score_col: str = "p1", label: str = "label", bins: int = 10,
@@ -295,6 +306,13 @@ def fit_logistic_smote(train: DataFrame, features: Sequence[str], target: str, k
     return st, lr.fit(fit_df)
 
 
+def scaled_bundle(lr_model, stats_: dict, features: Sequence[str], fill: dict | None = None) -> PipelineModel:
+    """A6 for ``fit_logistic_smote``: fill values, scaler, feature order and model
+    as one ``PipelineModel``, which ``score`` applies to rows with ``features``."""
+    return PipelineModel(stages=[scaler_stage({f: stats_[f] for f in features}, fill),
+                                 prepare.assembler([f"{f}__z" for f in features]), lr_model])
+
+
 def score_scaled(lr_model, stats_: dict, df: DataFrame, features: Sequence[str], target: str,
                  threshold: float = 0.5) -> DataFrame:
     """I2 for ``fit_logistic_smote``: same scaler, p1, pred, label."""

@@ -104,7 +104,8 @@ def missing_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return (long.filter(F.col("missing_count") > 0)
             .select("column", F.col("missing_count").cast("long").alias("missing_count"),
                     F.round(F.try_divide(F.col("missing_count"), F.col("n")) * 100, 2).alias("missing_pct"),
-                    dtypes[F.col("column")].alias("dtype")))
+                    dtypes[F.col("column")].alias("dtype"))
+            .orderBy(F.col("missing_count").desc(), "column"))
 
 
 def blank_string_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -115,7 +116,8 @@ def blank_string_report(df: DataFrame, columns: Sequence[str] | None = None) ->
     long = _rows_from_wide(wide, cols, {"n_blank": "{}__b", "n": "__n"})
     return (long.filter(F.col("n_blank") > 0)
             .select("column", F.col("n_blank").cast("long").alias("n_blank"),
-                    F.round(F.try_divide(F.col("n_blank"), F.col("n")) * 100, 2).alias("blank_pct")))
+                    F.round(F.try_divide(F.col("n_blank"), F.col("n")) * 100, 2).alias("blank_pct"))
+            .orderBy(F.col("n_blank").desc(), "column"))
 
 
 def duplicate_report(df: DataFrame, key: str) -> DataFrame:
@@ -297,7 +299,8 @@ def histogram(df: DataFrame, column: str, bins: int = 30, by: str | None = None)
     """Equal-width histogram; with ``by`` each class uses its own range.
 
     Edges come from a min/max aggregate (one row per class, bounded by the
-    class count); the last bin is closed; a zero-width range is one bin.
+    class count); the last bin is closed; a zero-width range is one bin; a bin
+    without rows is there with count 0.
     """
     x = F.col(column).cast("double")
     keys = [F.col(by).alias("class")] if by else [F.lit(None).cast("string").alias("class")]
@@ -308,10 +311,13 @@ def histogram(df: DataFrame, column: str, bins: int = 30, by: str | None = None)
         F.least(F.floor((F.col("x") - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))),
                 F.lit(bins - 1)))
     counted = (base.join(F.broadcast(rng), F.col("class").eqNullSafe(F.col("_class")))
-               .select("class", "lo", "hi", b.cast("int").alias("bin"))
-               .groupBy("class", "bin").agg(F.count(F.lit(1)).alias("count"),
-                                            F.first("lo").alias("lo"), F.first("hi").alias("hi")))
-    return counted.select("class", "bin",
+               .select("_class", b.cast("int").alias("bin"))
+               .groupBy(F.col("_class").alias("_c"), F.col("bin").alias("_b")).agg(F.count(F.lit(1)).alias("_n")))
+    last = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(F.lit(bins - 1))
+    grid = rng.withColumn("bin", F.explode(F.sequence(F.lit(0), last)))
+    full = (grid.join(counted, F.col("_class").eqNullSafe(F.col("_c")) & (F.col("bin") == F.col("_b")), "left")
+            .withColumn("class", F.col("_class")).withColumn("count", F.coalesce("_n", F.lit(0))))
+    return full.select("class", "bin",
                           (F.col("lo") + F.col("bin") * w).alias("left"),
                           (F.col("lo") + (F.col("bin") + 1) * w).alias("right"),
                           F.col("count").cast("long").alias("count"))

@@ -182,11 +182,12 @@ def cramers_v_long(cells: DataFrame, key: Sequence[str] = ("pair",), with_p: boo
     r, k = F.col("r").cast("double"), F.col("k").cast("double")
     out = chi.select(*key, "r", "k", F.col("_n").cast("long").alias("n"), chi2.alias("chi2"),
                      ((F.col("r") - 1) * (F.col("k") - 1)).cast("long").alias("dof"))
-    n = F.col("n").cast("double")
-    phi2c = F.greatest(F.lit(0.0), F.col("chi2") / n - (k - 1) * (r - 1) / (n - 1))
-    rc = r - F.pow(r - 1, 2) / (n - 1)
-    kc = k - F.pow(k - 1, 2) / (n - 1)
-    out = out.withColumn("V", F.sqrt(phi2c / (F.least(kc - 1, rc - 1) + 1e-10)))
+    # Bias-corrected V: association beyond what independence gives on average,
+    # over the smaller dimension less its own bias; d is a dimension less one.
+    free = F.nullif(F.col("n").cast("double") - 1, F.lit(0.0))
+    excess = F.col("chi2") / (free + 1) - F.col("dof") / free
+    smaller = F.least(*[d * (1 - d / free) for d in (r - 1, k - 1)])
+    out = out.withColumn("V", F.sqrt(F.greatest(excess, F.lit(0.0)) / (smaller + 1e-10)))
     if with_p:
         out = out.withColumn("p_value", chi2_p_udf(F.col("chi2"), F.col("dof").cast("double")))
     return out

@@ -3,9 +3,11 @@
 ``explore_and_clean``: overview, quality, duplicates and outlier reports,
 then the cleaning step, written as Parquet (partitioned by origination
 month) with the reports as CSV / JSON. ``features_and_model``: reads that
-table back, derives the features, trains the scaled + SMOTE + logistic
-model on the months before the cut, evaluates it on the months after, builds
-the monthly series reports, and saves model, metrics and importance.
+table back, derives the features (written once and read again), trains the
+scaled + SMOTE + logistic model on the months before the cut, evaluates it on
+the months after, builds the monthly series with trend and seasonality, and
+saves metrics, importance and one bundle of fill values, scaler, feature order
+and model.
 All work is Spark jobs; the driver only carries report rows and names.
 """
 
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.core import numeric_columns, string_columns
-from riskframe.operators import clean, impute, model, profile, series, validate
+from riskframe.operators import clean, features, impute, model, profile, series, validate
 from riskframe.sources import io
 
 
@@ -50,22 +52,36 @@ def explore_and_clean(df: DataFrame, out_dir: str, key: str = "CLIENT_ID", targe
 def features_and_model(spark: SparkSession, cleaned_path: str, out_dir: str, cutoff: str,
                        model_features: Sequence[str], key: str = "CLIENT_ID", target: str = "TARGET",
                        date_col: str = "DATE_MONTH") -> dict:
-    """Features -> temporal split -> SMOTE logistic -> metrics, series, saves."""
+    """Features -> temporal split -> SMOTE logistic -> metrics, series, saves.
+
+    ``model_features`` are raw or derived columns. Every fitted value comes from
+    the months before the cut. ``out_dir/model`` scores rows with those columns:
+    ``model.score(model.load_model(path), rows)``.
+    """
     out_dir = out_dir.rstrip("/")
-    df = io.load_parquet(spark, cleaned_path).drop("_month")
+    raw = io.load_parquet(spark, cleaned_path).drop("_month")
+    derived = features.engineer_features(raw, fill_exclude=(key, target), fit_df=clean.temporal_split(raw, date_col, cutoff)[0])
+    io.save_parquet(derived, f"{out_dir}/features")
+    df = io.load_parquet(spark, f"{out_dir}/features")
     tr, te = clean.temporal_split(df, date_col, cutoff)
     fill = impute.fit_numeric(tr, list(model_features), "median")
     tr, te = impute.apply_fill(tr, fill), impute.apply_fill(te, fill)
     st, lr = model.fit_logistic_smote(tr, model_features, target, key)
     scored = model.score_scaled(lr, st, te, model_features, target)
     metrics = model.classification_metrics(scored)
-    monthly = series.monthly_series(df, date_col, target, "DEFAULTS_ORIGINATION") \
-        if "DEFAULTS_ORIGINATION" in df.columns else series.monthly_volume(df, date_col, target)
+    has_attribute = "DEFAULTS_ORIGINATION" in raw.columns
+    monthly = series.monthly_series(raw, date_col, target, "DEFAULTS_ORIGINATION") \
+        if has_attribute else series.monthly_volume(raw, date_col, target)
+    io.save_report_csv(monthly.orderBy("month"), f"{out_dir}/reports/monthly_csv")
+    value = "defaults_origination" if has_attribute else "nb_defauts"
+    trend, season = series.trend(monthly, value), series.seasonality(monthly, value).orderBy("month_of_year")
     importance = spark.createDataFrame(
         [(f, float(v), abs(float(v))) for f, v in zip(model_features, lr.coefficients.toArray())],
         "feature string, coefficient double, importance double")
-    lr.write().overwrite().save(f"{out_dir}/model")
+    model.save_model(model.scaled_bundle(lr, st, model_features, fill), f"{out_dir}/model")
     io.save_report_json(metrics, f"{out_dir}/reports/metrics_json")
     io.save_report_csv(importance, f"{out_dir}/reports/importance_csv")
-    io.save_report_csv(monthly, f"{out_dir}/reports/monthly_csv")
-    return {"metrics": metrics, "importance": importance, "monthly": monthly}
+    io.save_report_json(trend, f"{out_dir}/reports/trend_json")
+    io.save_report_csv(season, f"{out_dir}/reports/seasonality_csv")
+    return {"metrics": metrics, "importance": importance, "monthly": monthly, "trend": trend, "seasonality": season,
+            "scored": scored}

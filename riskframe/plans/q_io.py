@@ -27,7 +27,7 @@ TEXT_SCHEMA = T.StructType([
 
 
 @register("a1_b2_csv_roundtrip_monthly", REGISTRY["d18_monthly_volume"].sql, ["taux_defaut"],
-          "A1 A3 B2 B3 B4")
+          "A1 B2 B3")
 def a1_b2_csv_roundtrip_monthly(spark, sf):
     """Applications -> CSV text -> load_csv (declared schema, missing tokens)
     -> lenient date / category conversion -> monthly default rate."""
@@ -37,10 +37,22 @@ def a1_b2_csv_roundtrip_monthly(spark, sf):
      .write.mode("overwrite").option("header", True).csv(path))
     df = io.load_csv(spark, path, TEXT_SCHEMA)
     df = clean.convert_dtypes(df, date_columns=["DATE_MONTH"], category_columns=["REGION"])
-    df = clean.parse_dates_strict(df, ["DATE_MONTH"])  # already typed: a no-op check
     return series.monthly_volume(df)
 
 
+@register("a2_a3_parquet_roundtrip_monthly", REGISTRY["d18_monthly_volume"].sql, ["taux_defaut"],
+          "A2 A3 B4")
+def a2_a3_parquet_roundtrip_monthly(spark, sf):
+    """Applications with text dates -> Parquet by month -> load_parquet of two
+    columns -> strict date parse -> monthly default rate."""
+    path = _scratch(spark, "parquet")
+    df = applications(spark, sf).select(F.col("DATE_MONTH").cast("string").alias("DATE_MONTH"), "TARGET", "REGION",
+                                        F.to_date("DATE_MONTH").alias("_month"))
+    io.save_parquet(df, path, partition_by=["_month"])
+    back = io.load_parquet(spark, path, ["DATE_MONTH", "TARGET"])
+    return series.monthly_volume(clean.parse_dates_strict(back, ["DATE_MONTH"]))
+
+
 QUALITY_SCHEMA = T.StructType([
     T.StructField("column", T.StringType()), T.StructField("dtype", T.StringType()),
     T.StructField("non_null", T.LongType()), T.StructField("null_count", T.LongType()),

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import functions as F
 
 from riskframe.operators import clean, features, model, neighbours, prepare, profile
@@ -71,14 +70,16 @@ cu AS (SELECT s, sum(pos) OVER (ORDER BY s DESC) AS tp, sum(neg) OVER (ORDER BY
 
 
 @register("i7_roc_points", with_fixture(_CURVE + """
-SELECT s AS threshold, fp * 1.0 / nn AS fpr, tp * 1.0 / pp AS tpr FROM cu"""),
+SELECT s AS threshold, fp * 1.0 / nn AS fpr, tp * 1.0 / pp AS tpr FROM cu
+UNION ALL SELECT CAST('Infinity' AS DOUBLE), 0.0, 0.0"""),
     ["threshold", "fpr", "tpr"], "I7")
 def i7_roc_points(spark, sf):
     return model.roc_points(_scored(spark, sf))
 
 
 @register("i9_pr_points", with_fixture(_CURVE + """
-SELECT s AS threshold, tp * 1.0 / (tp + fp) AS "precision", tp * 1.0 / pp AS recall FROM cu"""),
+SELECT s AS threshold, tp * 1.0 / (tp + fp) AS "precision", tp * 1.0 / pp AS recall FROM cu
+UNION ALL SELECT NULL, 1.0, 0.0"""),
     ["threshold", "precision", "recall"], "I9")
 def i9_pr_points(spark, sf):
     return model.pr_points(_scored(spark, sf))
@@ -107,9 +108,11 @@ def k10_lift_table(spark, sf):
 r AS (SELECT CAST(y AS VARCHAR) AS class, min(s) AS lo, max(s) AS hi FROM sc GROUP BY 1),
 h AS (SELECT r.class, lo, hi,
         CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((s - lo) * 50 / (hi - lo)), 49) END AS INTEGER) AS bin
-      FROM sc JOIN r ON CAST(sc.y AS VARCHAR) = r.class)
-SELECT class, bin, lo + bin * (hi - lo) / 50 AS "left", lo + (bin + 1) * (hi - lo) / 50 AS "right",
-       count(*) AS "count" FROM h GROUP BY class, bin, lo, hi"""), ["left", "right"], "I11 D21")
+      FROM sc JOIN r ON CAST(sc.y AS VARCHAR) = r.class),
+g AS (SELECT class, lo, hi, CAST(unnest(range(CASE WHEN hi = lo THEN 1 ELSE 50 END)) AS INTEGER) AS bin FROM r)
+SELECT g.class, g.bin, g.lo + g.bin * (g.hi - g.lo) / 50 AS "left", g.lo + (g.bin + 1) * (g.hi - g.lo) / 50 AS "right",
+       count(h.bin) AS "count"
+FROM g LEFT JOIN h ON g.class = h.class AND g.bin = h.bin GROUP BY g.class, g.bin, g.lo, g.hi"""), ["left", "right"], "I11 D21")
 def i11_score_histogram(spark, sf):
     s = _scored(spark, sf).withColumn("label", F.col("label").cast("string"))
     return profile.histogram(s, "p1", bins=50, by="label")
@@ -221,7 +224,41 @@ def i5_cross_validated_auc(spark, sf):
     return model.cross_validated_auc(tr, MODEL_FEATURES, "TARGET", "CLIENT_ID", k=5)
 
 
-@register("a6_model_roundtrip", None, [], "A6 A3")
+@register("i5_fold_sizes", with_fixture("""
+c AS (SELECT CAST(TARGET AS INTEGER) AS TARGET, count(*) AS n FROM applications GROUP BY TARGET),
+f AS (SELECT TARGET, n, CAST(unnest(range(5)) AS INTEGER) AS fold FROM c)
+SELECT TARGET, fold, CAST((n - fold + 4) // 5 AS BIGINT) AS n FROM f WHERE n > fold"""), [], "I5")
+def i5_fold_sizes(spark, sf):
+    """Rows per class and fold: positions in a class are dealt in turn."""
+    df = applications(spark, sf).select("CLIENT_ID", F.col("TARGET").cast("int").alias("TARGET"))
+    return model.fold_column(df, "TARGET", "CLIENT_ID", 5).groupBy("TARGET", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("i6_i12_gini_record", with_fixture(f"""
+sc AS (SELECT DATE_MONTH >= TIMESTAMP '{TRAIN_CUTOFF}' AS late, {SCORE_SQL} AS s, CAST(TARGET AS INTEGER) AS y FROM applications),
+rk AS (SELECT late, y, rank() OVER (PARTITION BY late ORDER BY s) + (count(*) OVER (PARTITION BY late, s) - 1) / 2.0 AS ar FROM sc),
+au AS (SELECT late, (sum(CASE WHEN y = 1 THEN ar END) - count_if(y = 1) * (count_if(y = 1) + 1) / 2.0)
+              / (count_if(y = 1) * 1.0 * count_if(y = 0)) AS auc FROM rk GROUP BY late),
+g AS (SELECT 2 * max(CASE WHEN NOT late THEN auc END) - 1 AS a, 2 * max(CASE WHEN late THEN auc END) - 1 AS b FROM au),
+n AS (SELECT a, b, a - b AS d, CASE WHEN a - b > 0.15 THEN 'strong' WHEN a - b > 0.05 THEN 'mild' ELSE 'none' END AS overfit,
+             CASE WHEN b >= 0.6 THEN 'good' WHEN b >= 0.4 THEN 'acceptable' ELSE 'weak' END AS quality FROM g)
+SELECT 'gini_train' AS metric, a AS value, overfit, quality, true AS recorded FROM n
+UNION ALL SELECT 'gini_test', b, overfit, quality, true FROM n
+UNION ALL SELECT 'gap', d, overfit, quality, true FROM n"""), ["value"], "I6 I12")
+def i6_i12_gini_record(spark, sf):
+    """Gini on both sides of the cut for the fixed score, gap, bands and record."""
+    from riskframe.operators import stats
+    df = applications(spark, sf).select("DATE_MONTH", F.col("TARGET").cast("int").alias("label"), F.expr(SCORE_SQL).alias("p1"))
+    tr, te = clean.temporal_split(df, "DATE_MONTH", TRAIN_CUTOFF)
+    g = model.gini_report(*[stats.auc(side, "p1", "label").first()["auc"] for side in (tr, te)])
+    return model.metric_record(g, spark).select(
+        "metric", "value", F.lit(g["overfit"]).alias("overfit"), F.lit(g["quality"]).alias("quality"),
+        F.col("recorded_at").isNotNull().alias("recorded"))
+
+
+@register("a6_model_roundtrip", with_fixture(f"""
+SELECT count(*) AS n, CASE WHEN count(*) > 0 THEN CAST(0 AS DOUBLE) END AS max_abs_diff
+FROM applications WHERE DATE_MONTH >= TIMESTAMP '{TRAIN_CUTOFF}'"""), ["max_abs_diff"], "A6 A3")
 def a6_model_roundtrip(spark, sf):
     """Save the whole pipeline, load it back, score again: identical."""
     tr, te = _model_frames(spark, sf)
@@ -283,19 +320,29 @@ def k12_grid_search(spark, sf):
 
 # ------------------------------------------------------------- encoders (K1-K4)
 
-@register("k1_one_hot", with_fixture("""
-SELECT SEGMENT, count(*) AS n FROM applications GROUP BY SEGMENT"""), [], "K1")
+_ONE_HOT = ["SEGMENT", "REGION"]
+
+
+@register("k1_one_hot", with_fixture(",\n".join(f"""
+d{i} AS (SELECT {c} AS value, row_number() OVER (ORDER BY {c}) - 1 AS slot
+         FROM (SELECT DISTINCT {c} FROM applications WHERE {c} IS NOT NULL))""" for i, c in enumerate(_ONE_HOT)) + "\n" + "\nUNION ALL ".join(f"""
+SELECT '{c}' AS "column", a.{c} AS value, CAST(coalesce(d{i}.slot, (SELECT count(*) FROM d{i})) AS INTEGER) AS slot,
+       1 AS slots_set, count(*) AS n
+FROM applications a LEFT JOIN d{i} ON a.{c} = d{i}.value GROUP BY ALL""" for i, c in enumerate(_ONE_HOT))), [], "K1")
 def k1_one_hot(spark, sf):
-    """One-hot codes per segment (dropLast=False): each value sets exactly
-    its own slot; counted per value."""
-    df = applications(spark, sf).select("SEGMENT")
-    idx = StringIndexer(inputCol="SEGMENT", outputCol="seg_idx", stringOrderType="alphabetAsc").fit(df)
-    oh = OneHotEncoder(inputCols=["seg_idx"], outputCols=["seg_vec"], dropLast=False).fit(idx.transform(df))
-    out = oh.transform(idx.transform(df))
+    """One-hot vectors of two columns, one of them with missing cells: the slot
+    that each value sets, how many slots are set, and the rows that have it."""
     from pyspark.ml.functions import vector_to_array
-    return out.withColumn("_a", vector_to_array("seg_vec")).filter(
-        F.aggregate("_a", F.lit(0.0), lambda acc, x: acc + x) == 1.0).groupBy("SEGMENT").agg(
-        F.count(F.lit(1)).alias("n"))
+
+    from riskframe.operators.encoders import one_hot
+    df = applications(spark, sf).select(*_ONE_HOT)
+    out = one_hot(_ONE_HOT).fit(df).transform(df)
+    cells = out.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), vector_to_array(f"{c}_ohe").alias("x"))
+        for c in _ONE_HOT])).alias("r")).select("r.*")
+    slot = (F.array_position("x", F.lit(1.0)) - 1).cast("int").alias("slot")
+    return (cells.groupBy("column", "value", slot, F.size(F.filter("x", lambda v: v != 0)).alias("slots_set"))
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 @register("k2_target_encoding", with_fixture("""
@@ -307,6 +354,22 @@ def k2_target_encoding(spark, sf):
     return target_encoding_table(applications(spark, sf), "NATION", "TARGET", smoothing=20.0)
 
 
+@register("k2_target_encoding_out_of_fold", with_fixture("""
+b AS (SELECT NATION, CAST(CLIENT_ID % 5 AS INTEGER) AS fold, TARGET AS y FROM applications),
+p AS (SELECT avg(y) AS pm FROM b),
+f AS (SELECT NATION, fold, count(*) AS nf, sum(y) AS sf FROM b GROUP BY ALL),
+t AS (SELECT NATION, sum(nf) AS nt, sum(sf) AS st FROM f GROUP BY NATION)
+SELECT f.NATION, f.fold, CASE WHEN f.NATION IS NULL THEN pm ELSE (st - sf + 20 * pm) / (nt - nf + 20) END AS NATION_te,
+       CAST(nf AS BIGINT) AS n
+FROM f JOIN t ON f.NATION IS NOT DISTINCT FROM t.NATION, p"""), ["NATION_te"], "K2")
+def k2_target_encoding_out_of_fold(spark, sf):
+    """Rows encoded from the other folds only; one row per value and fold."""
+    from riskframe.operators.encoders import target_encode
+    df = applications(spark, sf).select("NATION", "TARGET", (F.col("CLIENT_ID") % 5).cast("int").alias("fold"))
+    return (target_encode(df, "NATION", "TARGET", smoothing=20.0, fold_col="fold")
+            .groupBy("NATION", "fold", "NATION_te").agg(F.count(F.lit(1)).alias("n")))
+
+
 @register("k3_ordinal_encoding", with_fixture("""
 SELECT PRIORITY, CAST(CAST(substr(PRIORITY, 1, 1) AS INTEGER) - 1 AS INTEGER) AS PRIORITY_ord, count(*) AS n
 FROM applications GROUP BY ALL"""), [], "K3")

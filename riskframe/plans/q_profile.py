@@ -219,10 +219,11 @@ b AS (SELECT CAST(TARGET AS VARCHAR) AS class, LOAN_AMOUNT AS x FROM application
 r AS (SELECT class, min(x) AS lo, max(x) AS hi FROM b GROUP BY class),
 h AS (SELECT b.class, lo, hi,
         CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((x - lo) * 30 / (hi - lo)), 29) END AS INTEGER) AS bin
-      FROM b JOIN r ON b.class = r.class)
-SELECT class, bin, lo + bin * (hi - lo) / 30 AS "left", lo + (bin + 1) * (hi - lo) / 30 AS "right",
-       count(*) AS "count"
-FROM h GROUP BY class, bin, lo, hi"""), ["left", "right"], "D21 I11")
+      FROM b JOIN r ON b.class = r.class),
+g AS (SELECT class, lo, hi, CAST(unnest(range(CASE WHEN hi = lo THEN 1 ELSE 30 END)) AS INTEGER) AS bin FROM r)
+SELECT g.class, g.bin, g.lo + g.bin * (g.hi - g.lo) / 30 AS "left", g.lo + (g.bin + 1) * (g.hi - g.lo) / 30 AS "right",
+       count(h.bin) AS "count"
+FROM g LEFT JOIN h ON g.class = h.class AND g.bin = h.bin GROUP BY g.class, g.bin, g.lo, g.hi"""), ["left", "right"], "D21 I11")
 def d21_histogram_by_class(spark, sf):
     df = applications(spark, sf).withColumn("TARGET", F.col("TARGET").cast("string"))
     return profile.histogram(df, "LOAN_AMOUNT", bins=30, by="TARGET")
