@@ -109,6 +109,31 @@ def d9_blank_strings(spark, sf):
     return profile.blank_string_report(read_table(spark, sf, "documents"), ["text", "lang", "source"])
 
 
+def _with_blanks(df):
+    """Blank cells by key: two spaces, a no-break and an ideographic space, nothing."""
+    k = F.col("CLIENT_ID")
+    return df.withColumns({
+        "REGION": F.when(k % 11 == 0, "  ").when(k % 13 == 0, "\u00a0\u3000").otherwise(F.col("REGION")),
+        "SEGMENT": F.when(k % 17 == 0, "").otherwise(F.col("SEGMENT"))})
+
+
+@register("d9_e5_blank_cells", with_fixture("""
+c AS (SELECT count(*) AS n, count_if(CLIENT_ID % 11 = 0 OR CLIENT_ID % 13 = 0) AS r, count_if(CLIENT_ID % 17 = 0) AS s,
+             count_if(CLIENT_ID % 11 = 0 OR CLIENT_ID % 13 = 0 OR REGION IS NULL) AS rn,
+             count_if(CLIENT_ID % 17 = 0 OR SEGMENT IS NULL) AS sn FROM applications)
+SELECT 'REGION' AS "column", CAST(r AS BIGINT) AS n_blank, round(r * 100.0 / n, 2) AS blank_pct, CAST(rn AS BIGINT) AS nulls_after FROM c WHERE r > 0
+UNION ALL SELECT 'SEGMENT', CAST(s AS BIGINT), round(s * 100.0 / n, 2), CAST(sn AS BIGINT) FROM c WHERE s > 0"""),
+          ["blank_pct"], "D9 C5 E5")
+def d9_e5_blank_cells(spark, sf):
+    """Blank cells found per column (D9), and the nulls there are once they are null (E5)."""
+    from riskframe.operators import impute
+    df = _with_blanks(applications(spark, sf).select("CLIENT_ID", "REGION", "SEGMENT"))
+    filled = impute.blank_to_null(df, ["REGION", "SEGMENT"])
+    after = filled.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in ("REGION", "SEGMENT")])
+    after = after.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("nulls_after")) for c in ("REGION", "SEGMENT")])).alias("r")).select("r.*")
+    return profile.blank_string_report(df, ["REGION", "SEGMENT"]).join(F.broadcast(after), "column").orderBy(F.col("n_blank").desc(), "column")
+
+
 @register("d2_duplicate_report", with_fixture("""
 k AS (SELECT CUSTOMER_ID, DATE_MONTH, SEGMENT, count(*) AS c FROM applications
       GROUP BY ALL),
