@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.core import flag, row_mean, row_std, safe_div
 from riskframe.operators.impute import inf_to_null_median_fill
+from riskframe.session import written
 
 c = F.col
 
@@ -138,7 +139,8 @@ def engineer_features(df: DataFrame, fill_exclude=("CLIENT_ID", "TARGET"),
     """every family in order, then E7 (inf/NaN -> null -> median).
 
     With ``fit_df`` every fitted value, the fill medians included, comes from
-    its rows after the same derivation.
+    its rows after the same derivation. The derived frame is written once, so
+    that the passes for the medians and the result scan plain columns.
     """
     def derive(d: DataFrame) -> DataFrame:
         return (d.transform(financial_features).transform(behavioural_features)
@@ -146,7 +148,8 @@ def engineer_features(df: DataFrame, fill_exclude=("CLIENT_ID", "TARGET"),
                 .transform(lambda x: risk_features(x, fit_df=fit_df))
                 .transform(interaction_features))
 
-    return inf_to_null_median_fill(derive(df), exclude=fill_exclude, fit_df=None if fit_df is None else derive(fit_df))
+    return inf_to_null_median_fill(written(derive(df), "features"), exclude=fill_exclude,
+                                   fit_df=None if fit_df is None else written(derive(fit_df), "features-fit"))
 
 
 ENGINEERED = ["SAVINGS_TO_INCOME", "CHECKING_TO_INCOME", "TOTAL_BALANCE_M1", "TOTAL_BALANCE_M2",

@@ -243,6 +243,7 @@ def cross_validated_auc(df: DataFrame, features: Sequence[str], target: str, key
         m = fit_logistic(tr, features, target, categorical)
         s = score(m, te)
         rows.append((f, stats.auc(s.withColumn("label", F.col(target)), "p1", "label").first()["auc"]))
+    folded.unpersist()
     spark = df.sparkSession
     out = spark.createDataFrame(rows, "fold int, auc double")
     return out.unionByName(out.agg(F.lit(-1).alias("fold"), F.avg("auc").alias("auc"))).unionByName(

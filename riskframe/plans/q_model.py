@@ -315,6 +315,7 @@ def k12_grid_search(spark, sf):
             s = model.score(m, folded.filter(F.col("fold") == f)).withColumn("label", F.col("TARGET").cast("int"))
             aucs.append(stats.auc(s, "p1", "label").first()["auc"])
         rows.append((C, sum(aucs) / len(aucs)))
+    folded.unpersist()
     return spark.createDataFrame(rows, "C double, cv_auc double")
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "riskframe",
@@ -60,3 +61,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local_dir = tempfile.mkdtemp(prefix="riskframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local_dir)
     return sc.getCheckpointDir()
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared checkpoint folder: later passes
+    scan plain columns, pruned, and nothing upstream is computed again."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/riskframe-{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
