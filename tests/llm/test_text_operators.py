@@ -387,6 +387,19 @@ def test_kneser_ney_against_the_definition(spark):
             assert (got[i] is None) if v is None else got[i] == pytest.approx(v, rel=1e-5)
 
 
+def test_quality_of_a_language_with_an_empty_fold(spark):
+    rng = random.Random(7)
+    words = ["casa", "verde", "camino", "luz", "piedra", "tarde", "puente", "libro", "jardin", "agua"]
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5]  # fold 0 has no trusted document
+    rows = [(i, " ".join(rng.choice(words) for _ in range(80)), "es", "s", 1) for i in ids[:60]]
+    rows += [(ids[60], "".join(rng.choice("@#$%QXZ~^") for _ in range(300)), "es", "s", 1), (ids[61], "solo uno", "xx", "s", 1), (ids[62], "uno mas", "xx", "s", 1)]
+    lab = spark.createDataFrame([(i, 1, 0) for i in ids[:20]] + [(ids[61], 1, 0)], "doc_id bigint, quality int, toxic int")
+    got = {r.doc_id: r for r in quality.classify_quality(spark.createDataFrame(rows, DOC), lab).collect()}
+    assert all(got[i].keep for i in ids[:60]) and not got[ids[60]].keep
+    assert got[ids[0]].high > 0
+    assert got[ids[62]].high is None and got[ids[62]].keep  # its one trusted document cannot calibrate
+
+
 def test_quality_keeps_clean_and_drops_noise(spark, odd, none):
     rng = random.Random(4)
     words = ["quiet", "river", "under", "stone", "bridge", "light", "morning", "paper", "garden", "window"]
