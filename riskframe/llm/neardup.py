@@ -8,9 +8,13 @@
    compared with one another where one of the two entries is new; each keeps
    what is nearer than its last entry. Every pair at the threshold that is met
    on the way counts as a link, listed or not.
-4. Audit: up to ``AUDIT`` nodes are compared with all nodes by brute force;
-   rounds go on, each with a fresh deal of step 2, until the share ``RECALL``
-   of their partners is linked to them.
+4. Audit: nodes are compared with all nodes by brute force, ``AUDIT`` at first
+   and then blocks of double size, until ``PARTNERS`` true partners are known
+   or ``AUDIT_MOST`` nodes are asked. Rounds go on, each with a fresh deal of
+   step 2, until the share ``RECALL`` of the partners is linked; with fewer
+   than ``PARTNERS`` known and not all nodes asked, the lists must have
+   converged as well (at most the share ``DELTA`` of their entries new).
+   Without any partner the recall is null.
 5. A list that is all links (saturated) may miss partners that do not fit. The
    lists of linked nodes are enlarged to the whole component: its nodes are
    compared in blocks of ``BLOCK`` and the links of each are counted exactly.
@@ -33,13 +37,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import components, stored
+from riskframe.llm.common import components, portions, stored
 from riskframe.llm.vectors import groups, matrix, packed, usable
 
 K = 8
 GROUP = 256
 TABLES = 4
 AUDIT = 512
+AUDIT_MOST = 15 * AUDIT
+PARTNERS = 500
+DELTA = 0.001
 RECALL = 0.99
 BLOCK = 1024
 MAX_ROUNDS = 12
@@ -168,16 +175,15 @@ def refine(nodes: DataFrame, lists: DataFrame, kind: type, threshold: float, tur
     return compared(around.join(side, "id"), ["c"], kind, threshold, all_new=False)
 
 
-def nn_descent(nodes: DataFrame, kind: type, threshold: float, seed: int) -> tuple[DataFrame, DataFrame, float]:
-    """(lists, links, audited recall) over nodes (id, label_no, width, vec)."""
+def nn_descent(nodes: DataFrame, kind: type, threshold: float, seed: int) -> tuple[DataFrame, DataFrame, float | None]:
+    """(lists, links, audited recall or null) over nodes (id, label_no, width, vec)."""
     start = nodes.withColumn("least", F.lit(-2.0))
     found = stored(compared(dealt(start, kind, 0, TABLES, seed), ["label_no", "width", "tab", "code", "part"], kind, threshold, all_new=True))
     lists = stored(best(found.where("not link").select("u", "v", "sim", F.lit(True).alias("fresh"))))
     links = found.where(F.col("sim") >= threshold).select("u", "v")
-    audit = nodes.select("id", "vec", "label_no").orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(AUDIT).toArrow()
-    truth = stored(partners(nodes, audit, kind, threshold))
-    n_true = truth.count()
-    recall = 0.0
+    truth, n_true, whole = audited(nodes, kind, threshold, seed)
+    n_nodes = nodes.count()
+    recall = None
     for turn in range(1, MAX_ROUNDS + 1):
         step = refine(nodes, lists, kind, threshold, turn)
         if turn > 1:
@@ -188,18 +194,35 @@ def nn_descent(nodes: DataFrame, kind: type, threshold: float, seed: int) -> tup
         lists = stored(best(lists.select("u", "v", "sim", F.lit(False).alias("fresh")).unionByName(
             step.where("not link").select("u", "v", "sim", F.lit(True).alias("fresh")))))
         links = stored(links.unionByName(step.where(F.col("sim") >= threshold).select("u", "v")).distinct())
-        if not n_true:
-            return lists, links, 1.0
-        # a partner counts as found if it is linked, directly or (for enlarged lists) through the component
-        comp = stored(components(links.select(F.col("u").alias("a"), F.col("v").alias("b"))))
-        both = truth.join(comp.select(F.col("id").alias("u"), F.col("component").alias("cu")), "u", "left").join(
-            comp.select(F.col("id").alias("v"), F.col("component").alias("cv")), "v", "left")
-        recall = both.where("cu = cv").count() / n_true
-        if recall >= RECALL and (turn > 1 or recall == 1.0):
+        converged = lists.where("fresh").count() <= DELTA * K * n_nodes
+        if n_true:
+            # a partner counts as found if it is linked, directly or (for enlarged lists) through the component
+            comp = stored(components(links.select(F.col("u").alias("a"), F.col("v").alias("b"))))
+            both = truth.join(comp.select(F.col("id").alias("u"), F.col("component").alias("cu")), "u", "left").join(
+                comp.select(F.col("id").alias("v"), F.col("component").alias("cv")), "v", "left")
+            recall = both.where("cu = cv").count() / n_true
+        enough = (whole or n_true >= PARTNERS) and (turn > 1 or recall in (None, 1.0))
+        if (recall is None or recall >= RECALL) and (enough or converged):
             break
     return lists, links, recall
 
 
+def audited(nodes: DataFrame, kind: type, threshold: float, seed: int) -> tuple[DataFrame, int, bool]:
+    """((u, v) true partners of the audited nodes, their number, whether all nodes were asked)."""
+    order = nodes.select("id", "vec", "label_no").orderBy(F.xxhash64("id", F.lit(seed)), "id")
+    truth, n_true, at, size = None, 0, 0, AUDIT
+    while at < AUDIT_MOST and n_true < PARTNERS:
+        size = min(size, AUDIT_MOST - at)
+        block = order.offset(at).limit(size).toArrow()
+        found = stored(partners(nodes, block, kind, threshold))
+        truth = found if truth is None else truth.unionByName(found)
+        n_true += found.count()
+        if block.num_rows < size:
+            return truth, n_true, True
+        at, size = at + size, 2 * size
+    return truth, n_true, False
+
+
 def partners(nodes: DataFrame, asked: pa.Table, kind: type, threshold: float) -> DataFrame:
     """(u, v) links of a bounded set of nodes, by comparison with all nodes."""
     width = {}
@@ -209,7 +232,7 @@ def partners(nodes: DataFrame, asked: pa.Table, kind: type, threshold: float) ->
     held = nodes.sparkSession.sparkContext.broadcast({g: (np.array(i), np.stack(x)) for g, (i, x) in width.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, 1000):
             ids, labels = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             sizes = np.array([len(v) for v in batch.column(1).to_pylist()])
             for (g, w), (q_ids, q) in held.value.items():
@@ -267,4 +290,4 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93, id_col: str = "vec
     alone = base.where("vec is null").select("row_id", F.lit(0).cast("bigint").alias("n_links"), F.col("row_id").alias("component_id"))
     out = linked.select("row_id", "n_links", "component_id").unionByName(alone)
     return out.select(F.col("row_id").alias(id_col), F.col("n_links").cast("bigint").alias("n_links"), "component_id",
-                      F.coalesce(F.col("row_id") == F.col("component_id"), F.lit(False)).alias("kept"), F.lit(recall).alias("audit_recall"))
+                      F.coalesce(F.col("row_id") == F.col("component_id"), F.lit(False)).alias("kept"), F.lit(recall).cast("double").alias("audit_recall"))

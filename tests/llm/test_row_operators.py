@@ -182,6 +182,20 @@ def test_near_duplicates_with_repeated_and_null_ids(spark):
     assert got == [(-1, 2, 1), (1, 2, 1), (1, 2, 1), (2, 0, 2), (3, 0, 3)]
 
 
+def test_near_duplicates_audit_of_rare_partners(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    x = rng.standard_normal((400, 64)).astype(np.float32)
+    monkeypatch.setattr(neardup, "AUDIT", 8)
+    df = spark.createDataFrame(as_rows(x, np.zeros(400, int)), VEC).where("vec_id < 400")
+    monkeypatch.setattr(neardup, "AUDIT_MOST", 16, raising=False)
+    assert {r.audit_recall for r in neardup.near_duplicates(df).collect()} == {None}  # no partner known: nothing audited
+    monkeypatch.setattr(neardup, "AUDIT_MOST", 300)
+    x[390:] = x[:10] + 0.001
+    df = spark.createDataFrame(as_rows(x, np.zeros(400, int)), VEC).where("vec_id < 400")
+    got = {r.vec_id: r for r in neardup.near_duplicates(df).collect()}
+    assert all(got[390 + i].component_id == i for i in range(10)) and got[0].audit_recall == 1.0
+
+
 def test_search_recall_and_order(spark):
     rng = np.random.default_rng(9)
     x, labels = vectors(rng, n=3000)
