@@ -33,10 +33,12 @@ KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-#: Where credentials stand; group 1: the separator has a sign, group 2: the value.
+#: Up to where the value of a credential begins; group 1: the separator has a sign. The value is not part of
+#: the match, so that a value which is a context word itself ("bearer token: x") begins a match of its own.
 CONTEXT = re.compile(
     r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|auth|private)[_-]?key|bearer)["']?"""
-    r"""(?:(\x20*(?::=|=>|[:=])\x20*)|\x20+(?:is\x20+)?)["']?([^\s"'<>,;]{6,})""", re.I | re.A)
+    r"""(?:(\x20*(?::=|=>|[:=])\x20*)|\x20+(?:is\x20+)?)["']?(?=[^\s"'<>,;]{6})""", re.I | re.A)
+VALUE = re.compile(r"""[^\s"'<>,;]+""")
 WORD = re.compile(r"[a-z]{3,}")
 WORD_BITS = 18
 MAX_WORD = 24
@@ -123,18 +125,34 @@ def guess_spans(text: str, words: dict[str, float], min_bits: float) -> list[tup
 
     Without a sign between key and value the value must mix letters with
     digits or signs, so that prose after "token" or "pass" is left alone.
+    What lies inside a value that was costed is not costed again.
     """
-    out = []
+    out, costed = [], 0
     for m in CONTEXT.finditer(text):
-        start, value = m.start(2), m.group(2).rstrip(".!?:)]}|")
+        start = m.end()
+        if start < costed:
+            continue
+        value = VALUE.match(text, start).group().rstrip(".!?:)]}|")
         if len(value) < 6 or (m.group(1) is None and (value.isalpha() or not any(c.isdigit() for c in value))):
             continue
+        costed = start + len(value)
         bits = guess_bits(value, words)
         if bits >= min_bits:
             out.append((start, start + len(value), "guess", bits))
     return out
 
 
+def without_contexts(text: str) -> str:
+    """``text`` without credential contexts and their values."""
+    parts, at = [], 0
+    for m in CONTEXT.finditer(text):
+        if m.start() >= at:
+            parts.append(text[at:m.start()])
+        if m.end() >= at:
+            at = VALUE.match(text, m.end()).end()
+    return " ".join([*parts, text[at:]])
+
+
 def joined(spans: list[tuple]) -> str:
     order = {k: i for i, k in enumerate(KINDS)}
     return ",".join(f"{s[2]}:{s[0]}:{s[1]}" for s in sorted(spans, key=lambda s: (s[0], order[s[2]], s[1])))
@@ -155,7 +173,7 @@ def word_table(docs: DataFrame, text_col: str = "text") -> dict[str, float]:
         for batch in portions(batches):
             for text in batch.column(0).to_pylist():
                 if text:
-                    seen.update(WORD.findall(CONTEXT.sub(" ", text).lower()))
+                    seen.update(WORD.findall(without_contexts(text).lower()))
                 if len(seen) > 500_000:
                     yield flush()
                     seen.clear()

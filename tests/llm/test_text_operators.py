@@ -148,6 +148,17 @@ def test_context_values_add_spans(spark, odd, none):
     assert secrets.scan_secrets(none).count() == 0
 
 
+def test_a_context_word_as_value_does_not_hide_the_next_value():
+    words = dict.fromkeys(("bearer", "token", "access", "private", "secret"), 8.0)
+    for head, value in (("bearer token: ", "T0p$ecret!x9Qz"), ("token password: ", "q7#Lm!2xVb@9"),
+                        ("access_key secret: ", "w$4Zr!8pKc#1"), ("private-key passphrase: ", "u%6Hn@3tYe&5")):
+        text = f"the {head}{value} here"
+        at = text.index(value)
+        assert [s[:3] for s in secrets.guess_spans(text, words, 40.0)] == [(at, at + len(value.rstrip("!")), "guess")]
+        assert secrets.without_contexts(text).split() == ["the", "here"]
+    assert secrets.guess_spans("token=" * 100_000, words, 1e9) == []  # a long value is costed once
+
+
 # --- packing
 
 @pytest.fixture(scope="module")
