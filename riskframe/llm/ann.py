@@ -104,21 +104,29 @@ def visit_order(forest, q: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def nearest(rows: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, id, distance): the best ``k`` of ``rows`` for each query.
+    """(query row, id, distance): the best ``k`` ids of ``rows`` for each query.
 
     Products choose the rows that can be among them; their distances are then
-    computed from the differences.
+    computed from the differences. Of repeated ids the nearest row counts.
     """
     out_q, out_id, out_d = [], [], []
     norms = (rows * rows).sum(1)
+    by_id = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.r_[True, ids[by_id][1:] != ids[by_id][:-1]]) if len(ids) else by_id
     for a in range(0, len(q), 64):
         own = q[a:a + 64]
         d2 = norms[None, :] + (own * own).sum(1)[:, None] - 2 * own @ rows.T
         d2[ids[None, :] == q_ids[a:a + 64, None]] = np.inf
-        kth = np.partition(d2, min(k, len(rows)) - 1, axis=1)[:, min(k, len(rows)) - 1]
+        per_id = d2 if len(first) == len(ids) else np.minimum.reduceat(d2[:, by_id], first, axis=1)
+        kth = np.partition(per_id, min(k, len(first)) - 1, axis=1)[:, min(k, len(first)) - 1]
         slack = 1e-9 * (norms.max() + (own * own).sum(1).max())
         i, j = np.nonzero((d2 <= kth[:, None] + slack) & np.isfinite(d2))
         d = np.sqrt(((rows[j] - own[i]) ** 2).sum(1))
+        if len(first) < len(ids):
+            order = np.lexsort((d, ids[j], i))
+            i, j, d = i[order], j[order], d[order]
+            new = np.r_[True, (i[1:] != i[:-1]) | (ids[j][1:] != ids[j][:-1])][:len(i)]
+            i, j, d = i[new], j[new], d[new]
         order = np.lexsort((ids[j], d, i))
         i, j, d = i[order], j[order], d[order]
         rank = np.arange(len(i)) - np.searchsorted(i, i)

@@ -196,6 +196,19 @@ def test_near_duplicates_audit_of_rare_partners(spark, monkeypatch):
     assert all(got[390 + i].component_id == i for i in range(10)) and got[0].audit_recall == 1.0
 
 
+def test_search_counts_a_repeated_id_once(spark):
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((60, 5))
+    ids = np.arange(60)
+    one = ann.nearest(x, ids, x[:7], ids[:7], 10)
+    many = ann.nearest(np.r_[x, x, x + 9, x], np.r_[ids, ids, ids, ids], x[:7], ids[:7], 10)
+    assert all(np.allclose(a, b) for a, b in zip(one, many))
+    df = spark.createDataFrame([(int(i), v.tolist(), 1) for i, v in zip(ids, x)], VEC)
+    twice = ann.search(df.unionByName(df), df.where("vec_id < 7")).collect()
+    assert len({(r.query_id, r.vec_id) for r in twice}) == len(twice) == 70
+    assert all(r.score == pytest.approx(np.linalg.norm(x[r.query_id] - x[r.vec_id])) for r in twice)
+
+
 def test_search_recall_and_order(spark):
     rng = np.random.default_rng(9)
     x, labels = vectors(rng, n=3000)
