@@ -83,9 +83,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskframe.llm.spelling import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_toxicity, op2_secret_scan, op3_embedding_near_dedup, op4_source_mix, op5_simhash_near_dedup, op6_nearest_neighbours,
-           op7_pack, op8_quality, op9_shard, op10_line_dedup)
+           op7_pack, op8_quality, op9_shard, op10_line_dedup, op13_spelling)
     return {f.__name__: f for f in own}
 
 
