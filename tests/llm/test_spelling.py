@@ -73,8 +73,8 @@ def test_large_signatures_are_dealt_further(spark, split):
     assert found(spark, rows, split=split) == brute_force(rows)
 
 
-def test_table_against_brute_force(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+def test_table_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
     want = brute_force(rows)
     got = spelling_variants(docs).collect()
