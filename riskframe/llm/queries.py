@@ -83,6 +83,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskframe.llm.lexical import search_items
+
+    return search_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskframe.llm.spelling import spelling_variants
 
@@ -91,11 +97,11 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_toxicity, op2_secret_scan, op3_embedding_near_dedup, op4_source_mix, op5_simhash_near_dedup, op6_nearest_neighbours,
-           op7_pack, op8_quality, op9_shard, op10_line_dedup, op13_spelling)
+           op7_pack, op8_quality, op9_shard, op10_line_dedup, op12_lexical_search, op13_spelling)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    from riskframe.llm.linededup import ORACLE
+    from riskframe.llm import lexical, linededup
 
-    return {"op10_line_dedup": ORACLE}
+    return {"op10_line_dedup": linededup.ORACLE, "op12_lexical_search": lexical.ORACLE}
