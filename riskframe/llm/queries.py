@@ -83,6 +83,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskframe.llm.bpe import decode_documents, encode_documents, fit_encoder
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoder = fit_encoder(docs, tokenizer_path())
+    out = decode_documents(encode_documents(docs, encoder).drop("text"), encoder)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskframe.llm.lexical import search_items
 
@@ -97,7 +106,7 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_toxicity, op2_secret_scan, op3_embedding_near_dedup, op4_source_mix, op5_simhash_near_dedup, op6_nearest_neighbours,
-           op7_pack, op8_quality, op9_shard, op10_line_dedup, op12_lexical_search, op13_spelling)
+           op7_pack, op8_quality, op9_shard, op10_line_dedup, op11_bpe, op12_lexical_search, op13_spelling)
     return {f.__name__: f for f in own}
 
 
