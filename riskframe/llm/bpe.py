@@ -44,7 +44,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import give_back
+from riskframe.llm.common import give_back, stored
 from riskframe.session import ensure_checkpoint_dir
 
 SLICE = 4_000_000  # characters encoded together
@@ -406,14 +406,24 @@ def put_file(spark: SparkSession, data: bytes) -> str:
 def fit_encoder(docs: DataFrame, path: str, text_col: str = "text", max_words: int = MAX_WORDS) -> Encoder:
     """Encoder of the tokenizer file ``path`` with the lexicon of ``docs``.
 
-    The ``max_words`` most frequent pieces (ties: in byte order) of at most 64
-    bytes reach the driver, which compiles them; 0 makes none.
+    The most frequent pieces of at most 64 bytes, ``max_words`` at most, reach
+    the driver, which compiles them; 0 makes none. Pieces are cut off between
+    steps of frequency (16 to a doubling), so that no task sends more than is
+    taken; pieces that occur once are never taken.
     """
     vocab = Vocabulary(path)
     bare = Encoder(vocab, None)
     if not max_words:
         return bare
-    top = piece_counts(docs, bare, text_col).orderBy(F.desc("n"), "piece").limit(max_words).select("piece").collect()
+    step = F.floor(F.log2("n") * 16).cast("int")
+    counts = stored(piece_counts(docs, bare, text_col).where("n > 1").select("piece", step.alias("step")))
+    least, taken = 1 << 30, 0
+    for r in sorted(counts.groupBy("step").agg(F.count(F.lit(1)).alias("k")).collect(), reverse=True):  # at most 16 * 63 steps
+        taken += r["k"]
+        if taken > max_words:
+            break
+        least = r["step"]
+    top = counts.where(F.col("step") >= least).select("piece").collect()
     words = sorted(r["piece"].encode() for r in top)
     size = np.array([len(w) for w in words], np.int64)
     ids, count = merged(vocab, np.frombuffer(b"".join(words) or b"\0", np.uint8), np.cumsum(size) - size, size)
