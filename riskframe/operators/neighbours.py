@@ -1,15 +1,15 @@
 """Exact k nearest neighbours (G6), SMOTE (G5) and KNN imputation.
 
-Plan: donors are cut into hash blocks and queries into hash blocks, within
-their group if there is one; a cell is a pair of blocks. Both sides are dealt
-to the cells of their group by one shuffle each, and a cell's task keeps the k
+G6 and G5 run on the pivot-partitioned join of ``pivots``. E3's distance is no
+metric (it skips what is missing), so its plan is another: donors are cut into
+hash blocks and queries into hash blocks; a cell is a pair of blocks. Both sides are dealt
+to the cells by one shuffle each, and a cell's task keeps the k
 best of its donors for each of its queries (Arrow batches and numpy, never
 one row at a time between processes). The candidates of all cells (k per
 query and donor block) are merged with a top-k per query. A cell holds at most
 about ``cell_rows`` rows of either side, nothing passes through the driver or
 a broadcast, and a lost cell is redone alone. The answer is exact and no pair
-row is ever materialised; the work is still quadratic in a group's donors,
-which is what an exact search costs.
+row is ever materialised; E3's work is still quadratic in the donors.
 """
 
 from __future__ import annotations
@@ -19,9 +19,10 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskframe.operators.pivots import metric_join, numbers
 from riskframe.operators.ranks import cumulative
 from riskframe.session import ensure_checkpoint_dir
 
@@ -52,83 +53,33 @@ def _cells(queries: DataFrame, donors: DataFrame, cell_rows: int):
     return dealt(queries, "_q", "_kq", "_d", "_kd").cogroup(dealt(donors, "_d", "_kd", "_q", "_kq"))
 
 
-def _numbers(table: pa.Table, name: str) -> np.ndarray:
-    """A column as numpy array; vectors as matrix (null components: NaN)."""
-    col = table.column(name).combine_chunks()
-    if pa.types.is_list(col.type):
-        flat = col.flatten().to_numpy(zero_copy_only=False)
-        return flat.astype(np.float64).reshape(len(col), -1)
-    return col.to_numpy(zero_copy_only=False)
-
-
-def _topk(cands: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("qid").orderBy("dist", "nid")  # <= k x blocks rows per query
-    return cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-
-
-def _nearest(q_ids, q_mat, d_ids, d_mat, k: int, exclude_self: bool, query_batch: int):
-    """(qid, nid, dist) of the k donors nearest to each query, ties to the smaller id."""
-    d_sq = (d_mat * d_mat).sum(1)
-    d_max = float(d_sq.max())
-    cc = min(k + 8, len(d_ids))
-    keep = min(k, cc)
-    out = []
-    for s in range(0, len(q_ids), query_batch):
-        qm, qi = q_mat[s:s + query_batch], q_ids[s:s + query_batch]
-        q_sq = (qm * qm).sum(1)
-        # fast pre-selection with one matrix product ...
-        d2 = q_sq[:, None] + d_sq[None, :] - 2.0 * qm @ d_mat.T
-        if exclude_self:
-            d2[qi[:, None] == d_ids[None, :]] = np.inf
-        idx = np.argpartition(d2, cc - 1, axis=1)[:, :cc]
-        chosen = np.take_along_axis(d2, idx, 1)
-        # ... then exact distances (direct differences) for the candidates
-        exact = ((qm[:, None, :] - d_mat[idx]) ** 2).sum(-1)
-        exact[np.isinf(chosen)] = np.inf
-        near_ids = d_ids[idx]
-        order = np.lexsort((near_ids, exact), axis=1)[:, :keep]
-        best, best_ids = np.take_along_axis(exact, order, 1), np.take_along_axis(near_ids, order, 1)
-        # exact unless a donor that was not chosen could tie or beat the k-th
-        slack = 1e-9 * (q_sq + d_max) + 1e-300
-        unsure = (cc < len(d_ids)) & ~(best[:, -1] < chosen.max(1) - slack)
-        for r in np.flatnonzero(unsure):
-            e = ((d_mat - qm[r]) ** 2).sum(1)
-            if exclude_self:
-                e[d_ids == qi[r]] = np.inf
-            o = np.lexsort((d_ids, e))[:keep]
-            best[r], best_ids[r] = e[o], d_ids[o]
-        ok = np.isfinite(best).ravel()
-        out.append((np.repeat(qi, keep)[ok], best_ids.ravel()[ok], np.sqrt(best.ravel()[ok])))
-    return [np.concatenate(x) for x in zip(*out)]
-
-
 def knn(queries: DataFrame, donors: DataFrame, id_col: str, vec_col: str, k: int = 5,
-        same: str | None = None, exclude_self: bool = True, cell_rows: int = 20000,
-        query_batch: int = 512) -> DataFrame:
+        same: str | None = None, exclude_self: bool = True, cell_rows: int = 20000) -> DataFrame:
     """(qid, nid, dist, rank) -- the k nearest donors of each query by
     Euclidean distance, optionally only donors with the same ``same`` value
-    (SMOTE: same class; null equals null), excluding the query itself. Rows
-    without a vector take no part."""
-    group = F.to_json(F.struct(F.col(same).alias("g"))) if same else F.lit("")
+    (SMOTE: same class; null equals null), excluding the query itself.
+
+    Equal distances go to the smaller id. Rows whose vector is null, empty or
+    holds null or non-finite components take no part, and vectors of different
+    lengths are no neighbours. The plan is ``pivots.metric_join``.
+    """
+    group = F.to_json(F.struct(F.col(same).alias("g"), F.size("_v").alias("n"))) if same else F.size("_v").cast("string")
     ensure_checkpoint_dir(queries.sparkSession)
 
     def side(df: DataFrame) -> DataFrame:  # read several times: cut the lineage first
-        rows = df.select(F.col(id_col).cast("long").alias("_id"), F.col(vec_col).cast("array<double>").alias("_v"),
-                         group.alias("_g"))
-        return rows.filter(F.col("_v").isNotNull()).checkpoint(eager=True)
+        rows = df.withColumn("_v", F.col(vec_col).cast("array<double>")).select(F.col(id_col).cast("long").alias("_id"), "_v", group.alias("_g"))
+        finite = F.forall("_v", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+        return rows.filter((F.size("_v") > 0) & finite).checkpoint(eager=True)
 
     d_rows = side(donors)
     q_rows = d_rows if queries is donors else side(queries)
+    return metric_join(q_rows, d_rows, k, exclude_self, cell_rows)
 
-    def search(q: pa.Table, d: pa.Table) -> pa.Table:
-        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        if q.num_rows and d.num_rows:
-            found = _nearest(_numbers(q, "_id"), _numbers(q, "_v"), _numbers(d, "_id"), _numbers(d, "_v"),
-                             k, exclude_self, query_batch)
-        return pa.table(dict(zip(("qid", "nid", "dist"), map(pa.array, found))))
 
-    cands = _cells(q_rows, d_rows, cell_rows).applyInArrow(search, "qid long, nid long, dist double")
-    return _topk(cands, k)
+def keyed_draw(*parts) -> Column:
+    """A long of 0 to 2^60 - 1: the first 15 hex digits of md5 of the parts,
+    as text, joined by colons."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 15), 16, 10).cast("long")
 
 
 def smote(train: DataFrame, id_col: str, vec_col: str, target: str, k: int = 5, seed: int = 42,
@@ -138,8 +89,9 @@ def smote(train: DataFrame, id_col: str, vec_col: str, target: str, k: int = 5,
     new = x + u * (neighbour - x), neighbour one of the k nearest minority
     rows. Each minority row makes q or q + 1 copies (q, r = divmod(deficit,
     n_minority); the r extra copies go to the rows first in hash order);
-    neighbour choice and u come from xxhash64(id, copy, seed), so the result
-    does not depend on partitioning or retries. Output: id (negative for
+    order, neighbour choice and u come from md5 of id, copy and seed
+    (``keyed_draw``), so the result does not depend on partitioning or retries
+    and another engine can repeat it. Output: id (negative for
     synthetic rows), vector, target, synthetic flag.
     """
     counts = {r[0]: r[1] for r in train.groupBy(target).count().collect()}
@@ -155,15 +107,15 @@ def smote(train: DataFrame, id_col: str, vec_col: str, target: str, k: int = 5,
         raise ValueError("SMOTE needs two minority rows at least")
     near = min(k, n_min - 1)  # neighbours that exist
     q, r = divmod(deficit, n_min)
-    pos = cumulative(mino.withColumn("_h", F.xxhash64("_id", F.lit(seed))).withColumn("variable", F.lit(1))
+    pos = cumulative(mino.withColumn("_h", keyed_draw("_id", F.lit(seed))).withColumn("variable", F.lit(1))
                      .withColumn("_one", F.lit(1)), ("variable",), "_h", ("_one",))
     # synthetic ids count down from -1 by position and copy
     copies = pos.withColumn("_c", F.lit(q) + (F.col("_one_before") < r).cast("int")).filter(F.col("_c") > 0)
     nn = knn(mino, mino, "_id", "_v", k=near, cell_rows=cell_rows).select(
         F.col("qid").alias("_id"), F.col("rank").alias("_nr"), F.col("nid"))
     draws = copies.select("_id", "_v", "_one_before", F.explode(F.sequence(F.lit(1), F.col("_c"))).alias("_j")) \
-        .withColumn("_nr", (F.pmod(F.xxhash64("_id", "_j", F.lit(seed)), F.lit(near)) + 1).cast("int")) \
-        .withColumn("_u", F.pmod(F.xxhash64("_id", "_j", F.lit(seed + 1)), F.lit(1 << 30)) / float(1 << 30))
+        .withColumn("_nr", (F.pmod(keyed_draw("_id", "_j", F.lit(seed)), F.lit(near)) + 1).cast("int")) \
+        .withColumn("_u", F.pmod(keyed_draw("_id", "_j", F.lit(seed + 1)), F.lit(1 << 30)) / float(1 << 30))
     nbr_v = mino.select(F.col("_id").alias("nid"), F.col("_v").alias("_nv"))
     syn = (draws.join(nn, ["_id", "_nr"]).join(nbr_v, "nid")
            .select((-(F.col("_one_before") * (q + 1) + F.col("_j"))).alias("_id"),
@@ -299,8 +251,8 @@ def knn_impute(df: DataFrame, id_col: str, columns: Sequence[str], k: int = 5,
     def search(q: pa.Table, d: pa.Table) -> pa.Table:
         if not q.num_rows or not d.num_rows:
             return none
-        q_mat, d_mat = (np.column_stack([_numbers(t, n).astype(np.float64) for n in names]) for t in (q, d))
-        found = _impute_kernel(_numbers(q, "_id"), q_mat, _numbers(d, "_id"), d_mat, k, m, window, batch_elems)
+        q_mat, d_mat = (np.column_stack([numbers(t, n).astype(np.float64) for n in names]) for t in (q, d))
+        found = _impute_kernel(numbers(q, "_id"), q_mat, numbers(d, "_id"), d_mat, k, m, window, batch_elems)
         return none if found is None else pa.Table.from_pandas(found, none.schema, preserve_index=False)
 
     cands = _cells(base.filter(lacking == 1), base, cell_rows).applyInArrow(search, schema)

@@ -425,6 +425,52 @@ def g5_smote_rows(spark, sf):
     return neighbours.smote(e, "vec_id", "embedding", "y", k=5, seed=42)
 
 
+_SPACE = ["LOAN_AMOUNT / 1000.0", "INCOME_MONTHLY / 100.0", "N_ITEMS * 1.0", "AVG_DAYS_TO_SHIP * 1.0", "PRICE_M1 / 1000.0"]
+_SPACE_SQL = f"""x AS (SELECT * FROM (SELECT CLIENT_ID AS id, CAST(TARGET AS INTEGER) AS y, {', '.join(f'{e} AS x{i}' for i, e in enumerate(_SPACE))}
+                  FROM applications) q WHERE {' AND '.join(f'x{i} IS NOT NULL' for i in range(len(_SPACE)))}),
+cl AS (SELECT y, count(*) AS n FROM x GROUP BY y),
+t AS (SELECT y AS minor, n AS n_min, (SELECT max(n) FROM cl) - n AS deficit FROM cl ORDER BY n, y LIMIT 1),
+m AS (SELECT x.* FROM x JOIN t ON x.y = t.minor),
+nn AS (SELECT * FROM (SELECT a.id AS qid, b.id AS nid, sqrt({' + '.join(f'(a.x{i} - b.x{i}) * (a.x{i} - b.x{i})' for i in range(len(_SPACE)))}) AS dist,
+              row_number() OVER (PARTITION BY a.id ORDER BY sqrt({' + '.join(f'(a.x{i} - b.x{i}) * (a.x{i} - b.x{i})' for i in range(len(_SPACE)))}), b.id) AS rank
+       FROM m a JOIN m b ON a.id <> b.id) q WHERE rank <= 5)"""
+
+
+def _space(spark, sf):
+    """Applicants as points of five features, in units of comparable size."""
+    df = applications(spark, sf).select(F.col("CLIENT_ID").alias("id"), F.col("TARGET").cast("int").alias("y"),
+                                        F.array(*[F.expr(e).cast("double") for e in _SPACE]).alias("v"))
+    return df.where(F.forall("v", lambda c: c.isNotNull()))
+
+
+@register("g6_knn_applicants", with_fixture(_SPACE_SQL + """
+SELECT qid, nid, dist, CAST(rank AS INTEGER) AS rank FROM nn"""), ["dist"], "G6")
+def g6_knn_applicants(spark, sf):
+    """5 nearest neighbours of every row of the smaller class, within the class."""
+    df = _space(spark, sf)
+    minor = df.groupBy("y").count().orderBy("count", "y").first()["y"]
+    rows = df.where(F.col("y") == minor)
+    return neighbours.knn(rows, rows, "id", "v", k=5).select("qid", "nid", "dist", F.col("rank").cast("int").alias("rank"))
+
+
+_DRAW = "CAST('0x' || substr(md5(concat_ws(':', {})), 1, 15) AS BIGINT)"
+
+
+@register("g5_smote_applicants", with_fixture(_SPACE_SQL + f""",
+pos AS (SELECT m.*, row_number() OVER (ORDER BY {_DRAW.format("id, 42")}) - 1 AS pos FROM m),
+cp AS (SELECT pos.*, t.deficit // t.n_min AS q, t.deficit // t.n_min + CASE WHEN pos < t.deficit % t.n_min THEN 1 ELSE 0 END AS c FROM pos, t),
+j AS (SELECT *, unnest(range(1, c + 1)) AS j FROM cp),
+dr AS (SELECT *, {_DRAW.format("id, j, 42")} % 5 + 1 AS nr, ({_DRAW.format("id, j, 43")} % 1073741824) / 1073741824.0 AS u FROM j)
+SELECT id, y, false AS synthetic, {', '.join(f'x{i}' for i in range(len(_SPACE)))} FROM x
+UNION ALL
+SELECT -(dr.pos * (dr.q + 1) + dr.j), dr.y, true, {', '.join(f'dr.x{i} + dr.u * (b.x{i} - dr.x{i})' for i in range(len(_SPACE)))}
+FROM dr JOIN nn ON nn.qid = dr.id AND nn.rank = dr.nr JOIN m b ON b.id = nn.nid"""), [f"x{i}" for i in range(len(_SPACE))], "G5 G6")
+def g5_smote_applicants(spark, sf):
+    """All rows of SMOTE over the applicants' features, original and synthetic."""
+    out = neighbours.smote(_space(spark, sf), "id", "v", "y", k=5, seed=42)
+    return out.select("id", "y", "synthetic", *[F.col("v")[i].alias(f"x{i}") for i in range(len(_SPACE))])
+
+
 _E3 = ["LOAN_AMOUNT", "INCOME_MONTHLY", "PRICE_M1", "PRICE_M2", "PRICE_M3"]
 
 

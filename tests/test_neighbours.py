@@ -76,3 +76,59 @@ def test_knn_impute_multi_block_equals_brute_force(spark):
         for j in np.flatnonzero(np.isnan(mat[q])):
             exp = np.mean(picks[(q, j)]) if (q, j) in picks else means[j]
             assert got.loc[q, cols[j]] == pytest.approx(exp)
+
+
+def _brute_knn(ids, v, g, queries, k):
+    out = []
+    for i in queries:
+        e = np.sqrt(((v - v[i]) ** 2).sum(1))
+        e[ids == ids[i]] = np.inf
+        e[g != g[i]] = np.inf
+        out += [(ids[i], ids[j], r) for r, j in enumerate(np.lexsort((ids, e))[:k], 1) if np.isfinite(e[j])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize(("dim", "cell_rows", "per_pivot"), [(2, 60, 8), (2, 5000, 30), (6, 100, 16), (1, 40, 5)])
+def test_metric_join_equals_brute_force(spark, dim, cell_rows, per_pivot):
+    """Ties, copies beyond a block, a dense clump, far rows, small groups."""
+    from riskframe.operators.pivots import metric_join
+    rng = np.random.default_rng(dim)
+    v = np.round(rng.normal(size=(900, dim)), 1)
+    v[:250] = v[0]  # copies
+    v[250:450] = v[250] + np.round(rng.normal(size=(200, dim)) * 1e-3, 4)
+    v[-5:] = 1e4 * rng.normal(size=(5, dim))
+    ids = rng.permutation(900) * 3
+    g = np.where(np.arange(900) % 40 == 7, "b", np.where(np.arange(900) == 13, "c", "a"))
+    df = spark.createDataFrame(pd.DataFrame({"_id": ids, "_v": list(v), "_g": g}), "_id long, _v array<double>, _g string").checkpoint()
+    got = metric_join(df, df, 4, True, cell_rows, per_pivot=per_pivot).collect()
+    assert sorted((r["qid"], r["nid"], r["rank"]) for r in got) == _brute_knn(ids, v, g, range(900), 4)
+
+
+def test_metric_join_sees_few_cells_of_a_low_dimensional_table(spark):
+    """Copies of a query stay near constant while donors grow tenfold."""
+    from riskframe.operators import pivots
+    rng = np.random.default_rng(4)
+    seen = []
+    for n in (2000, 20000):
+        v = rng.random((n, 2))
+        size = 128
+        p = v[: n // size]
+        cell = pivots._between(v, p)[0].argmin(1)
+        to = np.sqrt(((v - p[cell]) ** 2).sum(1))
+        cells, first = np.unique(np.sort(cell), return_index=True)
+        o = np.argsort(cell, kind="stable")
+        low, high = np.minimum.reduceat(to[o], first), np.maximum.reduceat(to[o], first)
+        count = np.diff(np.r_[first, n])
+        block = pivots.blocks_of(p, cells, count, 500)
+        q = rng.integers(0, n, 200)
+        bound = pivots.upper_bounds(q, v[q], p, np.arange(len(p)), cells, count, high, np.ones(len(cells), bool), 5, True)
+        hit = pivots.lower_bounds(v[q], p, cells, low, high) <= bound[:, None]
+        seen.append(np.mean([len(set(block[h])) for h in hit]))
+    assert seen[1] < 1.5 * seen[0] < 9
+
+
+def test_knn_leaves_out_what_is_no_vector(spark):
+    rows = [(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [float("nan"), 0.0]), (5, [None, 1.0]), (6, []), (7, [1.0]), (8, [2.0]), (9, [float("inf"), 1.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    assert sorted((r["qid"], r["nid"]) for r in knn(df, df, "id", "v", k=3).collect()) == [(1, 2), (2, 1), (7, 8), (8, 7)]
+    assert knn(df.limit(0), df, "id", "v").count() == 0 and knn(df, df.limit(0), "id", "v").count() == 0
