@@ -33,7 +33,6 @@ import heapq
 import json
 import re
 import unicodedata
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,11 +40,10 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401  pa.compute
 import regex
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import give_back, stored
-from riskframe.session import ensure_checkpoint_dir
+from riskframe.llm.common import give_back, put_file, stored
 
 SLICE = 4_000_000  # characters encoded together
 MAX_WORDS = 131_072
@@ -390,19 +388,6 @@ def piece_counts(docs: DataFrame, encoder: Encoder, text_col: str) -> DataFrame:
     return rows.groupBy("piece").agg(F.sum("n").alias("n"))
 
 
-def put_file(spark: SparkSession, data: bytes) -> str:
-    """Write a file to the shared folder and have Spark hand it to executors."""
-    name = f"lexicon-{uuid.uuid4().hex}.bin"
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}")
-    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
-    try:
-        out.write(bytearray(data))
-    finally:
-        out.close()
-    spark.sparkContext.addFile(path.toString())
-    return name
-
-
 def fit_encoder(docs: DataFrame, path: str, text_col: str = "text", max_words: int = MAX_WORDS) -> Encoder:
     """Encoder of the tokenizer file ``path`` with the lexicon of ``docs``.
 
@@ -428,7 +413,7 @@ def fit_encoder(docs: DataFrame, path: str, text_col: str = "text", max_words: i
     size = np.array([len(w) for w in words], np.int64)
     ids, count = merged(vocab, np.frombuffer(b"".join(words) or b"\0", np.uint8), np.cumsum(size) - size, size)
     parts = transducer(words) | {"first": np.r_[0, np.cumsum(count)], "ids": ids}
-    return Encoder(vocab, put_file(docs.sparkSession, packed(parts)))
+    return Encoder(vocab, put_file(docs.sparkSession, packed(parts), "lexicon"))
 
 
 def encode_documents(docs: DataFrame, encoder: Encoder, text_col: str = "text") -> DataFrame:

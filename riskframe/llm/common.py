@@ -6,6 +6,7 @@ import ctypes
 import gc
 import math
 import random
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,21 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def put_file(spark: SparkSession, data: bytes, tag: str) -> str:
+    """Write a file to the shared folder and have Spark hand it to executors,
+    also to those that start later; tasks find it by ``SparkFiles.get``."""
+    name = f"{tag}-{uuid.uuid4().hex}.bin"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    try:
+        for k in range(0, len(data), 1 << 22):
+            out.write(bytearray(data[k:k + (1 << 22)]))
+    finally:
+        out.close()
+    spark.sparkContext.addFile(path.toString())
+    return name
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast for a narrow table of at most ``max_rows`` counted rows.
 

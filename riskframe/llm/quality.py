@@ -1,52 +1,59 @@
 """Quality classifier: interpolated modified Kneser-Ney over characters.
 
 Models are trained on the trusted documents of a language, whole texts: one for
-each fold, from all the other folds, so that every trusted document is scored
-out of sample. A language with fewer than ``SMALL`` trusted documents has
-``FOLDS`` folds, others have 2. The remaining documents take the model without
-fold 0, which has learnt as much as those that calibrate. N-grams are runs of ``ORDER`` characters with
-start signs before each text, 12 bits a character, so that context and suffix
-of an n-gram are shifts and masks. Tasks count their n-grams, a grouped sum
-merges them; discounts, back-off weights and probabilities come from grouped
-aggregates and joins of the count tables, sharded by language and n-gram.
-
-Scoring joins the positions of every text with the model. The model is cut
-into shards of at most ``SHARD_ROWS`` entries by the two characters before the
-predicted one (a position finds its whole back-off chain in one shard); each
-shard is broadcast and scanned against the texts, and the partial sums of a
-text are added up. The texts are never shuffled.
+each of ``FOLDS`` folds, from all the other folds, so that every trusted
+document is scored out of sample. The remaining documents take the model
+without fold 0, which has learnt as much as those that calibrate. N-grams are
+runs of ``ORDER`` characters with start signs before each text, 12 bits a
+character, so that context and suffix of an n-gram are shifts and masks. Tasks
+count their n-grams, a grouped sum merges them; discounts, back-off weights and
+probabilities come from grouped aggregates and joins of the count tables,
+sharded by language and n-gram.
+
+Scoring joins the positions of every text with the model, by language and
+shard. A shard holds about ``SHARD_ROWS`` entries, cut by the two characters
+before the predicted one (a position finds its whole back-off chain in one
+shard). Tasks pack each shard into a hash table; the tables become files in the
+shared folder, one at a time, that Spark hands to the executors, and scoring
+tasks map them into memory. So the driver holds one table at a time and no task
+holds more than it touches. The texts are scanned once for scores and are never
+shuffled.
 
 The log-perplexity per character of a text is compared with a quantile of the
-out-of-sample values of its language's trusted documents. Short texts scatter more, so the
-distance from the language's median is scaled by ``sqrt(n / (n + SHORT))``
-first.
+out-of-sample values of its language's trusted documents. Short texts scatter
+more, so the distance from the language's median is scaled by
+``sqrt(n / (n + SHORT))`` first.
 
 Defined cases: null and empty texts, and languages without trusted text (null
 included), have no perplexity and are kept; a language whose trusted documents
-are all in one fold, or all alike, has no limit and keeps everything; repeated rows are scored each;
-null ids are kept; conflicting repeated labels of an id make it untrusted; an
-empty table gives no rows; extra columns are ignored.
+are all in one fold, or all alike, has no limit and keeps everything; texts of
+any length are whole; repeated rows are scored each; null ids are kept;
+conflicting repeated labels of an id make it untrusted; an empty table gives no
+rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import broadcast_if_small, portions, stored
+from riskframe.llm.common import broadcast_if_small, portions, put_file, stored
 
 ORDER = 5
 BITS = 12
 MASK = (1 << BITS) - 1
 EXACT = 3071  # code points below get a symbol each; the rest share 1,024
-SHARD_ROWS = 4_000_000
+SHARD_ROWS = 2_000_000
 SHORT = 200
-FOLDS = 5
-SMALL = 1000
+FOLDS = 2
+OUTER = 0.005  # share of trusted documents beyond the limit
 CHUNK = 1 << 18
 
 
@@ -169,9 +176,13 @@ class Lookup:
     """Open-addressing table of (tag, key) -> float32 as numpy arrays."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        self.bits = max(4, int(1.4 * len(keys)).bit_length())
-        self.keys = np.zeros(1 << self.bits, np.uint64)
-        self.values = np.zeros(1 << self.bits, np.float32)
+        self.keys, self.values = keys, values
+        self.bits = len(keys).bit_length() - 1
+
+    @classmethod
+    def of(cls, keys: np.ndarray, values: np.ndarray) -> Lookup:
+        size = 1 << max(4, int(1.4 * len(keys)).bit_length())
+        self = cls(np.zeros(size, np.uint64), np.zeros(size, np.float32))
         todo = np.arange(len(keys))
         at = self._slot(keys)
         while len(todo):
@@ -181,7 +192,17 @@ class Lookup:
             won = self.keys[at[trying]] == keys[trying]
             self.values[at[trying[won]]] = values[trying[won]]
             todo = np.concatenate([trying[~won], todo[~free]])
-            at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
+            at[todo] = (at[todo] + 1) & (size - 1)
+        return self
+
+    def packed(self) -> bytes:
+        return self.keys.astype("<u8").tobytes() + self.values.astype("<f4").tobytes()
+
+    @classmethod
+    def mapped(cls, path: str) -> Lookup:
+        """The table of a file, mapped into memory."""
+        size = os.path.getsize(path) // 12
+        return cls(np.memmap(path, "<u8", "r", shape=(size,)), np.memmap(path, "<f4", "r", offset=8 * size, shape=(size,)))
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -231,89 +252,89 @@ def shard_of(two: Column, n: int) -> Column:
     return F.pmod(F.shiftright(two, BITS) * 31 + two.bitwiseAND(F.lit(MASK)), F.lit(n))
 
 
+def model_files(model: DataFrame, n_shards: int) -> tuple[dict[str, float], dict[tuple[str, int], str]]:
+    """Log probability of an unknown symbol by language, and the file of every
+    (language, shard). Entries without two characters of context go to all shards."""
+    two = F.when(F.col("tag").between(3, ORDER), F.shiftright("g", BITS)).when(F.col("tag") >= 10, F.col("g"))
+    two = two.bitwiseAND(F.lit((1 << (2 * BITS)) - 1))
+    every = F.sequence(F.lit(0), F.lit(n_shards - 1))
+    rows = (model.where("tag > 0").withColumn("shard", F.explode(F.when(two.isNull(), every).otherwise(F.array(shard_of(two, n_shards).cast("int")))))
+            .select("lang", "shard", "tag", "g", F.col("v").cast("float").alias("v")))
+
+    def pack(t: pa.Table) -> pa.Table:
+        tags, keys, values = (t.column(c).to_numpy() for c in ("tag", "g", "v"))
+        data = Lookup.of(keys.astype(np.uint64) | (tags.astype(np.uint64) << np.uint64(60)), values).packed()
+        return pa.table({"lang": [t.column("lang")[0].as_py()], "shard": pa.array([t.column("shard")[0].as_py()], pa.int32()), "data": pa.array([data], pa.binary())})
+
+    tables = stored(rows.groupBy("lang", "shard").applyInArrow(pack, "lang string, shard int, data binary"))
+    unknown = {r["lang"]: r["v"] for r in model.where("tag = 0").select("lang", "v").collect()}  # a row per language
+    names = {}
+    for r in tables.select("lang", "shard").collect():
+        data = tables.where((F.col("lang") == r["lang"]) & (F.col("shard") == r["shard"])).first()["data"]  # one at a time
+        names[r["lang"], r["shard"]] = put_file(model.sparkSession, bytes(data), "ngrams")
+    return unknown, names
+
+
 def score_texts(texts: DataFrame, model: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(id, lang, text_hash, n, lp) of an (id, lang, text) table.
 
     ``n`` is the number of characters, ``lp`` the log probability of the text:
     null for languages without a model and for empty texts.
     """
-    sc = texts.sparkSession.sparkContext
     id_type = texts.schema["id"].dataType.simpleString()
     n_shards = max(1, -(-model.count() // shard_rows))
-    two = F.when(F.col("tag").between(3, ORDER), F.shiftright("g", BITS)).when(F.col("tag") >= 10, F.col("g"))
-    two = two.bitwiseAND(F.lit((1 << (2 * BITS)) - 1))
-    model = model.withColumn("shard", shard_of(two, n_shards))
-    parts = []
-    for s in range(n_shards):
-        rows = model.where((F.col("shard") == s) | F.col("shard").isNull()).select("lang", "tag", "g", F.col("v").cast("float").alias("v")).toArrow()
-        langs = np.asarray(rows.column("lang").to_pylist(), dtype=object)
-        tags, g, v = (rows.column(c).to_numpy() for c in ("tag", "g", "v"))
-        packed = {}
-        for lang in set(langs.tolist()):
-            own = langs == lang
-            unknown = float(v[own & (tags == 0)][0])
-            own &= tags > 0
-            packed[lang] = (g[own].astype(np.uint64) | (tags[own].astype(np.uint64) << np.uint64(60)), v[own], unknown)
-        held = sc.broadcast(packed)
-
-        def run(batches: Iterator[pa.RecordBatch], held=held, s=s) -> Iterator[pa.RecordBatch]:
-            tables: dict[str, tuple[Lookup, float]] = {}
-            for batch in portions(batches):
-                langs, texts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-                total, size = np.full(len(texts), np.nan), np.array([len(t or "") for t in texts], dtype=np.int64)
-                for lang in set(langs):
-                    if lang not in held.value:
-                        continue
-                    if lang not in tables:
-                        keys, values, unknown = held.value[lang]
-                        tables[lang] = Lookup(keys, values), unknown
-                    at = [i for i, x in enumerate(langs) if x == lang and texts[i]]
-                    for a, b in by_chunks([texts[i] for i in at]):
-                        keys, sizes = keys_of([texts[i] for i in at[a:b]])
-                        lp = np.zeros(len(keys))
-                        mine = slice(None) if n_shards == 1 else np.flatnonzero(
-                            (((keys >> (2 * BITS)) & MASK) * 31 + ((keys >> BITS) & MASK)) % n_shards == s)
-                        lp[mine] = log_probs(*tables[lang], keys[mine])
-                        total[at[a:b]] = np.add.reduceat(lp, np.cumsum(sizes) - sizes)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(size),
-                                                  pa.array(total, pa.float64(), mask=np.isnan(total))], names=["id", "lang", "h", "n", "lp"])
-
-        parts.append(texts.select("id", "lang", "text", F.xxhash64("text")).mapInArrow(run, f"id {id_type}, lang string, h bigint, n bigint, lp double"))
-    out = parts[0]
-    if n_shards > 1:
-        # Equal rows of a shard have equal parts: one of them, summed over the shards, then back to all rows.
-        keys = ["id", "lang", "h", "n"]
-        whole = None
-        for p in parts:
-            p = p.groupBy(*keys).agg(F.max("lp").alias("lp"))
-            whole = p if whole is None else whole.unionByName(p)
-        whole = whole.groupBy(*keys).agg(F.sum("lp").alias("lp"))
-        same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in keys]
-        out = parts[0].select(*keys).alias("a").join(whole.alias("b"), same).select(*[f"a.{c}" for c in keys], "b.lp")
-    return out.select("id", "lang", F.col("h").alias("text_hash"), "n", "lp")
+    unknown, names = model_files(model, n_shards)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables: dict[tuple[str, int], Lookup] = {}
+        none = Lookup.of(np.zeros(0, np.uint64), np.zeros(0, np.float32))
+
+        def table_of(lang: str, s: int) -> Lookup:
+            if (lang, s) not in tables:
+                tables[lang, s] = Lookup.mapped(SparkFiles.get(names[lang, s])) if (lang, s) in names else none
+            return tables[lang, s]
+
+        for batch in portions(batches):
+            langs, texts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            total, size = np.full(len(texts), np.nan), np.array([len(t or "") for t in texts], dtype=np.int64)
+            for lang in set(langs) & unknown.keys():
+                at = [i for i, x in enumerate(langs) if x == lang and texts[i]]
+                for a, b in by_chunks([texts[i] for i in at]):
+                    keys, sizes = keys_of([texts[i] for i in at[a:b]])
+                    lp = np.zeros(len(keys))
+                    shard = (((keys >> (2 * BITS)) & MASK) * 31 + ((keys >> BITS) & MASK)) % n_shards
+                    order = np.argsort(shard, kind="stable")
+                    ends = np.searchsorted(shard[order], np.arange(n_shards + 1))
+                    for s in range(n_shards):
+                        mine = order[ends[s]:ends[s + 1]]
+                        if len(mine):
+                            lp[mine] = log_probs(table_of(lang, s), unknown[lang], keys[mine])
+                    total[at[a:b]] = np.add.reduceat(lp, np.cumsum(sizes) - sizes)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(size),
+                                              pa.array(total, pa.float64(), mask=np.isnan(total))], names=["id", "lang", "text_hash", "n", "lp"])
+
+    return texts.select("id", "lang", "text", F.xxhash64("text")).mapInArrow(run, f"id {id_type}, lang string, text_hash bigint, n bigint, lp double")
 
 
 def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                     label_col: str = "quality", outer: float = 0.02, margin: float = 1.0, shard_rows: int = SHARD_ROWS,
+                     label_col: str = "quality", outer: float = OUTER, shard_rows: int = SHARD_ROWS,
                      with_hash: bool = False) -> DataFrame:
     """``id_col``, lang, n_chars, log_perplexity, perplexity, high, distance, keep.
 
     Trusted documents are those labelled 1, in folds by crc32 of the id. The
     limit of a language is the ``1 - outer`` quantile of its trusted documents'
-    scaled distances from their median, all out of sample, moved out by
-    ``margin`` times itself, so that clean documents stay. It is null, and
-    everything kept, where that quantile is missing or 0. ``with_hash`` adds
-    ``text_hash`` (xxhash64 of the text).
+    scaled distances from their median, all out of sample: the larger of the
+    observed quantile and that of a normal distribution of their spread, since
+    few documents do not reach as far as their quantile. It is null, and
+    everything kept, where it is missing or not above 0.
+    ``with_hash`` adds ``text_hash`` (xxhash64 of the text).
     """
     trusted = (labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
                .agg(F.min(label_col).alias("least")).where("least = 1").select("id", F.lit(1).alias("t")))
     texts = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     texts = texts.join(broadcast_if_small(trusted), "id", "left")
-    many = texts.where("t = 1 and lang is not null").groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n"))
-    many = stored(many.select("of", F.when(F.col("n") < SMALL, FOLDS).otherwise(2).alias("folds")))
-    texts = texts.join(F.broadcast(many), F.col("lang") == F.col("of"), "left")
-    own = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.col("folds")).cast("int")
-    learn = texts.where("t = 1 and folds is not null").withColumn("own", own).withColumn("out", F.explode(F.sequence(F.lit(0), F.col("folds") - 1)))
+    own = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(FOLDS)).cast("int")
+    learn = texts.where("t = 1 and lang is not null").withColumn("own", own).withColumn("out", F.explode(F.sequence(F.lit(0), F.lit(FOLDS - 1))))
     model = kneser_ney(ngram_counts(learn.where("own <> out").select(F.concat_ws(":", "out", "lang").alias("lang"), "text")))
     # "fold:lang" names the model without that fold; a document that is not trusted takes the one without fold 0
     named = texts.select("id", F.concat(F.when(F.col("t") == 1, own).otherwise(0).cast("string"), F.lit(":"), "lang").alias("lang"), "text")
@@ -323,8 +344,8 @@ def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     middle = F.broadcast(calibration.groupBy("lang").agg(F.percentile_approx("h", 0.5, 10_000).alias("middle")))
     away = (F.col("h") - F.col("middle")) * F.sqrt(F.col("n") / (F.col("n") + SHORT))
     limits = (calibration.join(middle, "lang").select("lang", away.alias("z")).groupBy("lang")
-              .agg(F.percentile_approx("z", 1 - outer, 10_000).alias("q")))
-    limits = middle.join(limits, "lang", "left").select("lang", "middle", F.when(F.col("q") > 0, F.col("q") * (1 + margin)).alias("high"))
+              .agg(F.greatest(F.percentile_approx("z", 1 - outer, 10_000), NormalDist().inv_cdf(1 - outer) * F.stddev("z")).alias("q")))
+    limits = middle.join(limits, "lang", "left").select("lang", "middle", F.when(F.col("q") > 0, F.col("q")).alias("high"))
     out = scored.join(F.broadcast(limits), "lang", "left")
     keep = F.coalesce(away <= F.col("high"), F.lit(True))
     return out.select(F.col("id").alias(id_col), "lang", F.col("n").alias("n_chars"), F.col("h").alias("log_perplexity"),
