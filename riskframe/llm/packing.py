@@ -47,8 +47,11 @@ class WordEncoder:
 
     SIGNS = r"[.,!?;:%$&*#|)(\"\[\]]"
 
-    def __init__(self, tokenizer) -> None:
-        self.tokenizer = tokenizer
+    def __init__(self, tokenizer, plain=None) -> None:
+        """``tokenizer`` takes the parts, ``plain`` (by default the same) the
+        whole texts that hold an added token."""
+        self.tokenizer, self.plain = tokenizer, plain or tokenizer
+        self.added = [] if self.plain.encode_special_tokens else [t.content for t in self.plain.get_added_tokens_decoder().values()]
         vocab = tokenizer.get_vocab()
         self.starts = np.zeros(max(vocab.values()) + 1, bool)
         self.starts[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
@@ -131,6 +134,8 @@ class WordEncoder:
         texts = pc.fill_null(texts, "")
         spaced = pc.match_substring_regex(texts, f"[{SPACE}] ")
         whole = pc.and_(spaced, pc.match_substring(texts, CUT))
+        for token in self.added:  # recognised anywhere in a text, across its words
+            whole = pc.or_(whole, pc.match_substring(texts, token))
         cut = pc.replace_substring_regex(texts.filter(spaced), f"([^{SPACE}]) ", f"\\1{CUT}")
         spaced, whole = spaced.to_numpy(zero_copy_only=False), whole.to_numpy(zero_copy_only=False)
         parts = [pc.split_pattern(texts.filter(pa.array(~spaced)), " "), pc.split_pattern(cut, CUT)]
@@ -158,7 +163,7 @@ class WordEncoder:
             data = flat[np.repeat(begins[units] - ends + size, size) + np.arange(at[-1])].tobytes()
             cuts = (at[offsets[a:b + 1] - offsets[a]] * 4).tolist()
             for i, (x, y) in enumerate(zip(cuts[:-1], cuts[1:]), a):
-                yield np.array(self.ids([texts[i].as_py()], "")[0], "<u4").tobytes() if whole[i] else data[x:y]
+                yield np.array(self.plain.encode(texts[i].as_py(), add_special_tokens=False).ids, "<u4").tobytes() if whole[i] else data[x:y]
 
 
 def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
@@ -231,8 +236,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = Tokenizer.from_str(held.value)
-        tok.encode_special_tokens = True
-        encoder = WordEncoder(tok)
+        tok.encode_special_tokens = True  # in single words, which are parts of texts without added tokens
+        encoder = WordEncoder(tok, Tokenizer.from_str(held.value))
         bins = OpenBins(capacity, n_open, TaskContext.get().partitionId() << 33)
         end = end_id.to_bytes(4, "little")
         for batch in batches:

@@ -165,13 +165,11 @@ def test_a_context_word_as_value_does_not_hide_the_next_value():
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(queries.tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(queries.tokenizer_path())
 
 
 def test_packing_round_trip(spark, docs, odd, none, tokenizer):
-    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(-1, None), (-2, ""), (-3, "a  b\n c" * 3), (-4, "x " * 6000)], "doc_id bigint, text string"))
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(-1, None), (-2, ""), (-3, "a  b\n c" * 3), (-4, "x " * 6000), (-5, "a <|endoftext|> b"), (-6, "<|endoftext|><|endoftext|>\n <|endoftext|> x" * 900)], "doc_id bigint, text string"))
     got = packing.pack(rows, queries.tokenizer_path(), with_ids=True).toPandas()
     texts = {r.doc_id: r.text for r in rows.collect()}
     bins = {}
