@@ -14,9 +14,9 @@ Scoring joins the positions of every text with the model, by language and
 shard. A shard holds about ``SHARD_ROWS`` entries, cut by the two characters
 before the predicted one (a position finds its whole back-off chain in one
 shard). Tasks pack each shard into a hash table; the tables become files in the
-shared folder, one at a time, that Spark hands to the executors, and scoring
-tasks map them into memory. So the driver holds one table at a time and no task
-holds more than it touches. The texts are scanned once for scores and are never
+shared folder, some at a time, that Spark hands to the executors, and scoring
+tasks map them into memory. So the driver holds a few tables at a time and no
+task holds more than it touches. The texts are scanned once for scores and are never
 shuffled.
 
 The log-perplexity per character of a text is compared with a quantile of the
@@ -45,12 +45,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import broadcast_if_small, portions, put_file, stored
+from riskframe.session import written
 
 ORDER = 5
 BITS = 12
 MASK = (1 << BITS) - 1
 EXACT = 3071  # code points below get a symbol each; the rest share 1,024
-SHARD_ROWS = 2_000_000
+SHARD_ROWS = 1_000_000
 SHORT = 200
 FOLDS = 2
 OUTER = 0.005  # share of trusted documents beyond the limit
@@ -136,10 +137,10 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     Lower orders count distinct left neighbours. The three discounts of an
     order come from its counts of counts and are kept inside [0, count].
     """
-    level = stored(counts)
+    level = written(counts, "ngrams")
     levels = {ORDER: level}
     for k in range(ORDER - 1, 0, -1):
-        level = stored(level.groupBy("lang", F.col("g").bitwiseAND(F.lit((1 << (BITS * k)) - 1)).alias("g")).agg(F.count(F.lit(1)).alias("c")))
+        level = written(level.groupBy("lang", F.col("g").bitwiseAND(F.lit((1 << (BITS * k)) - 1)).alias("g")).agg(F.count(F.lit(1)).alias("c")), "ngrams")
         levels[k] = level
     done, lower = [], None
     for k in range(1, ORDER + 1):
@@ -163,25 +164,24 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
             rows = rows.withColumn("s", F.col("g").bitwiseAND(F.lit((1 << (BITS * (k - 1))) - 1))).join(lower, ["lang", "s"])
             below = F.col("back") * F.col("p")
             done.append(sums.select("lang", F.lit(8 + k - 1).alias("tag"), F.col("ctx").alias("g"), F.log("back").alias("v")))
-        prob = stored(rows.select("lang", "g", (F.col("left") / F.col("total") + below).alias("p")))
+        prob = written(rows.select("lang", "g", (F.col("left") / F.col("total") + below).alias("p")), "ngrams")
         done.append(prob.select("lang", F.lit(k).alias("tag"), "g", F.log("p").alias("v")))
         lower = prob.select("lang", F.col("g").alias("s"), "p")
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
-    return stored(out)
+    return out
 
 
 class Lookup:
     """Open-addressing table of (tag, key) -> float32 as numpy arrays."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        self.keys, self.values = keys, values
-        self.bits = len(keys).bit_length() - 1
+        self.keys, self.values, self.size = keys, values, len(keys)
 
     @classmethod
     def of(cls, keys: np.ndarray, values: np.ndarray) -> Lookup:
-        size = 1 << max(4, int(1.4 * len(keys)).bit_length())
+        size = 16 + len(keys) * 4 // 3
         self = cls(np.zeros(size, np.uint64), np.zeros(size, np.float32))
         todo = np.arange(len(keys))
         at = self._slot(keys)
@@ -192,7 +192,7 @@ class Lookup:
             won = self.keys[at[trying]] == keys[trying]
             self.values[at[trying[won]]] = values[trying[won]]
             todo = np.concatenate([trying[~won], todo[~free]])
-            at[todo] = (at[todo] + 1) & (size - 1)
+            at[todo] = (at[todo] + 1) % size
         return self
 
     def packed(self) -> bytes:
@@ -206,7 +206,8 @@ class Lookup:
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+            mixed = keys * np.uint64(0x9E3779B97F4A7C15)
+            return ((mixed >> np.uint64(24)) % np.uint64(self.size)).astype(np.int64)
 
     def get(self, keys: np.ndarray) -> np.ndarray:
         """Values; NaN where a key is missing."""
@@ -217,7 +218,7 @@ class Lookup:
         out[hit] = self.values[at[hit]]
         todo = np.flatnonzero(~hit & (held != 0))
         while len(todo):
-            at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
+            at[todo] = (at[todo] + 1) % self.size
             held = self.keys[at[todo]]
             hit = held == keys[todo]
             out[todo[hit]] = self.values[at[todo[hit]]]
@@ -266,12 +267,11 @@ def model_files(model: DataFrame, n_shards: int) -> tuple[dict[str, float], dict
         data = Lookup.of(keys.astype(np.uint64) | (tags.astype(np.uint64) << np.uint64(60)), values).packed()
         return pa.table({"lang": [t.column("lang")[0].as_py()], "shard": pa.array([t.column("shard")[0].as_py()], pa.int32()), "data": pa.array([data], pa.binary())})
 
-    tables = stored(rows.groupBy("lang", "shard").applyInArrow(pack, "lang string, shard int, data binary"))
+    tables = rows.groupBy("lang", "shard").applyInArrow(pack, "lang string, shard int, data binary")
     unknown = {r["lang"]: r["v"] for r in model.where("tag = 0").select("lang", "v").collect()}  # a row per language
     names = {}
-    for r in tables.select("lang", "shard").collect():
-        data = tables.where((F.col("lang") == r["lang"]) & (F.col("shard") == r["shard"])).first()["data"]  # one at a time
-        names[r["lang"], r["shard"]] = put_file(model.sparkSession, bytes(data), "ngrams")
+    for r in tables.toLocalIterator():  # a few tables at a time
+        names[r["lang"], r["shard"]] = put_file(model.sparkSession, bytes(r["data"]), "ngrams")
     return unknown, names
 
 
