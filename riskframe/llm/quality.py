@@ -177,11 +177,12 @@ class Lookup:
     """Open-addressing table of (tag, key) -> float32 as numpy arrays."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        self.keys, self.values, self.size = keys, values, len(keys)
+        self.keys, self.values = keys, values
+        self.bits = len(keys).bit_length() - 1
 
     @classmethod
     def of(cls, keys: np.ndarray, values: np.ndarray) -> Lookup:
-        size = 16 + len(keys) * 4 // 3
+        size = 1 << max(4, (len(keys) * 5 // 4).bit_length())
         self = cls(np.zeros(size, np.uint64), np.zeros(size, np.float32))
         todo = np.arange(len(keys))
         at = self._slot(keys)
@@ -192,7 +193,7 @@ class Lookup:
             won = self.keys[at[trying]] == keys[trying]
             self.values[at[trying[won]]] = values[trying[won]]
             todo = np.concatenate([trying[~won], todo[~free]])
-            at[todo] = (at[todo] + 1) % size
+            at[todo] = (at[todo] + 1) & (size - 1)
         return self
 
     def packed(self) -> bytes:
@@ -202,12 +203,12 @@ class Lookup:
     def mapped(cls, path: str) -> Lookup:
         """The table of a file, mapped into memory."""
         size = os.path.getsize(path) // 12
-        return cls(np.memmap(path, "<u8", "r", shape=(size,)), np.memmap(path, "<f4", "r", offset=8 * size, shape=(size,)))
+        whole = np.asarray(np.memmap(path, np.uint8, "r"))
+        return cls(whole[:8 * size].view("<u8"), whole[8 * size:].view("<f4"))
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            mixed = keys * np.uint64(0x9E3779B97F4A7C15)
-            return ((mixed >> np.uint64(24)) % np.uint64(self.size)).astype(np.int64)
+            return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def get(self, keys: np.ndarray) -> np.ndarray:
         """Values; NaN where a key is missing."""
@@ -218,7 +219,7 @@ class Lookup:
         out[hit] = self.values[at[hit]]
         todo = np.flatnonzero(~hit & (held != 0))
         while len(todo):
-            at[todo] = (at[todo] + 1) % self.size
+            at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
             held = self.keys[at[todo]]
             hit = held == keys[todo]
             out[todo[hit]] = self.values[at[todo[hit]]]
@@ -301,15 +302,16 @@ def score_texts(texts: DataFrame, model: DataFrame, shard_rows: int = SHARD_ROWS
                 at = [i for i, x in enumerate(langs) if x == lang and texts[i]]
                 for a, b in by_chunks([texts[i] for i in at]):
                     keys, sizes = keys_of([texts[i] for i in at[a:b]])
+                    keys, at_key = np.unique(keys, return_inverse=True)  # a chunk's n-grams once
                     lp = np.zeros(len(keys))
                     shard = (((keys >> (2 * BITS)) & MASK) * 31 + ((keys >> BITS) & MASK)) % n_shards
-                    order = np.argsort(shard, kind="stable")
-                    ends = np.searchsorted(shard[order], np.arange(n_shards + 1))
+                    order = np.argsort(shard.astype(np.uint16 if n_shards <= 1 << 16 else np.int64), kind="stable")  # small numbers: radix sort
+                    ends = np.r_[0, np.cumsum(np.bincount(shard, minlength=n_shards))]
                     for s in range(n_shards):
                         mine = order[ends[s]:ends[s + 1]]
                         if len(mine):
                             lp[mine] = log_probs(table_of(lang, s), unknown[lang], keys[mine])
-                    total[at[a:b]] = np.add.reduceat(lp, np.cumsum(sizes) - sizes)
+                    total[at[a:b]] = np.add.reduceat(lp[at_key], np.cumsum(sizes) - sizes)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(size),
                                               pa.array(total, pa.float64(), mask=np.isnan(total))], names=["id", "lang", "text_hash", "n", "lp"])
 
