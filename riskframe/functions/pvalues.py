@@ -41,8 +41,10 @@ def _gamma_q(a: float, x: float) -> float:
     Lentz continued fraction above (standard numerical recipe)."""
     if x < 0 or a <= 0:
         return float("nan")
-    if x == 0:
+    if x == 0 or math.isinf(a):
         return 1.0
+    if math.isinf(x):
+        return 0.0
     if a > LARGE:
         return _gamma_q_large(a, x)
     lg = math.lgamma(a)

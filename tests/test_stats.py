@@ -40,6 +40,8 @@ def test_chi2_sf_known_values():
     assert chi2_sf(5.991464547107979, 2) == pytest.approx(0.05, rel=1e-9)
     assert chi2_sf(0.0, 3) == 1.0
     assert chi2_sf(100.0, 3) < 1e-20
+    assert chi2_sf(float("inf"), 3) == 0.0 and chi2_sf(float("inf"), 1e9) == 0.0
+    assert chi2_sf(3.0, float("inf")) == 1.0
 
 
 def _rank(x):
