@@ -336,6 +336,22 @@ def test_near_threshold_lines_are_counted_exactly(spark):
     assert [r.sites for r in got] == [10]
 
 
+def test_no_line_at_the_threshold_stays(spark):
+    licence = " ".join(f"licence{k}" for k in range(62))
+    rows = [(i, f"{licence}\nbody {i} is short", "en", f"s{i}", 1) for i in range(30)]  # over half of each text
+    rows += [(100 + i, f"All rights reserved\n" + " ".join(f"w{i}x{k}" for k in range(40)), "en", f"s{i}", 1) for i in range(12)]
+    rows += [(200 + i, f"{licence}\nthis page is copied to many sites\nas a whole", "en", f"s{i}", 1) for i in range(15)]
+    rows += [(300, licence, "en", "s1", 1), (300, licence, "en", "s1", 1)]
+    got = {}
+    for r in linededup.remove_boilerplate(spark.createDataFrame(rows, DOC)).collect():
+        got[r.doc_id] = (r.n_removed, r.text)
+    assert all(got[i] == (1, f"body {i} is short") for i in range(30))
+    assert all(got[100 + i][0] == 1 and got[100 + i][1].startswith(f"w{i}x0") for i in range(12))
+    # the copies keep their own lines and lose the one that other texts share
+    assert all(got[200 + i] == (1, "this page is copied to many sites\nas a whole") for i in range(15))
+    assert got[300] == (1, "")
+
+
 # --- quality
 
 def slow_kneser_ney(texts):
