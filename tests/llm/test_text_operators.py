@@ -59,13 +59,21 @@ def slow_segments(scores):
 
 def test_maximal_segments_match_the_definition():
     rng = random.Random(5)
-    for _ in range(150):
-        scores = [rng.choice([toxicity.FLOOR] * 6 + [0.71, 1.13, 2.37]) + 0.0 for _ in range(rng.randint(0, 30))]
-        hot = [(i, s) for i, s in enumerate(scores) if s > 0]
-        got = toxicity.maximal_segments(hot)
+    for _ in range(300):
+        scores = [rng.choice([-1, -1, 1]) * rng.random() for _ in range(rng.randint(0, 30))]
+        got = toxicity.maximal_segments(np.array(scores))
         want = slow_segments(scores)
-        assert sum(s for *_, s in got) == pytest.approx(sum(s for *_, s in want))
-        assert max([s for *_, s in got], default=0) == pytest.approx(max([s for *_, s in want], default=0))
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        assert [g[2] for g in got] == pytest.approx([w[2] for w in want])
+
+
+def test_every_token_has_its_own_log_odds():
+    toxic, clean = np.array([0, 0, 30, 3, 10]), np.array([50, 500, 0, 0, 90])
+    got = toxicity.log_odds(toxic, clean, 100, 900)
+    assert got[1] < got[0] < -1 and got[2] > got[3] > 1 and got[4] == 0
+    # the definition: counts plus a quarter of a document at the base rate, half a standard deviation towards zero
+    a, b = 30 + 0.025, 0.225
+    assert got[2] == pytest.approx(np.log(a / b) - np.log(1 / 9) - 0.5 * np.sqrt(1 / a + 1 / b), rel=1e-5)
 
 
 def test_toxicity_learns_and_covers_odd_rows(spark, odd, none):
