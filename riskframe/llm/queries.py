@@ -72,9 +72,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskframe.llm.sharding import shuffle_into_shards
 
+    placed = shuffle_into_shards(table(spark, sf_dir, "documents"), n_shards=8)  # whole documents are exchanged
     text = F.coalesce("text", F.lit(""))
-    rows = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    return shuffle_into_shards(rows, n_shards=8).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    return placed.select("doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+                         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
