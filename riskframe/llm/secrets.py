@@ -12,7 +12,7 @@ credential contexts equals it, so the dictionary never has more than
 ``2 ** WORD_BITS`` entries, whatever the size of the corpus.
 
 Defined cases: null or empty texts give no span (and the digest of the empty
-string); null ids are kept; repeated rows are scanned each; an empty table
+string); texts of any length are scanned whole, in linear time; null ids are kept; repeated rows are scanned each; an empty table
 gives no rows; other columns are ignored.
 """
 
@@ -33,12 +33,15 @@ KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-#: Up to where the value of a credential begins; group 1: the separator has a sign. The value is not part of
-#: the match, so that a value which is a context word itself ("bearer token: x") begins a match of its own.
+#: Up to where the value of a credential begins; group 1: the word, 2: a separator with a sign, 3: the white space
+#: behind it, 4: an opening quote. The value is not part of the match, so that a value which is a context word
+#: itself ("bearer token: x") begins a match of its own.
 CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|auth|private)[_-]?key|bearer)["']?"""
-    r"""(?:(\x20*(?::=|=>|[:=])\x20*)|\x20+(?:is\x20+)?)["']?(?=[^\s"'<>,;]{6})""", re.I | re.A)
+    r"""((?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|auth|private)[_-]?key|bearer|(?<=[A-Za-z0-9])[_-]key)"""
+    r"""(?:[_-](?:key|secret|token|value|string|password|phrase))*)["']?"""
+    r"""(?:([\x20\t]*(?::=|=>|[:=]))(\s*)|[\x20\t]+(?:is[\x20\t]+)?)(["'<]?)(?=[^\s"'<>,;])""", re.I | re.A)
 VALUE = re.compile(r"""[^\s"'<>,;]+""")
+SIGN_INSIDE = re.compile(r"[^\w\s.'’/_-].*\w", re.S)
 WORD = re.compile(r"[a-z]{3,}")
 WORD_BITS = 18
 MAX_WORD = 24
@@ -120,20 +123,40 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
+def value_end(text: str, m: re.Match) -> tuple[int, bool]:
+    """End of the value behind a context, and whether it is a quoted one with blanks.
+
+    A quoted value of a password or phrase goes to the closing quote of its
+    line; every other value ends at white space, a quote, bracket, comma or
+    semicolon.
+    """
+    start, quote = m.end(), m.group(4)
+    end = VALUE.match(text, start).end()
+    if m.group(2) and quote in ('"', "'") and m.group(1)[:2].lower() in ("pa", "pw"):
+        close = text.find(quote, end)
+        if close > end and text.find("\n", end, close) < 0:
+            return close, True
+    return end, False
+
+
 def guess_spans(text: str, words: dict[str, float], min_bits: float) -> list[tuple[int, int, str, float]]:
     """Strong values in credential contexts.
 
-    Without a sign between key and value the value must mix letters with
-    digits or signs, so that prose after "token" or "pass" is left alone.
-    What lies inside a value that was costed is not costed again.
+    Without a sign between key and value, or with a line feed between them,
+    the value must mix letters with digits or with signs inside it (hyphens,
+    points, slashes and apostrophes are no such signs), so that prose after
+    "token" or "pass" is left alone. What lies inside a value that was costed
+    is not costed again.
     """
     out, costed = [], 0
     for m in CONTEXT.finditer(text):
         start = m.end()
         if start < costed:
             continue
-        value = VALUE.match(text, start).group().rstrip(".!?:)]}|")
-        if len(value) < 6 or (m.group(1) is None and (value.isalpha() or not any(c.isdigit() for c in value))):
+        end, quoted = value_end(text, m)
+        value = text[start:end] if quoted else text[start:end].rstrip(".!?:)]}|")
+        loose = not m.group(2) or "\n" in m.group(3)
+        if len(value) < 6 or (loose and (value.isalpha() or not (any(c.isdigit() for c in value) or SIGN_INSIDE.search(value)))):
             continue
         costed = start + len(value)
         bits = guess_bits(value, words)
@@ -149,7 +172,7 @@ def without_contexts(text: str) -> str:
         if m.start() >= at:
             parts.append(text[at:m.start()])
         if m.end() >= at:
-            at = VALUE.match(text, m.end()).end()
+            at = value_end(text, m)[0]
     return " ".join([*parts, text[at:]])
 
 

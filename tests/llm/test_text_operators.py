@@ -167,6 +167,27 @@ def test_a_context_word_as_value_does_not_hide_the_next_value():
     assert secrets.guess_spans("token=" * 100_000, words, 1e9) == []  # a long value is costed once
 
 
+@pytest.mark.parametrize(("head", "value", "tail"), [
+    ("passphrase is ", "correct-horse!battery-Zx", " here"), ("password ", "Xk!qTz#LmRv$", " is it"), ("secret_key = ", "zK9!aPq2#Lm8@", ""),
+    ("encryption-key: ", "zK9!aPq2#Lm8@", "\n"), ("PASSWORD\t= ", "zK9!aPq2#Lm8@", "\n"), ("password:\n", "zK9!aPq2#Lm8@", "\nmore"),
+    ("password = <", "zK9!aPq2#Lm8@", ">"), ('passphrase = "', "rust velvet 9 quorum!lake", '" and'), ("password: '", "zK9 aPq2 Lm8x", "'\n")])
+def test_forms_of_contexts(head, value, tail):
+    text = f"the {head}{value}{tail}"
+    at = text.index(value)
+    assert [s[:3] for s in secrets.guess_spans(text, {"correct": 10.0, "horse": 10.0, "battery": 10.0}, 40.0)] == [(at, at + len(value), "guess")]
+    assert value not in secrets.without_contexts(text)
+
+
+def test_prose_after_a_context_word_is_left_alone():
+    words = dict.fromkeys(("the", "token", "economy", "your", "password", "here"), 6.0)
+    for text in ("a token-based-economy", "pass considerations/arrangements", "the secret co-operation's sake", "password:\nConsiderations of it",
+                 "passing thoner$$$$$$$$", "password = <your-password-here>", "secret is", "token:", 'password = "'):
+        assert secrets.guess_spans(text, words, 40.0) == []
+    for text in ('password="x' * 50_000, "pass\t" * 100_000, "secret_key" * 50_000, "password='a b\n" * 50_000):
+        secrets.guess_spans(text, words, 1e9)
+        secrets.without_contexts(text)
+
+
 # --- packing
 
 @pytest.fixture(scope="module")
