@@ -19,7 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskframe.operators import prepare, ranks, stats
+from riskframe.operators import cuts, newton, prepare, ranks, stats
 
 
 def scaler_stage(stats_: dict, fill: dict | None = None) -> SQLTransformer:
@@ -225,27 +225,25 @@ def gini_report(auc_train: float, auc_test: float) -> dict:
 
 
 def fold_column(df: DataFrame, target: str, key: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
-    """Stratified folds: position within class by xxhash64(key, seed),
-    fold = position mod k (positions from the distributed cumulative count)."""
-    h = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))).withColumn("_one", F.lit(1))
-    pos = ranks.cumulative(h, (target,), "_h", ("_one",))
-    return pos.withColumn(out, (F.col("_one_before") % k).cast("int")).drop("_h", "_one", "_one_before")
+    """Stratified folds. Each class, ordered by 60 bits of md5(key, seed), is
+    cut into k runs of equal size (the larger first) at the k - 1 keys that
+    ``cuts.cut_points`` finds; rows are not moved. Rows of one key share a fold."""
+    draw = cuts.hash_key(key, seed)
+    ends = cuts.cut_points(df, target, draw, {c: cuts.deal_sizes(n, k) for c, n in cuts.class_sizes(df, target).items()})
+    return df.withColumn(out, cuts.side_of(target, draw, ends).cast("int"))
 
 
 def cross_validated_auc(df: DataFrame, features: Sequence[str], target: str, key: str, k: int = 5,
                         categorical: Sequence[str] = (), seed: int = 42) -> DataFrame:
-    """Fold, auc; plus mean and 2 x population std rows."""
-    folded = fold_column(df, target, key, k, seed).persist()
-    rows = []
-    for f in range(k):
-        tr = folded.filter(F.col("fold") != f)
-        te = folded.filter(F.col("fold") == f)
-        m = fit_logistic(tr, features, target, categorical)
-        s = score(m, te)
-        rows.append((f, stats.auc(s.withColumn("label", F.col(target)), "p1", "label").first()["auc"]))
-    folded.unpersist()
-    spark = df.sparkSession
-    out = spark.createDataFrame(rows, "fold int, auc double")
+    """Fold, auc; plus mean (-1) and 2 x population std (-2) rows. The k models
+    are fitted together (``newton.fit_many``), each scaled and weighted by its own
+    training rows. Categorical columns get their label codes from all of ``df``."""
+    folded = fold_column(df, target, key, k, seed)
+    if categorical:
+        folded = prepare.label_encode(folded, list(categorical))
+    feats = list(features) + [c for c in categorical if c not in features]
+    rows = newton.out_of_fold_auc(folded, feats, target, "fold", k).select("fold", "auc").collect()   # k rows
+    out = df.sparkSession.createDataFrame(rows, "fold int, auc double")
     return out.unionByName(out.agg(F.lit(-1).alias("fold"), F.avg("auc").alias("auc"))).unionByName(
         out.agg(F.lit(-2).alias("fold"), (F.stddev_pop("auc") * 2).alias("auc")))
 
@@ -268,14 +266,10 @@ def load_model(path: str) -> PipelineModel:
 
 
 def recursive_elimination(train: DataFrame, features: Sequence[str], target: str, keep: int) -> list[str]:
-    """K7: drop the smallest |coefficient| until ``keep`` features remain
-    (each fit is distributed; the loop only carries names)."""
-    feats = list(features)
-    while len(feats) > keep:
-        m = fit_logistic(train, feats, target)
-        coefs = {r["feature"]: r["importance"] for r in coefficients(m).collect()}
-        feats.remove(min(feats, key=lambda f: (coefs.get(f, 0.0), f)))
-    return feats
+    """K7: the ``keep`` features left when the smallest |coefficient| goes, round by
+    round (``newton.eliminate`` also tells the rounds)."""
+    left = newton.eliminate(train, features, target, keep).filter("dropped_at IS NULL")
+    return [r["feature"] for r in left.collect()]
 
 
 def importance_selection(model: PipelineModel, features: Sequence[str], threshold: float = 0.01) -> DataFrame:

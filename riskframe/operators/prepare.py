@@ -1,18 +1,19 @@
 """Preparation for modelling (G1-G4, G7, G8, C1 summary).
 
-Splits are deterministic functions of a row key and a seed (xxhash64), so
+Splits are deterministic functions of a row key and a seed (md5), so
 the same rows land on the same side whatever the partitioning or retries.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.operators.ranks import cumulative
+from riskframe.operators import cuts
 
 
 def split_summary(train: DataFrame, test: DataFrame, target: str = "TARGET") -> DataFrame:
@@ -45,19 +46,16 @@ def stratified_split(df: DataFrame, target: str, key: str, test_size: float = 0.
                      seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Exact stratified split.
 
-    Within each class rows are ordered by xxhash64(key, seed); the first
-    round(test_size * n_class) go to test. Positions come from the
-    distributed cumulative count (range partitions + offsets), so a class
-    holding most rows is still spread over many tasks.
+    Within each class rows are ordered by 60 bits of md5(key, seed); the first
+    round(test_size * n_class) go to test. Only the key at which the test side
+    ends is looked for (``cuts.cut_points``); no row is moved. Rows that
+    share a key stay on one side. A null class is a class of its own.
     """
-    h = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))).withColumn("_one", F.lit(1))
-    pos = cumulative(h, (target,), "_h", ("_one",))
-    n = df.groupBy(target).agg(F.count(F.lit(1)).alias("_nc"))
-    # n: one row per class.
-    pos = pos.join(F.broadcast(n), target).withColumn(
-        "_test", F.col("_one_before") < F.round(F.col("_nc") * test_size))
-    cols = df.columns
-    return (pos.filter(~F.col("_test")).select(*cols), pos.filter(F.col("_test")).select(*cols))
+    draw = cuts.hash_key(key, seed)
+    sizes = cuts.class_sizes(df, target)
+    ends = cuts.cut_points(df, target, draw, {c: [math.floor(n * test_size + 0.5)] for c, n in sizes.items()})
+    side = cuts.side_of(target, draw, ends)
+    return df.filter(side == 1), df.filter(side == 0)
 
 
 def fit_standard_scaler(df: DataFrame, columns: Sequence[str]) -> dict:

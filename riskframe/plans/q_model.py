@@ -218,12 +218,6 @@ def i1_g5_smote_logistic(spark, sf):
     return model.classification_metrics(scored)
 
 
-@register("i5_cross_validated_auc", None, [], "I5")
-def i5_cross_validated_auc(spark, sf):
-    tr, _ = _model_frames(spark, sf)
-    return model.cross_validated_auc(tr, MODEL_FEATURES, "TARGET", "CLIENT_ID", k=5)
-
-
 @register("i5_fold_sizes", with_fixture("""
 c AS (SELECT CAST(TARGET AS INTEGER) AS TARGET, count(*) AS n FROM applications GROUP BY TARGET),
 f AS (SELECT TARGET, n, CAST(unnest(range(5)) AS INTEGER) AS fold FROM c)
@@ -294,31 +288,6 @@ def k6_importance_selection(spark, sf):
     return model.importance_selection(m, MODEL_FEATURES, 0.01)
 
 
-@register("k7_recursive_elimination", None, [], "K7")
-def k7_recursive_elimination(spark, sf):
-    tr, _ = _model_frames(spark, sf)
-    kept = model.recursive_elimination(tr, MODEL_FEATURES, "TARGET", keep=3)
-    return spark.createDataFrame([(f,) for f in kept], "feature string")
-
-
-@register("k12_grid_search", None, [], "K12")
-def k12_grid_search(spark, sf):
-    """C grid x 3-fold stratified CV AUC; one row per candidate."""
-    tr, _ = _model_frames(spark, sf)
-    folded = model.fold_column(tr, "TARGET", "CLIENT_ID", 3).persist()
-    from riskframe.operators import stats
-    rows = []
-    for C in (0.01, 1.0, 100.0):
-        aucs = []
-        for f in range(3):
-            m = model.fit_logistic(folded.filter(F.col("fold") != f), MODEL_FEATURES, "TARGET", C=C)
-            s = model.score(m, folded.filter(F.col("fold") == f)).withColumn("label", F.col("TARGET").cast("int"))
-            aucs.append(stats.auc(s, "p1", "label").first()["auc"])
-        rows.append((C, sum(aucs) / len(aucs)))
-    folded.unpersist()
-    return spark.createDataFrame(rows, "C double, cv_auc double")
-
-
 # ------------------------------------------------------------- encoders (K1-K4)
 
 _ONE_HOT = ["SEGMENT", "REGION"]
