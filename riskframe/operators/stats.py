@@ -34,7 +34,7 @@ def mann_whitney(df: DataFrame, cols: Sequence[str], target: str = "TARGET",
 
     variable, n0, n1, U (of class 0), z, median_0, median_1, [p_value,
     effect_r, significant]. Variables with fewer than ``min_size`` rows in a
-    class are skipped. Effect r = |z| / sqrt(N) (8 / sqrt(N) when p
+    class are skipped. Effect r = max(z, 0) / sqrt(N) (8 / sqrt(N) when p
     underflows to 0, as the original).
 
     One cumulative pass carries t, n0 and n1: mid-ranks come from t, the
@@ -67,9 +67,11 @@ def mann_whitney(df: DataFrame, cols: Sequence[str], target: str = "TARGET",
     # med: one row per variable.
     out = out.join(F.broadcast(med), "variable", "left")
     if with_p:
-        out = out.withColumn("p_value", normal_p_udf(F.col("z")))
+        # the continuity correction takes a U next to its mean below zero: p is 1 there, the effect 0
+        above = F.when(F.col("z") < 0, F.lit(0.0)).otherwise(F.col("z"))
+        out = out.withColumn("p_value", normal_p_udf(above))
         out = out.withColumn("effect_r", F.when(F.col("p_value") == 0, F.lit(8.0))
-                             .otherwise(F.abs("z")) / F.sqrt(F.col("N").cast("double")))
+                             .otherwise(above) / F.sqrt(F.col("N").cast("double")))
         out = out.withColumn("significant", F.col("p_value") < 0.05)
     return out.drop("N")
 

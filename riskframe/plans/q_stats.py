@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskframe.operators import select, stats
-from riskframe.plans.registry import register
+from riskframe.plans.registry import REGISTRY, register
 from riskframe.sources.fixtures import applications, with_fixture
 
 QUANT = ["LOAN_AMOUNT", "INCOME_MONTHLY", "N_ITEMS", "PRICE_TOTAL", "AVG_DISCOUNT", "AVG_TAX",
@@ -181,3 +181,59 @@ def h10_h11_selection_funnel(spark, sf):
     res = select.select_variables(applications(spark, sf), QUANT, QUAL, target="TARGET",
                                   forced=["LOAN_AMOUNT", "AVG_DAYS_TO_SHIP"])
     return res.funnel
+
+
+# ------------------------------------------------- the same tests with p-values
+
+def _sum_sql(steps: str, log_term: str) -> str:
+    """Sum of exp(log_term) over i in ``steps`` (0 for none)."""
+    return f"coalesce(list_sum(list_transform({steps}, lambda i: exp({log_term}))), 0)"
+
+
+def _erfc_sql(z: str) -> str:
+    """erfc of z >= 0 by the series of positive terms of erf; below 1e-16 from 6 on."""
+    x = f"greatest({z}, 1e-300)"
+    terms = _sum_sql("range(0, 250)", f"2 * i * ln(2) + (2 * i + 1) * ln({x}) - lgamma(2 * i + 2) + lgamma(i + 1) - {x} * {x}")
+    return f"CASE WHEN {z} >= 6 THEN 0.0 ELSE 1 - 2 / sqrt(pi()) * {terms} END"
+
+
+def _chi2_p_sql(x: str, dof: str) -> str:
+    """Upper tail of the chi-square law: a finite sum for whole degrees of freedom,
+    after erfc where they are odd."""
+    h = f"greatest({x} / 2, 1e-300)"
+    even = _sum_sql(f"range(0, {dof} // 2)", f"i * ln({h}) - lgamma(i + 1) - {h}")
+    odd = _sum_sql(f"range(1, ({dof} + 1) // 2)", f"(i - 0.5) * ln({h}) - lgamma(i + 0.5) - {h}")
+    return f"CASE WHEN {dof} % 2 = 0 THEN {even} ELSE {_erfc_sql(f'sqrt({h})')} + {odd} END"
+
+
+def _with_p(sql: str, p: str, more: str = "*") -> str:
+    return f"SELECT {more} FROM (SELECT *, CAST({p} AS DOUBLE) AS p_value FROM ({sql}))"
+
+
+@register("h3_chi2_selection", _with_p(REGISTRY["h2_h3_chi2_vs_target"].sql, _chi2_p_sql("chi2", "dof"),
+                                       "*, p_value < 0.05 AND V > 0.05 AS discriminant"), ["chi2", "V", "p_value"], "H2 H3")
+def h3_chi2_selection(spark, sf):
+    """Chi-square, corrected V, p and the keep flag of every qualitative column."""
+    return stats.chi2_vs_target(applications(spark, sf), QUAL)
+
+
+@register("h8_cramers_v_p", _with_p(REGISTRY["h8_cramers_v_pairs"].sql, _chi2_p_sql("chi2", "dof")),
+          [*REGISTRY["h8_cramers_v_pairs"].round_cols, "p_value"], "H8 H2")
+def h8_cramers_v_p(spark, sf):
+    """Association of every pair of qualitative columns with its p."""
+    return stats.cramers_v_pairs(applications(spark, sf), _PAIR_COLS, with_p=True)
+
+
+@register("h7_mann_whitney_effect", _with_p(
+    REGISTRY["h7_mann_whitney"].sql, _erfc_sql("greatest(z, 0) / sqrt(2)"),
+    "*, CASE WHEN z > 38 THEN 8.0 ELSE greatest(z, 0) END / sqrt(n0 + n1) AS effect_r, p_value < 0.05 AS significant"),
+    ["U", "z", "median_0", "median_1", "p_value", "effect_r"], "H7")
+def h7_mann_whitney_effect(spark, sf):
+    """Mann-Whitney with p, effect size and the significance flag."""
+    return stats.mann_whitney(applications(spark, sf), QUANT)
+
+
+@register("h9_kruskal_wallis_p", _with_p(_kruskal_sql(), _chi2_p_sql("H", "dof")), ["H", "p_value"], "H9")
+def h9_kruskal_wallis_p(spark, sf):
+    """Kruskal-Wallis with p."""
+    return stats.kruskal_wallis(applications(spark, sf), _KQ, _KC)

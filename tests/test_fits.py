@@ -153,3 +153,21 @@ def test_rows_are_not_shuffled_by_a_split(spark, frame):
     tr, _ = prepare.stratified_split(frame, "y", "id", 0.2)
     plan = tr._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Sort" not in plan
+
+
+def test_mann_whitney_of_equal_classes_has_p_one_and_no_effect(spark):
+    from riskframe.operators import stats
+    df = spark.createDataFrame([(float(i), y) for i in range(30) for y in (0, 1)], "x double, y int")
+    row = stats.mann_whitney(df, ["x"], "y").first()
+    assert row["z"] < 0 and row["p_value"] == 1.0 and row["effect_r"] == 0.0 and not row["significant"]
+
+
+@pytest.mark.parametrize("x", [0.0, 0.3, 2.0, 9.5, 31.0, 80.0])
+@pytest.mark.parametrize("dof", [1, 2, 3, 8, 25, 96])
+def test_oracle_of_the_chi_square_tail_agrees_with_the_operator(x, dof):
+    import duckdb
+
+    from riskframe.functions.pvalues import chi2_sf
+    from riskframe.plans.q_stats import _chi2_p_sql
+    got = duckdb.sql(f"SELECT {_chi2_p_sql('x', 'd')} FROM (SELECT {x}::DOUBLE AS x, {dof}::BIGINT AS d)").fetchall()[0][0]
+    assert got == pytest.approx(chi2_sf(x, dof), abs=1e-10)
