@@ -80,6 +80,20 @@ def cumulative(counts: DataFrame, key: Sequence[str] = ("variable",), order: str
           for s in sums])
 
 
+def with_position(report: DataFrame, by: str, tie: Sequence[str], within: Sequence[str] = (), descending: bool = True,
+                  out: str = "position") -> DataFrame:
+    """W3 as data: ``report`` with its row's place (from 1) when sorted by the number
+    ``by``, ties by the columns ``tie`` ascending, missing values last (NaN before
+    null), inside each group of ``within``. Rows that ``tie`` does not tell apart
+    share a place. Distributed: a report with a row per customer needs no single task."""
+    x = F.col(by).cast("double")
+    x = F.when(F.isnan(x), x).otherwise(-x if descending else x)
+    order = F.struct(x.isNull().alias("_gap"), x.alias("_x"), *[F.col(t) for t in tie])
+    keyed = report.select("*", order.alias("_order"), F.lit(1).alias("_one"), F.lit(0).alias("_all"))
+    pos = cumulative(keyed, tuple(within) or ("_all",), "_order", ("_one",))
+    return pos.select(*report.columns, (F.col("_one_before") + 1).cast("long").alias(out))
+
+
 def rank_table(df: DataFrame, cols: Sequence[str], label: str | None = None,
                partitions: int | None = None) -> DataFrame:
     """(variable, value, t, [n1], t_before, avg_rank) over the non-null values.

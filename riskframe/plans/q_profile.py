@@ -50,6 +50,21 @@ def d19_default_rate_by_category(spark, sf):
     return profile.default_rate_by_category(applications(spark, sf), CATEGORICAL)
 
 
+@register("w3_sorted_default_rates", with_fixture("""
+long AS (
+  SELECT 'SEGMENT' AS variable, SEGMENT AS value, TARGET FROM applications
+  UNION ALL SELECT 'NATION', NATION, TARGET FROM applications
+  UNION ALL SELECT 'CUSTOMER_ID', CAST(CUSTOMER_ID AS VARCHAR), TARGET FROM applications),
+r AS (SELECT variable, value, count(*) AS n, avg(TARGET) * 100 AS default_rate FROM long WHERE value IS NOT NULL GROUP BY ALL)
+SELECT variable, value, n, default_rate, row_number() OVER (PARTITION BY variable ORDER BY default_rate DESC, value) AS position
+FROM r"""), ["default_rate"], "W3 D19")
+def w3_sorted_default_rates(spark, sf):
+    """Default rates sorted within each variable, a row per customer among them."""
+    from riskframe.operators.ranks import with_position
+    df = profile.default_rate_by_category(applications(spark, sf), ["SEGMENT", "NATION", "CUSTOMER_ID"])
+    return with_position(df.drop("overall_rate"), "default_rate", ["value"], ["variable"])
+
+
 def _quality_sql():
     parts = []
     for c in ["CLIENT_ID", "CUSTOMER_ID", "TARGET"] + NUMERIC:

@@ -171,3 +171,15 @@ def test_oracle_of_the_chi_square_tail_agrees_with_the_operator(x, dof):
     from riskframe.plans.q_stats import _chi2_p_sql
     got = duckdb.sql(f"SELECT {_chi2_p_sql('x', 'd')} FROM (SELECT {x}::DOUBLE AS x, {dof}::BIGINT AS d)").fetchall()[0][0]
     assert got == pytest.approx(chi2_sf(x, dof), abs=1e-10)
+
+
+def test_positions_with_ties_missing_values_and_groups(spark):
+    from riskframe.operators.ranks import with_position
+    nan = float("nan")
+    rows = [("a", "p", 2.0), ("a", "q", 5.0), ("a", "r", 2.0), ("a", "s", None), ("a", "t", nan), ("b", "p", 1.0), ("b", "q", -0.0)]
+    df = spark.createDataFrame(rows, "g string, name string, v double")
+    down = {(r["g"], r["name"]): r["position"] for r in with_position(df, "v", ["name"], ["g"]).collect()}
+    assert down == {("a", "q"): 1, ("a", "p"): 2, ("a", "r"): 3, ("a", "t"): 4, ("a", "s"): 5, ("b", "p"): 1, ("b", "q"): 2}
+    up = {r["name"]: r["position"] for r in with_position(df.where("g = 'a'"), "v", ["name"], descending=False).collect()}
+    assert up == {"p": 1, "r": 2, "q": 3, "t": 4, "s": 5}
+    assert with_position(df.where("false"), "v", ["name"]).count() == 0
