@@ -6,14 +6,14 @@ put together to blocks of about ``cell_rows`` donors by halving their pivots
 along the widest coordinate, so that a block is a compact region; a cell that
 is larger than a block by itself is dealt to several.
 
-A query's k-th distance is bounded before anything is searched: pivots are
-donors themselves, so the k-th nearest pivot of its group bounds it, and so do
-the cells' counts and radii (distance to the pivot plus the radius, over the
-first cells that hold enough donors). The query goes to the blocks that have a
-cell whose lower bound (ring around the pivot, and the half-space between two
-pivots) is not above that. In a block's task cells are searched from the
-nearest on and the bound shrinks with what is found. A last top-k per query
-merges its blocks.
+A query is searched in the block of its nearest cell first, under a bound from
+the pivots (donors themselves) and the cells' counts and radii; its k-th distance
+there bounds the rest. It then goes only to the blocks that have a cell whose
+lower bound (ring around the pivot, and the half-space between two pivots) is not
+above that. In a block's task donors are halved to leaves with a bounding box; a
+query sees its own leaf and those whose box is not beyond its bound. A last top-k
+per query merges its blocks. Blocks grow with the table (``MAX_BLOCKS``) as far as
+``HELD`` allows, so that copies of queries do not grow with its square.
 
 Of donors with equal vectors only the ``k + 1`` smallest ids can be among the
 k nearest of anything, so a group of copies, however large, is cut to that
@@ -35,9 +35,12 @@ from pyspark.sql import functions as F
 
 from riskframe.session import ensure_checkpoint_dir
 
-MAX_PIVOTS = 2048
+MAX_PIVOTS = 1024
 PER_PIVOT = 128  # donors of a cell, as far as MAX_PIVOTS allows
-ROUTED = 20_000  # queries routed together
+ROUTED = 5_000  # queries routed together
+MAX_BLOCKS = 64  # blocks of more than cell_rows donors, as far as HELD allows
+HELD = 32 << 20  # bytes of vectors of one side in a task
+MATRIX = 2 << 20  # numbers of a (queries, leaves) matrix
 LEAST_QUERIES = 64  # rows of a query portion that is cut smaller to give every core a share
 EPS = 1e-13  # relative error of squared distances from a matrix product, with room
 
@@ -138,27 +141,69 @@ def blocks_of(pivots: np.ndarray, cells: np.ndarray, size: np.ndarray, cell_rows
     return block
 
 
-def search_cells(q: pa.Table, d: pa.Table, pivots: np.ndarray, k: int, exclude_self: bool):
-    """(qid, nid, dist) of the k best donors of a block for each of its queries."""
-    q_ids, q_mat, bound = numbers(q, "_id"), numbers(q, "_v"), numbers(q, "_bound").copy()
-    order = np.argsort(numbers(d, "_c"), kind="stable")
-    cell, d_ids, d_mat, to_pivot = numbers(d, "_c")[order], numbers(d, "_id")[order], numbers(d, "_v")[order], numbers(d, "_pd")[order]
-    cells, first = np.unique(cell, return_index=True)
-    last = np.r_[first[1:], len(cell)]
-    low = lower_bounds(q_mat, pivots, cells, np.minimum.reduceat(to_pivot, first), np.maximum.reduceat(to_pivot, first))
-    ids, dist = np.zeros((len(q_ids), k), np.int64), np.full((len(q_ids), k), np.inf)
-    for c in np.argsort(low.mean(0), kind="stable"):
-        rows = np.flatnonzero(low[:, c] <= bound)
-        if not len(rows):
+def leaves_of(d_mat: np.ndarray, q_mat: np.ndarray, rows: int):
+    """Donors halved along their widest coordinate down to leaves of at most
+    ``rows``: donor order, starts of the leaves, queries in the order of the
+    leaf whose side of every cut they are on, and that leaf."""
+    todo, d_out, q_out = [(np.arange(len(d_mat)), np.arange(len(q_mat)))], [], []
+    while todo:
+        d, q = todo.pop()
+        if len(d) <= rows:
+            d_out.append(d)
+            q_out.append(q)
             continue
+        at = d_mat[d]
+        axis, half = np.ptp(at, axis=0).argmax(), len(d) // 2
+        o = np.argpartition(at[:, axis], half)
+        below = q_mat[q, axis] < at[o[half], axis]
+        todo += [(d[o[half:]], q[~below]), (d[o[:half]], q[below])]
+    first = np.cumsum([0] + [len(d) for d in d_out[:-1]])
+    return np.concatenate(d_out), first, np.concatenate(q_out), np.repeat(np.arange(len(q_out)), [len(q) for q in q_out])
+
+
+def search_block(q_ids, q_mat, bound, d_ids, d_mat, k: int, exclude_self: bool):
+    """(ids, distances) of the k best donors of a block for each query, as ``nearest``
+    gives them; donors beyond ``bound`` may be missing. A query searches its own
+    leaf, then the leaves whose box is not beyond the k-th distance it has. Memory
+    is bounded by ``MATRIX`` numbers a matrix, whatever the number of queries."""
+    dim = d_mat.shape[1]
+    order, first, q_order, home = leaves_of(d_mat, q_mat, 128 if dim <= 8 else 256 if dim <= 16 else 2048)
+    last = np.r_[first[1:], len(d_ids)]
+    d_ids, d_mat = d_ids[order], d_mat[order]
+    low, high = np.minimum.reduceat(d_mat, first), np.maximum.reduceat(d_mat, first)
+    ids, dist, bound = np.zeros((len(q_ids), k), np.int64), np.full((len(q_ids), k), np.inf), bound.copy()
+
+    def visit(rows: np.ndarray, c: int) -> None:
         own = slice(first[c], last[c])
+        d2, off = _between(q_mat[rows], d_mat[own])
+        if exclude_self:
+            d2[q_ids[rows][:, None] == d_ids[own][None, :]] = np.inf
+        near = np.maximum(d2 - off, 0).min(1)
+        rows = rows[np.isfinite(near) & (near * (1 - 1e-9) <= bound[rows] ** 2)]
+        if not len(rows):
+            return
         new_ids, new = nearest(q_ids[rows], q_mat[rows], d_ids[own], d_mat[own], k, exclude_self)
         both, both_ids = np.hstack([dist[rows], new]), np.hstack([ids[rows], new_ids])
         o = np.lexsort((both_ids, both), axis=1)[:, :k]
         dist[rows], ids[rows] = np.take_along_axis(both, o, 1), np.take_along_axis(both_ids, o, 1)
         bound[rows] = np.minimum(bound[rows], dist[rows, -1] * (1 + 1e-9))
-    ok = np.isfinite(dist).ravel()
-    return np.repeat(q_ids, k)[ok], ids.ravel()[ok], dist.ravel()[ok]
+
+    step = max(16, min(1024, MATRIX // len(first)))
+    for s in range(0, len(q_order), step):
+        rows, own = q_order[s:s + step], home[s:s + step]
+        for c in np.unique(own):
+            visit(rows[own == c], c)
+        box = np.zeros((len(rows), len(first)))
+        for j in range(dim):
+            x = q_mat[rows, j][:, None]
+            box += np.maximum(np.maximum(low[None, :, j] - x, x - high[None, :, j]), 0) ** 2
+        box = np.sqrt(box) * (1 - 1e-9)
+        box[np.arange(len(rows)), own] = np.inf
+        for c in np.flatnonzero((box <= bound[rows][:, None]).any(0)):
+            at = rows[(box[:, c] <= bound[rows]) & np.isfinite(box[:, c])]
+            if len(at):
+                visit(at, c)
+    return ids, dist
 
 
 def metric_join(queries: DataFrame, donors: DataFrame, k: int, exclude_self: bool, cell_rows: int,
@@ -197,55 +242,98 @@ def metric_join(queries: DataFrame, donors: DataFrame, k: int, exclude_self: boo
     donors = donors.select("_id", "_v", "_g").mapInArrow(assign, "_id long, _v array<double>, _g string, _c int, _pd double").checkpoint(eager=True)
     stats = donors.groupBy("_g", "_c").agg(F.count(F.lit(1)).alias("_n"), F.min("_pd").alias("_low"), F.max("_pd").alias("_high"), F.first(F.size("_v")).alias("_dim"))
 
+    def rows_of(dim: int, want: int) -> int:
+        return max(1, min(want, max(cell_rows, HELD // (8 * (dim + 4)))))
+
     def plan_blocks(t: pa.Table) -> pa.Table:
         """Cells of a group (at most as many as pivots) with their blocks."""
         cells, size = numbers(t, "_c"), numbers(t, "_n")
-        block = blocks_of(pivots_for(int(t.column("_dim")[0].as_py()))[0], cells, size, cell_rows)
-        parts = np.maximum(1, -(-size // cell_rows))
+        dim = int(t.column("_dim")[0].as_py())
+        most = rows_of(dim, max(cell_rows, n // MAX_BLOCKS))
+        block = blocks_of(pivots_for(dim)[0], cells, size, most)
+        parts = np.maximum(1, -(-size // most))
         return t.append_column("_b", pa.array(block)).append_column("_parts", pa.array(parts))
 
     stats = stats.groupBy("_g").applyInArrow(plan_blocks, "_g string, _c int, _n long, _low double, _high double, _dim int, _b long, _parts long").checkpoint(eager=True)
     wide = stats.select("_g", "_c", "_b", "_parts")
     donors = donors.join(wide, ["_g", "_c"]).withColumn("_s", F.pmod(F.xxhash64("_id"), F.col("_parts"))).drop("_parts")
 
-    def route(q: pa.Table, cells: pa.Table) -> pa.Table:
-        """The blocks that a query has to see, with its bound."""
-        schema = pa.schema([("_id", pa.int64()), ("_v", pa.list_(pa.float64())), ("_g", pa.string()), ("_b", pa.int64()), ("_s", pa.int64()), ("_bound", pa.float64())])
-        out = [schema.empty_table()]
+    point = [("_id", pa.int64()), ("_v", pa.list_(pa.float64())), ("_g", pa.string()), ("_b", pa.int64()), ("_s", pa.int64()), ("_bound", pa.float64())]
+    point_sql = "_id long, _v array<double>, _g string, _b long, _s long, _bound double"
+
+    def parts_of(q: pa.Table, cells: pa.Table):
+        """1000 queries at a time with their pivots and the numbers of their group's cells."""
         for s in range(0, q.num_rows if cells.num_rows else 0, 1000):
             part = q.slice(s, 1000)
-            ids, mat = numbers(part, "_id"), numbers(part, "_v")
-            pivots, pivot_ids, groups = pivots_for(mat.shape[1])
-            c, low, high, size, block, parts = (numbers(cells, x) for x in ("_c", "_low", "_high", "_n", "_b", "_parts"))
+            mat = numbers(part, "_v")
+            yield part, mat, pivots_for(mat.shape[1]), [numbers(cells, x) for x in ("_c", "_low", "_high", "_n", "_b", "_parts")]
+
+    def settle(q: pa.Table, cells: pa.Table) -> pa.Table:
+        """Each query with the block of its nearest cell and a first bound."""
+        out = [pa.schema(point).empty_table()]
+        for part, mat, (pivots, pivot_ids, groups), (c, low, high, size, block, parts) in parts_of(q, cells):
+            ids = numbers(part, "_id")
             own_pivot = np.array([groups[i] is not None and groups[i] == cells.column("_g")[0].as_py() for i in c])
             bound = upper_bounds(ids, mat, pivots, pivot_ids, c, size, high, own_pivot, k, exclude_self)
+            at = _between(mat, pivots[c])[0].argmin(1)
+            out.append(pa.table([*(part.column(x) for x in ("_id", "_v", "_g")), pa.array(block[at]), pa.array(ids % parts[at]), pa.array(bound)], schema=pa.schema(point)))
+        return pa.concat_tables(out)
+
+    def route(q: pa.Table, cells: pa.Table) -> pa.Table:
+        """The other blocks that a query has to see, with its bound."""
+        out = [pa.schema(point).empty_table()]
+        for part, mat, (pivots, _, _), (c, low, high, size, block, parts) in parts_of(q, cells):
+            bound = numbers(part, "_bound")
             at = np.argwhere(lower_bounds(mat, pivots, c, low, high) <= bound[:, None])
             pairs = np.unique(np.stack([at[:, 0], block[at[:, 1]], parts[at[:, 1]]], 1), axis=0)
             times = pairs[:, 2]
             row, blk = np.repeat(pairs[:, 0], times), np.repeat(pairs[:, 1], times)
             sub = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+            new = (blk != numbers(part, "_b")[row]) | (sub != numbers(part, "_s")[row])
+            row, blk, sub = row[new], blk[new], sub[new]
             got = part.take(pa.array(row))
-            out.append(pa.table([got.column("_id"), got.column("_v"), got.column("_g"), pa.array(blk), pa.array(sub), pa.array(bound[row])], schema=schema))
+            out.append(pa.table([got.column("_id"), got.column("_v"), got.column("_g"), pa.array(blk), pa.array(sub), pa.array(bound[row])], schema=pa.schema(point)))
         return pa.concat_tables(out)
 
     portions = queries.groupBy("_g").agg(F.ceil(F.count(F.lit(1)) / ROUTED).alias("_k"))
-    asked = queries.select("_id", "_v", "_g").join(portions, "_g").withColumn("_p", F.pmod(F.xxhash64("_id"), F.col("_k"))).drop("_k")
     seen = stats.join(portions, "_g").withColumn("_p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1))).drop("_k")
-    visits = (asked.groupBy("_g", "_p").cogroup(seen.groupBy("_g", "_p"))
-              .applyInArrow(route, "_id long, _v array<double>, _g string, _b long, _s long, _bound double").checkpoint(eager=True))
-    share = max(LEAST_QUERIES, min(cell_rows, -(-queries.count() // spread)))
-    key = ["_g", "_b", "_s"]
-    shares = visits.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / share).alias("_k"))
+
+    def sent(rows: DataFrame, where) -> DataFrame:
+        asked = rows.join(portions, "_g").withColumn("_p", F.pmod(F.xxhash64("_id"), F.col("_k"))).drop("_k")
+        return asked.groupBy("_g", "_p").cogroup(seen.groupBy("_g", "_p")).applyInArrow(where, point_sql).checkpoint(eager=True)
+
     tasks = max(spread, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    left = visits.join(shares, key).withColumn("_p", F.pmod(F.xxhash64("_id"), F.col("_k"))).drop("_k").repartition(tasks, *key, "_p")
-    right = donors.join(shares, key).withColumn("_p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1))).drop("_k").repartition(tasks, *key, "_p")
+    key = ["_g", "_b", "_s"]
+    widest = max(held, default=1)
 
-    def search(q: pa.Table, d: pa.Table) -> pa.Table:
-        found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        if q.num_rows and d.num_rows:
-            found = search_cells(q, d, pivots_for(len(d.column("_v")[0]))[0], k, exclude_self)
-        return pa.table(dict(zip(("qid", "nid", "dist"), map(pa.array, found), strict=True)))
+    def searched(visits: DataFrame, search, schema: str) -> DataFrame:
+        share = rows_of(widest, max(LEAST_QUERIES, -(-visits.count() // spread)))
+        shares = visits.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / share).alias("_k"))
+        left = visits.join(shares, key).withColumn("_p", F.pmod(F.xxhash64("_id"), F.col("_k"))).drop("_k").repartition(tasks, *key, "_p")
+        right = donors.join(shares, key).withColumn("_p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1))).drop("_k").repartition(tasks, *key, "_p")
+        return left.groupBy(*key, "_p").cogroup(right.groupBy(*key, "_p")).applyInArrow(search, schema)
 
-    found = left.groupBy(*key, "_p").cogroup(right.groupBy(*key, "_p")).applyInArrow(search, "qid long, nid long, dist double")
-    last = Window.partitionBy("qid").orderBy("dist", "nid")  # k rows for each block that the query saw
+    def best(q: pa.Table, d: pa.Table):
+        ids, dist = np.zeros((q.num_rows, k), np.int64), np.full((q.num_rows, k), np.inf)
+        if q.num_rows and d.num_rows:
+            ids, dist = search_block(numbers(q, "_id"), numbers(q, "_v"), numbers(q, "_bound"), numbers(d, "_id"), numbers(d, "_v"), k, exclude_self)
+        return ids, dist
+
+    def at_home(q: pa.Table, d: pa.Table) -> pa.Table:
+        ids, dist = best(q, d)
+        bound = np.minimum(numbers(q, "_bound"), dist[:, -1] * (1 + 1e-9)) if q.num_rows else np.zeros(0)
+        lists = [pa.ListArray.from_arrays(pa.array(np.arange(0, ids.size + 1, k, dtype=np.int32)), pa.array(x.ravel())) for x in (ids, dist)]
+        return pa.table([*(q.column(x) for x in ("_id", "_v", "_g", "_b", "_s")), pa.array(bound), *lists],
+                        schema=pa.schema([*point, ("_nids", pa.list_(pa.int64())), ("_dists", pa.list_(pa.float64()))]))
+
+    def elsewhere(q: pa.Table, d: pa.Table) -> pa.Table:
+        ids, dist = best(q, d)
+        ok = (np.isfinite(dist) & (dist <= numbers(q, "_bound")[:, None])).ravel() if q.num_rows else np.zeros(0, bool)
+        return pa.table({"qid": np.repeat(numbers(q, "_id"), k)[ok] if q.num_rows else np.zeros(0, np.int64), "nid": ids.ravel()[ok], "dist": dist.ravel()[ok]})
+
+    homes = searched(sent(queries.select("_id", "_v", "_g"), settle), at_home, f"{point_sql}, _nids array<long>, _dists array<double>").checkpoint(eager=True)
+    others = searched(sent(homes.drop("_nids", "_dists"), route), elsewhere, "qid long, nid long, dist double")
+    near = homes.select(F.col("_id").alias("qid"), F.explode(F.arrays_zip("_nids", "_dists")).alias("n")).select("qid", F.col("n._nids").alias("nid"), F.col("n._dists").alias("dist"))
+    found = near.where(F.col("dist") < float("inf")).unionByName(others)
+    last = Window.partitionBy("qid").orderBy("dist", "nid")  # k rows and what other blocks have within the bound
     return found.withColumn("rank", F.row_number().over(last)).filter(F.col("rank") <= k)
