@@ -232,18 +232,25 @@ def out_of_fold_auc(df: DataFrame, features: Sequence[str], target: str, fold: s
     together; each row is scored by the models that did not see it."""
     feats = tuple(features)
     problems = [Problem(feats, C, f) for C in penalties for f in range(k)]
-    fits = fit_many(df, problems, target, fold)
+    # the fold (md5 of the key) and the filled features are computed once, for the fits and the scores
+    names = list(dict.fromkeys(feats))
+    rows = narrow(df, names, target, fold)
+    fits = fit_many(df, problems, target, fold, rows=rows)
     by = {(p.C, p.held_out): f for p, f in zip(problems, fits)}
     items = []
-    for C in penalties:
+    for i, C in enumerate(penalties):
         p = None
         for f in range(k):
-            hit, val = F.col(fold) == f, probability(by[C, f])
+            hit, val = F.col("_fold") == f, probability(by[C, f])
             p = F.when(hit, val) if p is None else p.when(hit, val)
-        items.append(F.struct(F.lit(float(C)).alias("C"), p.alias("value")))
-    long = df.select(F.col(target).alias("label"), F.col(fold).cast("int").alias("fold"), F.explode(F.array(*items)).alias("s"))
-    long = long.select("label", F.struct("s.C", "fold").alias("variable"), "s.value")
-    return grouped_auc(long).select("variable.C", "variable.fold", "auc")
+        items.append(F.struct(F.lit(i).alias("c"), p.alias("value")))
+    long = rows.select("_y", "_fold", *[F.col(f"_x{i}").alias(f) for i, f in enumerate(names)]).select(
+        F.col("_y").cast("string").alias("_g"), "_fold", F.explode(F.array(*items)).alias("s"))
+    long = long.select(F.concat_ws(":", "s.c", "_fold").alias("variable"), "s.value", "_g").filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    n0, n1, r1 = [F.coalesce(F.sum(F.when(F.col("grp") == g, F.col(x))), F.lit(0)).cast("double") for g, x in (("0", "n_g"), ("1", "n_g"), ("1", "R_g"))]
+    auc = ranks.rank_sums(long).groupBy("variable").agg(F.try_divide(r1 - n1 * (n1 + 1) / 2, n0 * n1).alias("auc"))
+    at = F.split("variable", ":")
+    return auc.select(F.element_at(F.array(*[F.lit(float(C)) for C in penalties]), at[0].cast("int") + 1).alias("C"), at[1].cast("int").alias("fold"), "auc")
 
 
 def eliminate(df: DataFrame, features: Sequence[str], target: str, keep: int) -> DataFrame:

@@ -21,8 +21,12 @@ Plan (no task ever holds a whole variable):
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import chain
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,6 +84,68 @@ def cumulative(counts: DataFrame, key: Sequence[str] = ("variable",), order: str
           for s in sums])
 
 
+def rank_sums(long: DataFrame) -> DataFrame:
+    """(variable, grp, n_g, R_g, N, T) of (variable, value, _g) rows: sizes and
+    mid-rank sums of the groups, rows and sum(t^3 - t) over ties of the variable.
+
+    One exchange: rows are dealt in ranges of (variable, value), so a tie lies in
+    one task, and a task returns a row per variable and group with the rank sum
+    within its range. R_g is linear in what lies before the range: the sum of the
+    tasks' own rank sums plus each one's rows times the rows before it.
+    """
+    counts = (long.select("variable", "value", "_g").repartitionByRange("variable", "value")
+              .groupBy("variable", "value", "_g").agg(F.count(F.lit(1)).alias("n"))
+              .sortWithinPartitions("variable", "value").withColumn("pid", F.spark_partition_id()))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, seen, total, pid = None, {}, {}, 0
+        empty = pd.DataFrame({"variable": [], "value": [], "_g": [], "n": [], "pid": []})
+        for batch in chain(batches, [None]):
+            rows = empty if batch is None else batch.to_pandas()
+            if held is not None:
+                rows = pd.concat([held, rows], ignore_index=True) if len(rows) else held
+            held = None
+            if not len(rows):
+                continue
+            pid = int(rows["pid"].iloc[0])
+            var, x = rows["variable"].to_numpy(), rows["value"].to_numpy()
+            new = np.r_[True, (var[1:] != var[:-1]) | (x[1:] != x[:-1])]
+            if batch is not None:                       # the last tie may go on in the next batch
+                cut = int(np.flatnonzero(new)[-1])
+                rows, held, var, new = rows[:cut], rows[cut:], var[:cut], new[:cut]
+                if not cut:
+                    continue
+            n, tie = rows["n"].to_numpy(dtype=float), np.cumsum(new) - 1
+            t = np.bincount(tie, weights=n)
+            start = np.flatnonzero(new)
+            upto = np.cumsum(t) - t
+            edges = np.flatnonzero(np.r_[True, var[start][1:] != var[start][:-1], True])
+            for a, b in zip(edges[:-1], edges[1:]):
+                v = var[start[a]]
+                before = upto[a:b] - upto[a] + seen.get(v, 0.0)
+                own = slice(start[a], start[b] if b < len(start) else len(rows))
+                part = pd.DataFrame({"g": rows["_g"].to_numpy()[own], "n": n[own], "r": n[own] * (before + (t[a:b] + 1) / 2)[tie[own] - a]})
+                for g, r in part.groupby("g").sum().iterrows():
+                    old = total.get((v, g), (0.0, 0.0, 0.0))
+                    total[v, g] = (old[0] + r["n"], old[1] + r["r"], old[2])
+                g = part["g"].iloc[0]
+                total[v, g] = (*total[v, g][:2], total[v, g][2] + float((t[a:b] ** 3 - t[a:b]).sum()))
+                seen[v] = seen.get(v, 0.0) + float(t[a:b].sum())
+        if total:
+            cols = [[k[0] for k in total], [pid] * len(total), [k[1] for k in total], [int(v[0]) for v in total.values()],
+                    [v[1] for v in total.values()], [v[2] for v in total.values()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(cols, (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.float64(), pa.float64()))],
+                                             names=["variable", "pid", "grp", "n", "r", "t"])
+
+    parts = counts.mapInArrow(summed, "variable string, pid int, grp string, n long, r double, t double")
+    # a row per range, variable and group: at most (ranges + variables) x groups
+    earlier = Window.partitionBy("variable").orderBy("pid").rangeBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_off", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    sums = parts.groupBy("variable", "grp").agg(F.sum("n").alias("n_g"), F.sum(F.col("r") + F.col("_off") * F.col("n")).alias("R_g"), F.sum("t").alias("_t"))
+    whole = Window.partitionBy("variable")
+    return sums.select("variable", "grp", "n_g", "R_g", F.sum("n_g").over(whole).alias("N"), F.sum("_t").over(whole).alias("T"))
+
+
 def with_position(report: DataFrame, by: str, tie: Sequence[str], within: Sequence[str] = (), descending: bool = True,
                   out: str = "position") -> DataFrame:
     """W3 as data: ``report`` with its row's place (from 1) when sorted by the number

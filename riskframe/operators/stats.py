@@ -24,7 +24,7 @@ def rank_sums(df: DataFrame, cols: Sequence[str], group: str | F.Column,
     value and group are both present; T = sum(t^3 - t) over tied values."""
     g = F.col(group) if isinstance(group, str) else group
     long = ranks.to_long(df, cols, [g.cast("string").alias("_g")], value_type)
-    return _rank_sums_long(long.filter(F.col("_g").isNotNull()))
+    return ranks.rank_sums(long.filter(F.col("_g").isNotNull()))
 
 
 def mann_whitney(df: DataFrame, cols: Sequence[str], target: str = "TARGET",
@@ -105,10 +105,9 @@ def kruskal_wallis(df: DataFrame, quant: Sequence[str], qual: Sequence[str], min
     long = (df.select(F.explode(F.array(*items)).alias("kv")).select("kv.*")
             .filter(F.col("value").isNotNull() & ~F.isnan("value") & F.col("_g").isNotNull())
             .withColumn("value", F.col("value") + F.lit(0.0)))
-    counts = long.groupBy("variable", "value", "_g").agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.groupBy("variable", "_g").agg(F.sum("n").alias("_s"))
+    sizes = long.groupBy("variable", "_g").agg(F.count(F.lit(1)).alias("_s"))
     keep = sizes.filter(F.col("_s") >= min_group).select("variable", "_g")
-    rs = _rank_sums_counts(counts.join(keep, ["variable", "_g"], "left_semi"))
+    rs = ranks.rank_sums(long.join(keep, ["variable", "_g"], "left_semi"))
     h = rs.groupBy("variable", "N", "T").agg(
         F.sum(F.col("R_g") * F.col("R_g") / F.col("n_g")).alias("S"), F.count(F.lit(1)).alias("k"))
     N = F.col("N").cast("double")
@@ -123,25 +122,6 @@ def kruskal_wallis(df: DataFrame, quant: Sequence[str], qual: Sequence[str], min
     return out
 
 
-def _rank_sums_counts(counts: DataFrame) -> DataFrame:
-    """(variable, value, _g, n) counts -> (variable, grp, n_g, R_g, N, T)."""
-    counts = counts.withColumnRenamed("_g", "grp")
-    tot = counts.groupBy("variable", "value").agg(F.sum("n").alias("t"))
-    cum = ranks.cumulative(tot, ("variable",), "value", ("t",))
-    cum = cum.withColumn("avg_rank", F.col("t_before") + (F.col("t") + 1) / 2.0)
-    j = counts.join(cum.select("variable", "value", "avg_rank"), ["variable", "value"])
-    sums = j.groupBy("variable", "grp").agg(F.sum("n").alias("n_g"),
-                                            F.sum(F.col("n") * F.col("avg_rank")).alias("R_g"))
-    ties = cum.groupBy("variable").agg(
-        F.sum("t").alias("N"), F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("T"))
-    # ties: one row per variable.
-    return sums.join(F.broadcast(ties), "variable")
-
-
-def _rank_sums_long(long: DataFrame) -> DataFrame:
-    return _rank_sums_counts(long.groupBy("variable", "value", "_g").agg(F.count(F.lit(1)).alias("n")))
-
-
 # ---------------------------------------------------------- chi-square / V
 
 def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
