@@ -132,3 +132,18 @@ def test_knn_leaves_out_what_is_no_vector(spark):
     df = spark.createDataFrame(rows, "id long, v array<double>")
     assert sorted((r["qid"], r["nid"]) for r in knn(df, df, "id", "v", k=3).collect()) == [(1, 2), (2, 1), (7, 8), (8, 7)]
     assert knn(df.limit(0), df, "id", "v").count() == 0 and knn(df, df.limit(0), "id", "v").count() == 0
+
+
+@pytest.mark.parametrize("dim", [3, 64])
+def test_block_search_equals_brute_force_in_matrices_of_bounded_size(monkeypatch, dim):
+    from riskframe.operators import pivots
+    rng = np.random.default_rng(8)
+    d, ids = np.round(rng.normal(size=(6000, dim)), 1), rng.permutation(6000).astype(np.int64)
+    held, between = [], pivots._between
+    exp = pivots.nearest(ids, d, ids, d, 4, True)
+    monkeypatch.setattr(pivots, "_between", lambda a, b: (held.append(len(a) * len(b)), between(a, b))[1])
+    got = pivots.search_block(ids, d, np.full(6000, np.inf), ids, d, 4, True)
+    assert (got[0] == exp[0]).all() and np.allclose(got[1], exp[1], rtol=1e-12)
+    assert max(held) <= pivots.MATRIX      # 6000 queries times all pivots of the group before
+    if dim == 3:
+        assert sum(held) < 6000 * 6000 / 5
