@@ -2,19 +2,17 @@
 
 G6 and G5 run on the pivot-partitioned join of ``pivots``. E3's distance is no
 metric (it skips what is missing), so its plan is another: donors are cut into
-hash blocks and queries into hash blocks; a cell is a pair of blocks. Both sides are dealt
-to the cells by one shuffle each, and a cell's task keeps the k
-best of its donors for each of its queries (Arrow batches and numpy, never
-one row at a time between processes). The candidates of all cells (k per
-query and donor block) are merged with a top-k per query. A cell holds at most
-about ``cell_rows`` rows of either side, nothing passes through the driver or
-a broadcast, and a lost cell is redone alone. The answer is exact and no pair
-row is ever materialised; E3's work is still quadratic in the donors.
+regions along the columns that are least often missing, a query is searched in
+its own region, by pattern of missing columns, and then only in the regions that
+can hold a nearer donor. Each side is shuffled once per search, no pair row is
+materialised, and a query that its own region settles returns its values
+only; disk grows with the table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -22,35 +20,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.operators.pivots import metric_join, numbers
+from riskframe.operators.pivots import leaves_of, metric_join, numbers
 from riskframe.operators.ranks import cumulative
-from riskframe.session import ensure_checkpoint_dir
+from riskframe.session import ensure_checkpoint_dir, written
 
-LEAST_QUERIES = 64  # rows of a query block that is cut smaller to give every core a share
-CELL = ("_g", "_d", "_q")
-
-
-def _cells(queries: DataFrame, donors: DataFrame, cell_rows: int):
-    """Both sides (with ``_id`` and the group ``_g``) dealt to cells, cogrouped."""
-    spread = 4 * queries.sparkSession.sparkContext.defaultParallelism
-    total = max(1, queries.count())
-    sizes = (donors.groupBy("_g").agg(F.count(F.lit(1)).alias("_nd"))
-             .join(queries.groupBy("_g").agg(F.count(F.lit(1)).alias("_nq")), "_g"))
-    blocks = sizes.withColumn("_kd", F.ceil(F.col("_nd") / cell_rows)).withColumn("_kq", F.greatest(
-        F.ceil(F.col("_nq") / cell_rows),
-        F.least(F.ceil(F.col("_nq") / LEAST_QUERIES), F.ceil(F.col("_nq") * spread / total / F.col("_kd")))))
-    n_cells = blocks.agg(F.sum(F.col("_kd") * F.col("_kq"))).first()[0] or 1
-    blocks = blocks.select("_g", "_kd", "_kq")
-    tasks = min(n_cells, 100_000)
-
-    def dealt(rows: DataFrame, own: str, k_own: str, other: str, k_other: str):
-        rows = rows.select(*[F.col(c).alias(c) for c in rows.columns])  # the sides may be one table
-        return (rows.join(blocks, "_g")
-                .withColumn(own, F.pmod(F.xxhash64("_id"), F.col(k_own)))
-                .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(k_other) - 1)))
-                .drop("_kd", "_kq").repartition(tasks, *CELL).groupBy(*CELL))
-
-    return dealt(queries, "_q", "_kq", "_d", "_kd").cogroup(dealt(donors, "_d", "_kd", "_q", "_kq"))
+SAMPLE = 20_000  # rows from which the cuts of E3's regions are taken
 
 
 def knn(queries: DataFrame, donors: DataFrame, id_col: str, vec_col: str, k: int = 5,
@@ -127,19 +101,6 @@ def smote(train: DataFrame, id_col: str, vec_col: str, target: str, k: int = 5,
                     "synthetic"))
 
 
-def _shared_squares(q_mat: np.ndarray, d_mat: np.ndarray) -> np.ndarray:
-    """Squared missing-aware distances (queries x donors); inf where no column is shared."""
-    total = np.zeros((len(q_mat), len(d_mat)))
-    shared = np.zeros(total.shape, np.int16)
-    for c in range(q_mat.shape[1]):
-        diff = q_mat[:, c, None] - d_mat[None, :, c]
-        both = ~np.isnan(diff)
-        shared += both
-        total += np.where(both, diff * diff, 0.0)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where(shared > 0, total * (q_mat.shape[1] / shared), np.inf)
-
-
 def _smallest(d2: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Column numbers of the ``k`` smallest of each row, ties to the smaller id."""
     n = d2.shape[1]
@@ -149,118 +110,363 @@ def _smallest(d2: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     order = np.lexsort((ids[idx], near), axis=1)[:, :min(k, cc)]
     out = np.take_along_axis(idx, order, 1)
     kth = np.take_along_axis(near, order, 1)[:, -1]
-    for r in np.flatnonzero((cc < n) & (kth >= near.max(1)) & np.isfinite(kth)):  # ties may go on outside
-        out[r] = np.lexsort((ids, d2[r]))[:out.shape[1]]
+    tied = np.flatnonzero((cc < n) & (kth >= near.max(1)) & np.isfinite(kth))  # ties may go on outside
+    if len(tied):
+        out[tied] = np.lexsort((np.broadcast_to(ids, (len(tied), n)), d2[tied]), axis=1)[:, :out.shape[1]]
     return out
 
 
-def _impute_kernel(q_ids, q_mat, ids, mat, k, m, window, batch_elems):
-    """Exact candidates (qid, col, nid, dist, val) of the queries among one
-    block of donors, for every missing cell of every query.
-
-    Donors are sorted on the column x that is least often missing, and
-    neighbouring queries in x are searched together in the donors around
-    them. For a query and a donor that both have x, dist >= |dx|, because the
-    weight m / shared is >= 1 and dx^2 is one of the summed terms. So the k
-    best of that window are final when the k-th is below the gap to the
-    nearest donor outside; if not, the k-th bounds the range of x that a
-    second search covers. Donors without x are always searched, queries
-    without x among all donors. Ties break on the donor id.
-    """
-    x = int(np.argmax((~np.isnan(mat)).sum(0)))
-    order = np.lexsort((ids, mat[:, x]))  # without x last
-    n_s = int((~np.isnan(mat[:, x])).sum())
+def _nearest_squares(q_mat, bound, ids, mat, k, window, batch_elems):
+    """(squared distances, donor numbers) of the k donors nearest to each query,
+    ties to the smaller id; donors beyond ``bound`` (squared) may be missing.
+
+    Donors are halved to leaves of at most ``window`` rows with a bounding box. A query
+    searches the leaf on its side of every cut, then those whose box is not beyond
+    the k-th distance it has. No matrix has more than about ``batch_elems`` numbers."""
+    order, first, q_order, home = leaves_of(mat, q_mat, window)
+    last = np.r_[first[1:], len(ids)]
     ids, mat = ids[order], mat[order]
-    xs, present = mat[:n_s, x], ~np.isnan(mat)
-    rest = np.arange(n_s, len(ids))
-    q_order = np.argsort(q_mat[:, x], kind="stable")
-    q_ids, q_mat = q_ids[q_order], q_mat[q_order]
-    n_q = int((~np.isnan(q_mat[:, x])).sum())
-    out = []
-
-    def search(rows: np.ndarray, donors: np.ndarray, columns, gap: np.ndarray) -> list[tuple]:
-        """Emit what is final; (row, column, k-th squared distance) of what is not."""
-        open_ = []
-        d2 = _shared_squares(q_mat[rows], mat[donors])
-        for j in columns:
-            need, have = np.flatnonzero(np.isnan(q_mat[rows, j])), donors[present[donors, j]]
-            if not len(need):
-                continue
-            if len(have):
-                part = d2[need][:, present[donors, j]]
-                idx = _smallest(part, ids[have], k)
-                best = np.take_along_axis(part, idx, 1)
-                kth = best[:, -1] if best.shape[1] == k else np.full(len(need), np.inf)
-            else:
-                kth = np.full(len(need), np.inf)
-            final = (kth < gap[need] ** 2) | np.isinf(gap[need])
-            open_ += [(rows[r], j, d) for r, d in zip(need[~final], kth[~final])]
-            if len(have) and final.any():
-                best, nid = best[final], have[idx[final]]
-                ok = np.isfinite(best).ravel()
-                out.append((np.repeat(q_ids[rows[need[final]]], best.shape[1])[ok], np.full(ok.sum(), j, np.int32),
-                            ids[nid].ravel()[ok], np.sqrt(best.ravel()[ok]), mat[nid, j].ravel()[ok]))
-        return open_
-
-    pos = np.searchsorted(xs, q_mat[:n_q, x])
-    late, s = [], 0
-    while s < n_q:
-        e = min(int(np.searchsorted(pos, pos[s] + window // 2, "right")), s + max(1, batch_elems // (2 * window * m)))
-        first, last = max(0, pos[s] - window // 2), min(n_s, pos[e - 1] + window // 2 + 1)
-        qx = q_mat[s:e, x]
-        gap = np.minimum(qx - xs[first - 1] if first else np.inf, xs[last] - qx if last < n_s else np.inf)
-        late += search(np.arange(s, e), np.r_[np.arange(first, last), rest], range(m), np.broadcast_to(gap, (e - s,)))
-        s = e
-    whole = np.full(1, np.inf)
-    for r, j, d in late:
-        reach = np.sqrt(d) * (1 + 1e-9)
-        first, last = np.searchsorted(xs, q_mat[r, x] - reach), np.searchsorted(xs, q_mat[r, x] + reach, "right")
-        search(np.array([r]), np.r_[np.arange(first, last), rest], [j], whole)
-    step = max(1, batch_elems // max(1, len(ids)))
-    for s in range(n_q, len(q_ids), step):
-        rows = np.arange(s, min(s + step, len(q_ids)))
-        search(rows, np.arange(len(ids)), range(m), np.full(len(rows), np.inf))
-    if not out:
+    low, high = np.minimum.reduceat(mat, first), np.maximum.reduceat(mat, first)
+    best, at, bound = np.full((len(q_mat), k), np.inf), np.zeros((len(q_mat), k), np.int64), bound * (1 + 1e-12)
+
+    def visit(rows: np.ndarray, c: int) -> None:
+        own = slice(first[c], last[c])
+        d2 = np.zeros((len(rows), last[c] - first[c]))
+        for x in range(mat.shape[1]):
+            diff = q_mat[rows, x][:, None] - mat[None, own, x]
+            d2 += diff * diff
+        near = d2.min(1) <= bound[rows]
+        rows, d2 = rows[near], d2[near]
+        if not len(rows):
+            return
+        new = _smallest(d2, ids[own], k)
+        both, both_at = np.hstack([best[rows], np.take_along_axis(d2, new, 1)]), np.hstack([at[rows], new + first[c]])
+        o = np.lexsort((ids[both_at], both), axis=1)[:, :k]
+        best[rows], at[rows] = np.take_along_axis(both, o, 1), np.take_along_axis(both_at, o, 1)
+        bound[rows] = np.minimum(bound[rows], best[rows, -1])
+
+    step = max(1, min(1024, batch_elems // max(len(first), min(window, len(ids)))))
+    for s in range(0, len(q_order), step):
+        rows, own = q_order[s:s + step], home[s:s + step]
+        for c in np.unique(own):
+            visit(rows[own == c], c)
+        if len(first) == 1:
+            continue
+        box = np.zeros((len(rows), len(first)))
+        for x in range(mat.shape[1]):
+            v = q_mat[rows, x][:, None]
+            box += np.maximum(np.maximum(low[None, :, x] - v, v - high[None, :, x]), 0) ** 2
+        box *= 1 - 1e-12
+        box[np.arange(len(rows)), own] = np.inf
+        for c in np.flatnonzero((box <= bound[rows][:, None]).any(0)):
+            hit = rows[(box[:, c] <= bound[rows]) & np.isfinite(box[:, c])]
+            if len(hit):
+                visit(hit, c)
+    return best, order[at]
+
+
+def _impute_best(q_mat, ids, mat, k, window, batch_elems, limit=None):
+    """(squares, donor numbers), both (queries, columns, k): the nearest donors that
+    have the column, for every missing cell of every query; infinite where there are
+    fewer. What is beyond ``limit`` (queries x columns, squared) may be missing.
+
+    Rows are taken by their pattern: which columns are missing, finite or infinite.
+    Within a pair of patterns the shared columns are the same for all, so the
+    missing-aware distance is Euclidean there but for a factor. Infinite components
+    are shared with nothing: equal ones cancel out, others make the distance infinite.
+    """
+    n, m = q_mat.shape
+    best, at = np.full((n, m, k), np.inf), np.zeros((n, m, k), np.int64)
+    limit = np.full((n, m), np.inf) if limit is None else limit
+
+    def patterns(a: np.ndarray):
+        state = np.where(np.isnan(a), 0, np.where(np.isfinite(a), 1, np.where(a > 0, 2, 3))).astype(np.int8)
+        kinds, of = np.unique(state, axis=0, return_inverse=True)
+        return [(kind, np.flatnonzero(of.ravel() == i)) for i, kind in enumerate(kinds)]
+
+    donors = patterns(mat)
+    for have, rows in patterns(q_mat):
+        pairs = []
+        for other, own in donors:
+            both = (have == 1) & (other == 1)
+            needed = np.flatnonzero((have == 0) & (other != 0))
+            if both.any() and len(needed) and not ((have != 0) & (other != 0) & (have != other)).any():
+                pairs.append((int(both.sum()), np.flatnonzero(both), needed, own))
+        for shared, cols, needed, own in sorted(pairs, key=lambda p: p[0]):
+            bound = np.max([np.minimum(best[rows, j, -1], limit[rows, j]) for j in needed], axis=0)
+            weight = m / shared
+            d2, which = _nearest_squares(q_mat[np.ix_(rows, cols)], bound / weight, ids[own], mat[np.ix_(own, cols)], k, window, batch_elems)
+            d2, which = d2 * weight, own[which]
+            for j in needed:
+                both, both_at = np.hstack([best[rows, j], d2]), np.hstack([at[rows, j], which])
+                o = np.lexsort((ids[both_at], both), axis=1)[:, :k]
+                best[rows, j], at[rows, j] = np.take_along_axis(both, o, 1), np.take_along_axis(both_at, o, 1)
+    return best, at
+
+
+def _impute_kernel(q_ids, q_mat, ids, mat, k, m, window, batch_elems, limit=None):
+    """Exact candidates (qid, col, nid, dist, val) of the queries among one
+    block of donors, for every missing cell of every query (``_impute_best``).
+    ``dist`` is the root of the squares by which candidates are ordered."""
+    best, at = _impute_best(q_mat, ids, mat, k, window, batch_elems, limit)
+    row, col, r = np.nonzero(np.isfinite(best))
+    if not len(row):
         return None
-    return pd.DataFrame(dict(zip(("qid", "col", "nid", "dist", "val"), (np.concatenate(v) for v in zip(*out)))))
+    nid = at[row, col, r]
+    return pd.DataFrame({"qid": q_ids[row], "col": col.astype(np.int32), "nid": ids[nid], "dist": np.sqrt(best[row, col, r]),
+                         "val": mat[nid, col], "d2": best[row, col, r]})
+
+
+def _region_tree(sample: np.ndarray, scale: float, rows: float, first: Sequence[int]):
+    """Cuts of space into regions of about ``rows`` rows, from a sample of which a
+    row stands for ``scale``: nested (column, cut, below, from the cut on, without
+    the column), a number for a region. The columns ``first`` are cut as long as a row
+    has them, widest first. The sample decides how even the regions are, nothing else."""
+    number = count()
+
+    def grow(at: np.ndarray, left: tuple):
+        if len(at) * scale > rows:
+            for own in ([c for c in left if c in first], [c for c in left if c not in first]):
+                values = {c: at[np.isfinite(at[:, c]), c] for c in own}
+                spread = {c: float(np.ptp(v)) for c, v in values.items() if len(v) and np.ptp(v) > 0}
+                if not spread:
+                    continue
+                c = max(spread, key=spread.get)
+                cut = np.median(values[c])
+                if not (values[c] < cut).any():
+                    cut = values[c][values[c] > cut].min()
+                v = at[:, c]
+                return c, float(cut), grow(at[v < cut], left), grow(at[v >= cut], left), grow(at[np.isnan(v)], tuple(x for x in left if x != c))
+        return next(number)
+
+    return grow(sample, tuple(range(sample.shape[1])))
+
+
+def _region_of(tree, mat: np.ndarray) -> np.ndarray:
+    out, todo = np.zeros(len(mat), np.int32), [(tree, np.arange(len(mat)))]
+    while todo:
+        node, rows = todo.pop()
+        if not isinstance(node, tuple):
+            out[rows] = node
+            continue
+        c, cut, *parts = node
+        v = mat[rows, c]
+        for part, own in zip(parts, (v < cut, v >= cut, np.isnan(v))):
+            if own.any():
+                todo.append((part, rows[own]))
+    return out
+
+
+def _anchor(mat: np.ndarray, order: Sequence[int]) -> np.ndarray:
+    """Number of the first two columns in ``order`` that a row has; -1 for none."""
+    m = len(order)
+    have = ~np.isnan(mat[:, list(order)])
+    one = have.argmax(1)
+    rest = have & (np.arange(m)[None, :] != one[:, None])
+    return np.where(have.any(1), one * m + np.where(rest.any(1), rest.argmax(1), one), -1)
+
+
+def _beyond_home(q_mat, kth, low, high, always, ever, batch: int = 2000):
+    """(row, region) pairs that may hold a donor not beyond the k-th square of a
+    column the row lacks. A donor of a region has all columns of ``always`` and at
+    most those of ``ever``; the weight columns / shared is least for the latter."""
+    m, out = q_mat.shape[1], [np.zeros((0, 2), np.int64)]
+    for s in range(0, len(q_mat), batch):
+        q, limit = q_mat[s:s + batch], kth[s:s + batch]
+        have = ~np.isnan(q)
+        shared = have.astype(np.int64) @ ever.T.astype(np.int64)
+        gap, bound = np.zeros(shared.shape), np.full(shared.shape, -np.inf)
+        for c in range(m):
+            x = q[:, c][:, None]
+            both = have[:, c][:, None] & always[None, :, c]
+            off = np.maximum(np.maximum(low[None, :, c] - x, x - high[None, :, c]), 0.0)
+            gap += np.where(both, off * off, 0.0)
+            bound = np.maximum(bound, np.where(~have[:, c][:, None] & ever[None, :, c], limit[:, c][:, None], -np.inf))
+        at = np.argwhere((shared > 0) & (gap * (m / np.maximum(shared, 1)) * (1 - 1e-9) <= bound))
+        out.append(at + [s, 0])
+    return np.concatenate(out)
 
 
 def knn_impute(df: DataFrame, id_col: str, columns: Sequence[str], k: int = 5,
-               cell_rows: int = 200_000, window: int = 2048, batch_elems: int = 4 << 20) -> DataFrame:
+               cell_rows: int = 200_000, window: int = 128, batch_elems: int = 2 << 20) -> DataFrame:
     """Fill each missing cell with the mean of that column over the k
     nearest rows that have it, under the missing-aware Euclidean distance
     sqrt(n_cols / n_shared * sum over shared columns (a - b)^2). No usable
     donor -> the column mean. Only rows with a missing cell are queries.
 
-    Within a cell the search is windowed on a sorted coordinate with an
-    exactness check and a full search where it fails (``_impute_kernel``),
-    so the result equals brute force.
+    Space is cut into regions of at most about ``cell_rows`` donors along the columns
+    that are least often missing (``_region_tree``). A query is searched among the
+    donors of its own region (``_impute_best``); its k-th distances there say which
+    other regions can hold nearer donors, few of them or none, and only a query
+    that has such regions is sent on and returns candidates. Queries that lack
+    the columns of the cuts have a tree of their own, with a copy of
+    the donors, where that is less than sending them to every region. The result equals brute force.
     """
     cols = list(columns)
     m = len(cols)
     names = [f"_c{j}" for j in range(m)]
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     # Read several times: cut the lineage first.
-    base = df.select(F.col(id_col).cast("long").alias("_id"), F.lit("").alias("_g"),
+    base = df.select(F.col(id_col).cast("long").alias("_id"),
                      *[F.col(c).cast("double").alias(n) for c, n in zip(cols, names)]).checkpoint(eager=True)
-    lacking = F.greatest(*[F.col(n).isNull().cast("int") for n in names]) if m > 1 else F.col(names[0]).isNull().cast("int")
-    schema = "qid long, col int, nid long, dist double, val double"
-    none = pa.schema([("qid", pa.int64()), ("col", pa.int32()), ("nid", pa.int64()), ("dist", pa.float64()),
-                      ("val", pa.float64())]).empty_table()
-
-    def search(q: pa.Table, d: pa.Table) -> pa.Table:
+    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
+    absent = [F.col(n).isNull() | F.isnan(n) for n in names]
+    found = base.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(x).alias(n) for x, n in zip(absent, names)]).first()
+    n, order = found["n"], sorted(range(m), key=lambda j: found[names[j]])
+    spread = 4 * spark.sparkContext.defaultParallelism
+    rows = min(cell_rows, max(5000, n // 64))
+    lacking = F.exists(F.array(*names), lambda x: x.isNull()) & F.col("_id").isNotNull()
+    # rows of one id fill each other's cells from their candidates taken together
+    several = base.groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > 1) & F.col("_id").isNotNull())
+    several = several.select("_id", F.lit(True).alias("_several"))
+    queries = base.where(lacking)
+    queries = queries.withColumn("_several", F.lit(False)) if several.isEmpty() else (
+        queries.join(several, "_id", "left").withColumn("_several", F.coalesce("_several", F.lit(False))))
+
+    def matrix(t) -> np.ndarray:
+        return np.column_stack([numbers(t, c).astype(np.float64) for c in names])
+
+    def ids_of(t) -> np.ndarray:  # rows without an id come last among equals
+        return t.column("_id").combine_chunks().fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
+
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kind, size = np.unique(_anchor(matrix(pa.Table.from_batches([b])), order), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), pa.array(size.astype(np.int64))], names=["kind", "n"])
+
+    # at most columns^2 / 2 kinds
+    kinds = {r["kind"]: r["n"] for r in queries.select(*names).mapInArrow(anchors, "kind int, n long").groupBy("kind").agg(F.sum("n").alias("n")).collect()
+             if r["kind"] >= 0}
+    main = max(kinds, key=lambda x: (kinds[x], -x), default=0)
+    own_tree = [main] + [x for x in sorted(kinds) if x != main and kinds[x] * n > rows * n]
+    sample = base.select(*names).orderBy(F.xxhash64("_id", *names)).limit(SAMPLE).toArrow()
+    points = matrix(sample) if sample.num_rows else np.zeros((0, m))
+    trees = [_region_tree(points, n / max(1, len(points)), rows, [order[x // m], order[x % m]]) for x in own_tree]
+    tree_of = {x: t for t, x in enumerate(own_tree)}
+    place = [("_t", pa.int32()), ("_b", pa.int32())]
+    values = [("_id", pa.int64()), *[(c, pa.float64()) for c in names]]
+    values_sql = "_id long, " + ", ".join(f"{c} double" for c in names)
+
+    def donors_dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            mat = matrix(pa.Table.from_batches([b]))
+            for t, tree in enumerate(trees):
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(len(mat), t, np.int32)), pa.array(_region_of(tree, mat))],
+                                                 names=[*b.schema.names, "_t", "_b"])
+
+    def queries_dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            mat = matrix(pa.Table.from_batches([b]))
+            kind = _anchor(mat, order)
+            tree = np.array([tree_of.get(x, 0) for x in kind], np.int32)
+            region = np.zeros(len(mat), np.int32)
+            for t in np.unique(tree):
+                region[tree == t] = _region_of(trees[t], mat[tree == t])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(tree), pa.array(region)], names=[*b.schema.names, "_t", "_b"]) \
+                .filter(pa.array(kind >= 0))  # a row with nothing shares no column
+
+    donors = base.mapInArrow(donors_dealt, f"{values_sql}, _t int, _b int")
+    asked = queries.select("_id", *names, "_several").mapInArrow(queries_dealt, f"{values_sql}, _several boolean, _t int, _b int")
+
+    def measured(d: DataFrame) -> list:  # a row per region
+        def finite(c):
+            return F.when(F.abs(c) < float("inf"), F.col(c))
+        return d.groupBy("_t", "_b").agg(F.count(F.lit(1)).alias("n"), *[x for c in names for x in (
+            F.min(finite(c)).alias(f"low{c}"), F.max(finite(c)).alias(f"high{c}"), F.count(finite(c)).alias(f"n{c}"),
+            F.count_if(F.col(c).isNotNull() & ~F.isnan(c)).alias(f"e{c}"))]).orderBy("_t", "_b").collect()
+
+    regions = measured(donors)
+    large = [(r["_t"], r["_b"]) for r in regions if r["n"] > 4 * rows]
+    if large:  # of donors with equal values only the k smallest ids can be among the k nearest of anything
+        marked = F.broadcast(spark.createDataFrame(large, "_t int, _b int"))
+        equal = Window.partitionBy("_t", "_b", *names).orderBy(F.col("_id").asc_nulls_last())
+        few = (donors.join(marked, ["_t", "_b"]).withColumn("_r", F.row_number().over(equal)).where(F.col("_r") <= k)
+               .select("_id", *names, "_t", "_b").checkpoint(eager=True))
+        donors = donors.join(marked, ["_t", "_b"], "left_anti").select("_id", *names, "_t", "_b").unionByName(few)
+        regions = measured(donors)
+    parts = {(r["_t"], r["_b"]): -(-r["n"] // (2 * rows)) for r in regions}
+    # a region that cannot be cut is dealt to several parts with the same bounds
+    cells = [(r, s) for r in regions for s in range(parts[r["_t"], r["_b"]])]
+    cell_tree = np.array([r["_t"] for r, _ in cells], np.int32)
+    cell_key = np.array([(r["_b"], s) for r, s in cells], np.int32).reshape(-1, 2)
+    low, high = (np.array([[np.nan if r[f"{x}{c}"] is None else r[f"{x}{c}"] for c in names] for r, _ in cells], float).reshape(-1, m) for x in ("low", "high"))
+    always = np.array([[r[f"n{c}"] == r["n"] for c in names] for r, _ in cells], bool).reshape(-1, m)
+    ever = np.array([[r[f"e{c}"] > 0 for c in names] for r, _ in cells], bool).reshape(-1, m)
+    split = [(*key, x) for key, x in parts.items() if x > 1]
+    if split:
+        number = F.broadcast(spark.createDataFrame(split, "_t int, _b int, _parts long"))
+        part = F.pmod(F.xxhash64("_id"), F.coalesce("_parts", F.lit(1))).cast("int")
+        donors, asked = (x.join(number, ["_t", "_b"], "left").withColumn("_s", part).drop("_parts") for x in (donors, asked))
+    else:
+        donors, asked = donors.withColumn("_s", F.lit(0)), asked.withColumn("_s", F.lit(0))
+    key = ["_t", "_b", "_s"]
+    tasks = max(spread, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def searched(visits: DataFrame, search, schema: str) -> DataFrame:
+        shares = visits.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / rows).alias("_k"))
+        shares = F.broadcast(shares)  # a row per region
+        left = visits.join(shares, key).withColumn("_p", F.pmod(F.xxhash64("_id"), F.col("_k"))).drop("_k").repartition(tasks, *key, "_p")
+        right = donors.join(shares, key).withColumn("_p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1))).drop("_k").repartition(tasks, *key, "_p")
+        return left.groupBy(*key, "_p").cogroup(right.groupBy(*key, "_p")).applyInArrow(search, schema)
+
+    home_schema = pa.schema([*values, ("_t", pa.int32()), ("_to", pa.list_(pa.int32())), ("_kth", pa.list_(pa.float64())),
+                             ("_d2", pa.list_(pa.float64())), ("_nid", pa.list_(pa.int64())), ("_val", pa.list_(pa.float64())),
+                             *[(f"_f{j}", pa.float64()) for j in range(m)]])
+    home_sql = (f"{values_sql}, _t int, _to array<int>, _kth array<double>, _d2 array<double>, _nid array<long>, _val array<double>, "
+                + ", ".join(f"_f{j} double" for j in range(m)))
+
+    def at_home(q: pa.Table, d: pa.Table) -> pa.Table:
+        """A settled query with its values only; another with candidates and the cells it has to see."""
+        if not q.num_rows:
+            return home_schema.empty_table()
+        ids, q_mat, d_ids, mat = ids_of(q), matrix(q), ids_of(d), matrix(d)
+        tree, here = q.column("_t")[0].as_py(), [q.column(x)[0].as_py() for x in ("_b", "_s")]
+        if d.num_rows:
+            best, at = _impute_best(q_mat, d_ids, mat, k, window, batch_elems)
+            nid, val = d_ids[at], np.stack([mat[at[:, j], j] for j in range(m)], 1)
+        else:
+            best, nid, val = np.full((len(ids), m, k), np.inf), np.zeros((len(ids), m, k), np.int64), np.zeros((len(ids), m, k))
+        others = np.flatnonzero((cell_tree == tree) & (cell_key != here).any(1))
+        to = _beyond_home(q_mat, best[:, :, -1], low[others], high[others], always[others], ever[others])
+        open_ = numbers(q, "_several").astype(bool)
+        open_[to[:, 0]] = True
+        ok = np.isfinite(best)
+        with np.errstate(invalid="ignore"):
+            fill = np.where(ok, val, 0.0).sum(2) / ok.sum(2)
+
+        def listed(a: np.ndarray, width: int) -> pa.Array:  # a list for every open query
+            ends = np.cumsum(np.r_[0, np.where(open_, width, 0)]).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(a[open_].ravel()), mask=pa.array(~open_))
+
+        ends = np.r_[0, np.cumsum(np.bincount(to[:, 0], minlength=len(ids)))].astype(np.int32)
+        fills = [pa.array(fill[:, j], mask=open_ | ~ok[:, j, 0]) for j in range(m)]
+        own = [pa.array(q_mat[:, j], mask=~open_ | np.isnan(q_mat[:, j])) for j in range(m)]
+        return pa.table([pa.array(ids), *own, q.column("_t"), pa.ListArray.from_arrays(pa.array(ends), pa.array(others[to[:, 1]].astype(np.int32)), mask=pa.array(~open_)),
+                         listed(best[:, :, -1], m), listed(best, m * k), listed(nid, m * k), listed(val, m * k), *fills], schema=home_schema)
+
+    schema = "qid long, col int, nid long, d2 double, val double"
+    none = pa.schema([("qid", pa.int64()), ("col", pa.int32()), ("nid", pa.int64()), ("d2", pa.float64()), ("val", pa.float64())]).empty_table()
+
+    def elsewhere(q: pa.Table, d: pa.Table) -> pa.Table:
         if not q.num_rows or not d.num_rows:
             return none
-        q_mat, d_mat = (np.column_stack([numbers(t, n).astype(np.float64) for n in names]) for t in (q, d))
-        found = _impute_kernel(numbers(q, "_id"), q_mat, numbers(d, "_id"), d_mat, k, m, window, batch_elems)
-        return none if found is None else pa.Table.from_pandas(found, none.schema, preserve_index=False)
-
-    cands = _cells(base.filter(lacking == 1), base, cell_rows).applyInArrow(search, schema)
-    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
-    w = Window.partitionBy("qid", "col").orderBy("dist", "nid")  # <= k x blocks rows
-    fill = (cands.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+        got = _impute_kernel(ids_of(q), matrix(q), ids_of(d), matrix(d), k, m, window, batch_elems, numbers(q, "_kth"))
+        return none if got is None else pa.Table.from_pandas(got[["qid", "col", "nid", "d2", "val"]], none.schema, preserve_index=False)
+
+    homes = written(searched(asked, at_home, home_sql), "impute")
+    left = homes.where(F.col("_to").isNotNull())
+    cell = spark.createDataFrame([(i, int(b), int(s)) for i, (b, s) in enumerate(cell_key)], "_to int, _b int, _s int")
+    visits = left.select("_id", *names, "_t", "_kth", F.explode("_to").alias("_to")).join(F.broadcast(cell), "_to").drop("_to")
+    near = left.select(F.col("_id").alias("qid"), F.posexplode(F.arrays_zip("_d2", "_nid", "_val")).alias("at", "x")).select(
+        "qid", F.floor(F.col("at") / k).cast("int").alias("col"), F.col("x._nid").alias("nid"), F.col("x._d2").alias("d2"), F.col("x._val").alias("val"))
+    cands = near.where(F.col("d2") < float("inf")).unionByName(searched(visits, elsewhere, schema))
+    w = Window.partitionBy("qid", "col").orderBy("d2", "nid")  # k rows and what other regions have within the bound
+    late = (cands.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
             .groupBy("qid").pivot("col", list(range(m))).agg(F.avg("val")))
-    out = df.join(fill.withColumnRenamed("qid", id_col), id_col, "left")
+    fill = homes.where(F.col("_to").isNull()).select("_id", *[f"_f{j}" for j in range(m)]).unionByName(
+        late.select(F.col("qid").alias("_id"), *[F.col(f"`{j}`").alias(f"_f{j}") for j in range(m)]))
+    out = df.join(fill.withColumnRenamed("_id", id_col), id_col, "left")
     return out.select(*[
-        F.coalesce(F.col(c).cast("double"), F.col(f"`{cols.index(c)}`"), F.lit(means[c])).alias(c)
+        F.coalesce(F.col(c).cast("double"), F.col(f"_f{cols.index(c)}"), F.lit(means[c])).alias(c)
         if c in cols else F.col(c) for c in df.columns])

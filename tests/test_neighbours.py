@@ -147,3 +147,38 @@ def test_block_search_equals_brute_force_in_matrices_of_bounded_size(monkeypatch
     assert max(held) <= pivots.MATRIX      # 6000 queries times all pivots of the group before
     if dim == 3:
         assert sum(held) < 6000 * 6000 / 5
+
+
+def test_knn_impute_settles_queries_at_home_whatever_the_number_of_regions(spark, monkeypatch):
+    """Copies beyond a region, infinite cells, rows without an id, queries that lack the
+    columns of the cuts: brute force, and few queries that leave their region."""
+    from riskframe.operators import neighbours
+    rng = np.random.default_rng(6)
+    n, m, k = 3000, 3, 3
+    mat = np.round(rng.random((n, m)) * 100, 3)
+    mat[rng.random(n) < 0.5, 2] = np.nan
+    mat[:60, 0] = np.nan
+    mat[:700:9] = np.nan
+    mat[2000:2600, :2] = mat[2000, :2]  # copies but for the third column
+    mat[2000:2600, 2] = np.where(np.arange(600) % 2, np.nan, 5.0)
+    mat[2900:2903, 2] = np.inf
+    ids = np.arange(n, dtype=np.int64)
+    cols = [f"c{j}" for j in range(m)]
+    pdf = pd.DataFrame(mat, columns=cols).astype(object).where(~np.isnan(mat), None)
+    pdf.insert(0, "id", ids)
+    pdf["id"] = pdf["id"].astype(object).where(ids != 2999, None)
+    df = spark.createDataFrame(pdf, "id long, " + ", ".join(f"{c} double" for c in cols))
+    kept = []
+    monkeypatch.setattr(neighbours, "written", lambda d, tag: (kept.append(d.checkpoint()), kept[-1])[1])
+    got = neighbours.knn_impute(df, "id", cols, k=k, cell_rows=100).toPandas()
+    got = got[got.id.notna()].set_index("id")
+    means = [pdf[c].astype(float).mean() for c in cols]
+    picks = {}
+    with np.errstate(invalid="ignore"):
+        for q, j, nid in _brute_impute(ids, mat, np.flatnonzero(np.isnan(mat).any(1) & (ids != 2999)), k):
+            picks.setdefault((q, j), []).append(mat[nid, j])
+    for q, j in zip(*np.nonzero(np.isnan(mat[:2999]))):
+        assert got.loc[q, cols[j]] == pytest.approx(np.mean(picks[q, j]) if (q, j) in picks else means[j])
+    homes = kept[0]
+    total, cells = homes.count(), homes.select(F.sum(F.size("_to"))).first()[0]
+    assert total > 1200 and cells < 4 * total  # of more than 30 regions; before, every query was searched in each block
