@@ -27,10 +27,11 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.session import ensure_checkpoint_dir
+from riskframe.session import ensure_checkpoint_dir, written
 
 
 def to_long(df: DataFrame, cols: Sequence[str], extra: Sequence[str | Column] = (),
@@ -146,6 +147,224 @@ def rank_sums(long: DataFrame) -> DataFrame:
     return sums.select("variable", "grp", "n_g", "R_g", F.sum("n_g").over(whole).alias("N"), F.sum("_t").over(whole).alias("T"))
 
 
+def _cuts(data: DataFrame, names: Sequence[str], n: int, rows: int) -> list[np.ndarray]:
+    """Quantiles of every column, one for about every ``rows`` of ``n`` rows."""
+    slices = max(64, min(2000, n // rows))
+    probs = [i / slices for i in range(slices + 1)]
+    row = data.agg(*[F.percentile_approx(x, probs, 8 * slices).alias(x) for x in names]).first()
+    return [np.unique(np.array(row[x] or [], float)) for x in names]
+
+
+def _coded(b: pa.RecordBatch, names: Sequence[str], cuts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Values and their slices: odd on a cut, even between two, -1 for none."""
+    mat = np.column_stack([b.column(x).to_numpy(zero_copy_only=False).astype(float) for x in names])
+    code = np.full(mat.shape, -1, np.int16)
+    for i, cut in enumerate(cuts):
+        if len(cut):
+            at = np.searchsorted(cut, mat[:, i])
+            code[:, i] = np.where(np.isnan(mat[:, i]), -1, 2 * at + (cut[np.minimum(at, len(cut) - 1)] == mat[:, i]))
+    return mat, code
+
+
+def group_rank_sums(df: DataFrame, cols: Sequence[str], groups: Sequence[str], least: int = 1, rows: int = 50_000) -> DataFrame:
+    """(variable, grouping, grp, n_g, R_g, N, T) for every column and grouping (a text
+    column of few values): sizes and mid-rank sums of the groups with at least
+    ``least`` rows that have the value, ranked over the rows of these groups.
+
+    As in ``rank_products`` a value on a cut is ranked by counts alone; what lies between two cuts is sent to its slice
+    once for all groupings, and a slice returns a row per group. Groups times slices pass the driver.
+    """
+    spark, cols, groups = df.sparkSession, list(cols), list(groups)
+    names, marks = [f"_c{i}" for i in range(len(cols))], [f"_g{i}" for i in range(len(groups))]
+    x = [F.col(c).cast("double") for c in cols]
+    data = df.select(*[F.when(~F.isnan(v), v + F.lit(0.0)).alias(c) for v, c in zip(x, names)],
+                     *[F.col(g).cast("string").alias(c) for g, c in zip(groups, marks)])
+    cuts = _cuts(data, names, data.count(), rows)
+    words, kept = [], []  # of each grouping its groups; which of them count for a column
+    for g in marks:
+        sizes = data.where(F.col(g).isNotNull()).groupBy(g).agg(*[F.count(c).alias(c) for c in names]).orderBy(g).collect()
+        words.append([r[g] for r in sizes])
+        kept.append(np.array([[r[c] >= max(1, least) for r in sizes] + [False] for c in names], bool))
+
+    def marked(b: pa.RecordBatch) -> np.ndarray:
+        """(rows, groupings): the number of the row's group; the last for none."""
+        out = [pc.index_in(b.column(g), value_set=pa.array(w, pa.string())).fill_null(len(w)) for g, w in zip(marks, words)]
+        return np.column_stack([o.to_numpy(zero_copy_only=False) for o in out]).astype(np.int16)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(cols), len(groups), widest), np.int64)
+        for b in batches:
+            code, group = _coded(b, names, cuts)[1], marked(b)
+            for i in range(len(cols)):
+                for j in range(len(groups)):
+                    total[i, j] += np.bincount(code[(code[:, i] >= 0) & kept[j][i][group[:, j]], i], minlength=widest)
+        v, g, c = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int32)) for a in (v, g, c)] + [pa.array(total[v, g, c])], names=["v", "g", "c", "n"])
+
+    widest = 2 * max(len(c) for c in cuts) + 1
+    size = np.zeros((len(cols), len(groups), widest))  # columns x groupings x slices
+    for r in data.mapInArrow(counted, "v int, g int, c int, n long").groupBy("v", "g", "c").agg(F.sum("n").alias("n")).collect():
+        size[r["v"], r["g"], r["c"]] = r["n"]
+    before = np.cumsum(size, axis=2) - size
+    middle = before + (size + 1) / 2
+
+    def sums_of(parts) -> pa.RecordBatch:
+        """Rows of (column, grouping, group numbers, ranks) put together by group."""
+        out = [[], [], [], [], []]
+        for i, j, group, rank in parts:
+            n = np.bincount(group, minlength=len(words[j]) + 1)
+            r = np.bincount(group, weights=rank, minlength=len(n))
+            at = np.flatnonzero(n)
+            for o, a in zip(out, (np.full(len(at), i), np.full(len(at), j), at, n[at], r[at])):
+                o.append(a)
+        types = (np.int32, np.int32, np.int32, np.int64, np.float64)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(o).astype(t) if o else np.zeros(0, t)) for o, t in zip(out, types)], names=["v", "g", "grp", "n", "r"])
+
+    def on_cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            code, group = _coded(b, names, cuts)[1], marked(b)
+            parts = []
+            for i in range(len(cols)):
+                for j in range(len(groups)):
+                    own = np.flatnonzero((code[:, i] % 2 == 1) & (code[:, i] > 0) & kept[j][i][group[:, j]])
+                    parts.append((i, j, group[own, j], middle[i, j][code[own, i]]))
+            yield sums_of(parts)
+
+    def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            (mat, code), group = _coded(b, names, cuts), marked(b)
+            for i in range(len(cols)):
+                own = np.flatnonzero((code[:, i] >= 0) & (code[:, i] % 2 == 0))
+                if not len(own):
+                    continue
+                own = own[np.argsort(code[own, i], kind="stable")]
+                c, first = np.unique(code[own, i], return_index=True)
+                ends = np.r_[first, len(own)].astype(np.int32)
+                packed = [group[own[s:e]].tobytes() for s, e in zip(ends[:-1], ends[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(c), i, np.int32)), pa.array(c.astype(np.int32)),
+                                                  pa.ListArray.from_arrays(pa.array(ends), pa.array(mat[own, i])), pa.array(packed, pa.binary())], names=["v", "c", "x", "groups"])
+
+    def ranked(t: pa.Table) -> pa.Table:
+        i, c = t.column("v")[0].as_py(), t.column("c")[0].as_py()
+        values = t.column("x").combine_chunks().flatten().to_numpy()
+        group = np.concatenate([np.frombuffer(p, np.int16) for p in t.column("groups").to_pylist()]).reshape(-1, len(groups))
+        tie = np.unique(values, return_inverse=True)[1].ravel()
+        parts, tied = [], {}
+        for j in range(len(groups)):
+            own = kept[j][i][group[:, j]]
+            count = np.bincount(tie[own], minlength=tie.max() + 1).astype(float)
+            rank = before[i, j, c] + np.cumsum(count) - count + (count + 1) / 2
+            parts.append((i, j, group[own, j], rank[tie[own]]))
+            tied[j] = float((count ** 3 - count).sum())
+        out = sums_of(parts)
+        # the ties of the slice on the first row of each grouping
+        g = out.column("g").to_numpy()
+        t3 = np.where(np.r_[True, g[1:] != g[:-1]] if len(g) else np.zeros(0, bool), [tied[x] for x in g], 0.0)
+        return pa.Table.from_batches([out]).append_column("t", pa.array(t3, pa.float64()))
+
+    schema = "v int, g int, grp int, n long, r double"
+    moved = data.mapInArrow(between, "v int, c int, x array<double>, groups binary").groupBy("v", "c").applyInArrow(ranked, schema + ", t double")
+    still = data.mapInArrow(on_cuts, schema).withColumn("t", F.lit(0.0))
+    found = still.unionByName(moved).groupBy("v", "g", "grp").agg(F.sum("n").alias("n"), F.sum("r").alias("r"), F.sum("t").alias("t")).collect()
+    odd = size[:, :, 1::2]
+    ties = (odd ** 3 - odd).sum(2)
+    for r in found:
+        ties[r["v"], r["g"]] += r["t"]
+    total = size.sum(2)
+    out = [(cols[r["v"]], groups[r["g"]], words[r["g"]][r["grp"]], r["n"], r["r"], int(total[r["v"], r["g"]]), float(ties[r["v"], r["g"]])) for r in found]
+    return spark.createDataFrame(out, "variable string, grouping string, grp string, n_g long, R_g double, N long, T double")
+
+
+def rank_products(df: DataFrame, cols: Sequence[str], rows: int = 50_000) -> np.ndarray:
+    """Sums over the rows of the products of every two columns' mid-ranks, each less
+    its mean. All columns are complete (no null or NaN).
+
+    Quantiles (some for every ``rows`` rows) cut each column. A value on a cut is ranked by counts of the
+    slices alone, so columns of few values and values that many rows share move nothing. What lies between two
+    cuts goes to its slice, which is sorted in one task, and its ranks go back to the block of rows they
+    come from; a block returns its sums. One exchange each way, whatever the number of columns.
+    """
+    spark = df.sparkSession
+    cols = list(cols)
+    m, names = len(cols), [f"_c{i}" for i in range(len(cols))]
+    data = written(df.select(F.monotonically_increasing_id().alias("_row"),
+                             *[(F.col(c).cast("double") + F.lit(0.0)).alias(x) for c, x in zip(cols, names)]), "ranked")
+    n = data.count()
+    cuts = _cuts(data, names, n, rows)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = [np.zeros(2 * len(cut) + 1, np.int64) for cut in cuts]
+        for b in batches:
+            code = _coded(b, names, cuts)[1]
+            for i, t in enumerate(total):
+                t += np.bincount(code[:, i], minlength=len(t))
+        v, c = (np.concatenate(x) for x in zip(*[(np.full(len(t), i, np.int32), np.arange(len(t), dtype=np.int32)) for i, t in enumerate(total)]))
+        yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(c), pa.array(np.concatenate(total))], names=["v", "c", "n"])
+
+    size = [np.zeros(2 * len(cut) + 1, np.int64) for cut in cuts]  # columns x slices numbers
+    for r in data.mapInArrow(counted, "v int, c int, n long").groupBy("v", "c").agg(F.sum("n").alias("n")).collect():
+        size[r["v"]][r["c"]] = r["n"]
+    before = [np.cumsum(t) - t for t in size]
+    middle = [b + (t + 1) / 2 for b, t in zip(before, size)]
+
+    def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The values between cuts, in lists by column, slice and block."""
+        for b in batches:
+            mat, code = _coded(b, names, cuts)
+            row = b.column("_row").to_numpy()
+            for i in range(m):
+                own = np.flatnonzero(code[:, i] % 2 == 0)
+                if not len(own):
+                    continue
+                own = own[np.lexsort((row[own] >> 16, code[own, i]))]
+                block, c = row[own] >> 16, code[own, i]
+                first = np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (block[1:] != block[:-1])])
+                ends = pa.array(np.r_[first, len(own)].astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(first), i, np.int32)), pa.array(c[first].astype(np.int32)), pa.array(block[first]),
+                     pa.ListArray.from_arrays(ends, pa.array((row[own] & 0xFFFF).astype(np.int32))),
+                     pa.ListArray.from_arrays(ends, pa.array(mat[own, i]))], names=["v", "c", "block", "pos", "x"])
+
+    ranked_schema = pa.schema([("block", pa.int64()), ("v", pa.int32()), ("pos", pa.list_(pa.int32())), ("x", pa.list_(pa.float64()))])
+
+    def ranked(t: pa.Table) -> pa.Table:
+        v, c = t.column("v")[0].as_py(), t.column("c")[0].as_py()
+        lists = t.column("x").combine_chunks()
+        x = lists.flatten().to_numpy()
+        _, tie, count = np.unique(x, return_inverse=True, return_counts=True)
+        rank = before[v][c] + (np.cumsum(count) - count + (count + 1) / 2)[tie.ravel()]
+        ends = pa.array(np.r_[0, np.cumsum(lists.value_lengths().to_numpy())].astype(np.int32))
+        return pa.table([t.column("block"), t.column("v"), t.column("pos"), pa.ListArray.from_arrays(ends, pa.array(rank))], schema=ranked_schema)
+
+    def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            code, row = _coded(b, names, cuts)[1], b.column("_row").to_numpy()
+            for block in np.unique(row >> 16):
+                own = row >> 16 == block
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([(row[own] & 0xFFFF).astype(np.int32)], pa.list_(pa.int32())),
+                                                  pa.array([code[own].tobytes()], pa.binary())], names=["block", "pos", "codes"])
+
+    def products(left: pa.Table, right: pa.Table) -> pa.Table:
+        pos = np.concatenate([np.asarray(p) for p in left.column("pos").to_pylist()])
+        code = np.concatenate([np.frombuffer(x, np.int16) for x in left.column("codes").to_pylist()]).reshape(-1, m)
+        at = np.zeros(1 << 16, np.int64)
+        at[pos] = np.arange(len(pos))
+        mat = np.column_stack([middle[i][code[:, i]] for i in range(m)])
+        for v, p, x in zip(right.column("v").to_pylist(), right.column("pos").combine_chunks(), right.column("x").combine_chunks()):
+            mat[at[p.values.to_numpy()], v] = x.values.to_numpy()
+        mat -= (n + 1) / 2
+        return pa.table({"g": pa.array([(mat.T @ mat).ravel()], pa.list_(pa.float64()))})
+
+    cells = data.mapInArrow(between, "v int, c int, block long, pos array<int>, x array<double>")
+    back = cells.groupBy("v", "c").applyInArrow(ranked, "block long, v int, pos array<int>, x array<double>")
+    own = data.mapInArrow(codes, "block long, pos array<int>, codes binary")
+    sums = own.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(products, "g array<double>")
+    out = np.zeros(m * m)  # the square of the number of columns
+    for r in sums.select(F.posexplode("g").alias("i", "g")).groupBy("i").agg(F.sum("g").alias("g")).collect():
+        out[r["i"]] = r["g"]
+    return out.reshape(m, m)
+
+
 def with_position(report: DataFrame, by: str, tie: Sequence[str], within: Sequence[str] = (), descending: bool = True,
                   out: str = "position") -> DataFrame:
     """W3 as data: ``report`` with its row's place (from 1) when sorted by the number

@@ -39,7 +39,7 @@ def select_variables(df: DataFrame, quant: Sequence[str], qual: Sequence[str], t
                      forced: Sequence[str] = (), p_max: float = 0.05, v_min: float = 0.05,
                      r_max: float = 0.80, v_inter_max: float = 0.70) -> Selection:
     spark = df.sparkSession
-    df = df.persist()
+    names, df = df.columns, df.select(*dict.fromkeys([*quant, *qual, target])).persist()
     rows = []
     # 1. chi-square + V of each qualitative variable against the target
     s1 = stats.chi2_vs_target(df, qual, target, True, p_max, v_min).persist()
@@ -81,7 +81,7 @@ def select_variables(df: DataFrame, quant: Sequence[str], qual: Sequence[str], t
             rows.append((5, f"{r['var_quant']}x{r['var_qual']}", "link" if _p(r) < p_max else "none", f"p={_p(r):.3g}"))
     final = quant_ok + qual_final
     for f in forced:
-        if f not in final and f in df.columns:
+        if f not in final and f in names:
             final.append(f)
             rows.append((6, f, "forced", "engineered feature kept by rule"))
     for f in final:

@@ -7,6 +7,7 @@ group, n) -- and compute statistics on those; pairwise work is a long
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from riskframe.functions.pvalues import chi2_p_udf, normal_p_udf
 from riskframe.operators import ranks
 
+MAX_GROUPS = 1000  # groups of a column whose rank sums are taken on codes
+
 
 # ------------------------------------------------------------------ rank sums
 
@@ -37,20 +40,14 @@ def mann_whitney(df: DataFrame, cols: Sequence[str], target: str = "TARGET",
     class are skipped. Effect r = max(z, 0) / sqrt(N) (8 / sqrt(N) when p
     underflows to 0, as the original).
 
-    One cumulative pass carries t, n0 and n1: mid-ranks come from t, the
-    class medians from the per-class cumulative counts of the same table.
+    Rank sums come from ``ranks.group_rank_sums``, the medians from the exact
+    quantiles of each class.
     """
     y = F.col(target).cast("int")
-    long = ranks.to_long(df, cols, [y.alias("_y")]).filter(F.col("_y").isin(0, 1))
-    counts = long.groupBy("variable", "value").agg(
-        F.count(F.lit(1)).alias("t"), F.count_if(F.col("_y") == 0).alias("n0"),
-        F.count_if(F.col("_y") == 1).alias("n1"))
-    cum = ranks.cumulative(counts, ("variable",), "value", ("t", "n0", "n1"))
-    cum = cum.withColumn("avg_rank", F.col("t_before") + (F.col("t") + 1) / 2.0)
-    p = cum.groupBy("variable").agg(
-        F.sum("t").alias("N"), F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("T"),
-        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"),
-        F.sum(F.col("n0") * F.col("avg_rank")).alias("R0"))
+    rows = df.select(*cols, F.when(y.isin(0, 1), y).alias("_y"))
+    sums = ranks.group_rank_sums(rows, cols, ["_y"])
+    p = sums.groupBy("variable", "N", "T").agg(*[F.coalesce(F.sum(F.when(F.col("grp") == g, F.col(c))), F.lit(0)).alias(x)
+                                                 for g, c, x in (("0", "n_g", "n0"), ("1", "n_g", "n1"), ("0", "R_g", "R0"))])
     p = p.filter((F.col("n0") >= min_size) & (F.col("n1") >= min_size))
     n0, n1, N = F.col("n0").cast("double"), F.col("n1").cast("double"), F.col("N").cast("double")
     u0 = F.col("R0") - n0 * (n0 + 1) / 2
@@ -61,8 +58,7 @@ def mann_whitney(df: DataFrame, cols: Sequence[str], target: str = "TARGET",
                    u0.alias("U"), z.alias("z"), F.col("N"))
     med = None
     for k in ("0", "1"):
-        part = cum.select("variable", "value", F.col(f"n{k}").alias("t"), F.col(f"n{k}_before").alias("t_before"))
-        q = ranks.quantiles_from_ranks(part, [0.5]).select("variable", F.col("value").alias(f"median_{k}"))
+        q = ranks.exact_quantiles(rows.where(F.col("_y") == int(k)), cols, [0.5]).select("variable", F.col("value").alias(f"median_{k}"))
         med = q if med is None else med.join(q, "variable", "full")
     # med: one row per variable.
     out = out.join(F.broadcast(med), "variable", "left")
@@ -89,16 +85,9 @@ def auc(scored: DataFrame, score: str = "probability", label: str = "label") ->
     return a.select(val.alias("auc"), (val * 2 - 1).alias("gini"))
 
 
-def kruskal_wallis(df: DataFrame, quant: Sequence[str], qual: Sequence[str], min_group: int = 5,
-                   with_p: bool = True) -> DataFrame:
-    """H9: Kruskal-Wallis H for every (quantitative, qualitative) pair.
-
-    All pairs go through one long frame keyed by the pair: groups with fewer
-    than ``min_group`` non-null rows are dropped before ranking (as the
-    original), then a single rank-sum pass covers every pair. Pairs with
-    < 2 groups or with all values tied are skipped.
-    var_quant, var_qual, H, dof, n, [p_value].
-    """
+def _pair_rank_sums(df: DataFrame, quant: Sequence[str], qual: Sequence[str], min_group: int) -> DataFrame:
+    """As ``ranks.group_rank_sums`` for columns of any number of groups: one long
+    frame keyed by the pair."""
     items = [F.struct(F.lit(f"{q}\u0001{c}").alias("variable"), F.col(q).cast("double").alias("value"),
                       F.col(c).cast("string").alias("_g"))
              for q in quant for c in qual]
@@ -108,14 +97,32 @@ def kruskal_wallis(df: DataFrame, quant: Sequence[str], qual: Sequence[str], min
     sizes = long.groupBy("variable", "_g").agg(F.count(F.lit(1)).alias("_s"))
     keep = sizes.filter(F.col("_s") >= min_group).select("variable", "_g")
     rs = ranks.rank_sums(long.join(keep, ["variable", "_g"], "left_semi"))
-    h = rs.groupBy("variable", "N", "T").agg(
+    parts = F.split("variable", "\u0001")
+    return rs.select(parts[0].alias("variable"), parts[1].alias("grouping"), "grp", "n_g", "R_g", "N", "T")
+
+
+def kruskal_wallis(df: DataFrame, quant: Sequence[str], qual: Sequence[str], min_group: int = 5,
+                   with_p: bool = True) -> DataFrame:
+    """H9: Kruskal-Wallis H for every (quantitative, qualitative) pair.
+
+    Groups with fewer than ``min_group`` non-null rows are dropped before ranking (as the
+    original); a value moves once for all pairs it is in (``ranks.group_rank_sums``),
+    and once a pair with a column of more than ``MAX_GROUPS`` groups. Pairs with
+    < 2 groups or with all values tied are skipped.
+    var_quant, var_qual, H, dof, n, [p_value].
+    """
+    few = [c for c in qual if df.select(c).distinct().limit(MAX_GROUPS + 1).count() <= MAX_GROUPS]
+    rs = ranks.group_rank_sums(df, quant, few, min_group) if few else None
+    if len(few) < len(qual):
+        wide = _pair_rank_sums(df, quant, [c for c in qual if c not in few], min_group)
+        rs = wide if rs is None else rs.unionByName(wide)
+    h = rs.groupBy("variable", "grouping", "N", "T").agg(
         F.sum(F.col("R_g") * F.col("R_g") / F.col("n_g")).alias("S"), F.count(F.lit(1)).alias("k"))
     N = F.col("N").cast("double")
     num = 12.0 / (N * (N + 1)) * F.col("S") - 3 * (N + 1)
     den = 1 - F.col("T") / (F.pow(N, 3) - N)
-    parts = F.split("variable", "\u0001")
     out = h.filter((F.col("k") >= 2) & (den > 0)).select(
-        parts[0].alias("var_quant"), parts[1].alias("var_qual"), (num / den).alias("H"),
+        F.col("variable").alias("var_quant"), F.col("grouping").alias("var_qual"), (num / den).alias("H"),
         (F.col("k") - 1).cast("long").alias("dof"), F.col("N").cast("long").alias("n"))
     if with_p:
         out = out.withColumn("p_value", chi2_p_udf(F.col("H"), F.col("dof").cast("double")))
@@ -207,16 +214,17 @@ def cramers_v_pairs(df: DataFrame, cols: Sequence[str], with_p: bool = False) ->
 
 # ------------------------------------------------------------- Spearman
 
-def _spearman_matrix(rk: DataFrame, cols: Sequence[str], pairs) -> list[tuple]:
-    """Pearson of complete rank columns as one MLlib correlation matrix (a
-    tree aggregate of the Gramian); a constant column gives null."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    vec = VectorAssembler(inputCols=[f"{c}_rank" for c in cols], outputCol="_r", handleInvalid="keep").transform(rk)
-    mat = Correlation.corr(vec.select("_r"), "_r", "pearson").first()[0].toArray()
+def _spearman_matrix(data: DataFrame, cols: Sequence[str], pairs) -> list[tuple]:
+    """Pearson of the mid-ranks of complete columns from their Gramian
+    (``ranks.rank_products``); a constant column gives null."""
+    g = ranks.rank_products(data, cols)
     pos = {c: i for i, c in enumerate(cols)}
-    found = [(a, b, float(mat[pos[a], pos[b]])) for a, b in pairs]
-    return [(a, b, None if r != r else r) for a, b, r in found]
+    out = []
+    for a, b in pairs:
+        i, j = pos[a], pos[b]
+        size = math.sqrt(g[i, i]) * math.sqrt(g[j, j])
+        out.append((a, b, float(g[i, j] / size) if size > 0 else None))
+    return out
 
 
 def _spearman_reranked(df: DataFrame, pairs) -> DataFrame:
@@ -266,7 +274,7 @@ def spearman_pairs(df: DataFrame, cols: Sequence[str], target: str | None = None
     rest = [p for p in pairs if p not in whole]
     out = None
     if whole:
-        found = _spearman_matrix(ranks.attach_ranks(data, full), full, whole)
+        found = _spearman_matrix(data, full, whole)
         out = df.sparkSession.createDataFrame(found, "var1 string, var2 string, r double")
     if rest or out is None:
         part = _spearman_reranked(data, rest) if rest else df.sparkSession.createDataFrame(

@@ -150,3 +150,48 @@ def test_spearman_with_and_without_nulls_equals_pandas(spark):
         exp = x[a].corr(x[b])
         assert got[a, b] is None if np.isnan(exp) else got[a, b] == pytest.approx(exp, abs=1e-12)
 
+
+
+def test_spearman_of_complete_columns_joins_no_ranks_and_equals_pandas(spark, monkeypatch):
+    """Ties, copies, skewed and constant columns; many slices and blocks, no join per column."""
+    rng = np.random.default_rng(21)
+    n = 4000
+    data = pd.DataFrame({"a": rng.normal(size=n), "b": np.round(rng.normal(size=n), 2), "c": np.exp(3 * rng.normal(size=n)), "k": 1.0})
+    data["d"] = np.where(rng.random(n) < 0.6, 0.5, data["a"] + rng.normal(size=n))
+    data["e"] = -data["a"] * 1e-9
+    data["t"] = (data["a"] > 1).astype(int)
+    monkeypatch.setattr(stats.ranks, "attach_ranks", None)
+    cols = ["a", "b", "c", "d", "e", "k"]
+    got = {(r["var1"], r["var2"]): r["r"] for r in stats.spearman_pairs(spark.createDataFrame(data), cols, "t").collect()}
+    ranked = data.rank()
+    assert len(got) == 21
+    for (a, b), x in got.items():
+        assert x is None if "k" in (a, b) else x == pytest.approx(ranked[a].corr(ranked[b]), abs=1e-12)
+
+
+def test_rank_sums_of_all_groupings_move_a_value_once(spark, monkeypatch):
+    """Nulls, NaN, ties, a small group and a column of many groups against ranks
+    of the complete rows; before, the rows were exploded for every pair."""
+    rng = np.random.default_rng(5)
+    n = 1500
+    data = pd.DataFrame({"a": rng.normal(size=n), "b": np.round(rng.normal(size=n), 1)})
+    data.loc[rng.random(n) < 0.2, "a"] = np.nan
+    data["p"] = rng.choice(["x", "y", "z"], n)
+    data.loc[:2, "p"] = "rare"
+    data["q"] = np.where(rng.random(n) < 0.3, None, rng.choice(["u", "v"], n))
+    df = spark.createDataFrame([tuple(None if x != x else x for x in r) for r in data.itertuples(index=False)], "a double, b double, p string, q string")
+    monkeypatch.setattr(stats.ranks, "rank_sums", None)
+    got = {(r["var_quant"], r["var_qual"]): r for r in stats.kruskal_wallis(df, ["a", "b"], ["p", "q"]).collect()}
+    assert len(got) == 4
+    for (x, g), r in got.items():
+        part = data[[x, g]].dropna()
+        part = part[part[g] != "rare"]
+        rank = part[x].rank()
+        t = part[x].value_counts()
+        h = 12 / (len(part) * (len(part) + 1)) * (rank.groupby(part[g]).sum() ** 2 / part[g].value_counts()).sum() - 3 * (len(part) + 1)
+        assert r["n"] == len(part) and r["dof"] == part[g].nunique() - 1
+        assert r["H"] == pytest.approx(h / (1 - (t ** 3 - t).sum() / (len(part) ** 3 - len(part))), rel=1e-9)
+    monkeypatch.undo()
+    monkeypatch.setattr(stats, "MAX_GROUPS", 2)  # the long way, as for columns of very many groups
+    long = {(r["var_quant"], r["var_qual"]): r["H"] for r in stats.kruskal_wallis(df, ["a", "b"], ["p", "q"]).collect()}
+    assert long == {k: pytest.approx(r["H"], rel=1e-9) for k, r in got.items()}
