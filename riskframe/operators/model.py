@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.operators import cuts, newton, prepare, ranks, stats
+from riskframe.session import written
 
 
 def scaler_stage(stats_: dict, fill: dict | None = None) -> SQLTransformer:
@@ -292,6 +293,9 @@ def fit_logistic_smote(train: DataFrame, features: Sequence[str], target: str, k
     scaled = prepare.apply_standard_scaler(train, st).select(
         key, F.col(target).cast("int").alias(target), F.array(*[F.col(f) for f in features]).alias("_x"))
     bal = smote(scaled, key, "_x", target, k=k, seed=seed)
+    # read again by every pass of the fit: the neighbours are searched once; real rows are a narrow scan of ``train``
+    made = written(bal.where("synthetic").select("_x", target), "smote")
+    bal = bal.where(~F.col("synthetic")).select("_x", target).unionByName(made)
     fit_df = prepare.class_weights(bal, target, "_w").select(
         array_to_vector("_x").alias("features"), F.col(target).cast("double").alias("_label"), "_w")
     sum_w = fit_df.agg(F.sum("_w")).first()[0]

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.pivots import leaves_of, metric_join, numbers
 from riskframe.operators.ranks import cumulative
+from riskframe.operators.regions import NARROW, region_join
 from riskframe.session import ensure_checkpoint_dir, written
 
 SAMPLE = 20_000  # rows from which the cuts of E3's regions are taken
@@ -35,7 +36,8 @@ def knn(queries: DataFrame, donors: DataFrame, id_col: str, vec_col: str, k: int
 
     Equal distances go to the smaller id. Rows whose vector is null, empty or
     holds null or non-finite components take no part, and vectors of different
-    lengths are no neighbours. The plan is ``pivots.metric_join``.
+    lengths are no neighbours. The plan is ``regions.region_join`` for vectors of
+    few components, ``pivots.metric_join`` for others.
     """
     group = F.to_json(F.struct(F.col(same).alias("g"), F.size("_v").alias("n"))) if same else F.size("_v").cast("string")
     ensure_checkpoint_dir(queries.sparkSession)
@@ -47,6 +49,9 @@ def knn(queries: DataFrame, donors: DataFrame, id_col: str, vec_col: str, k: int
 
     d_rows = side(donors)
     q_rows = d_rows if queries is donors else side(queries)
+    widest = d_rows.agg(F.max(F.size("_v"))).first()[0] or 1
+    if widest <= NARROW:
+        return region_join(q_rows, d_rows, k, exclude_self, cell_rows, widest)
     return metric_join(q_rows, d_rows, k, exclude_self, cell_rows)
 
 

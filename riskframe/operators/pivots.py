@@ -141,6 +141,13 @@ def blocks_of(pivots: np.ndarray, cells: np.ndarray, size: np.ndarray, cell_rows
     return block
 
 
+def by_spread(mat: np.ndarray) -> np.ndarray:
+    """Coordinates by their mean distance from the median, widest first, as some 256
+    of the rows have it; a few far rows count for little."""
+    some = mat[::max(1, len(mat) // 256)]
+    return np.argsort(-np.abs(some - np.median(some, axis=0)).mean(0), kind="stable")
+
+
 def leaves_of(d_mat: np.ndarray, q_mat: np.ndarray, rows: int):
     """Donors halved along their widest coordinate down to leaves of at most
     ``rows``: donor order, starts of the leaves, queries in the order of the
@@ -153,7 +160,7 @@ def leaves_of(d_mat: np.ndarray, q_mat: np.ndarray, rows: int):
             q_out.append(q)
             continue
         at = d_mat[d]
-        axis, half = np.ptp(at, axis=0).argmax(), len(d) // 2
+        axis, half = by_spread(at)[0], len(d) // 2
         o = np.argpartition(at[:, axis], half)
         below = q_mat[q, axis] < at[o[half], axis]
         todo += [(d[o[half:]], q[~below]), (d[o[:half]], q[below])]
@@ -167,7 +174,7 @@ def search_block(q_ids, q_mat, bound, d_ids, d_mat, k: int, exclude_self: bool):
     leaf, then the leaves whose box is not beyond the k-th distance it has. Memory
     is bounded by ``MATRIX`` numbers a matrix, whatever the number of queries."""
     dim = d_mat.shape[1]
-    order, first, q_order, home = leaves_of(d_mat, q_mat, 128 if dim <= 8 else 256 if dim <= 16 else 2048)
+    order, first, q_order, home = leaves_of(d_mat, q_mat, 128 if dim <= 8 else 512 if dim <= 16 else 2048)
     last = np.r_[first[1:], len(d_ids)]
     d_ids, d_mat = d_ids[order], d_mat[order]
     low, high = np.minimum.reduceat(d_mat, first), np.maximum.reduceat(d_mat, first)
@@ -176,16 +183,28 @@ def search_block(q_ids, q_mat, bound, d_ids, d_mat, k: int, exclude_self: bool):
     def visit(rows: np.ndarray, c: int) -> None:
         own = slice(first[c], last[c])
         d2, off = _between(q_mat[rows], d_mat[own])
+        at, col = np.nonzero((d2 - off) * (1 - 1e-9) <= (bound[rows] ** 2)[:, None])
         if exclude_self:
-            d2[q_ids[rows][:, None] == d_ids[own][None, :]] = np.inf
-        near = np.maximum(d2 - off, 0).min(1)
-        rows = rows[np.isfinite(near) & (near * (1 - 1e-9) <= bound[rows] ** 2)]
-        if not len(rows):
+            other = q_ids[rows][at] != d_ids[own][col]
+            at, col = at[other], col[other]
+        if not len(at):
             return
-        new_ids, new = nearest(q_ids[rows], q_mat[rows], d_ids[own], d_mat[own], k, exclude_self)
-        both, both_ids = np.hstack([dist[rows], new]), np.hstack([ids[rows], new_ids])
-        o = np.lexsort((both_ids, both), axis=1)[:, :k]
-        dist[rows], ids[rows] = np.take_along_axis(both, o, 1), np.take_along_axis(both_ids, o, 1)
+        if len(at) > 8 * k * len(rows):  # a bound that excludes little
+            rows = rows[np.unique(at)]
+            new_ids, new = nearest(q_ids[rows], q_mat[rows], d_ids[own], d_mat[own], k, exclude_self)
+            both, both_ids = np.hstack([dist[rows], new]), np.hstack([ids[rows], new_ids])
+            o = np.lexsort((both_ids, both), axis=1)[:, :k]
+            dist[rows], ids[rows] = np.take_along_axis(both, o, 1), np.take_along_axis(both_ids, o, 1)
+        else:
+            exact = np.sqrt(((q_mat[rows[at]] - d_mat[own][col]) ** 2).sum(-1))
+            hit, at = np.unique(at, return_inverse=True)
+            rows = rows[hit]
+            # a row's k so far and what is new, sorted; its first k stay
+            of, both, both_ids = np.r_[np.repeat(np.arange(len(rows)), k), at], np.r_[dist[rows].ravel(), exact], np.r_[ids[rows].ravel(), d_ids[own][col]]
+            o = np.lexsort((both_ids, both, of))
+            size = k + np.bincount(at, minlength=len(rows))
+            keep = o[((np.cumsum(size) - size)[:, None] + np.arange(k)).ravel()]
+            dist[rows], ids[rows] = both[keep].reshape(-1, k), both_ids[keep].reshape(-1, k)
         bound[rows] = np.minimum(bound[rows], dist[rows, -1] * (1 + 1e-9))
 
     step = max(16, min(1024, MATRIX // len(first)))
@@ -199,7 +218,8 @@ def search_block(q_ids, q_mat, bound, d_ids, d_mat, k: int, exclude_self: bool):
             box += np.maximum(np.maximum(low[None, :, j] - x, x - high[None, :, j]), 0) ** 2
         box = np.sqrt(box) * (1 - 1e-9)
         box[np.arange(len(rows)), own] = np.inf
-        for c in np.flatnonzero((box <= bound[rows][:, None]).any(0)):
+        seen = np.flatnonzero((box <= bound[rows][:, None]).any(0))
+        for c in seen[np.argsort(np.where(np.isinf(box[:, seen]), 0, box[:, seen]).sum(0), kind="stable")]:  # the nearest first
             at = rows[(box[:, c] <= bound[rows]) & np.isfinite(box[:, c])]
             if len(at):
                 visit(at, c)

@@ -182,3 +182,55 @@ def test_knn_impute_settles_queries_at_home_whatever_the_number_of_regions(spark
     homes = kept[0]
     total, cells = homes.count(), homes.select(F.sum(F.size("_to"))).first()[0]
     assert total > 1200 and cells < 4 * total  # of more than 30 regions; before, every query was searched in each block
+
+
+@pytest.mark.parametrize(("dim", "cell_rows"), [(2, 60), (2, 5000), (6, 100), (1, 40)])
+def test_region_join_equals_brute_force(spark, dim, cell_rows):
+    """Ties, copies beyond a block, a dense clump, far rows, small groups, rows that come twice."""
+    from riskframe.operators.regions import region_join
+    rng = np.random.default_rng(dim)
+    v = np.round(rng.normal(size=(900, dim)), 1)
+    v[:250] = v[0]
+    v[250:450] = v[250] + np.round(rng.normal(size=(200, dim)) * 1e-3, 4)
+    v[-5:] = 1e4 * rng.normal(size=(5, dim))
+    ids = rng.permutation(900) * 3
+    g = np.where(np.arange(900) % 40 == 7, "b", np.where(np.arange(900) == 13, "c", "a"))
+    df = spark.createDataFrame(pd.DataFrame({"_id": ids, "_v": list(v), "_g": g}), "_id long, _v array<double>, _g string").checkpoint()
+    got = region_join(df, df, 4, True, cell_rows, dim).collect()
+    assert sorted((r["qid"], r["nid"], r["rank"]) for r in got) == _brute_knn(ids, v, g, range(900), 4)
+    some = df.where("_id % 2 = 0 or _g = 'b'")  # queries whose region or group has no donors
+    got = region_join(df, some, 4, True, cell_rows, dim).collect()
+    own = {r["_id"] for r in some.select("_id").collect()}
+    exp = []
+    for i in range(900):
+        e = np.sqrt(((v - v[i]) ** 2).sum(1))
+        e[[x not in own or x == ids[i] for x in ids]] = np.inf
+        e[g != g[i]] = np.inf
+        exp += [(ids[i], ids[j], r) for r, j in enumerate(np.lexsort((ids, e))[:4], 1) if np.isfinite(e[j])]
+    assert sorted((r["qid"], r["nid"], r["rank"]) for r in got) == sorted(exp)
+
+
+def test_region_join_sends_a_query_to_few_regions_despite_a_heavy_tail(spark, monkeypatch):
+    """A ratio with a few far values would draw all cuts of the widest coordinate."""
+    from riskframe.operators import regions
+    rng = np.random.default_rng(3)
+    v = np.column_stack([rng.random((6000, 3)), 1 / rng.normal(size=6000)])
+    df = spark.createDataFrame([(i, x.tolist(), "a") for i, x in enumerate(v)], "_id long, _v array<double>, _g string").checkpoint()
+    kept = []
+    monkeypatch.setattr(regions, "written", lambda d, tag: (kept.append(d.checkpoint()), kept[-1])[1])
+    got = regions.region_join(df, df, 5, True, 200, 4).where("qid < 50").collect()
+    assert sorted((r["qid"], r["nid"], r["rank"]) for r in got) == _brute_knn(np.arange(6000), v, np.repeat("a", 6000), range(50), 5)
+    assert kept[0].select(F.avg(F.size("_to"))).first()[0] < 6  # of some 30 regions
+
+
+def test_smote_fit_searches_the_neighbours_once(spark, monkeypatch):
+    """The passes of the fit read written synthetic rows: no neighbour join in the frame that is fitted."""
+    from riskframe.operators import model
+    rng = np.random.default_rng(5)
+    rows = [(i, int(i % 5 == 0), float(rng.normal() + i % 5), float(rng.normal())) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, y int, a double, b double")
+    seen, fit = [], model.LogisticRegression.fit
+    monkeypatch.setattr(model.LogisticRegression, "fit", lambda self, d: (seen.append(d), fit(self, d))[1])
+    model.fit_logistic_smote(df, ["a", "b"], "y", "id")
+    assert "FlatMapCoGroups" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["_label"]: r["count"] for r in seen[0].groupBy("_label").count().collect()} == {0.0: 240, 1.0: 240}
