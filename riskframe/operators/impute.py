@@ -10,6 +10,7 @@ train and test (Q7); ``fit_df=None`` fits on the frame itself.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,10 +18,16 @@ from pyspark.sql import functions as F
 from riskframe.functions.core import nan_to_null, numeric_columns, string_columns
 from riskframe.operators import ranks
 
+AT_ONCE = 12  # columns of an aggregate: the JVM compiles no method of many more
+
 
 def _columns_with_missing(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(columns)]).first()
-    return [c for i, c in enumerate(columns) if row[f"m{i}"] > 0]
+    found = [df.agg(F.array(*[F.count_if(F.col(c).isNull()) for c in columns[s:s + AT_ONCE]]).alias("n")).withColumn("s", F.lit(s))
+             for s in range(0, len(columns), AT_ONCE)]
+    if not found:
+        return []
+    missing = {r["s"] + i: n for r in reduce(DataFrame.unionByName, found).collect() for i, n in enumerate(r["n"])}
+    return [c for i, c in enumerate(columns) if missing[i] > 0]
 
 
 def modes(df: DataFrame, columns: Sequence[str], value_type: str = "double") -> dict:

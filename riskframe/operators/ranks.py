@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from functools import partial, reduce
 from itertools import chain
 
 import numpy as np
@@ -33,6 +34,8 @@ from pyspark.sql import functions as F
 
 from riskframe.session import ensure_checkpoint_dir, written
 
+AT_ONCE = 12  # columns that a scan turns into Arrow together
+
 
 def to_long(df: DataFrame, cols: Sequence[str], extra: Sequence[str | Column] = (),
             value_type: str = "double") -> DataFrame:
@@ -147,12 +150,74 @@ def rank_sums(long: DataFrame) -> DataFrame:
     return sums.select("variable", "grp", "n_g", "R_g", F.sum("n_g").over(whole).alias("N"), F.sum("_t").over(whole).alias("T"))
 
 
+def _thinned(chunks: list[tuple[np.ndarray, float]], points: int) -> tuple[np.ndarray, float]:
+    """Weighted values put together to ``points`` values of equal weight."""
+    v, w = np.concatenate([c for c, _ in chunks]), np.concatenate([np.full(len(c), x) for c, x in chunks])
+    o = np.argsort(v, kind="stable")
+    upto = np.cumsum(w[o])
+    at = np.searchsorted(upto, (np.arange(points) + 0.5) * (upto[-1] / points))
+    return v[o][np.minimum(at, len(v) - 1)], upto[-1] / points
+
+
+def _portions(names: Sequence[str]) -> list[tuple[int, Sequence[str]]]:
+    """The columns by ``AT_ONCE`` with the number of their first: Java methods of wider scans are too long to be compiled."""
+    return [(s, names[s:s + AT_ONCE]) for s in range(0, len(names), AT_ONCE)]
+
+
+def near_quantiles(data: DataFrame, names: Sequence[str], probs: Sequence[float], points: int = 2000) -> list[tuple[int, list[float]]]:
+    """Of every double column the number of values and, near each of ``probs``, a value
+    (null and NaN left out); exact at 0 and 1. A task sorts a batch at a time and keeps
+    ``points`` values of it, and of each 16 such lists ``points`` again: the place of
+    a value is off by 1 / (2 points) of the rows a level, whatever the number of rows."""
+    names, probs = list(names), [float(p) for p in probs]
+    sql = "v int, x array<double>, w double, n long, low double, high double"
+    schema = pa.schema([("v", pa.int32()), ("x", pa.list_(pa.float64())), ("w", pa.float64()), ("n", pa.int64()), ("low", pa.float64()), ("high", pa.float64())])
+
+    def kept(batches: Iterator[pa.RecordBatch], first: int, width: int) -> Iterator[pa.RecordBatch]:
+        levels: list[list[list]] = [[[]] for _ in range(width)]
+        n, low, high = [0] * width, [np.inf] * width, [-np.inf] * width
+        for b in batches:
+            for i in range(width):
+                x = b.column(i).to_numpy(zero_copy_only=False).astype(float)
+                x = np.sort(x[~np.isnan(x)])
+                if not len(x):
+                    continue
+                n[i], low[i], high[i] = n[i] + len(x), min(low[i], x[0]), max(high[i], x[-1])
+                few = len(x) <= points
+                levels[i][0].append((x, 1.0) if few else (x[((np.arange(points) + 0.5) * (len(x) / points)).astype(int)], len(x) / points))
+                for j, own in enumerate(levels[i]):
+                    if len(own) == 16:
+                        if j + 1 == len(levels[i]):
+                            levels[i].append([])
+                        levels[i][j + 1].append(_thinned(own, points))
+                        own.clear()
+        for i, own in enumerate(levels):
+            for c, (x, w) in enumerate(chunk for level in own for chunk in level):
+                yield pa.RecordBatch.from_arrays([pa.array([a], t) for a, t in zip((first + i, x, w, 0 if c else n[i], low[i], high[i]), schema.types)], schema=schema)
+
+    def merged(t: pa.Table) -> pa.Table:
+        lists = t.column("x").combine_chunks()
+        v, w = lists.flatten().to_numpy(), np.repeat(t.column("w").to_numpy(), lists.value_lengths().to_numpy())
+        o = np.argsort(v, kind="stable")
+        upto = np.cumsum(w[o])
+        low, high = t.column("low").to_numpy().min(), t.column("high").to_numpy().max()
+        near = v[o][np.minimum(np.searchsorted(upto, np.array(probs) * upto[-1]), len(v) - 1)]
+        near = [low if p <= 0 else high if p >= 1 else float(x) for p, x in zip(probs, near)]
+        return pa.table({"v": t.column("v").slice(0, 1), "n": pa.array([int(t.column("n").to_numpy().sum())]), "q": pa.array([near], pa.list_(pa.float64()))})
+
+    scans = [data.select(*own).mapInArrow(partial(kept, first=s, width=len(own)), sql) for s, own in _portions(names)]
+    found = reduce(DataFrame.unionByName, scans).groupBy("v").applyInArrow(merged, "v int, n long, q array<double>").collect()  # a row per column
+    out: list[tuple[int, list[float]]] = [(0, [])] * len(names)
+    for r in found:
+        out[r["v"]] = (r["n"], r["q"])
+    return out
+
+
 def _cuts(data: DataFrame, names: Sequence[str], n: int, rows: int) -> list[np.ndarray]:
     """Quantiles of every column, one for about every ``rows`` of ``n`` rows."""
     slices = max(64, min(2000, n // rows))
     probs = [i / slices for i in range(slices + 1)]
-    row = data.agg(*[F.percentile_approx(x, probs, 8 * slices).alias(x) for x in names]).first()
-    return [np.unique(np.array(row[x] or [], float)) for x in names]
+    return [np.unique(np.array(q, float)) for _, q in near_quantiles(data, names, probs, max(2000, 4 * slices))]
 
 
 def _coded(b: pa.RecordBatch, names: Sequence[str], cuts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -405,9 +470,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     as pandas ``quantile`` / SQL ``percentile_cont``. Nulls and NaN skipped.
 
     Fast exact path, two scans and no sort of the full column:
-      1. ``percentile_approx`` brackets each target rank (sketch memory is
-         bounded by ``accuracy``, whatever the row count);
-      2. one aggregate counts the rows below each bracket, and only the
+      1. ``near_quantiles`` brackets each target rank (memory is bounded by
+         ``accuracy``, whatever the row count);
+      2. one scan counts the rows below each bracket, and only the
          values inside the brackets (a ~1/accuracy slice) are ranked.
     Each bracket is verified to contain both order statistics it must
     interpolate; a column failing that check (or an exotic distribution)
@@ -419,35 +484,46 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     if not cols:
         return spark.createDataFrame([], "variable string, q double, value double")
     delta = 4.0 / accuracy
-    clean = {c: F.when(F.isnan(F.col(c).cast("double")), None).otherwise(F.col(c).cast("double") + F.lit(0.0))
-             for c in cols}
+    names = [f"_c{i}" for i in range(len(cols))]
+    data = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double") + F.lit(0.0)).alias(x) for c, x in zip(cols, names)])
     lo_p = [max(0.0, q - delta) for q in probs]
     hi_p = [min(1.0, q + delta) for q in probs]
-    row = df.agg(*[x for i, c in enumerate(cols) for x in (
-        F.count(clean[c]).alias(f"n{i}"),
-        F.percentile_approx(clean[c], lo_p + hi_p, accuracy).alias(f"b{i}"))]).first()
     brackets = []  # (variable, q, lo, hi, n)
-    for i, c in enumerate(cols):
-        n, b = row[f"n{i}"], row[f"b{i}"]
+    for c, (n, b) in zip(cols, near_quantiles(data, names, lo_p + hi_p, accuracy)):
         if not n:
             continue
         for j, q in enumerate(probs):
             brackets.append((c, q, float(b[j]), float(b[len(probs) + j]), int(n)))
     if not brackets:
         return spark.createDataFrame([], "variable string, q double, value double")
-    # rows strictly below each bracket, and the bracketed values themselves
-    below = df.agg(*[F.count_if(clean[c] < lo).alias(f"c{k}") for k, (c, _, lo, _, _) in enumerate(brackets)]).first()
+    found_at = [(k, cols.index(c), lo, hi) for k, (c, _, lo, hi, _) in enumerate(brackets)]
+
+    def bracketed(batches: Iterator[pa.RecordBatch], first: int, width: int) -> Iterator[pa.RecordBatch]:
+        """The bracketed values with their counts; without a value the rows strictly below."""
+        below = np.zeros(len(found_at), np.int64)
+        for b in batches:
+            mat: dict[int, np.ndarray] = {}
+            for k, at, lo, hi in found_at:
+                i = at - first
+                if not 0 <= i < width:
+                    continue
+                if i not in mat:
+                    mat[i] = b.column(i).to_numpy(zero_copy_only=False).astype(float)
+                below[k] += np.count_nonzero(mat[i] < lo)
+                v, t = np.unique(mat[i][(mat[i] >= lo) & (mat[i] <= hi)], return_counts=True)
+                if len(v):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), k, np.int32)), pa.array(v), pa.array(t.astype(np.int64))], names=["_k", "value", "t"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(below), dtype=np.int32)), pa.nulls(len(below), pa.float64()), pa.array(below)], names=["_k", "value", "t"])
+
     # only in-bracket values are emitted: ~1/accuracy of the rows per target
-    items = [F.when((clean[c] >= F.lit(lo)) & (clean[c] <= F.lit(hi)),
-                    F.struct(F.lit(k).alias("_k"), clean[c].alias("value")))
-             for k, (c, _, lo, hi, _) in enumerate(brackets)]
-    inside = (df.select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("kv"))
-              .select("kv.*"))
-    counts = inside.groupBy("_k", "value").agg(F.count(F.lit(1)).alias("t"))
+    scans = [data.select(*own).mapInArrow(partial(bracketed, first=s, width=len(own)), "_k int, value double, t long") for s, own in _portions(names)]
+    counts = written(reduce(DataFrame.unionByName, scans).groupBy("_k", "value").agg(F.sum("t").alias("t")), "brackets")
+    below = {r["_k"]: r["t"] for r in counts.where(F.col("value").isNull()).collect()}  # a row per column and probability
+    counts = counts.where(F.col("value").isNotNull())
     tab = []
     for k, (c, q, lo, hi, n) in enumerate(brackets):
         h = q * (n - 1)
-        tab.append((k, c, q, float(h), int(math.floor(h)), int(math.ceil(h)), int(below[f"c{k}"])))
+        tab.append((k, c, q, float(h), int(math.floor(h)), int(math.ceil(h)), int(below.get(k, 0))))
     meta = spark.createDataFrame(tab, "_k int, variable string, q double, h double, i_lo long, i_hi long, c_lo long")
     # meta: one row per (column, probability) -- bounded by the arguments.
     cum = cumulative(counts, ("_k",), "value", ("t",), partitions=partitions).join(F.broadcast(meta), "_k")

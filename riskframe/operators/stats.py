@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.pvalues import chi2_p_udf, normal_p_udf
 from riskframe.operators import ranks
+from riskframe.session import written
 
 MAX_GROUPS = 1000  # groups of a column whose rank sums are taken on codes
 
@@ -146,6 +147,7 @@ def cramers_v_long(cells: DataFrame, key: Sequence[str] = ("pair",), with_p: boo
     Output: key..., r, k, n, chi2, dof, V, [p_value].
     """
     key = list(key)
+    cells = written(cells, "cells")  # read by each of the joins below
     row = cells.groupBy(*key, "a").agg(F.sum("n").alias("_row"))
     col = cells.groupBy(*key, "b").agg(F.sum("n").alias("_col"))
     shape = cells.groupBy(*key).agg(F.sum("n").alias("_n"), F.countDistinct("a").alias("r"),
